@@ -27,6 +27,8 @@ underscores, a header line per file.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *unique_key: str) -> DataFrame:
+    """Keep every core busy when a fact table arrives in fewer splits than
+    the cluster has slots (one file, one row group).
+
+    A large input already has many splits and is left alone: no shuffle is
+    added at scale. The hash key is unique per row, so no value can be hot,
+    and the placement is deterministic on task retry.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, *unique_key)
+    return df
+
+
 def address(key: Column) -> Column:
     return F.concat(F.lit("0x"), F.lpad(key.cast("string"), ADDRESS_WIDTH, "0"))
 
@@ -82,7 +98,7 @@ def _header(spark: SparkSession, columns) -> DataFrame:
     optimizer constant-fold the analyses' casts over it at plan time, before
     the validity filter has removed it.
     """
-    row = spark.range(1)
+    row = spark.range(0, 1, 1, 1)
     empty = F.substring(F.col("id").cast("string"), 1, 0)
     return row.select(F.concat(F.lit(",".join(columns)), empty).alias("value"))
 
@@ -97,7 +113,7 @@ def transaction_lines(spark: SparkSession, sf_dir: str, header: bool = True) ->
       returned and open    input is a quoted list with a comma  -> dropped
       tax 8                line stops after gas_price (10 f.)   -> dropped
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     ok = F.col("l_orderkey").cast("string")
     ln = F.col("l_linenumber").cast("string")
     disc = pct(F.col("l_discount"))
@@ -173,7 +189,7 @@ def block_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     status P -> state_root empty (-1 byte) and receipts_root ``0x`` (0 byte).
     Well-formed hashes are 32 bytes (logs bloom 256), i.e. 384 bytes a block.
     """
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     ok = F.col("o_orderkey")
     status = F.col("o_orderstatus")
     prio = F.col("o_orderpriority")
@@ -258,3 +274,41 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(
         F.to_json(F.struct(F.lit(True).alias("success"), F.col("result"))).alias("value")
     )
+
+
+# --- staging: the mirror written once as text files, read like a real dump -------------
+
+MIRROR_VERSION = "1"
+BUILDERS = {
+    "transactions": transaction_lines,
+    "contracts": contract_lines,
+    "blocks": block_lines,
+    "registry": registry_lines,
+}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+        return True
+    except Exception:  # AnalysisException: path does not exist
+        return False
+
+
+def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Raw ledger text of ``kind`` for the tables in ``sf_dir``, as text files.
+
+    The text is built by Spark from the tables and written once under the
+    cluster's shared checkpoint folder (``spark.checkpoint.dir``); every later
+    call reads the files back with ``spark.read.text``, exactly as the dumps
+    themselves are read: splittable, many tasks, no lineage back to the
+    builder. A folder counts only once its ``_SUCCESS`` marker is written.
+    """
+    from ledgerlens.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    digest = hashlib.sha1(f"{MIRROR_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    path = f"{root}/ledgerlens-mirror/{digest}/{kind}"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        BUILDERS[kind](spark, sf_dir).write.mode("overwrite").text(path)
+    return spark.read.text(path)

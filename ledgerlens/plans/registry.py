@@ -38,19 +38,19 @@ def render_exact(df: DataFrame) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_transactions(M.transaction_lines(spark, sf_dir))
+    return parse_transactions(M.staged_lines(spark, sf_dir, "transactions"))
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_contracts(M.contract_lines(spark, sf_dir))
+    return parse_contracts(M.staged_lines(spark, sf_dir, "contracts"))
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_blocks(M.block_lines(spark, sf_dir))
+    return parse_blocks(M.staged_lines(spark, sf_dir, "blocks"))
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_registry(M.registry_lines(spark, sf_dir))
+    return parse_registry(M.staged_lines(spark, sf_dir, "registry"))
 
 
 # --- Q01-Q14 ---------------------------------------------------------------------------
@@ -143,15 +143,15 @@ def q_scam_series_pivot(spark, d):
 # --- operator-level checks ------------------------------------------------------------
 
 def q_transaction_validity(spark, d):
-    return validity_counts(M.transaction_lines(spark, d), "transactions")
+    return validity_counts(M.staged_lines(spark, d, "transactions"), "transactions")
 
 
 def q_contract_validity(spark, d):
-    return validity_counts(M.contract_lines(spark, d), "contracts")
+    return validity_counts(M.staged_lines(spark, d, "contracts"), "contracts")
 
 
 def q_block_validity(spark, d):
-    return validity_counts(M.block_lines(spark, d), "blocks")
+    return validity_counts(M.staged_lines(spark, d, "blocks"), "blocks")
 
 
 def q_registry_addresses(spark, d):

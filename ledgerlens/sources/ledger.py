@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import flag_text, is_int_text
 from ledgerlens.schemas import (
     BLOCKS,
     CONTRACTS,
@@ -42,16 +41,36 @@ def _named(fields: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def _well_formed(layout: Layout, probe_ok) -> Column:
-    # get() is null past the end, so the probe never raises on short rows.
-    probe = F.get(F.col("f"), layout.index(layout.probe))
-    return (F.size(F.col("f")) == F.lit(layout.arity)) & probe_ok(probe)
+# Probe patterns (Python ``int()`` text; the exact flag words).
+INT_FIELD = r"\s*[+-]?[0-9]+(?:_[0-9]+)*\s*"
+FLAG_FIELD = r"True|False"
+
+
+def line_pattern(layout: Layout, probe_field: str) -> str:
+    """Regex matching a whole line with exactly ``layout.arity`` comma-separated
+    fields whose probe field matches ``probe_field``.
+
+    One linear pass over the raw line, without splitting it: the filter does
+    not allocate, and the line is split once, only for rows that are kept.
+    """
+    before = layout.index(layout.probe)
+    after = layout.arity - before - 1
+    head = f"(?:[^,]*+,){{{before}}}" if before else ""
+    tail = f"(?:,[^,]*+){{{after}}}" if after else ""
+    return f"^{head}(?:{probe_field}){tail}\\z"
+
+
+def _well_formed(layout: Layout, probe_field: str) -> Column:
+    return F.coalesce(F.col("value").rlike(line_pattern(layout, probe_field)), F.lit(False))
+
+
+def _parse(lines: DataFrame, layout: Layout, probe_field: str) -> DataFrame:
+    return _named(_fields(lines.where(_well_formed(layout, probe_field))), layout)
 
 
 def parse_transactions(lines: DataFrame) -> DataFrame:
     """Well-formed transaction rows: 15 fields and an integer block number."""
-    f = _fields(lines)
-    return _named(f.where(_well_formed(TRANSACTIONS, is_int_text)), TRANSACTIONS)
+    return _parse(lines, TRANSACTIONS, INT_FIELD)
 
 
 def parse_contracts(lines: DataFrame) -> DataFrame:
@@ -59,27 +78,25 @@ def parse_contracts(lines: DataFrame) -> DataFrame:
 
     Rows are not de-duplicated: a contract listed twice counts twice.
     """
-    f = _fields(lines)
-    return _named(f.where(_well_formed(CONTRACTS, flag_text)), CONTRACTS)
+    return _parse(lines, CONTRACTS, FLAG_FIELD)
 
 
 def parse_blocks(lines: DataFrame) -> DataFrame:
     """Well-formed block rows: 19 fields and an integer block number."""
-    f = _fields(lines)
-    return _named(f.where(_well_formed(BLOCKS, is_int_text)), BLOCKS)
+    return _parse(lines, BLOCKS, INT_FIELD)
 
 
 _CHECKS = {
-    "transactions": (TRANSACTIONS, is_int_text),
-    "contracts": (CONTRACTS, flag_text),
-    "blocks": (BLOCKS, is_int_text),
+    "transactions": (TRANSACTIONS, INT_FIELD),
+    "contracts": (CONTRACTS, FLAG_FIELD),
+    "blocks": (BLOCKS, INT_FIELD),
 }
 
 
 def validity_counts(lines: DataFrame, kind: str) -> DataFrame:
     """One row: lines read, lines kept by the well-formedness check, dropped."""
-    layout, probe_ok = _CHECKS[kind]
-    flagged = _fields(lines).select(_well_formed(layout, probe_ok).cast("int").alias("ok"))
+    layout, probe_field = _CHECKS[kind]
+    flagged = lines.select(_well_formed(layout, probe_field).cast("int").alias("ok"))
     agg = flagged.agg(F.count(F.lit(1)).alias("lines"), F.sum("ok").cast("bigint").alias("valid"))
     return agg.select("lines", "valid", (F.col("lines") - F.col("valid")).alias("dropped"))
 
