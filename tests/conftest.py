@@ -22,6 +22,7 @@ def lines(spark):
     """Turn a list of raw text lines into a ``value`` frame, as read from a file."""
 
     def make(rows, partitions=2):
-        return spark.createDataFrame([(r,) for r in rows], "value string").repartition(partitions)
+        df = spark.createDataFrame([(r,) for r in rows], "value string")
+        return df.repartition(partitions) if partitions else df
 
     return make
