@@ -309,6 +309,11 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     digest = hashlib.sha1(f"{MIRROR_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
     path = f"{root}/ledgerlens-mirror/{digest}/{kind}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        BUILDERS[kind](spark, sf_dir).write.mode("overwrite").text(path)
+    if path not in _STAGED:
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            BUILDERS[kind](spark, sf_dir).write.mode("overwrite").text(path)
+        _STAGED.add(path)
     return spark.read.text(path)
+
+
+_STAGED: set[str] = set()  # folders known complete in this process

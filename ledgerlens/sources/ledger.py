@@ -55,9 +55,8 @@ def line_pattern(layout: Layout, probe_field: str) -> str:
     """
     before = layout.index(layout.probe)
     after = layout.arity - before - 1
-    head = f"(?:[^,]*+,){{{before}}}" if before else ""
-    tail = f"(?:,[^,]*+){{{after}}}" if after else ""
-    return f"^{head}(?:{probe_field}){tail}\\z"
+    # Written out field by field: measurably faster than a repeated group.
+    return "^" + "[^,]*," * before + f"(?:{probe_field})" + ",[^,]*" * after + "\\z"
 
 
 def _well_formed(layout: Layout, probe_field: str) -> Column:
@@ -65,7 +64,10 @@ def _well_formed(layout: Layout, probe_field: str) -> Column:
 
 
 def _parse(lines: DataFrame, layout: Layout, probe_field: str) -> DataFrame:
-    return _named(_fields(lines.where(_well_formed(layout, probe_field))), layout)
+    # One projection: codegen's subexpression elimination splits each kept
+    # line once for all named fields.
+    named = [f"get(split(value, ',', -1), {i}) AS `{c}`" for i, c in enumerate(layout.columns)]
+    return lines.where(_well_formed(layout, probe_field)).selectExpr(*named)
 
 
 def parse_transactions(lines: DataFrame) -> DataFrame:
