@@ -3,15 +3,13 @@
 Member lists (contracts, registry entries) are *not* de-duplicated: an address
 listed twice contributes twice. Joins are inner joins, never semi-joins.
 
-Scale notes. Facts (transactions) are aggregated per address *before* they
-meet a member list whenever the downstream aggregate is distributive, so the
-join sees one row per address instead of one per transaction: a hot address
-never skews it, and the member list is joined against a table no larger than
-the set of addresses. Broadcasting is left to AQE, which converts a join to a
-broadcast only from measured shuffle sizes under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` and keeps sort-merge
-otherwise; :func:`broadcast_bounded` is only for frames whose size is bounded
-by construction (a ``limit``).
+Scale notes. Facts (transactions) never meet a member list row by row
+through a shuffle keyed by address: either the list is small, which is
+*checked* (a bounded ``limit(n + 1).count()``), and it is broadcast so facts
+are matched map-side; or facts are first summed per address (map-side
+combine), so the join sees one row per address, a hot address cannot skew
+it, and AQE may still broadcast from measured sizes or split skewed
+partitions. :func:`broadcast_bounded` is for frames bounded by a ``limit``.
 """
 
 from __future__ import annotations
@@ -36,6 +34,46 @@ def member_multiplicity(members: DataFrame, key: str, name: str = "mult") -> Dat
     return members.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+# Member lists up to this many rows are broadcast (about 100 bytes a row:
+# address plus payload, i.e. well under 100 MB per executor).
+MAX_BROADCAST_MEMBERS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Size check with a bounded cost: reads at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_then_aggregate(
+    facts: DataFrame,
+    members: DataFrame,
+    fact_key: str,
+    member_key: str,
+    keys,
+    sums: dict[str, str],
+    pre_keys=(),
+    max_broadcast_rows: int = MAX_BROADCAST_MEMBERS,
+) -> DataFrame:
+    """Sum fact columns per ``keys`` over facts joined to a member list
+    (member multiplicity kept), choosing the plan by the list's size.
+
+    * list of at most ``max_broadcast_rows`` rows (checked): broadcast it,
+      so facts are matched map-side, never shuffled by address, and only
+      matching facts reach the (partial, then final) aggregate;
+    * larger list: sum facts per (fact key, ``pre_keys``) first, then join
+      the list to those partial sums and sum again.
+
+    ``sums`` maps output name -> fact column. Both plans are exact for sums.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if has_at_most(members, max_broadcast_rows):
+        joined = members_join(facts, F.broadcast(members), fact_key, member_key)
+        return joined.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    partial = facts.groupBy(fact_key, *pre_keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    joined = members_join(partial, members, fact_key, member_key)
+    return joined.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums])
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a frame whose row count is bounded by construction.
 

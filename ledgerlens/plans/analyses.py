@@ -29,7 +29,7 @@ from ledgerlens.operators.aggregate import (
     ratio,
     sum_by,
 )
-from ledgerlens.operators.join import members_join
+from ledgerlens.operators.join import MAX_BROADCAST_MEMBERS, join_then_aggregate, members_join
 from ledgerlens.operators.order import chronological, first_n, last_n, pivot_series, top_k
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import registry_addresses
@@ -100,32 +100,47 @@ def monthly_average_gas_price(tx: DataFrame) -> DataFrame:
     return agg.select("month", ratio("total", "n").alias("avg"))
 
 
-def monthly_contract_gas(tx: DataFrame, contracts: DataFrame) -> DataFrame:
+def monthly_contract_gas(tx: DataFrame, contracts: DataFrame,
+                         max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
     """Gas of transactions sent to listed contracts, per month.
 
-    Summed per (address, month) before the join, then the list is joined
-    with its multiplicity and summed again: same result as join-then-sum,
-    but the join never sees more than one row per (address, month).
+    A contract list of checked small size is broadcast and transactions are
+    matched map-side; a larger list meets per-(address, month) partial sums
+    instead of raw transactions. Either way the list's multiplicity counts.
     """
-    per_addr = sum_by(
-        tx.select("to_address", _tx_month(tx).alias("month"),
-                  strict_int(F.col("gas"), "bigint", "gas").alias("gas")),
-        ["to_address", "month"], "gas", "gas",
-    )
-    joined = members_join(per_addr, contracts.select("address"), "to_address", "address")
-    return sum_by(joined, "month", "gas", "gas")
+    facts = tx.select("to_address", _tx_month(tx).alias("month"),
+                      strict_int(F.col("gas"), "bigint", "gas").alias("gas"))
+    return join_then_aggregate(facts, contracts.select("address"), "to_address", "address",
+                               "month", {"gas": "gas"}, pre_keys=["month"],
+                               max_broadcast_rows=max_broadcast_rows)
 
 
-def average_contract_gas(tx: DataFrame, contracts: DataFrame) -> DataFrame:
+def average_contract_gas(tx: DataFrame, contracts: DataFrame,
+                         max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
     """Average gas (float text truncated to an integer) of transactions sent
     to listed contracts; one labelled row, none when nothing joins."""
-    per_addr = count_sum_by(
-        tx.select("to_address", truncate_to_long(to_double(F.col("gas"))).alias("gas")),
-        "to_address", "gas", n="n", total="gas",
+    facts = tx.select("to_address", truncate_to_long(to_double(F.col("gas"))).alias("gas"),
+                      F.lit(1).cast("bigint").alias("n"))
+    agg = join_then_aggregate(facts, contracts.select("address"), "to_address", "address",
+                              [], {"gas": "gas", "n": "n"}, max_broadcast_rows=max_broadcast_rows)
+    return agg.where(F.col("n") > 0).select(
+        F.lit(AVG_GAS_LABEL).alias("label"), ratio("gas", "n").alias("avg")
     )
+
+
+def gas_of_top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10) -> DataFrame:
+    """Q09 chained on Q04 in one pass over the transactions.
+
+    Value and gas are summed per address in the same aggregate; the top-k
+    contracts by value (list multiplicity kept, as in Q04) then carry their
+    gas along, and a repeated address adds its gas once per listing.
+    """
+    per_addr = tx.select(
+        "to_address", wei(F.col("value"), "value").alias("value"), to_double(F.col("gas")).alias("gas")
+    ).groupBy("to_address").agg(F.sum("value").alias("total"), F.sum("gas").alias("gas"))
     joined = members_join(per_addr, contracts.select("address"), "to_address", "address")
-    agg = joined.agg(F.sum("n").alias("_n"), F.sum("gas").alias("_gas")).where(F.col("_n") > 0)
-    return agg.select(F.lit(AVG_GAS_LABEL).alias("label"), ratio("_gas", "_n").alias("avg"))
+    top = top_k(joined.select(F.col("to_address").alias("address"), "total", "gas"), k, "total", "address")
+    return sum_by(top, "address", "gas", "gas")
 
 
 def gas_of_top_contracts(tx: DataFrame, top: DataFrame, bounded: bool = True) -> DataFrame:
@@ -162,33 +177,31 @@ def block_column_overhead(blocks: DataFrame) -> DataFrame:
 
 # --- scams (Q11, Q12) ---------------------------------------------------------------
 
-def scam_value_by_id(tx: DataFrame, registry: DataFrame) -> DataFrame:
-    per_addr = sum_by(
-        tx.select("to_address", wei(F.col("value"), "value").alias("value")),
-        "to_address", "value", "total",
-    )
+def scam_value_by_id(tx: DataFrame, registry: DataFrame,
+                     max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+    facts = tx.select("to_address", wei(F.col("value"), "value").alias("value"))
     members = registry_addresses(registry).select("address", "id")
-    joined = members_join(per_addr, members, "to_address", "address")
-    return sum_by(joined, "id", "total", "total")
+    return join_then_aggregate(facts, members, "to_address", "address", "id", {"total": "value"},
+                               max_broadcast_rows=max_broadcast_rows)
 
 
-def most_lucrative_scam(tx: DataFrame, registry: DataFrame, k: int = 1) -> DataFrame:
-    return top_k(scam_value_by_id(tx, registry), k, "total", "id")
+def most_lucrative_scam(tx: DataFrame, registry: DataFrame, k: int = 1,
+                        max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+    return top_k(scam_value_by_id(tx, registry, max_broadcast_rows), k, "total", "id")
 
 
-def scam_value_by_category_month(tx: DataFrame, registry: DataFrame) -> DataFrame:
-    per_addr = sum_by(
-        tx.select("to_address", _tx_month(tx).alias("month"),
-                  wei(F.col("value"), "value").alias("value")),
-        ["to_address", "month"], "value", "total",
-    )
+def scam_value_by_category_month(tx: DataFrame, registry: DataFrame,
+                                 max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+    facts = tx.select("to_address", _tx_month(tx).alias("month"),
+                      wei(F.col("value"), "value").alias("value"))
     members = (
         registry_addresses(registry)
         .where(is_truthy_text(F.col("category")))
         .select("address", "category")
     )
-    joined = members_join(per_addr, members, "to_address", "address")
-    return sum_by(joined, ["category", "month"], "total", "total")
+    return join_then_aggregate(facts, members, "to_address", "address", ["category", "month"],
+                               {"total": "value"}, pre_keys=["month"],
+                               max_broadcast_rows=max_broadcast_rows)
 
 
 # --- presentation series (Q13, Q14) -------------------------------------------------

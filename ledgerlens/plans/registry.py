@@ -88,9 +88,7 @@ def q_average_contract_gas(spark, d):
 
 
 def q_gas_of_top_contracts(spark, d):
-    tx = transactions(spark, d)
-    top = A.top_contracts_by_value(tx, contracts(spark, d))
-    return A.gas_of_top_contracts(tx, top, bounded=True)
+    return A.gas_of_top_contracts_by_value(transactions(spark, d), contracts(spark, d))
 
 
 def q_block_column_overhead(spark, d):

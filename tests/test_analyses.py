@@ -144,3 +144,22 @@ def test_q14_scam_series_pivot(tx, registry):
     p = A.scam_series_pivot(A.scam_value_by_category_month(tx, registry))
     assert p.columns == ["ym", "FakeICO", "Phishing", "Scamming"]
     assert [tuple(r) for r in p.collect()] == [("2015-09", Decimal(3), Decimal(12), None)]
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_join_strategies_agree(tx, tx_int_gas, contracts, registry, limit):
+    assert {r.month: r.gas for r in A.monthly_contract_gas(tx_int_gas, contracts, limit).collect()} == {
+        "08-2015": 84000}
+    assert [r.avg for r in A.average_contract_gas(tx, contracts, limit).collect()] == [21000.0]
+    assert {r.id: r.total for r in A.scam_value_by_id(tx, registry, limit).collect()} == {
+        1: Decimal(12), 2: Decimal(3), 3: Decimal(9)}
+    got = sorted((r.category, r.month, r.total)
+                 for r in A.scam_value_by_category_month(tx, registry, limit).collect())
+    assert got == [("Fake ICO", "09-2015", Decimal(3)), ("Phishing", "09-2015", Decimal(12))]
+
+
+def test_q09_single_pass_equals_chained(tx, contracts):
+    fused = {r.address: r.gas for r in A.gas_of_top_contracts_by_value(tx, contracts).collect()}
+    chained = {r.address: r.gas for r in
+               A.gas_of_top_contracts(tx, A.top_contracts_by_value(tx, contracts)).collect()}
+    assert fused == pytest.approx(chained)

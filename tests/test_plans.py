@@ -47,26 +47,41 @@ def test_topk_is_bounded(tx, contracts):
     assert "TakeOrderedAndProject" in plan(A.top_contracts_by_value(tx, contracts))
 
 
-def test_q07_aggregates_before_the_join(tx, contracts):
-    p = plan(A.monthly_contract_gas(tx, contracts))
+def _below_first_join(p: str) -> str:
+    tree = p.split("\n\n")[0].splitlines()
+    i = next(i for i, l in enumerate(tree) if "Join" in l)
+    return "\n".join(tree[i + 1:])
+
+
+def test_q07_large_list_aggregates_before_the_join(tx, contracts):
+    p = plan(A.monthly_contract_gas(tx, contracts, max_broadcast_rows=0))
     # partial + final per (address, month) below the join, then per month above it
     assert count("HashAggregate", p) == 4
-    tree = p.split("\n\n")[0]
-    join_line = next(i for i, l in enumerate(tree.splitlines()) if "Join" in l)
-    below = "\n".join(tree.splitlines()[join_line + 1:])
-    assert "HashAggregate" in below
+    assert "HashAggregate" in _below_first_join(p)
+
+
+def test_q07_small_list_is_broadcast_map_side(tx, contracts):
+    p = plan(A.monthly_contract_gas(tx, contracts))
+    assert "BroadcastHashJoin" in p
+    assert count("Exchange", p) == 1  # only the final aggregate shuffles
+    assert "HashAggregate" not in _below_first_join(p)
+
+
+def test_q09_single_scan(tx, contracts):
+    p = plan(A.gas_of_top_contracts_by_value(tx, contracts))
+    assert "TakeOrderedAndProject" in p or "TakeOrdered" in p
+    assert p.split("\n\n")[0].count("Scan ") == 2  # transactions once, contracts once
 
 
-def test_q09_broadcasts_the_bounded_list(tx, contracts):
+def test_q09_stored_list_broadcast(tx, contracts):
     top = A.top_contracts_by_value(tx, contracts)
     assert "BroadcastHashJoin" in plan(A.gas_of_top_contracts(tx, top))
 
 
-def test_scam_join_is_on_aggregated_transactions(tx, lines):
+def test_scam_join_strategies(tx, lines):
     reg = parse_registry(lines(FX.REGISTRY, partitions=0))
-    tree = plan(A.scam_value_by_id(tx, reg)).split("\n\n")[0]
-    join_line = next(i for i, l in enumerate(tree.splitlines()) if "Join" in l)
-    assert "HashAggregate" in "\n".join(tree.splitlines()[join_line + 1:])
+    assert "HashAggregate" in _below_first_join(plan(A.scam_value_by_id(tx, reg, max_broadcast_rows=0)))
+    assert "BroadcastHashJoin" in plan(A.scam_value_by_id(tx, reg))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="supplied tables missing")
