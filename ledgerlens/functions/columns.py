@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # optional sign, ASCII digits with single underscores between them).
 INT_TEXT_RE = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
+PLAIN_DIGITS_RE = r"^[0-9]+$"
 WEI = "decimal(38,0)"
 SECONDS_PER_DAY = 86400
 
@@ -33,8 +34,12 @@ def strict_int(c: Column, dtype: str = "bigint", what: str = "integer field") ->
     Fields other than the validity probe are parsed unguarded: a malformed
     value is a data error and must not be skipped silently.
     """
-    return F.when(is_int_text(c), _int_digits(c).cast(dtype)).otherwise(
-        F.raise_error(F.concat(F.lit(f"malformed {what}: "), F.coalesce(c, F.lit("null"))))
+    # Plain digits (the common case) cast directly; blanks, signs and
+    # underscores take the cleaning path; anything else stops the job.
+    return (
+        F.when(c.rlike(PLAIN_DIGITS_RE), c.cast(dtype))
+        .when(is_int_text(c), _int_digits(c).cast(dtype))
+        .otherwise(F.raise_error(F.concat(F.lit(f"malformed {what}: "), F.coalesce(c, F.lit("null")))))
     )
 
 

@@ -28,6 +28,7 @@ underscores, a header line per file.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -278,7 +279,11 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- staging: the mirror written once as text files, read like a real dump -------------
 
-MIRROR_VERSION = "1"
+# Staged text is keyed by this module's own source: any change to a builder
+# gives a new folder, so stale text is never read back.
+with open(__file__, "rb") as _src:
+    MIRROR_VERSION = hashlib.sha1(_src.read()).hexdigest()[:12]
+_STAGE_LOCK = threading.Lock()
 BUILDERS = {
     "transactions": transaction_lines,
     "contracts": contract_lines,
@@ -309,10 +314,11 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     digest = hashlib.sha1(f"{MIRROR_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
     path = f"{root}/ledgerlens-mirror/{digest}/{kind}"
-    if path not in _STAGED:
-        if not _exists(spark, f"{path}/_SUCCESS"):
-            BUILDERS[kind](spark, sf_dir).write.mode("overwrite").text(path)
-        _STAGED.add(path)
+    with _STAGE_LOCK:
+        if path not in _STAGED:
+            if not _exists(spark, f"{path}/_SUCCESS"):
+                BUILDERS[kind](spark, sf_dir).write.mode("overwrite").text(path)
+            _STAGED.add(path)
     return spark.read.text(path)
 
 

@@ -65,17 +65,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    as is. Only when it is unset (local tests) a scratch folder is created
+    and registered with the context (the setting itself is a core conf that
+    cannot be changed on a running session).
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     local = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.sparkContext.getCheckpointDir() or local
 
 
 def object_store_conf(

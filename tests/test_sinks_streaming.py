@@ -44,3 +44,14 @@ def test_streaming_monthly_stats_equal_batch(spark, lines, tmp_path):
     got = {r.month: (r.n, r.total) for r in spark.sql("SELECT * FROM ledger_monthly_test").collect()}
     want = {r.month: (r.n, r.total) for r in A.monthly_value_stats(parse_transactions(lines(FX.TX))).collect()}
     assert got == want
+
+
+def test_checkpoint_dir_is_taken_from_the_session(spark):
+    from ledgerlens.session import ensure_checkpoint_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    got = ensure_checkpoint_dir(spark)
+    if configured:
+        assert got == configured
+    else:
+        assert got and got == spark.sparkContext.getCheckpointDir()
