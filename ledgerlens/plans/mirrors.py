@@ -293,11 +293,17 @@ BUILDERS = {
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system it names."""
     try:
-        spark.read.text(path)
-        return True
-    except Exception:  # AnalysisException: path does not exist
-        return False
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # no JVM gateway (remote client): ask the reader instead
+        try:
+            spark.read.text(path)
+            return True
+        except Exception:
+            return False
 
 
 def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
