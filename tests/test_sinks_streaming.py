@@ -55,3 +55,17 @@ def test_checkpoint_dir_is_taken_from_the_session(spark):
         assert got == configured
     else:
         assert got and got == spark.sparkContext.getCheckpointDir()
+
+
+def test_command_line_runs_an_analysis_on_dump_files(spark, tmp_path):
+    from ledgerlens.__main__ import main
+
+    (tmp_path / "tx.csv").write_text("\n".join(FX.TX) + "\n")
+    (tmp_path / "contracts.csv").write_text("\n".join(FX.CONTRACTS) + "\n")
+    args = ["top_contracts_by_value", "--transactions", str(tmp_path / "tx.csv"),
+            "--contracts", str(tmp_path / "contracts.csv"), "--out", str(tmp_path / "out"),
+            "--run-id", "run_1"]
+    assert main(args) == 0
+    back = read_result(spark, str(tmp_path / "out" / "run_1" / "top_contracts_by_value"),
+                       schema="address string, total string").collect()
+    assert sorted((r.address, r.total) for r in back) == [("0xc1", "84155363699941767867374649")] * 2
