@@ -1,6 +1,6 @@
 """Run a named analysis on raw ledger dumps and write its result.
 
-    spark-submit -m ledgerlens top_contracts_by_value \\
+    spark-submit --py-files ledgerlens.zip ledgerlens/__main__.py top_contracts_by_value \\
         --transactions s3a://b/ledger/transactions.csv --contracts s3a://b/ledger/contracts.csv \\
         --out s3a://b/results --run-id run_01
 
