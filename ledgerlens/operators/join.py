@@ -5,7 +5,7 @@ listed twice contributes twice. Joins are inner joins, never semi-joins.
 
 Scale notes. Facts (transactions) never meet a member list row by row
 through a shuffle keyed by address: either the list is small, which is
-*checked* (a bounded ``limit(n + 1).count()``), and it is broadcast so facts
+*checked* (a distributed ``count()`` of the list), and it is broadcast so facts
 are matched map-side; or facts are first summed per address (map-side
 combine), so the join sees one row per address, a hot address cannot skew
 it, and AQE may still broadcast from measured sizes or split skewed
@@ -40,8 +40,10 @@ MAX_BROADCAST_MEMBERS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size check with a bounded cost: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Size check: one distributed count of the list (each task counts its
+    split, only the per-task counts move). A ``limit`` would funnel up to
+    ``max_rows`` rows per partition into a single task instead."""
+    return df.count() <= max_rows
 
 
 def join_then_aggregate(
