@@ -8,8 +8,9 @@ from ledgerlens.operators.aggregate import (  # noqa: F401
     sum_by,
 )
 from ledgerlens.operators.join import (  # noqa: F401
-    broadcast_bounded,
-    member_multiplicity,
+    MAX_BROADCAST_MEMBERS,
+    has_at_most,
+    join_then_aggregate,
     members_join,
 )
 from ledgerlens.operators.order import (  # noqa: F401

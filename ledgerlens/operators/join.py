@@ -9,7 +9,7 @@ through a shuffle keyed by address: either the list is small, which is
 are matched map-side; or facts are first summed per address (map-side
 combine), so the join sees one row per address, a hot address cannot skew
 it, and AQE may still broadcast from measured sizes or split skewed
-partitions. :func:`broadcast_bounded` is for frames bounded by a ``limit``.
+partitions.
 """
 
 from __future__ import annotations
@@ -29,11 +29,6 @@ def members_join(facts: DataFrame, members: DataFrame, fact_key: str, member_key
     return joined.drop("_member_key")
 
 
-def member_multiplicity(members: DataFrame, key: str, name: str = "mult") -> DataFrame:
-    """How many times each key is listed (one row per distinct key)."""
-    return members.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-
-
 # Member lists up to this many rows are broadcast (about 100 bytes a row:
 # address plus payload, i.e. well under 100 MB per executor).
 MAX_BROADCAST_MEMBERS = 1_000_000
@@ -74,12 +69,3 @@ def join_then_aggregate(
     partial = facts.groupBy(fact_key, *pre_keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     joined = members_join(partial, members, fact_key, member_key)
     return joined.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums])
-
-
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a frame whose row count is bounded by construction.
-
-    The ``limit`` makes the bound part of the plan itself, so the broadcast
-    side can never grow with the data.
-    """
-    return F.broadcast(df.limit(max_rows))
