@@ -277,18 +277,36 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def popular_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored popular-contract list: Q04's result on the mirror, written as
+    headerless ``address,total`` lines with the total in e-notation (the
+    value is informational; readers only use the address)."""
+    from ledgerlens.plans.analyses import top_contracts_by_value
+    from ledgerlens.sources.ledger import parse_contracts, parse_transactions
+
+    top = top_contracts_by_value(
+        parse_transactions(staged_lines(spark, sf_dir, "transactions")),
+        parse_contracts(staged_lines(spark, sf_dir, "contracts")),
+    )
+    return top.select(
+        F.concat(F.col("address"), F.lit(","),
+                 F.format_string("%.5E", F.col("total").cast("double"))).alias("value")
+    )
+
+
 # --- staging: the mirror written once as text files, read like a real dump -------------
 
 # Staged text is keyed by this module's own source: any change to a builder
 # gives a new folder, so stale text is never read back.
 with open(__file__, "rb") as _src:
     MIRROR_VERSION = hashlib.sha1(_src.read()).hexdigest()[:12]
-_STAGE_LOCK = threading.Lock()
+_STAGE_LOCK = threading.RLock()  # re-entrant: a builder may stage its own inputs
 BUILDERS = {
     "transactions": transaction_lines,
     "contracts": contract_lines,
     "blocks": block_lines,
     "registry": registry_lines,
+    "popular": popular_lines,
 }
 
 
@@ -306,6 +324,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def stage_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Folder of the staged ``kind`` text for ``sf_dir`` under the shared
+    checkpoint folder."""
+    from ledgerlens.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    digest = hashlib.sha1(f"{MIRROR_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    return f"{root}/ledgerlens-mirror/{digest}/{kind}"
+
+
 def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Raw ledger text of ``kind`` for the tables in ``sf_dir``, as text files.
 
@@ -315,11 +343,7 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     themselves are read: splittable, many tasks, no lineage back to the
     builder. A folder counts only once its ``_SUCCESS`` marker is written.
     """
-    from ledgerlens.session import ensure_checkpoint_dir
-
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    digest = hashlib.sha1(f"{MIRROR_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
-    path = f"{root}/ledgerlens-mirror/{digest}/{kind}"
+    path = stage_folder(spark, sf_dir, kind)
     with _STAGE_LOCK:
         if path not in _STAGED:
             if not _exists(spark, f"{path}/_SUCCESS"):

@@ -110,6 +110,12 @@ ORACLE: dict[str, str] = {
     "gas_of_top_contracts": _with(TX, CON, TOTALS)
     + "SELECT top.address AS address, cast(sum(q * 21000) AS DOUBLE) AS gas "
     "FROM tx JOIN top ON tx.k = top.k GROUP BY top.address",
+    "gas_of_popular_contracts": _with(TX, CON, TOTALS)
+    + "SELECT top.address AS address, cast(sum(q * 21000) AS DOUBLE) AS gas "
+    "FROM tx JOIN top ON tx.k = top.k GROUP BY top.address",
+    "streaming_monthly_value_stats": _with(TX)
+    + f"SELECT month, count(*) AS n, {_wei_text(SUM_WEI)} AS total, "
+    f"cast({SUM_WEI} * {WEI} AS DOUBLE) / count(*) AS avg FROM tx GROUP BY month",
     "block_column_overhead": _with(BLK)
     + "SELECT 'Total unnecessary data consumed: ' AS label, "
     "cast(sum(CASE WHEN o_orderstatus = 'P' THEN 319 ELSE 384 END) AS DOUBLE) AS bytes "

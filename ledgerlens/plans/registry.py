@@ -21,6 +21,7 @@ from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import (
     parse_blocks,
     parse_contracts,
+    parse_popular_contracts,
     parse_registry,
     parse_transactions,
     registry_addresses,
@@ -91,6 +92,11 @@ def q_gas_of_top_contracts(spark, d):
     return A.gas_of_top_contracts_by_value(transactions(spark, d), contracts(spark, d))
 
 
+def q_gas_of_popular_contracts(spark, d):
+    popular = parse_popular_contracts(M.staged_lines(spark, d, "popular"))
+    return A.gas_of_top_contracts(transactions(spark, d), popular, bounded=False)
+
+
 def q_block_column_overhead(spark, d):
     return A.block_column_overhead(blocks(spark, d))
 
@@ -173,6 +179,23 @@ def q_scam_value_by_id(spark, d):
     return render_exact(A.scam_value_by_id(transactions(spark, d), registry(spark, d)))
 
 
+def q_streaming_monthly_value_stats(spark, d):
+    """Q01-Q03 as a Structured Streaming job over the staged transaction
+    files: run to completion (available-now trigger), then read its sink."""
+    import uuid
+
+    from ledgerlens.session import ensure_checkpoint_dir
+    from ledgerlens.streaming import start_monthly_stats
+
+    M.staged_lines(spark, d, "transactions")  # make sure the files exist
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    folder = M.stage_folder(spark, d, "transactions")
+    name = f"ledger_monthly_{uuid.uuid4().hex[:12]}"
+    q = start_monthly_stats(spark, folder, name, checkpoint=f"{root}/streams/{name}", available_now=True)
+    q.awaitTermination()
+    return render_exact(spark.table(name))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_transaction_count": q_monthly_transaction_count,
     "monthly_total_value": q_monthly_total_value,
@@ -183,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_contract_gas": q_monthly_contract_gas,
     "average_contract_gas": q_average_contract_gas,
     "gas_of_top_contracts": q_gas_of_top_contracts,
+    "gas_of_popular_contracts": q_gas_of_popular_contracts,
     "block_column_overhead": q_block_column_overhead,
     "most_lucrative_scam": q_most_lucrative_scam,
     "scam_value_by_category_month": q_scam_value_by_category_month,
@@ -201,4 +225,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "block_bytes": q_block_bytes,
     "contract_value_totals": q_contract_value_totals,
     "scam_value_by_id": q_scam_value_by_id,
+    "streaming_monthly_value_stats": q_streaming_monthly_value_stats,
 }
