@@ -69,13 +69,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--run-id", default=None, help="run folder name (default: from the clock)")
     ap.add_argument("--format", default="json", choices=["json", "parquet", "csv"])
     ap.add_argument("--master", default=None)
+    ap.add_argument("--cluster", action="store_true", help="large-cluster sizing (see session.py)")
     args = ap.parse_args(argv)
 
     inputs, fn = ANALYSES[args.analysis]
     missing = [i for i in inputs if not getattr(args, i)]
     if missing:
         ap.error(f"{args.analysis} needs --{' --'.join(missing)}")
-    spark = build_session(args.master, app_name=f"ledgerlens-{args.analysis}")
+    spark = build_session(args.master, app_name=f"ledgerlens-{args.analysis}", cluster=args.cluster)
     frames = [READERS[i](spark, getattr(args, i)) for i in inputs]
     path = write_result(fn(*frames), args.out, args.analysis, args.run_id or run_folder(), args.format)
     print(path)

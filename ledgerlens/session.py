@@ -28,17 +28,38 @@ CORE_CONF = {
 }
 
 
+# Starting points for a large cluster (100 TB of text, ~1000 executors).
+#  * Text splits of 256 MB keep tasks at a few seconds each and the task count
+#    near 400k for 100 TB; parsing is linear, so splits never need to fit in
+#    memory as a whole.
+#  * Shuffles start wide (AQE coalesces small partitions to ~128 MB and splits
+#    skewed ones), which keeps every reducer's share bounded when one key holds
+#    a third of the rows before partial aggregation.
+#  * Broadcasts chosen by AQE stay below 64 MB measured size.
+#  * Speculation re-runs stragglers; lost executors are recomputed from lineage.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.speculation": "true",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ledgerlens",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
-    """Create (or reuse) a session with the settings the analyses expect."""
+    """Create (or reuse) a session with the settings the analyses expect;
+    ``cluster=True`` adds the large-cluster sizing above."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in CORE_CONF.items():
+    for k, v in {**CORE_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -163,3 +163,17 @@ def test_q09_single_pass_equals_chained(tx, contracts):
     chained = {r.address: r.gas for r in
                A.gas_of_top_contracts(tx, A.top_contracts_by_value(tx, contracts)).collect()}
     assert fused == pytest.approx(chained)
+
+
+def test_empty_to_address_is_a_live_key(tx, lines):
+    creation = parse_contracts(lines([",0x60,0xab,False,False,1"]))
+    got = [(r.address, r.total) for r in A.contract_value_totals(tx, creation).collect()]
+    assert got == [("", Decimal(0))]  # t3, the contract-creation row
+
+
+def test_registry_entry_without_addresses_vanishes(tx, lines):
+    reg = parse_registry(lines([
+        '{"success":true,"result":{"a.example":{"id":7,"category":"Phishing","addresses":null},'
+        '"b.example":{"id":8,"category":"Phishing","addresses":["0xs1"]}}}'
+    ]))
+    assert {r.id: r.total for r in A.scam_value_by_id(tx, reg).collect()} == {8: Decimal(3)}
