@@ -24,7 +24,6 @@ from ledgerlens.functions.columns import (
 )
 from ledgerlens.operators.aggregate import (
     count_sum_by,
-    global_average,
     global_sum,
     ratio,
     sum_by,

@@ -35,12 +35,6 @@ def _fields(lines: DataFrame) -> DataFrame:
     return lines.select(F.split(F.col("value"), ",", -1).alias("f"))
 
 
-def _named(fields: DataFrame, layout: Layout) -> DataFrame:
-    return fields.select(
-        *[F.get(F.col("f"), i).alias(name) for i, name in enumerate(layout.columns)]
-    )
-
-
 # Probe patterns (Python ``int()`` text; the exact flag words).
 INT_FIELD = r"\s*[+-]?[0-9]+(?:_[0-9]+)*\s*"
 FLAG_FIELD = r"True|False"
