@@ -69,8 +69,12 @@ def spread(df: DataFrame, *unique_key: str) -> DataFrame:
     added at scale. The hash key is unique per row, so no value can be hot,
     and the placement is deterministic on task retry.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # remote client session: leave the input as it is
+        return df
+    if splits < slots:
         return df.repartition(slots, *unique_key)
     return df
 

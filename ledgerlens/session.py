@@ -93,12 +93,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote client session: no context to register with
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     local = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    if sc is None:
+        return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
 
 
 def object_store_conf(
