@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegerType, LongType
 
 from ledgerlens.functions.columns import (
     hex_byte_count,
@@ -40,8 +41,31 @@ SERIES_CATEGORIES = ("FakeICO", "Phishing", "Scamming")
 EXCLUDED_SERIES_LABEL = "Scamming"
 
 
+# Inputs are either the raw readers' string frames or the typed staging
+# (sources.typed): typed columns are used as they are, text is parsed strictly.
+
 def _tx_month(tx: DataFrame) -> F.Column:
-    return month_label(strict_int(F.col("block_timestamp"), "bigint", "block_timestamp"))
+    if "month" in tx.columns:
+        return F.col("month")
+    return month_label(_long(tx, "block_timestamp"))
+
+
+def _wei(df: DataFrame, name: str) -> F.Column:
+    if isinstance(df.schema[name].dataType, DecimalType):
+        return F.col(name)
+    return wei(F.col(name), name)
+
+
+def _long(df: DataFrame, name: str) -> F.Column:
+    if isinstance(df.schema[name].dataType, (LongType, IntegerType)):
+        return F.col(name).cast("bigint")
+    return strict_int(F.col(name), "bigint", name)
+
+
+def _registry_rows(registry: DataFrame) -> DataFrame:
+    if "address" in registry.columns:  # already one row per (address, entry)
+        return registry
+    return registry_addresses(registry)
 
 
 # --- time analysis (Q01-Q03): one scan, one exchange --------------------------------
@@ -49,7 +73,7 @@ def _tx_month(tx: DataFrame) -> F.Column:
 def monthly_value_stats(tx: DataFrame) -> DataFrame:
     """month, n (transactions), total (wei), avg (wei) in a single aggregate."""
     agg = count_sum_by(
-        tx.select(_tx_month(tx).alias("month"), wei(F.col("value"), "value").alias("value")),
+        tx.select(_tx_month(tx).alias("month"), _wei(tx, "value").alias("value")),
         "month", "value", n="n", total="total",
     )
     return agg.select("month", "n", "total", ratio("total", "n").alias("avg"))
@@ -73,7 +97,7 @@ def contract_value_totals(tx: DataFrame, contracts: DataFrame) -> DataFrame:
     """Value received per listed contract (aggregate first, then join the
     list with its multiplicity: a contract listed twice yields two rows)."""
     totals = sum_by(
-        tx.select("to_address", wei(F.col("value"), "value").alias("value")),
+        tx.select("to_address", _wei(tx, "value").alias("value")),
         "to_address", "value", "total",
     )
     joined = members_join(totals, contracts.select("address"), "to_address", "address")
@@ -85,7 +109,7 @@ def top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10) ->
 
 
 def top_miners_by_block_size(blocks: DataFrame, k: int = 10) -> DataFrame:
-    sizes = blocks.select("miner", strict_int(F.col("size"), "bigint", "size").alias("size"))
+    sizes = blocks.select("miner", _long(blocks, "size").alias("size"))
     return top_k(sum_by(sizes, "miner", "size", "total_size"), k, "total_size", "miner")
 
 
@@ -93,7 +117,7 @@ def top_miners_by_block_size(blocks: DataFrame, k: int = 10) -> DataFrame:
 
 def monthly_average_gas_price(tx: DataFrame) -> DataFrame:
     agg = count_sum_by(
-        tx.select(_tx_month(tx).alias("month"), wei(F.col("gas_price"), "gas_price").alias("p")),
+        tx.select(_tx_month(tx).alias("month"), _wei(tx, "gas_price").alias("p")),
         "month", "p", n="n", total="total",
     )
     return agg.select("month", ratio("total", "n").alias("avg"))
@@ -135,7 +159,7 @@ def gas_of_top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int =
     gas along, and a repeated address adds its gas once per listing.
     """
     per_addr = tx.select(
-        "to_address", wei(F.col("value"), "value").alias("value"), to_double(F.col("gas")).alias("gas")
+        "to_address", _wei(tx, "value").alias("value"), to_double(F.col("gas")).alias("gas")
     ).groupBy("to_address").agg(F.sum("value").alias("total"), F.sum("gas").alias("gas"))
     joined = members_join(per_addr, contracts.select("address"), "to_address", "address")
     top = top_k(joined.select(F.col("to_address").alias("address"), "total", "gas"), k, "total", "address")
@@ -178,8 +202,8 @@ def block_column_overhead(blocks: DataFrame) -> DataFrame:
 
 def scam_value_by_id(tx: DataFrame, registry: DataFrame,
                      max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
-    facts = tx.select("to_address", wei(F.col("value"), "value").alias("value"))
-    members = registry_addresses(registry).select("address", "id")
+    facts = tx.select("to_address", _wei(tx, "value").alias("value"))
+    members = _registry_rows(registry).select("address", "id")
     return join_then_aggregate(facts, members, "to_address", "address", "id", {"total": "value"},
                                max_broadcast_rows=max_broadcast_rows)
 
@@ -192,9 +216,9 @@ def most_lucrative_scam(tx: DataFrame, registry: DataFrame, k: int = 1,
 def scam_value_by_category_month(tx: DataFrame, registry: DataFrame,
                                  max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
     facts = tx.select("to_address", _tx_month(tx).alias("month"),
-                      wei(F.col("value"), "value").alias("value"))
+                      _wei(tx, "value").alias("value"))
     members = (
-        registry_addresses(registry)
+        _registry_rows(registry)
         .where(is_truthy_text(F.col("category")))
         .select("address", "category")
     )

@@ -357,3 +357,29 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 _STAGED: set[str] = set()  # folders known complete in this process
+
+
+def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Validated, typed rows of ``kind`` as Parquet (see ``sources.typed``).
+
+    Parsed once from the staged text with the ordinary readers and written
+    under the shared checkpoint folder; analyses read only the columns they
+    use from it.
+    """
+    from ledgerlens.sources import ledger as L
+    from ledgerlens.sources import typed as T
+
+    parse, typed = {
+        "transactions": (L.parse_transactions, T.typed_transactions),
+        "contracts": (L.parse_contracts, T.typed_contracts),
+        "blocks": (L.parse_blocks, T.typed_blocks),
+        "registry": (L.parse_registry, T.typed_registry),
+    }[kind]
+    path = stage_folder(spark, sf_dir, f"{kind}.typed")
+    with _STAGE_LOCK:
+        if path not in _STAGED:
+            if not _exists(spark, f"{path}/_SUCCESS"):
+                typed(parse(staged_lines(spark, sf_dir, kind))).write.mode("overwrite").parquet(path)
+            _STAGED.add(path)
+    return spark.read.parquet(path)
+

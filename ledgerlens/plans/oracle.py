@@ -113,6 +113,9 @@ ORACLE: dict[str, str] = {
     "gas_of_popular_contracts": _with(TX, CON, TOTALS)
     + "SELECT top.address AS address, cast(sum(q * 21000) AS DOUBLE) AS gas "
     "FROM tx JOIN top ON tx.k = top.k GROUP BY top.address",
+    "text_monthly_value_stats": _with(TX)
+    + f"SELECT month, count(*) AS n, {_wei_text(SUM_WEI)} AS total, "
+    f"cast({SUM_WEI} * {WEI} AS DOUBLE) / count(*) AS avg FROM tx GROUP BY month",
     "streaming_monthly_value_stats": _with(TX)
     + f"SELECT month, count(*) AS n, {_wei_text(SUM_WEI)} AS total, "
     f"cast({SUM_WEI} * {WEI} AS DOUBLE) / count(*) AS avg FROM tx GROUP BY month",

@@ -19,8 +19,6 @@ from ledgerlens.plans import analyses as A
 from ledgerlens.plans import mirrors as M
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import (
-    parse_blocks,
-    parse_contracts,
     parse_popular_contracts,
     parse_registry,
     parse_transactions,
@@ -39,19 +37,25 @@ def render_exact(df: DataFrame) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_transactions(M.staged_lines(spark, sf_dir, "transactions"))
+    return M.staged_table(spark, sf_dir, "transactions")
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_contracts(M.staged_lines(spark, sf_dir, "contracts"))
+    return M.staged_table(spark, sf_dir, "contracts")
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_blocks(M.staged_lines(spark, sf_dir, "blocks"))
+    return M.staged_table(spark, sf_dir, "blocks")
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_registry(M.staged_lines(spark, sf_dir, "registry"))
+    """Registry rows, one per (address, entry)."""
+    return M.staged_table(spark, sf_dir, "registry")
+
+
+def text_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same transactions straight from the raw text (string columns)."""
+    return parse_transactions(M.staged_lines(spark, sf_dir, "transactions"))
 
 
 # --- Q01-Q14 ---------------------------------------------------------------------------
@@ -159,7 +163,8 @@ def q_block_validity(spark, d):
 
 
 def q_registry_addresses(spark, d):
-    return registry_addresses(registry(spark, d)).select("address", "id", "category", "status")
+    entries = parse_registry(M.staged_lines(spark, d, "registry"))
+    return registry_addresses(entries).select("address", "id", "category", "status")
 
 
 def q_block_bytes(spark, d):
@@ -179,6 +184,11 @@ def q_scam_value_by_id(spark, d):
     return render_exact(A.scam_value_by_id(transactions(spark, d), registry(spark, d)))
 
 
+def q_text_monthly_value_stats(spark, d):
+    """Q01-Q03 in one aggregate, straight from the raw transaction text."""
+    return render_exact(A.monthly_value_stats(text_transactions(spark, d)))
+
+
 def q_streaming_monthly_value_stats(spark, d):
     """Q01-Q03 as a Structured Streaming job over the staged transaction
     files: run to completion (available-now trigger), then read its sink."""
@@ -225,5 +235,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "block_bytes": q_block_bytes,
     "contract_value_totals": q_contract_value_totals,
     "scam_value_by_id": q_scam_value_by_id,
+    "text_monthly_value_stats": q_text_monthly_value_stats,
     "streaming_monthly_value_stats": q_streaming_monthly_value_stats,
 }

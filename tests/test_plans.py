@@ -93,6 +93,13 @@ def test_no_python_in_any_plan(spark, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="supplied tables missing")
-def test_text_scan_reads_only_the_line(spark):
-    p = plan(QUERIES["monthly_transaction_count"](spark, SF))
-    assert "ReadSchema: struct<value:string>" in p
+def test_typed_staging_prunes_columns(spark):
+    assert "ReadSchema: struct<month:string>" in plan(QUERIES["monthly_transaction_count"](spark, SF))
+    p = plan(QUERIES["top_contracts_by_value"](spark, SF))
+    assert "ReadSchema: struct<to_address:string,value:decimal(38,0)>" in p
+    assert "ReadSchema: struct<address:string>" in p
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="supplied tables missing")
+def test_text_path_reads_only_the_line(spark):
+    assert "ReadSchema: struct<value:string>" in plan(QUERIES["text_monthly_value_stats"](spark, SF))
