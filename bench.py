@@ -7,12 +7,14 @@ Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 
 from __future__ import annotations
 
+import io
 import json
 import os
 import re
 import statistics
 import sys
 import time
+from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -66,10 +68,23 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         return round(statistics.median(samples), 4), n
 
+    def plan_nodes(name: str) -> dict[str, int]:
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            QUERIES[name](spark, sf_dir).explain(mode="formatted")
+        tree = buf.getvalue().split("\n\n")[0]
+        return {
+            "scans": tree.count("Scan "),
+            "shuffles": sum(1 for line in tree.splitlines() if line.strip(" +-:|").startswith("Exchange")),
+            "broadcasts": tree.count("BroadcastExchange"),
+        }
+
     timings: dict[str, float] = {}
     rows: dict[str, int] = {}
+    nodes: dict[str, dict[str, int]] = {}
     for name in HEADLINE:
         timings[name], rows[name] = median_run(name)
+        nodes[name] = plan_nodes(name)
     # Not in the headline sum: Q01-Q03 parsed straight from the raw text.
     text_path, _ = median_run("text_monthly_value_stats")
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -81,6 +96,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": timings,
                 "rows": rows,
+                "plan_nodes": nodes,
                 "staging_sec": staging,
                 "text_path_q01_q03_sec": text_path,
                 "sf": float(m.group(1)) if m else sf_dir,
