@@ -29,12 +29,12 @@ from __future__ import annotations
 
 import hashlib
 import threading
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import BLOCKS, CONTRACTS, TRANSACTIONS
+from ledgerlens.sinks import path_exists, publish
 
 # Fixed values of the mirror.
 ADDRESS_WIDTH = 40
@@ -315,56 +315,6 @@ BUILDERS = {
 }
 
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop file system and path object for ``path`` (None without a JVM gateway)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-    except Exception:  # remote client session
-        return None
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, on whatever file system it names."""
-    fs = _fs(spark, path)
-    if fs is not None:
-        return bool(fs[0].exists(fs[1]))
-    try:
-        spark.read.text(path)
-        return True
-    except Exception:
-        return False
-
-
-def _publish(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> None:
-    """Write ``df`` to ``path`` so that readers only ever see a complete folder.
-
-    The data goes to a private temporary folder next to the target, which is
-    then renamed into place (atomic on HDFS and local disks). If another job
-    published the same folder first, its copy is kept and ours is removed.
-    """
-    fs = _fs(spark, path)
-    if fs is None:
-        df.write.mode("overwrite").format(fmt).save(path)
-        return
-    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").format(fmt).save(tmp)
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fsys, target, src = fs[0], fs[1], Path(tmp)
-    fsys.mkdirs(target.getParent())
-    # Renaming onto an existing folder would move ours *into* it: check first,
-    # and clean up if another job won the race in between.
-    renamed = not fsys.exists(target) and fsys.rename(src, target)
-    nested = Path(target, src.getName())
-    if fsys.exists(nested):
-        fsys.delete(nested, True)
-    if not renamed:
-        fsys.delete(src, True)
-    if not fsys.exists(Path(target, "_SUCCESS")):
-        raise RuntimeError(f"could not publish staged folder {path}")
-
-
 def stage_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Folder of the staged ``kind`` text for ``sf_dir`` under the shared
     checkpoint folder."""
@@ -387,8 +337,8 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     path = stage_folder(spark, sf_dir, kind)
     with _STAGE_LOCK:
         if path not in _STAGED:
-            if not _exists(spark, f"{path}/_SUCCESS"):
-                _publish(spark, BUILDERS[kind](spark, sf_dir), path, "text")
+            if not path_exists(spark, f"{path}/_SUCCESS"):
+                publish(spark, BUILDERS[kind](spark, sf_dir), path, "text")
             _STAGED.add(path)
     return spark.read.text(path)
 
@@ -415,8 +365,8 @@ def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     path = stage_folder(spark, sf_dir, f"{kind}.typed")
     with _STAGE_LOCK:
         if path not in _STAGED:
-            if not _exists(spark, f"{path}/_SUCCESS"):
-                _publish(spark, typed(parse(staged_lines(spark, sf_dir, kind))), path, "parquet")
+            if not path_exists(spark, f"{path}/_SUCCESS"):
+                publish(spark, typed(parse(staged_lines(spark, sf_dir, kind))), path, "parquet")
             _STAGED.add(path)
     return spark.read.parquet(path)
 

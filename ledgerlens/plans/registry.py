@@ -12,11 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from ledgerlens.functions.columns import hex_byte_count
 from ledgerlens.plans import analyses as A
 from ledgerlens.plans import mirrors as M
+from ledgerlens.sinks import render_exact
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import (
     parse_popular_contracts,
@@ -27,15 +27,6 @@ from ledgerlens.sources.ledger import (
 )
 
 
-def render_exact(df: DataFrame) -> DataFrame:
-    """Decimal columns -> plain integer text (26-digit sums do not fit a long)."""
-    cols = [
-        F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    return df.select(*cols)
-
-
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.staged_table(spark, sf_dir, "transactions")
 

@@ -2,16 +2,77 @@
 
 A result is written as a dataset (JSON lines by default) under
 ``<base>/<run_id>/<name>``. The run folder replaces a wall-clock stamp in the
-path; it must not contain ':' (not allowed in Hadoop paths).
+path; it must not contain ':' (not allowed in Hadoop paths). Staged data is
+published atomically (:func:`publish`), so readers never see half a folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from ledgerlens.plans.registry import render_exact
+
+def render_exact(df: DataFrame) -> DataFrame:
+    """Decimal columns -> plain integer text (26-digit sums do not fit a long)."""
+    cols = [
+        F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    return df.select(*cols)
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path object for ``path`` (None without a JVM gateway)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    except Exception:  # remote client session
+        return None
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system it names."""
+    fs = _fs(spark, path)
+    if fs is not None:
+        return bool(fs[0].exists(fs[1]))
+    try:
+        spark.read.text(path)
+        return True
+    except Exception:
+        return False
+
+
+def publish(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> None:
+    """Write ``df`` to ``path`` so that readers only ever see a complete folder.
+
+    The data goes to a private temporary folder next to the target, which is
+    then renamed into place (atomic on HDFS and local disks). If another job
+    published the same folder first, its copy is kept and ours is removed.
+    """
+    fs = _fs(spark, path)
+    if fs is None:
+        df.write.mode("overwrite").format(fmt).save(path)
+        return
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").format(fmt).save(tmp)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fsys, target, src = fs[0], fs[1], Path(tmp)
+    fsys.mkdirs(target.getParent())
+    # Renaming onto an existing folder would move ours *into* it: check first,
+    # and clean up if another job won the race in between.
+    renamed = not fsys.exists(target) and fsys.rename(src, target)
+    nested = Path(target, src.getName())
+    if fsys.exists(nested):
+        fsys.delete(nested, True)
+    if not renamed:
+        fsys.delete(src, True)
+    if not fsys.exists(Path(target, "_SUCCESS")):
+        raise RuntimeError(f"could not publish staged folder {path}")
 
 
 def run_folder(now: datetime | None = None, prefix: str = "run") -> str:

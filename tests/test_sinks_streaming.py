@@ -72,13 +72,13 @@ def test_command_line_runs_an_analysis_on_dump_files(spark, tmp_path):
 
 
 def test_staged_folder_is_published_once(spark, tmp_path):
-    from ledgerlens.plans.mirrors import _exists, _publish
+    from ledgerlens.sinks import path_exists, publish
 
     target = str(tmp_path / "stage" / "kind")
-    _publish(spark, spark.range(5).selectExpr("cast(id as string) AS value"), target, "text")
-    assert _exists(spark, target + "/_SUCCESS")
+    publish(spark, spark.range(5).selectExpr("cast(id as string) AS value"), target, "text")
+    assert path_exists(spark, target + "/_SUCCESS")
     # a second writer (lost race) leaves the first copy intact and nothing behind
-    _publish(spark, spark.range(7).selectExpr("cast(id as string) AS value"), target, "text")
+    publish(spark, spark.range(7).selectExpr("cast(id as string) AS value"), target, "text")
     assert spark.read.text(target).count() == 5
     assert not [p for p in os.listdir(tmp_path / "stage") if ".tmp-" in p]
     assert not [p for p in os.listdir(target) if ".tmp-" in p]
