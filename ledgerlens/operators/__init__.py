@@ -11,6 +11,7 @@ from ledgerlens.operators.join import (  # noqa: F401
     MAX_BROADCAST_MEMBERS,
     has_at_most,
     join_then_aggregate,
+    keep_members,
     members_join,
 )
 from ledgerlens.operators.order import (  # noqa: F401

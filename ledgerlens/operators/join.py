@@ -69,3 +69,24 @@ def join_then_aggregate(
     partial = facts.groupBy(fact_key, *pre_keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     joined = members_join(partial, members, fact_key, member_key)
     return joined.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums])
+
+
+def keep_members(
+    facts: DataFrame,
+    members: DataFrame,
+    fact_key: str,
+    member_key: str,
+    max_broadcast_rows: int = MAX_BROADCAST_MEMBERS,
+) -> DataFrame:
+    """Drop facts whose key is not listed, before they are aggregated.
+
+    A pre-filter only: a left-semi join never multiplies rows, so sums per
+    key are unchanged and the list's multiplicity is applied later by an
+    ordinary join. Done map-side with a broadcast when the list is checked to
+    be small; a larger list leaves the facts as they are (the later join
+    filters them after aggregation).
+    """
+    if not has_at_most(members, max_broadcast_rows):
+        return facts
+    m = F.broadcast(members.select(F.col(member_key).alias("_member_key")))
+    return facts.join(m, facts[fact_key] == m["_member_key"], "left_semi")

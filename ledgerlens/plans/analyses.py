@@ -29,7 +29,12 @@ from ledgerlens.operators.aggregate import (
     ratio,
     sum_by,
 )
-from ledgerlens.operators.join import MAX_BROADCAST_MEMBERS, join_then_aggregate, members_join
+from ledgerlens.operators.join import (
+    MAX_BROADCAST_MEMBERS,
+    join_then_aggregate,
+    keep_members,
+    members_join,
+)
 from ledgerlens.operators.order import chronological, first_n, last_n, pivot_series, top_k
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import registry_addresses
@@ -93,19 +98,24 @@ def monthly_average_value(tx: DataFrame) -> DataFrame:
 
 # --- popular services and miners (Q04, Q05) ---------------------------------------
 
-def contract_value_totals(tx: DataFrame, contracts: DataFrame) -> DataFrame:
+def contract_value_totals(tx: DataFrame, contracts: DataFrame,
+                          max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
     """Value received per listed contract (aggregate first, then join the
-    list with its multiplicity: a contract listed twice yields two rows)."""
-    totals = sum_by(
-        tx.select("to_address", _wei(tx, "value").alias("value")),
-        "to_address", "value", "total",
-    )
+    list with its multiplicity: a contract listed twice yields two rows).
+
+    A contract list of checked small size first drops transactions to other
+    addresses map-side, so only listed addresses reach the aggregate.
+    """
+    facts = keep_members(tx.select("to_address", _wei(tx, "value").alias("value")),
+                         contracts.select("address"), "to_address", "address", max_broadcast_rows)
+    totals = sum_by(facts, "to_address", "value", "total")
     joined = members_join(totals, contracts.select("address"), "to_address", "address")
     return joined.select(F.col("to_address").alias("address"), "total")
 
 
-def top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10) -> DataFrame:
-    return top_k(contract_value_totals(tx, contracts), k, "total", "address")
+def top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10,
+                           max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+    return top_k(contract_value_totals(tx, contracts, max_broadcast_rows), k, "total", "address")
 
 
 def top_miners_by_block_size(blocks: DataFrame, k: int = 10) -> DataFrame:
@@ -151,16 +161,19 @@ def average_contract_gas(tx: DataFrame, contracts: DataFrame,
     )
 
 
-def gas_of_top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10) -> DataFrame:
+def gas_of_top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10,
+                                  max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
     """Q09 chained on Q04 in one pass over the transactions.
 
     Value and gas are summed per address in the same aggregate; the top-k
     contracts by value (list multiplicity kept, as in Q04) then carry their
     gas along, and a repeated address adds its gas once per listing.
     """
-    per_addr = tx.select(
-        "to_address", _wei(tx, "value").alias("value"), to_double(F.col("gas")).alias("gas")
-    ).groupBy("to_address").agg(F.sum("value").alias("total"), F.sum("gas").alias("gas"))
+    facts = keep_members(
+        tx.select("to_address", _wei(tx, "value").alias("value"), to_double(F.col("gas")).alias("gas")),
+        contracts.select("address"), "to_address", "address", max_broadcast_rows,
+    )
+    per_addr = facts.groupBy("to_address").agg(F.sum("value").alias("total"), F.sum("gas").alias("gas"))
     joined = members_join(per_addr, contracts.select("address"), "to_address", "address")
     top = top_k(joined.select(F.col("to_address").alias("address"), "total", "gas"), k, "total", "address")
     return sum_by(top, "address", "gas", "gas")

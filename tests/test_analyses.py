@@ -177,3 +177,11 @@ def test_registry_entry_without_addresses_vanishes(tx, lines):
         '"b.example":{"id":8,"category":"Phishing","addresses":["0xs1"]}}}'
     ]))
     assert {r.id: r.total for r in A.scam_value_by_id(tx, reg).collect()} == {8: Decimal(3)}
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_q04_prefilter_keeps_totals_and_multiplicity(tx, contracts, limit):
+    got = [(r.address, r.total) for r in A.top_contracts_by_value(tx, contracts, 10, limit).collect()]
+    assert got == [("0xc1", Decimal(BIG + 8)), ("0xc1", Decimal(BIG + 8))]
+    fused = {r.address: r.gas for r in A.gas_of_top_contracts_by_value(tx, contracts, 10, limit).collect()}
+    assert fused == pytest.approx({"0xc1": 2 * (21000 + 21000 + 21000.9)})
