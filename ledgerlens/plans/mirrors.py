@@ -28,6 +28,7 @@ underscores, a header line per file.
 from __future__ import annotations
 
 import hashlib
+import os
 import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -301,10 +302,20 @@ def popular_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- staging: the mirror written once as text files, read like a real dump -------------
 
-# Staged text is keyed by this module's own source: any change to a builder
-# gives a new folder, so stale text is never read back.
-with open(__file__, "rb") as _src:
-    MIRROR_VERSION = hashlib.sha1(_src.read()).hexdigest()[:12]
+def _package_digest() -> str:
+    """Hash of the package's own source: the staged text and the typed
+    staging depend on the builders, readers and column functions, so any
+    change to them gives new folders and stale data is never read back."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for folder, _, files in sorted(os.walk(root)):
+        for name in sorted(f for f in files if f.endswith(".py")):
+            with open(os.path.join(folder, name), "rb") as src:
+                h.update(name.encode() + src.read())
+    return h.hexdigest()[:12]
+
+
+MIRROR_VERSION = _package_digest()
 _STAGE_LOCK = threading.RLock()  # re-entrant: a builder may stage its own inputs
 BUILDERS = {
     "transactions": transaction_lines,
