@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from ledgerlens.plans import analyses as A
-from ledgerlens.sources import parse_contracts, parse_transactions
+from ledgerlens.sources import parse_contracts, parse_registry, parse_transactions
 
 ADDRS = ["0xa", "0xb", "0xc", ""]
 
@@ -78,3 +78,40 @@ def test_contract_totals_keep_multiplicity(spark, rows, listed):
         if a in seen:
             want[(a, Decimal(totals[a]))] += 1
     assert got == want
+
+
+SCAMS = ["0xa", "0xb", "0xc", "0xd"]
+entry = st.fixed_dictionaries(
+    {
+        "id": st.integers(min_value=1, max_value=50),
+        "category": st.sampled_from(["Phishing", "Scamming", "Fake ICO", ""]),
+        "addresses": st.lists(st.sampled_from(SCAMS), max_size=3),
+    }
+)
+
+
+@SETTINGS
+@given(rows=st.lists(row, min_size=1, max_size=30), entries=st.lists(entry, max_size=6),
+       limit=st.sampled_from([0, 1000]))
+def test_scam_analyses_match_spec(spark, rows, entries, limit):
+    import json
+
+    rows = [dict(r, to=SCAMS[i % len(SCAMS)] if i % 2 else r["to"]) for i, r in enumerate(rows)]
+    doc = {"success": True, "result": {f"e{i}.example": e for i, e in enumerate(entries)}}
+    tx = parse_transactions(spark.createDataFrame([(line(r),) for r in rows], "value string"))
+    reg = parse_registry(spark.createDataFrame([(json.dumps(doc),)], "value string"))
+    by_id = {r.id: r.total for r in A.scam_value_by_id(tx, reg, limit).collect()}
+    by_cat = {(r.category, r.month): r.total for r in A.scam_value_by_category_month(tx, reg, limit).collect()}
+    want_id, want_cat = defaultdict(int), defaultdict(int)
+    hit_id, hit_cat = set(), set()
+    for e in entries:
+        for a in e["addresses"]:
+            for r in rows:
+                if keep(r) and r["to"] == a:
+                    want_id[e["id"]] += r["value"]
+                    hit_id.add(e["id"])
+                    if e["category"]:
+                        want_cat[(e["category"], month(r["ts"]))] += r["value"]
+                        hit_cat.add((e["category"], month(r["ts"])))
+    assert by_id == {k: Decimal(want_id[k]) for k in hit_id}
+    assert by_cat == {k: Decimal(want_cat[k]) for k in hit_cat}

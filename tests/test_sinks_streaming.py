@@ -82,3 +82,19 @@ def test_staged_folder_is_published_once(spark, tmp_path):
     assert spark.read.text(target).count() == 5
     assert not [p for p in os.listdir(tmp_path / "stage") if ".tmp-" in p]
     assert not [p for p in os.listdir(target) if ".tmp-" in p]
+
+
+def test_streaming_resumes_from_its_checkpoint(spark, lines, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    ckpt = str(tmp_path / "ckpt")
+    (src / "part-1.csv").write_text("\n".join(FX.TX[:4]) + "\n")
+    q = start_monthly_stats(spark, str(src), "ledger_resume_a", checkpoint=ckpt, available_now=True)
+    q.awaitTermination(120)
+    first = {r.month: r.n for r in spark.sql("SELECT * FROM ledger_resume_a").collect()}
+    assert first == {"08-2015": 2, "09-2015": 1}
+    (src / "part-2.csv").write_text("\n".join(FX.TX[4:]) + "\n")
+    q = start_monthly_stats(spark, str(src), "ledger_resume_b", checkpoint=ckpt, available_now=True)
+    q.awaitTermination(120)
+    second = {r.month: r.n for r in spark.sql("SELECT * FROM ledger_resume_b").collect()}
+    assert second == {"08-2015": 3, "09-2015": 3}  # state carried over, part-1 not re-read
