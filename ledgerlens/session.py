@@ -99,6 +99,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    master = spark.conf.get("spark.master", "") or ""
+    if not master.startswith("local"):
+        # A machine-local folder is invisible to other executors (and lost
+        # with its machine): on a cluster the shared folder must be named.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster")
     local = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is None:
         return local
