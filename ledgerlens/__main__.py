@@ -6,6 +6,12 @@
 
 Each analysis names the dumps it needs; results are written by the executors
 (JSON lines by default) under ``<out>/<run-id>/<analysis>``.
+
+``stage`` parses the given dumps once into typed Parquet under ``<out>/<dump>``;
+later runs with ``--typed`` read those folders and prune columns:
+
+    python -m ledgerlens stage --transactions .../transactions.csv --out s3a://b/staged
+    python -m ledgerlens monthly_total_value --typed --transactions s3a://b/staged/transactions --out ...
 """
 
 from __future__ import annotations
@@ -15,7 +21,8 @@ import sys
 
 from ledgerlens.plans import analyses as A
 from ledgerlens.session import build_session
-from ledgerlens.sinks import run_folder, write_result
+from ledgerlens.sinks import publish, run_folder, write_result
+from ledgerlens.sources import typed as T
 from ledgerlens.sources import (
     read_blocks,
     read_contracts,
@@ -51,6 +58,13 @@ ANALYSES = {
     ),
 }
 
+TYPED = {
+    "transactions": lambda spark, path: T.typed_transactions(read_transactions(spark, path)),
+    "contracts": lambda spark, path: T.typed_contracts(read_contracts(spark, path)),
+    "blocks": lambda spark, path: T.typed_blocks(read_blocks(spark, path)),
+    "registry": lambda spark, path: T.typed_registry(read_registry(spark, path)),
+}
+
 READERS = {
     "transactions": read_transactions,
     "contracts": read_contracts,
@@ -62,7 +76,7 @@ READERS = {
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="ledgerlens", description=__doc__.splitlines()[0])
-    ap.add_argument("analysis", choices=sorted(ANALYSES))
+    ap.add_argument("analysis", choices=sorted(ANALYSES) + ["stage"])
     for name in READERS:
         ap.add_argument(f"--{name}", help=f"path of the {name} dump")
     ap.add_argument("--out", required=True, help="result folder (any Hadoop path)")
@@ -70,14 +84,30 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="json", choices=["json", "parquet", "csv"])
     ap.add_argument("--master", default=None)
     ap.add_argument("--cluster", action="store_true", help="large-cluster sizing (see session.py)")
+    ap.add_argument("--typed", action="store_true", help="inputs are folders written by `stage`")
     args = ap.parse_args(argv)
 
+    if args.analysis == "stage":
+        given = [i for i in TYPED if getattr(args, i)]
+        if not given:
+            ap.error("stage needs at least one of --" + " --".join(TYPED))
+        spark = build_session(args.master, app_name="ledgerlens-stage", cluster=args.cluster)
+        for name in given:
+            path = f"{args.out.rstrip('/')}/{name}"
+            publish(spark, TYPED[name](spark, getattr(args, name)), path, "parquet")
+            print(path)
+        return 0
+
     inputs, fn = ANALYSES[args.analysis]
     missing = [i for i in inputs if not getattr(args, i)]
     if missing:
         ap.error(f"{args.analysis} needs --{' --'.join(missing)}")
     spark = build_session(args.master, app_name=f"ledgerlens-{args.analysis}", cluster=args.cluster)
-    frames = [READERS[i](spark, getattr(args, i)) for i in inputs]
+    if args.typed:
+        frames = [spark.read.parquet(getattr(args, i)) if i in TYPED else READERS[i](spark, getattr(args, i))
+                  for i in inputs]
+    else:
+        frames = [READERS[i](spark, getattr(args, i)) for i in inputs]
     path = write_result(fn(*frames), args.out, args.analysis, args.run_id or run_folder(), args.format)
     print(path)
     return 0

@@ -98,3 +98,17 @@ def test_streaming_resumes_from_its_checkpoint(spark, lines, tmp_path):
     q.awaitTermination(120)
     second = {r.month: r.n for r in spark.sql("SELECT * FROM ledger_resume_b").collect()}
     assert second == {"08-2015": 3, "09-2015": 3}  # state carried over, part-1 not re-read
+
+
+def test_command_line_stage_then_typed_run(spark, tmp_path):
+    from ledgerlens.__main__ import main
+
+    (tmp_path / "tx.csv").write_text("\n".join(FX.TX) + "\n")
+    (tmp_path / "reg.json").write_text("\n".join(FX.REGISTRY) + "\n")
+    assert main(["stage", "--transactions", str(tmp_path / "tx.csv"), "--registry", str(tmp_path / "reg.json"),
+                 "--out", str(tmp_path / "staged")]) == 0
+    assert main(["most_lucrative_scam", "--typed", "--transactions", str(tmp_path / "staged" / "transactions"),
+                 "--registry", str(tmp_path / "staged" / "registry"), "--out", str(tmp_path / "out"),
+                 "--run-id", "r"]) == 0
+    back = read_result(spark, str(tmp_path / "out" / "r" / "most_lucrative_scam"), schema="id long, total string")
+    assert [(r.id, r.total) for r in back.collect()] == [(1, "12")]
