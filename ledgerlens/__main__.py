@@ -44,7 +44,7 @@ ANALYSES = {
     "average_contract_gas": (("transactions", "contracts"), A.average_contract_gas),
     "gas_of_top_contracts": (("transactions", "contracts"), A.gas_of_top_contracts_by_value),
     "gas_of_popular_contracts": (
-        ("transactions", "popular"), lambda tx, pop: A.gas_of_top_contracts(tx, pop, bounded=False)
+        ("transactions", "popular"), lambda tx, pop: A.gas_of_top_contracts(tx, pop)
     ),
     "block_column_overhead": (("blocks",), A.block_column_overhead),
     "most_lucrative_scam": (("transactions", "registry"), A.most_lucrative_scam),

@@ -31,6 +31,7 @@ from ledgerlens.operators.aggregate import (
 )
 from ledgerlens.operators.join import (
     MAX_BROADCAST_MEMBERS,
+    has_at_most,
     join_then_aggregate,
     keep_members,
     members_join,
@@ -179,15 +180,20 @@ def gas_of_top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int =
     return sum_by(top, "address", "gas", "gas")
 
 
-def gas_of_top_contracts(tx: DataFrame, top: DataFrame, bounded: bool = True) -> DataFrame:
+def gas_of_top_contracts(tx: DataFrame, top: DataFrame, bounded: bool | None = None,
+                         max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
     """Total gas (as float, like the source) per address of a popular list.
 
     ``top`` has an ``address`` column (Q04's result or a stored popular
-    list); repeated addresses multiply. When the list is bounded by
-    construction (a top-k) it is broadcast, so transactions are filtered
-    map-side and only <= k keys reach the exchange.
+    list); repeated addresses multiply. A list that is bounded by
+    construction (``bounded=True``: a top-k result) or checked to be small
+    (``bounded=None``, the default) is broadcast, so transactions are matched
+    map-side and only the listed keys reach the exchange; ``bounded=False``
+    leaves the join strategy to AQE.
     """
     members = top.select("address")
+    if bounded is None:
+        bounded = has_at_most(members, max_broadcast_rows)
     if bounded:
         members = F.broadcast(members)
     t = tx.select("to_address", to_double(F.col("gas")).alias("gas"))

@@ -89,7 +89,7 @@ def q_gas_of_top_contracts(spark, d):
 
 def q_gas_of_popular_contracts(spark, d):
     popular = parse_popular_contracts(M.staged_lines(spark, d, "popular"))
-    return A.gas_of_top_contracts(transactions(spark, d), popular, bounded=False)
+    return A.gas_of_top_contracts(transactions(spark, d), popular)
 
 
 def q_block_column_overhead(spark, d):
