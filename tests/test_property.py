@@ -115,3 +115,46 @@ def test_scam_analyses_match_spec(spark, rows, entries, limit):
                         hit_cat.add((e["category"], month(r["ts"])))
     assert by_id == {k: Decimal(want_id[k]) for k in hit_id}
     assert by_cat == {k: Decimal(want_cat[k]) for k in hit_cat}
+
+
+block_row = st.fixed_dictionaries(
+    {
+        "number": st.sampled_from(["1", " 2 ", "3_0", "0x4", "5.0"]),
+        "miner": st.sampled_from(["0xm1", "0xm2", "0xm3"]),
+        "size": st.integers(min_value=0, max_value=10**9),
+        "hashes": st.lists(st.sampled_from(["", "0x", "0x" + "ab" * 32, "0x" + "cd" * 256]), min_size=5, max_size=5),
+        "arity": st.sampled_from([19, 19, 19, 18, 20]),
+    }
+)
+
+
+def block_line(b):
+    f = [b["number"], "0xh", "0xp", "0x42", *b["hashes"], b["miner"], "1", "1", str(b["size"]), "0x",
+         "8000000", "21000", "1438918233", "1", ""]
+    f = f[: b["arity"]] + ["x"] * max(0, b["arity"] - 19)
+    return ",".join(f)
+
+
+@SETTINGS
+@given(blocks=st.lists(block_row, min_size=0, max_size=30))
+def test_block_analyses_match_spec(spark, blocks):
+    from ledgerlens.sources import parse_blocks
+
+    df = parse_blocks(spark.createDataFrame([(block_line(b),) for b in blocks], "value string"))
+    kept = []
+    for b in blocks:
+        try:
+            int(b["number"])
+        except ValueError:
+            continue
+        if b["arity"] == 19:
+            kept.append(b)
+    sizes = defaultdict(int)
+    for b in kept:
+        sizes[b["miner"]] += b["size"]
+    want_top = sorted(sizes.items(), key=lambda kv: (-kv[1], kv[0]))[:10]
+    got_top = [(r.miner, r.total_size) for r in A.top_miners_by_block_size(df).collect()]
+    assert got_top == want_top
+    got = [r.bytes for r in A.block_column_overhead(df).collect()]
+    want = sum((len(h) - 2) / 2 for b in kept for h in b["hashes"])
+    assert got == ([want] if kept else [])
