@@ -1,7 +1,7 @@
 """Benchmark the named analyses on the supplied tables.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3; one warm-up run first).
+BENCH_RUNS (timed runs per query, default 5; one warm-up run first).
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 """
 
@@ -44,7 +44,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(
         f"local[{cpus}]",
         app_name="ledgerlens-bench",
