@@ -204,6 +204,7 @@ def gas_of_top_contracts(tx: DataFrame, top: DataFrame, bounded: bool | None = N
 # --- data overhead (Q10) ------------------------------------------------------------
 
 def block_column_bytes(blocks: DataFrame) -> F.Column:
+    """Bytes held by the removable columns of one block row."""
     total = None
     for c in REMOVABLE_BLOCK_COLUMNS:
         b = hex_byte_count(F.col(c))

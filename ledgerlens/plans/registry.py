@@ -1,9 +1,10 @@
 """Named analyses wired to the supplied tables: (spark, sf_dir) -> DataFrame.
 
-Each entry builds the raw ledger text from the tables (see
-:mod:`ledgerlens.plans.mirrors`), parses it with the ordinary readers and runs
-one analysis. Exact wei decimals are rendered as integer text so results
-compare digit for digit.
+Spark derives raw ledger text from the tables (see
+:mod:`ledgerlens.plans.mirrors`), the ordinary readers validate it, and the
+validated rows are staged once as typed Parquet; each entry then runs one
+analysis on that staging (a few entries read the raw text itself). Exact wei
+decimals are rendered as integer text so results compare digit for digit.
 """
 
 from __future__ import annotations
@@ -13,11 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import hex_byte_count
 from ledgerlens.plans import analyses as A
 from ledgerlens.plans import mirrors as M
 from ledgerlens.sinks import render_exact
-from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import (
     parse_popular_contracts,
     parse_registry,
@@ -160,11 +159,7 @@ def q_registry_addresses(spark, d):
 
 def q_block_bytes(spark, d):
     b = blocks(spark, d)
-    total = None
-    for c in REMOVABLE_BLOCK_COLUMNS:
-        x = hex_byte_count(F.col(c))
-        total = x if total is None else total + x
-    return b.select(F.col("number").cast("bigint").alias("number"), total.alias("bytes"))
+    return b.select(F.col("number").cast("bigint").alias("number"), A.block_column_bytes(b).alias("bytes"))
 
 
 def q_contract_value_totals(spark, d):
