@@ -93,8 +93,19 @@ def pct(x: Column) -> Column:
     return F.round(x * F.lit(100)).cast("int")
 
 
-def day_seconds(ts: Column) -> Column:
-    return F.unix_date(F.to_date(ts)).cast("bigint") * F.lit(86400)
+def day_seconds(df: DataFrame, name: str) -> Column:
+    """Epoch seconds of the calendar day of a naive timestamp column.
+
+    Read as ``timestamp_ntz`` (the default for naive Parquet timestamps) the
+    day is zone-free; read as a zoned timestamp the stored instant is taken
+    in UTC, so the session time zone never shifts a day.
+    """
+    ts = F.col(name)
+    if dict(df.dtypes)[name] == "timestamp_ntz":
+        days = F.unix_date(F.to_date(ts)).cast("bigint")
+    else:
+        days = F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("bigint")
+    return days * F.lit(86400)
 
 
 def _header(spark: SparkSession, columns) -> DataFrame:
@@ -147,7 +158,7 @@ def transaction_lines(spark: SparkSession, sf_dir: str, header: bool = True) ->
         (F.expr("l_c div l_q") * F.lit(GAS_PRICE_SCALE)).cast("string"),     # gas_price
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"),
                F.lit(QUOTED_INPUT)).otherwise(F.lit("0x")),                  # input
-        (day_seconds(F.col("l_shipdate"))
+        (day_seconds(li, "l_shipdate")
          + F.col("l_linenumber").cast("bigint") * F.lit(3600)).cast("string"),  # block_timestamp
         F.lit(""), F.lit(""), F.lit("0"),
     ]
@@ -226,7 +237,7 @@ def block_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
         F.when(prio == "1-URGENT", F.lit(POOL_TAG)).otherwise(F.lit("0x")),  # extra_data
         F.lit("8000000"),                                      # gas_limit
         F.lit("21000"),                                        # gas_used
-        day_seconds(F.col("o_orderdate")).cast("string"),      # timestamp
+        day_seconds(o, "o_orderdate").cast("string"),          # timestamp
         F.lit("1"),                                            # transaction_count
         F.lit(""),                                             # base_fee_per_gas
     ]
