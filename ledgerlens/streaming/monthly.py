@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.plans.analyses import monthly_value_stats
 from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.sinks import publish, render_exact
 from ledgerlens.sources.ledger import parse_transactions
 
 
@@ -55,3 +56,36 @@ def start_monthly_stats(
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def start_monthly_stats_to_files(
+    spark: SparkSession,
+    path: str,
+    output: str,
+    query_name: str,
+    checkpoint: str | None = None,
+    available_now: bool = False,
+    fmt: str = "json",
+) -> StreamingQuery:
+    """Like :func:`start_monthly_stats`, writing every epoch's complete result
+    to ``<output>/epoch=<id>`` (published atomically, exact wei as text).
+
+    A replayed epoch after a failure finds its folder already published and
+    leaves it as it is; readers take the highest epoch.
+    """
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
+
+    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
+        publish(batch.sparkSession, render_exact(batch), f"{output.rstrip('/')}/epoch={epoch_id}", fmt)
+
+    w = (
+        monthly_stats_stream(spark, path)
+        .writeStream.queryName(query_name)
+        .outputMode("complete")
+        .option("checkpointLocation", ckpt)
+        .foreachBatch(write_epoch)
+    )
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
+

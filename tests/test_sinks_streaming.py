@@ -112,3 +112,20 @@ def test_command_line_stage_then_typed_run(spark, tmp_path):
                  "--run-id", "r"]) == 0
     back = read_result(spark, str(tmp_path / "out" / "r" / "most_lucrative_scam"), schema="id long, total string")
     assert [(r.id, r.total) for r in back.collect()] == [(1, "12")]
+
+
+def test_streaming_to_files_publishes_each_epoch(spark, lines, tmp_path):
+    from ledgerlens.streaming import start_monthly_stats_to_files
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "part-1.csv").write_text("\n".join(FX.TX) + "\n")
+    out = tmp_path / "out"
+    q = start_monthly_stats_to_files(spark, str(src), str(out), "ledger_files_test",
+                                     checkpoint=str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination(120)
+    epochs = sorted(p for p in os.listdir(out) if p.startswith("epoch="))
+    assert epochs
+    latest = read_result(spark, str(out / epochs[-1]), schema="month string, n long, total string, avg double")
+    assert {r.month: (r.n, r.total) for r in latest.collect()} == {
+        "08-2015": (3, "84155363699941767867374649"), "09-2015": (3, "12")}
