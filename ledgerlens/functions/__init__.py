@@ -2,7 +2,6 @@ from ledgerlens.functions.columns import (  # noqa: F401
     INT_TEXT_RE,
     WEI,
     epoch_day,
-    flag_text,
     flag_to_bool,
     hex_byte_count,
     is_int_text,
@@ -15,5 +14,4 @@ from ledgerlens.functions.columns import (  # noqa: F401
     to_double,
     truncate_to_long,
     wei,
-    wei_text,
 )

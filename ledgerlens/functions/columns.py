@@ -96,15 +96,6 @@ def is_truthy_text(c: Column) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
-def flag_text(c: Column) -> Column:
-    """Probe of a ``True``/``False`` text flag (case-sensitive)."""
-    return F.coalesce(c.isin("True", "False"), F.lit(False))
-
-
 def flag_to_bool(c: Column) -> Column:
+    """A validated ``True``/``False`` text flag as a boolean."""
     return c == F.lit("True")
-
-
-def wei_text(c: Column) -> Column:
-    """Render a wei decimal as plain integer text (no exponent, no scale)."""
-    return c.cast("string")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import month_label, strict_int, wei
+from ledgerlens.functions.columns import flag_to_bool, month_label, strict_int, wei
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import registry_addresses
 
@@ -38,7 +38,7 @@ def typed_transactions(tx: DataFrame) -> DataFrame:
 def typed_contracts(contracts: DataFrame) -> DataFrame:
     return contracts.select(
         "address",
-        (F.col("is_erc20") == F.lit("True")).alias("is_erc20"),
+        flag_to_bool(F.col("is_erc20")).alias("is_erc20"),
         "is_erc721",
         "block_number",
     )
