@@ -357,12 +357,26 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     builder. A folder counts only once its ``_SUCCESS`` marker is written.
     """
     path = stage_folder(spark, sf_dir, kind)
-    with _STAGE_LOCK:
-        if path not in _STAGED:
-            if not path_exists(spark, f"{path}/_SUCCESS"):
-                publish(spark, BUILDERS[kind](spark, sf_dir), path, "text")
-            _STAGED.add(path)
-    return spark.read.text(path)
+    return _staged(spark, path, lambda: publish(spark, BUILDERS[kind](spark, sf_dir), path, "text"),
+                   lambda: spark.read.text(path))
+
+
+def _staged(spark: SparkSession, path: str, build, read) -> DataFrame:
+    """Read a staged folder, building it first when it is not (or no longer)
+    complete; a folder removed behind this process's back is built again."""
+    for attempt in (0, 1):
+        with _STAGE_LOCK:
+            if path not in _STAGED:
+                if not path_exists(spark, f"{path}/_SUCCESS"):
+                    build()
+                _STAGED.add(path)
+        try:
+            return read()
+        except Exception:
+            _STAGED.discard(path)
+            if attempt:
+                raise
+    raise AssertionError("unreachable")
 
 
 _STAGED: set[str] = set()  # folders known complete in this process
@@ -385,10 +399,9 @@ def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         "registry": (L.parse_registry, T.typed_registry),
     }[kind]
     path = stage_folder(spark, sf_dir, f"{kind}.typed")
-    with _STAGE_LOCK:
-        if path not in _STAGED:
-            if not path_exists(spark, f"{path}/_SUCCESS"):
-                publish(spark, typed(parse(staged_lines(spark, sf_dir, kind))), path, "parquet")
-            _STAGED.add(path)
-    return spark.read.parquet(path)
+    return _staged(
+        spark, path,
+        lambda: publish(spark, typed(parse(staged_lines(spark, sf_dir, kind))), path, "parquet"),
+        lambda: spark.read.parquet(path),
+    )
 
