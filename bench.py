@@ -82,9 +82,13 @@ def main() -> None:
     timings: dict[str, float] = {}
     rows: dict[str, int] = {}
     nodes: dict[str, dict[str, int]] = {}
+    errors: dict[str, str] = {}
     for name in HEADLINE:
-        timings[name], rows[name] = median_run(name)
-        nodes[name] = plan_nodes(name)
+        try:
+            timings[name], rows[name] = median_run(name)
+            nodes[name] = plan_nodes(name)
+        except Exception as exc:  # keep measuring the others; report the failure
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
     # Not in the headline sum: Q01-Q03 parsed straight from the raw text.
     text_path, _ = median_run("text_monthly_value_stats")
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -102,10 +106,13 @@ def main() -> None:
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "runs": runs,
+                "errors": errors,
             }
         )
     )
     spark.stop()
+    if errors:
+        sys.exit(1)
 
 
 if __name__ == "__main__":
