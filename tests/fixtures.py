@@ -57,7 +57,7 @@ def block(number, miner, size, sha3_uncles=H32, arity=19):
     return ",".join(fields[:arity])
 
 
-# Twelve miners; m01 and m02 tie for the tenth place with m03 ... (see test).
+# Twelve miners; m01 and m02 tie at 500 bytes for ninth place (address breaks the tie).
 BLOCKS = [BLOCK_HEADER] + [
     block(1, "0xm01", 500), block(2, "0xm02", 500),
     block(3, "0xm03", 900), block(4, "0xm04", 800), block(5, "0xm05", 700),
