@@ -28,8 +28,8 @@ underscores, a header line per file.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -317,12 +317,16 @@ def _package_digest() -> str:
     """Hash of the package's own source: the staged text and the typed
     staging depend on the builders, readers and column functions, so any
     change to them gives new folders and stale data is never read back."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
-    for folder, _, files in sorted(os.walk(root)):
-        for name in sorted(f for f in files if f.endswith(".py")):
-            with open(os.path.join(folder, name), "rb") as src:
-                h.update(name.encode() + src.read())
+
+    def walk(node, prefix: str) -> None:  # works in a folder and inside a zip
+        for child in sorted(node.iterdir(), key=lambda c: c.name):
+            if child.is_dir():
+                walk(child, f"{prefix}{child.name}/")
+            elif child.name.endswith(".py"):
+                h.update(f"{prefix}{child.name}".encode() + child.read_bytes())
+
+    walk(resources.files("ledgerlens"), "")
     return h.hexdigest()[:12]
 
 
