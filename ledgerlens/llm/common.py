@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +21,34 @@ LOWER = bytes(range(256)).lower()
 WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in LOWER)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that the
+    functions given to Spark can be loaded there from any working directory."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(root):  # else the package itself runs from a shipped archive
+        target = os.path.join(tempfile.mkdtemp(prefix="ledgerlens-"), "ledgerlens.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        file = os.path.join(folder, name)
+                        archive.write(file, os.path.join("ledgerlens", os.path.relpath(file, root)))
+        context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

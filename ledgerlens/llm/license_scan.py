@@ -22,7 +22,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WORDS, text_of
+from .common import WORDS, map_arrow, text_of
 from .license_rules import BASE_PHRASES, RULES
 
 
@@ -172,7 +172,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     picked = docs.select(id_col, text_of(text_col).alias("__text"))
     id_type = picked.schema[id_col].dataType.simpleString()
-    return picked.mapInArrow(
+    return map_arrow(
+        picked,
         run,
         f"`{id_col}` {id_type}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, detections array<struct<label:string,start:bigint,words:bigint,priority:int>>",
