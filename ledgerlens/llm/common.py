@@ -110,29 +110,55 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240607))
-#: A random odd-free 64-bit value per byte value, and the base of the rolling sums.
+#: A random odd 64-bit value per byte value, and the base of the rolling sums.
 BYTE_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(max(n, 1), np.uint64(base), np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)[:n]
+    """base**0 .. base**(n-1) modulo 2**64; kept while of ordinary size."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1 << 20), np.uint64(base), np.uint64)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        if n <= 1 << 23:
+            _POWERS[base] = have
+    return have[:n]
+
+
+def rolling_sums(flat: np.ndarray) -> np.ndarray:
+    """Sums of value(byte) * base**place over the bytes before each place."""
+    sums = np.empty(len(flat) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(BYTE_VALUES[flat] * powers(len(flat)), out=sums[1:])
+    return sums
 
 
-def word_hashes(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all rows, in order, and each row's first
-    word index (length rows + 1). ``blank[b]``: byte ``b`` separates words.
+def span_hashes(flat: np.ndarray, starts: np.ndarray, stops: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the byte strings ``flat[starts:stops]``: the sum of
+    value(byte) * base**place, made independent of where it stands, mixed."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    sums = rolling_sums(flat) if sums is None else sums
+    hashes = (sums[stops] - sums[starts]) * powers(len(flat), _BASE_INVERSE)[starts]
+    return mix64(hashes + (stops - starts).astype(np.uint64))
 
-    A word's hash is the sum of value(byte) * base**place over its bytes, made
-    independent of where it stands and then mixed; all in array operations.
+
+def word_hashes(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray, places: bool = False) -> tuple:
+    """64-bit hashes of the words of all rows, in order, and each row's first
+    word index (length rows + 1); with ``places`` also where words start and
+    stop. ``blank[b]``: byte ``b`` separates words. All in array operations.
     """
     n = len(flat)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        none = np.empty(0, np.int64)
+        out = np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return (*out, none, none) if places else out
     inside = ~blank[flat]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -146,11 +172,8 @@ def word_hashes(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> tup
     last[ends] = inside[ends]
     starts = np.flatnonzero(first)
     stops = np.flatnonzero(last) + 1
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(BYTE_VALUES[flat] * powers(n), out=sums[1:])
-    hashes = (sums[stops] - sums[starts]) * powers(n, _BASE_INVERSE)[starts]
-    return mix64(hashes + (stops - starts).astype(np.uint64)), np.searchsorted(starts, offsets).astype(np.int64)
+    out = span_hashes(flat, starts, stops), np.searchsorted(starts, offsets).astype(np.int64)
+    return (*out, starts, stops) if places else out
 
 
 def blank_table(table_: bytes | None = None) -> np.ndarray:

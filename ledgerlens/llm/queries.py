@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .license_scan import license_scan
+from .toxicity import toxicity
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
