@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .toxicity import toxicity
 
@@ -15,13 +16,27 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op7_exact_dedup": op7_exact_dedup,
     "op9_toxicity": op9_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_exact_dedup": """
+        SELECT doc_id,
+               max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+               count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents
+    """,
+}

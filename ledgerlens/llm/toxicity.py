@@ -193,7 +193,7 @@ def fit(
     k = len(keys)
     rng = np.random.default_rng(11)
     model = Model(keys, math.log(pos / neg), np.zeros(k), rng.normal(0, 0.02, (k, factors)))
-    positive = math.sqrt(neg / pos) if neg > pos else 1.0
+    positive = min(8.0, max(1.0, neg / pos))  # both classes weigh alike, within reason
     shards = stored(train.repartition(trainers, "shard"), "toxicity-shards")
     for turn in range(rounds):
         parts = _round(shards, model, epochs, rate, l2, positive, turn)
