@@ -10,6 +10,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .toxicity import toxicity
+from .warc import warc_round_trip
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +25,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
@@ -39,4 +45,22 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keep_id FROM pages
+        ), b AS (
+            SELECT *, array_to_string(list_transform(range(0, 40), lambda i:
+                lpad(bin(strpos('0123456789abcdef', substr(sha1(html), i + 1, 1)) - 1), 4, '0')), '') AS bits
+            FROM p
+        )
+        SELECT page_id,
+               CAST(strlen(html) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + 16 * CAST(substr(bits, i * 5 + 1, 1) AS INT) + 8 * CAST(substr(bits, i * 5 + 2, 1) AS INT)
+                   + 4 * CAST(substr(bits, i * 5 + 3, 1) AS INT) + 2 * CAST(substr(bits, i * 5 + 4, 1) AS INT)
+                   + CAST(substr(bits, i * 5 + 5, 1) AS INT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = keep_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> keep_id THEN keep_id END AS refers_to
+        FROM b
+    """,
 }
