@@ -53,6 +53,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file is on this machine (the same on all)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_of(column: str = "text") -> Column:
     """The text as bytes; null counts as empty. Arrow hands it over uncopied."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

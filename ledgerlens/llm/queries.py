@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import table, tokenizer_path
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
+from .packing import best_fit_packing
 from .toxicity import toxicity
 from .warc import warc_round_trip
 
@@ -21,6 +22,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +37,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
