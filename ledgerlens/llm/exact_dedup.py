@@ -175,7 +175,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = _entries(docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t")).select("id", F.xxhash64("t").alias("key"), F.sha2("t", 256).alias("sha"), "t"), directory)
     owned = entries.repartition(owners, "bucket").sortWithinPartitions("key", "sha")
     index = stored(map_arrow(owned, _own, "key bigint, sha string, group_size bigint, keep_id bigint"), "exact-index")
-    again = Window.partitionBy("key", "sha", "id").orderBy("rid")
+    # Dealt by (sha, id), which the join's partitioning does not satisfy: the join stays free to be split.
+    again = Window.partitionBy("sha", "id").orderBy("rid")
     return (
         rows.join(index, ["key", "sha"])
         .withColumn("nth", F.row_number().over(again))
