@@ -10,6 +10,7 @@ from .common import table, tokenizer_path
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
+from .lm_score import lm_score
 from .packing import best_fit_packing
 from .toxicity import toxicity
 from .warc import warc_round_trip
@@ -19,6 +20,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -41,6 +46,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op3_lm_score": op3_lm_score,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
