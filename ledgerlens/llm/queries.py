@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table, tokenizer_path
+from .ann import ann_search
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
@@ -20,6 +21,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op2_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -46,6 +51,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_ann_search": op2_ann_search,
     "op3_lm_score": op3_lm_score,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op7_exact_dedup": op7_exact_dedup,
