@@ -10,6 +10,7 @@ from .common import table, tokenizer_path
 from .ann import ann_search
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .license_scan import license_scan
 from .lm_score import lm_score
 from .packing import best_fit_packing
@@ -33,6 +34,10 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ann_search": op2_ann_search,
     "op3_lm_score": op3_lm_score,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
