@@ -14,6 +14,7 @@ from .jaccard_join import jaccard_components
 from .license_scan import license_scan
 from .lm_score import lm_score
 from .packing import best_fit_packing
+from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity
 from .warc import warc_round_trip
 
@@ -38,6 +39,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_score": op3_lm_score,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
