@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,8 +49,7 @@ WIDTH = 5
 MINHASHES, LEADERS = 3, 12
 #: Documents of one bucket or group handled together.
 BLOCK = 2048
-#: Bytes of a token kept for the counting of step 2 and its array sizes.
-SHORT = 6
+#: Bytes of tokens in one token range.
 RANGE_BYTES = 24 << 20
 
 _BLANK = blank_table()
@@ -114,10 +114,132 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return 100 * both >= threshold * (len(a) + len(b) - both)
 
 
-def _signatures(docs: DataFrame, threshold: int) -> DataFrame:
-    """Per row: size, set fingerprint, min-hashes, and the packed prefix."""
+# --- tokens that occur elsewhere -------------------------------------------
+
+#: What travels to the owner of a token range: packed tokens, the places of
+#: their units among ``names``, and the names; range -1: counts known already;
+#: range -2: a row's own columns on their way to the table.
+_SENT = pa.schema(
+    [("range", pa.int32()), ("part", pa.int64()), ("width", pa.int32()), ("tokens", pa.binary()), ("units", pa.binary()), ("names", pa.binary())]
+    + [(c, pa.int64()) for c in ("rid", "id", "key", "n", "fp1", "fp2")]
+    + [("minhash", pa.list_(pa.int64()))]
+)
+_SENT_SQL = "range int, part bigint, width int, tokens binary, units binary, names binary, rid bigint, id bigint, key bigint, n bigint, fp1 bigint, fp2 bigint, minhash array<bigint>"
+_COUNTED = pa.schema([("unit", pa.int64()), ("shared", pa.int64())] + list(_SENT)[6:] + [("part", pa.int64())])
+_COUNTED_SQL = "unit bigint, shared bigint, rid bigint, id bigint, key bigint, n bigint, fp1 bigint, fp2 bigint, minhash array<bigint>, part bigint"
+
+
+def token_width(tokens: int) -> int:
+    """Bytes that tell so many tokens apart, but for one in a thousand."""
+    return min(8, max(3, -(-(max(1, tokens).bit_length() + 10) // 8)))
+
+
+def _send(tokens: np.ndarray, unit: np.ndarray, names: np.ndarray, part: int, width: int, ranges: int) -> list[dict]:
+    """A batch's (token, unit) entries, packed per token range. A token that
+    several units of the batch hold is counted here; two entries of it go on,
+    without units, only to tell the others."""
+    tokens = tokens & np.uint64((1 << (8 * width)) - 1) if width < 8 else tokens
+    order = np.lexsort((unit, tokens))
+    tokens, unit = tokens[order], unit[order]
+    if not len(tokens):
+        return []
+    new = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (unit[1:] != unit[:-1])])
+    tokens, unit = tokens[new], unit[new]
+    start = np.concatenate([[True], tokens[1:] != tokens[:-1]])
+    times = np.diff(np.append(np.flatnonzero(start), len(tokens)))
+    many = np.repeat(times > 1, times)
+    here = np.bincount(unit[many], minlength=len(names))
+    go = ~many | start | np.concatenate([[False], start[:-1]])
+    tokens, unit, tell = tokens[go], unit[go], many[go]
+    where = ((tokens >> np.uint64(max(0, 8 * width - 24))).astype(np.int64) * ranges) >> min(24, 8 * width)
+    cuts = np.searchsorted(where, np.arange(ranges + 1))  # tokens are in order
+    out = []
+    for r in np.flatnonzero(np.diff(cuts)):
+        a, b = cuts[r], cuts[r + 1]
+        used, at = np.unique(unit[a:b][~tell[a:b]], return_inverse=True)
+        kind = np.uint16 if len(used) < 65_535 else np.uint32
+        places = np.full(b - a, np.iinfo(kind).max, kind)
+        places[~tell[a:b]] = at
+        packed = np.ascontiguousarray(tokens[a:b].view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+        out.append({"range": int(r), "part": part, "width": width, "tokens": packed, "units": places.tobytes(), "names": names[used].tobytes()})
+    mine = np.flatnonzero(here)
+    if len(mine):
+        out.append({"range": -1, "part": part, "width": 0, "tokens": here[mine].astype(np.int64).tobytes(), "units": b"", "names": names[mine].tobytes()})
+    return out
+
+
+def _count(grouped: bool):
+    """The owner of token ranges: how many of a unit's tokens other units hold
+    too. With ``grouped`` a unit may send entries from several batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, units, parts = [], [], []
+        for batch in batches:
+            own = batch.filter(pc.equal(batch.column("range"), -2))
+            if own.num_rows:
+                none = pa.nulls(own.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, *(own.column(c) for c in _COUNTED.names[2:-1]), none], schema=_COUNTED)
+            for row in batch.filter(pc.greater(batch.column("range"), -2)).select(_SENT.names[:6]).to_pylist():
+                names = np.frombuffer(row["names"], np.int64)
+                if row["range"] < 0:
+                    yield _counted(names, np.frombuffer(row["tokens"], np.int64), np.full(len(names), row["part"]))
+                    continue
+                wide = np.zeros((len(row["tokens"]) // row["width"], 8), np.uint8)
+                wide[:, : row["width"]] = np.frombuffer(row["tokens"], np.uint8).reshape(-1, row["width"])
+                tokens.append(wide.reshape(-1).view(np.uint64))
+                kind = np.uint16 if len(row["units"]) == 2 * len(wide) else np.uint32
+                places = np.frombuffer(row["units"], kind)
+                units.append(np.where(places == np.iinfo(kind).max, -1, np.append(names, -1)[np.minimum(places, len(names))]))
+                parts.append(np.full(len(wide), row["part"]))
+        if not tokens:
+            return
+        t, u, p = np.concatenate(tokens), np.concatenate(units), np.concatenate(parts)
+        told = u == -1
+        name = np.where(told, -2 - np.arange(len(u)), u) if grouped else None
+        order = np.lexsort((name, t)) if grouped else np.argsort(t, kind="stable")
+        t, u, p = t[order], u[order], p[order]
+        start = np.concatenate([[True], t[1:] != t[:-1]])
+        group = np.cumsum(start) - 1
+        if grouped:
+            name = name[order]
+            units_of = np.bincount(group, start | np.concatenate([[True], name[1:] != name[:-1]]))
+        else:
+            units_of = np.bincount(group)
+        hit = (units_of > 1)[group] & (u != -1)
+        if grouped:
+            keys, n = np.unique(np.stack([u[hit], p[hit]], 1), axis=0, return_counts=True) if hit.any() else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
+            yield _counted(keys[:, 0], n, keys[:, 1])
+        else:
+            keys, n = np.unique(u[hit], return_counts=True)
+            yield _counted(keys, n, np.zeros(len(keys), np.int64))
+
+    return run
+
+
+def _counted(unit: np.ndarray, n: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(unit), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(unit.astype(np.int64)), pa.array(n.astype(np.int64)), *[none] * 6, pa.nulls(len(unit), pa.list_(pa.int64())), pa.array(part.astype(np.int64))], schema=_COUNTED)
+
+
+def _owned(sent: DataFrame, ranges: int, grouped: bool) -> DataFrame:
+    """Deal the entries to the owners of their ranges and count."""
+    place = F.when(F.col("range") >= 0, F.col("range")).when(F.col("range") == -2, F.col("rid")).otherwise(F.col("part"))
+    return map_arrow(sent.repartition(ranges, place), _count(grouped), _COUNTED_SQL)
+
+
+def _ranges(spark, tokens: int) -> int:
+    return int(max(partitions(spark), -(-tokens * 8 // RANGE_BYTES)))
+
+
+def _first_pass(docs: DataFrame, threshold: int, tokens: int) -> DataFrame:
+    """The table of rows (rid, id, key, size, set fingerprint, min-hashes) and,
+    as rows with ``unit`` set, how many of a row's first tokens other rows hold."""
+    ranges, width = _ranges(docs.sparkSession, tokens * 3 // 10), token_width(tokens)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, turn, done = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, at = shingle_sets(part, "text")
@@ -127,236 +249,179 @@ def _signatures(docs: DataFrame, threshold: int) -> DataFrame:
                 if some.any():
                     for r in range(MINHASHES):
                         hashes[some, r] = np.minimum.reduceat(mix64(tokens ^ _ODD[r]), at[:-1][some])
-                short = tokens.view(np.uint8).reshape(-1, 8)[:, :SHORT]
-                ends = at[:-1] + prefix_length(n, threshold)
                 digests = [hashlib.blake2b(tokens[a:b].tobytes(), digest_size=16).digest() for a, b in zip(at, at[1:], strict=False)]
                 prints = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id"),
-                        part.column("key"),
-                        pa.array(n.astype(np.int64)),
-                        pa.array(prints[:, 0]),
-                        pa.array(prints[:, 1]),
-                        pa.array(list(hashes.view(np.int64)), pa.list_(pa.int64())),
-                        pa.array([short[a:b].tobytes() for a, b in zip(at, ends, strict=False)], pa.binary()),
-                    ],
-                    ["id", "key", "n", "fp1", "fp2", "minhash", "prefix"],
-                )
-
-    return map_arrow(docs, run, "id bigint, key bigint, n bigint, fp1 bigint, fp2 bigint, minhash array<bigint>, prefix binary")
-
-
-def _sets(docs: DataFrame) -> DataFrame:
-    """(rid, n, minhash, tokens): the full sets, packed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                tokens, at = shingle_sets(part, "text")
-                packed = pa.array([tokens[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("n"), part.column("minhash"), packed], ["rid", "n", "minhash", "tokens"])
-
-    return map_arrow(docs, run, "rid bigint, n bigint, minhash array<bigint>, tokens binary")
-
-
-# --- tokens that occur elsewhere -------------------------------------------
+                rid = (task << 33) + done + np.arange(part.num_rows)
+                first = np.where(some, prefix_length(n, threshold), 0)
+                owner = np.repeat(np.arange(part.num_rows), n)
+                early = np.arange(len(tokens)) - at[owner] < first[owner]
+                own = {
+                    "range": pa.array(np.full(part.num_rows, -2, np.int32)),
+                    "rid": pa.array(rid),
+                    "id": part.column("id"),
+                    "key": part.column("key"),
+                    "n": pa.array(n.astype(np.int64)),
+                    "fp1": pa.array(prints[:, 0]),
+                    "fp2": pa.array(prints[:, 1]),
+                    "minhash": pa.array(list(hashes.view(np.int64)), pa.list_(pa.int64())),
+                }
+                yield pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(part.num_rows, f.type)) for f in _SENT], schema=_SENT)
+                out = _send(mix64(tokens[early]), owner[early], rid, (task << 20) + turn, width, ranges)
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, _SENT)
+                turn, done = turn + 1, done + part.num_rows
 
+    return _owned(map_arrow(docs, run, _SENT_SQL), ranges, grouped=False)
 
-def shared_tokens(rows: DataFrame, width: int, grouped: bool) -> DataFrame:
-    """(unit, shared): of each unit's tokens, how many occur in another unit.
 
-    ``rows``: (unit, tokens) with tokens packed ``width`` bytes each. A unit is
-    a row (``grouped=False``, units numbered without gaps inside a task), or
-    a group that may be spread over rows, whose tokens are then united per
-    batch of rows (``part`` names the batch). Each batch sends one packed array
-    per token range; a token that many rows of a batch hold is sent twice at
-    most, so a range gets few entries per batch even for the commonest token.
-    """
-    spark = rows.sparkSession
-    total = rows.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
-    ranges = max(partitions(spark), -(-total // RANGE_BYTES))
+def _overlap_of_groups(sets: DataFrame) -> DataFrame:
+    """(grp, shared): a bound for how many tokens of any member of a group
+    other groups hold. ``sets``: (grp, tokens). Members that a batch holds are
+    united; a document lies in one batch, so the largest count bounds it."""
+    spark = sets.sparkSession
+    total = int(sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0) // 8
+    ranges, width = _ranges(spark, total), token_width(total)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, turn = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch, "tokens"):
                 flat, offsets = binary_view(part.column("tokens"))
-                wide = np.zeros((len(flat) // width, 8), np.uint8)
-                wide[:, :width] = flat.reshape(-1, width)
-                tokens = wide.reshape(-1).view(np.uint64)
-                names, unit = np.unique(part.column("unit").to_numpy(), return_inverse=True)
-                unit = np.repeat(unit, np.diff(offsets) // width).astype(np.uint32)
-                order = np.lexsort((unit, tokens))
-                tokens, unit = tokens[order], unit[order]
-                if len(tokens):
-                    new = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (unit[1:] != unit[:-1])])
-                    tokens, unit = tokens[new], unit[new]
-                start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.empty(0, np.int64)
-                many = np.repeat(np.diff(np.append(start, len(tokens))) > 1, np.diff(np.append(start, len(tokens))))
-                here = np.bincount(unit[many], minlength=len(names))  # shared inside the batch already
-                # Of these tokens the first two entries go on, only to tell others.
-                first = np.zeros(len(tokens), bool)
-                first[start] = True
-                second = np.concatenate([[False], first[:-1]]) & many & ~first
-                go = ~many | first | second
-                tokens, unit, tell = tokens[go], unit[go], many[go]
-                unit = np.where(tell, np.uint32(0xFFFFFFFF), unit)
-                label = names[np.where(tell, 0, unit)] if grouped else None
-                if grouped and tell.any():
-                    label[tell] = -1 - np.cumsum(tell)[tell]  # two different outsiders
-                where = (mix64(tokens) % np.uint64(ranges)).astype(np.int64)
-                order = np.argsort(where, kind="stable")
-                cuts = np.searchsorted(where[order], np.arange(ranges + 1))
-                base = names[0] if len(names) else 0
-                # Units as distances from the batch's first one, as narrow as they fit; all ones: nobody.
-                reach = int(names[-1] - base) if len(names) else 0
-                kind = np.uint16 if reach < 65_535 else np.uint32 if reach < 2**32 - 1 else np.uint64
-                far = np.where(tell, np.iinfo(kind).max, (names - base).astype(kind)[np.where(tell, 0, unit)]).astype(kind) if len(names) else np.empty(0, kind)
-                out = []
-                for r in np.flatnonzero(np.diff(cuts)):
-                    sel = order[cuts[r] : cuts[r + 1]]
-                    out.append(
-                        {
-                            "range": int(r),
-                            "base": int(base),
-                            "tokens": np.ascontiguousarray(tokens[sel].view(np.uint8).reshape(-1, 8)[:, :width]).tobytes(),
-                            "units": far[sel].tobytes(),
-                            "labels": label[sel].tobytes() if grouped else b"",
-                            "part": (task << 20) + turn,
-                        }
-                    )
-                mine = np.flatnonzero(here)
-                if len(mine):
-                    out.append({"range": -1, "base": 0, "tokens": here[mine].astype(np.int64).tobytes(), "units": names[mine].astype(np.int64).tobytes(), "labels": b"", "part": (task << 20) + turn})
-                turn += 1
+                names, unit = np.unique(part.column("grp").to_numpy(), return_inverse=True)
+                out = _send(mix64(flat.view(np.uint64)), np.repeat(unit, np.diff(offsets) // 8), names, (task << 20) + turn, width, ranges)
                 if out:
                     yield pa.RecordBatch.from_pylist(out, _SENT)
+                turn += 1
+
+    found = _owned(map_arrow(sets.select("grp", "tokens"), run, _SENT_SQL), ranges, grouped=True)
+    per_batch = found.groupBy("unit", "part").agg(F.sum("shared").alias("shared"))
+    return per_batch.groupBy(F.col("unit").alias("grp")).agg(F.max("shared").alias("shared"))
+
+
+# --- full sets -------------------------------------------------------------
+
 
-    sent = map_arrow(rows.select("unit", "tokens"), send, "range int, base bigint, tokens binary, units binary, labels binary, part bigint")
-    # Counts known already (range -1) are spread over all tasks.
-    dealt = sent.repartition(int(ranges), F.when(F.col("range") >= 0, F.col("range")).otherwise(F.col("part")))
+def _packed_texts(docs: DataFrame) -> DataFrame:
+    """(id, key, z): texts compressed for the way to those that want them."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, labels, units, parts = [], [], [], []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["range"] < 0:
-                    own = np.frombuffer(row["units"], np.int64)
-                    yield _counted(own, np.full(len(own), row["part"]), np.frombuffer(row["tokens"], np.int64))
-                    continue
-                wide = np.zeros((len(row["tokens"]) // width, 8), np.uint8)
-                wide[:, :width] = np.frombuffer(row["tokens"], np.uint8).reshape(-1, width)
-                n = len(wide)
-                tokens.append(wide.reshape(-1).view(np.uint64))
-                kind = {2: np.uint16, 4: np.uint32, 8: np.uint64}[len(row["units"]) // n]
-                far = np.frombuffer(row["units"], kind)
-                units.append(np.where(far == np.iinfo(kind).max, -1, far.astype(np.int64) + row["base"]))
-                if grouped:
-                    labels.append(np.frombuffer(row["labels"], np.int64) if len(row["labels"]) else units[-1])
-                parts.append(np.full(n, row["part"]))
-        if not tokens:
-            return
-        t, u, p = np.concatenate(tokens), np.concatenate(units), np.concatenate(parts)
-        if grouped:  # entries of one group from several batches are no second unit
-            names = np.concatenate(labels)
-            outside = names < -1
-            names = np.where(outside, -2 - np.arange(len(names)), names)
-            order = np.lexsort((names, t))
-            t, u, p, names = t[order], u[order], p[order], names[order]
-            new = np.concatenate([[True], t[1:] != t[:-1]])
-            other = np.concatenate([[True], (t[1:] != t[:-1]) | (names[1:] != names[:-1])])
-            group = np.cumsum(new) - 1
-            several = (np.bincount(group, other) > 1)[group]
-        else:
-            order = np.argsort(t, kind="stable")
-            t, u, p = t[order], u[order], p[order]
-            group = np.cumsum(np.concatenate([[True], t[1:] != t[:-1]])) - 1
-            several = (np.bincount(group) > 1)[group]
-        hit = several & (u != -1)
-        if grouped:
-            both = np.stack([u[hit], p[hit]], 1)
-            keys, n = np.unique(both, axis=0, return_counts=True) if len(both) else (both, np.empty(0, np.int64))
-            yield _counted(keys[:, 0], keys[:, 1], n)
-        else:
-            keys, n = np.unique(u[hit], return_counts=True)
-            yield _counted(keys, np.zeros(len(keys), np.int64), n)
+            z = pa.array([packer.compress(t) for t in batch.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), z], ["id", "key", "z"])
+
+    return map_arrow(docs.select("id", "key", "text"), run, "id bigint, key bigint, z binary")
 
-    found = map_arrow(dealt, count, "unit bigint, part bigint, shared bigint")
-    if grouped:
-        return found.groupBy("unit", "part").agg(F.sum("shared").alias("shared"))
-    return found.groupBy("unit").agg(F.sum("shared").alias("shared"))
 
+def _sets(docs: DataFrame) -> DataFrame:
+    """(rid, n, minhash, tokens): the full sets, packed."""
 
-_SENT = pa.schema([("range", pa.int32()), ("base", pa.int64()), ("tokens", pa.binary()), ("units", pa.binary()), ("labels", pa.binary()), ("part", pa.int64())])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
 
+        reader = zstandard.ZstdDecompressor()
+        for batch in batches:
+            texts = pa.array([reader.decompress(z) for z in batch.column("z").to_pylist()], pa.binary())
+            whole = pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("n"), batch.column("minhash"), texts], ["rid", "n", "minhash", "text"])
+            for part in slices(whole, "text"):
+                tokens, at = shingle_sets(part, "text")
+                packed = pa.array([tokens[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], packed], ["rid", "n", "minhash", "tokens"])
 
-def _counted(unit: np.ndarray, part: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(unit.astype(np.int64)), pa.array(part.astype(np.int64)), pa.array(n.astype(np.int64))], ["unit", "part", "shared"])
+    return map_arrow(docs, run, "rid bigint, n bigint, minhash array<bigint>, tokens binary")
 
 
 # --- groups ----------------------------------------------------------------
 
 
 def _lead(rows: DataFrame, threshold: int) -> DataFrame:
-    """Links found inside buckets. ``rows``: (bucket, block, rid, tokens); each
-    (bucket, block) is read in order, against its first few unlike members."""
-    dealt = rows.repartition(partitions(rows.sparkSession), "bucket", "block").sortWithinPartitions("bucket", "block", "rid")
+    """Links found inside buckets. ``rows``: (bucket, rid, tokens), a bucket's
+    rows side by side; each is compared with the bucket's first unlike ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, leaders = None, []
         for batch in batches:
-            a, b, lead = [], [], []
-            for bucket, block, rid, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now != (bucket, block):
-                    now, leaders = (bucket, block), []
+            a, b = [], []
+            for bucket, rid, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != bucket:
+                    now, leaders = bucket, []
                 tokens = np.frombuffer(packed, np.uint64)
                 alone = True
                 for other, own in leaders:
                     if other != rid and linked(own, tokens, threshold):
                         a.append(other)
                         b.append(rid)
-                        lead.append(False)
                         alone = False
                 if alone and len(leaders) < LEADERS:
                     leaders.append((rid, tokens))
-                    a.append(rid)
-                    b.append(rid)
-                    lead.append(True)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([bool(x) for x in lead])], ["a", "b", "leads"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return map_arrow(dealt.select("bucket", "block", "rid", "tokens"), run, "a bigint, b bigint, leads boolean")
+    return map_arrow(rows.select("bucket", "rid", "tokens"), run, "a bigint, b bigint")
 
 
 def _groups(sets: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """(links, groups): verified links, and (rid, grp) for every set."""
-    narrow = sets.select("rid", "n", "minhash")
-    links: DataFrame | None = None
-    groups = narrow.select("rid", F.col("rid").alias("grp"))
+    """(links, moved): verified links, and (rid, grp) of every set whose group
+    has another name than itself. Where adaptive execution splits a common
+    bucket over tasks, its parts are only linked later, as different groups."""
+    links = moved = None
     for r in range(MINHASHES):
-        hashed = narrow.join(groups, "rid").select("rid", "grp", F.col("minhash")[r].alias("bucket"))
-        # One member per group and bucket is enough: the others are connected to it already.
-        members = hashed if links is None else hashed.groupBy("bucket", "grp").agg(F.min("rid").alias("rid"))
-        sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        some = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("rid"), F.ceil(F.col("size") / BLOCK)).cast("int"))
-        placed = some.select("rid", "bucket", "block", (F.col("size") > BLOCK).alias("cut"))
-        got = stored(_lead(placed.join(sets.select("rid", "tokens"), "rid").select("bucket", "block", "rid", "tokens"), threshold), "join-links")
-        # Buckets that were cut into blocks: their blocks' leaders meet once more.
-        leaders = placed.where("cut").join(got.where("leads").select(F.col("a").alias("rid")).distinct(), "rid")
-        second = leaders.join(sets.select("rid", "tokens"), "rid").select("bucket", F.lit(-1).alias("block"), "rid", "tokens")
-        new = stored(got.where("not leads").select("a", "b").union(_lead(second, threshold).where("not leads").select("a", "b")), "join-links")
+        bucket = F.col("minhash")[r].alias("bucket")
+        if links is None:
+            sizes = stored(sets.groupBy(bucket).agg(F.count("*").alias("size")).where("size > 1").select("bucket"), "join-buckets")
+            rows = sets.select(bucket, "rid", "tokens").join(sizes, "bucket")
+        else:
+            # One member per group and bucket is enough: the others are connected to it already.
+            hashed = sets.select("rid", bucket).join(moved, "rid", "left").select("rid", "bucket", F.coalesce("grp", "rid").alias("grp"))
+            members = hashed.groupBy("bucket", "grp").agg(F.min("rid").alias("rid"))
+            several = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+            placed = stored(members.join(several, "bucket").select("rid", "bucket"), "join-placed")
+            rows = sets.select("rid", "tokens").join(placed, "rid").repartition(partitions(sets.sparkSession), "bucket")
+        new = stored(_lead(rows.sortWithinPartitions("bucket"), threshold), "join-links")
         links = new if links is None else stored(links.union(new), "join-links")
         found = connected_components(links)
-        groups = stored(narrow.select("rid").join(found.withColumnRenamed("node", "rid"), "rid", "left").select("rid", F.coalesce("component", "rid").alias("grp")), "join-groups")
-    return links, groups
+        moved = stored(found.where("node <> component").select(F.col("node").alias("rid"), F.col("component").alias("grp")), "join-moved")
+    return links, moved
 
 
 # --- the token-group matrix ------------------------------------------------
 
 
+def _matrix_rows(left: pa.Table, right: pa.Table, threshold: int) -> pa.Table:
+    """Links of askers (left) with one block of a group's members (right). The
+    block's token union bounds each asker's overlap first; only then are its
+    columns, the members, opened."""
+    rids, each = right.column("member").to_numpy(), [np.frombuffer(t, np.uint64) for t in right.column("held").to_pylist()]
+    sizes = np.array([len(t) for t in each], np.int64)
+    tokens = np.concatenate(each) if each else np.empty(0, np.uint64)
+    member = np.repeat(np.arange(len(each)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, member = tokens[order], member[order]
+    a, b = [], []
+    if len(tokens):
+        union, start = np.unique(tokens, return_index=True)
+        stop = np.append(start[1:], len(tokens))
+        for i, packed in zip(left.column("rid").to_pylist(), left.column("tokens").to_pylist(), strict=True):
+            q = np.frombuffer(packed, np.uint64)
+            at = np.searchsorted(union, q)
+            at[at == len(union)] = 0
+            at = at[union[at] == q]
+            if 100 * len(at) < threshold * len(q):
+                continue  # closed: no member can hold enough of it
+            times = stop[at] - start[at]
+            which = np.arange(times.sum()) + np.repeat(start[at] - (np.cumsum(times) - times), times)
+            both = np.bincount(member[which], minlength=len(each))
+            hit = np.flatnonzero(100 * both >= threshold * (sizes + len(q) - both))
+            if len(hit):  # one link connects the whole group
+                a.append(i)
+                b.append(int(rids[hit[0]]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
     """Exact links between different groups. ``sets``: (rid, grp, n, tokens) of
     the groups that are still open."""
@@ -366,86 +431,68 @@ def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "tokens"):
                 flat, offsets = binary_view(part.column("tokens"))
-                each = np.diff(offsets) // 8
-                at = np.repeat(np.arange(part.num_rows), each)
-                yield pa.RecordBatch.from_arrays([part.column(k).take(pa.array(at)) for k in range(3)] + [pa.array(flat.view(np.int64))], ["rid", "grp", "n", "token"])
-
-    tokens = stored(map_arrow(sets.select("rid", "grp", "n", "tokens"), unpack, "rid bigint, grp bigint, n bigint, token bigint"), "join-tokens")
-    matrix = tokens.select("token", "grp").distinct()
-    spread_ = stored(matrix.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "join-df")
-    matrix = stored(matrix.join(spread_, "token").select("token", "grp"), "join-matrix")
-    shared = stored(tokens.join(spread_, "token"), "join-shared")
+                at = pa.array(np.repeat(np.arange(part.num_rows), np.diff(offsets) // 8))
+                yield pa.RecordBatch.from_arrays([part.column(k).take(at) for k in range(3)] + [pa.array(flat.view(np.int64))], ["rid", "grp", "n", "token"])
+
+    tokens = map_arrow(sets.select("rid", "grp", "n", "tokens"), unpack, "rid bigint, grp bigint, n bigint, token bigint")
+    # Tokens that different groups hold, the rare ones first: one order for all documents.
+    rarity = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.count("*").alias("df")).where("low < high").select("token", "df")
+    shared = tokens.join(stored(rarity, "join-rarity"), "token")
+    by_doc = Window.partitionBy("rid")
     enough = F.ceil(F.col("n") * threshold / 100).cast("long")
-    per_doc = shared.groupBy("rid").agg(F.count("*").alias("k"))
-    rarest = Window.partitionBy("rid").orderBy("df", "token")
-    # Of any n - enough + 1 tokens one must lie in the other group; tokens of no other group come first.
-    first = (
-        shared.join(per_doc, "rid").where(F.col("k") >= enough).withColumn("nth", F.row_number().over(rarest)).where(F.col("nth") <= F.col("n") - enough + 1 - (F.col("n") - F.col("k")))
-    )
-    other = F.col("grp").alias("other")
-    maybe = first.select("rid", "grp", "n", "token").join(matrix.select("token", other), "token").where("other <> grp").select("rid", "n", "other").distinct()
-    sizes = sets.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high")).withColumnRenamed("grp", "other")
-    maybe = stored(maybe.join(sizes, "other").where((F.col("n") * 100 >= F.col("low") * threshold) & (F.col("high") * 100 >= F.col("n") * threshold)).select("rid", "n", "other"), "join-maybe")
-    bound = (
-        maybe.join(shared.select("rid", "token"), "rid").join(matrix.select("token", other), ["token", "other"]).groupBy("rid", "n", "other").agg(F.count("*").alias("overlap")).where(F.col("overlap") >= enough)
-    )
-    asked = stored(bound.select("rid", "other"), "join-asked")
-    blocks = sets.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).withColumnRenamed("grp", "other")
-    members = sets.withColumnRenamed("grp", "other").join(asked.select("other").distinct(), "other").join(blocks, "other")
+    ranked = shared.withColumn("k", F.count("*").over(by_doc)).withColumn("nth", F.row_number().over(by_doc.orderBy("df", "token")))
+    # Similar documents share one of their first n - enough + 1 tokens, those of no other group being the very first.
+    first = stored(ranked.where(F.col("nth") <= F.col("k") - enough + 1).select("rid", "grp", "n", "token"), "join-first")
+    matrix = first.select("token", F.col("grp").alias("other")).distinct()
+    maybe = first.join(matrix, "token").where("other <> grp").select("rid", "n", "other").distinct()
+    sizes = sets.groupBy(F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    fits = (F.col("n") * 100 >= F.col("low") * threshold) & (F.col("high") * 100 >= F.col("n") * threshold)
+    asked = stored(maybe.join(sizes, "other").where(fits).select("rid", "other", "blocks"), "join-asked")
     # Members and askers of a group are both cut into blocks; every pair of blocks meets once.
-    turns = asked.groupBy("other").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns"))
+    turns = stored(asked.groupBy("other").agg(F.max("blocks").alias("blocks"), F.ceil(F.count("*") / BLOCK).cast("int").alias("turns")), "join-turns")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = members.join(turns, "other").withColumn("turn", every("turns"))
-    members = members.select("other", F.pmod(F.xxhash64("rid"), "blocks").cast("int").alias("block"), "turn", "rid", "tokens")
-    askers = asked.join(blocks, "other").join(turns, "other").join(sets.select("rid", "tokens"), "rid").withColumn("block", every("blocks"))
+    members = sets.select(F.col("grp").alias("other"), "rid", "tokens").join(turns, "other").withColumn("turn", every("turns"))
+    members = members.select("other", F.pmod(F.xxhash64("rid"), "blocks").cast("int").alias("block"), "turn", F.col("rid").alias("member"), F.col("tokens").alias("held"))
+    askers = asked.select("rid", "other").join(turns, "other").join(sets.select("rid", "tokens"), "rid").withColumn("block", every("blocks"))
     askers = askers.select("other", "block", F.pmod(F.xxhash64("rid"), "turns").cast("int").alias("turn"), "rid", "tokens")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = [(i, np.frombuffer(t, np.uint64)) for i, t in zip(right.column("rid").to_pylist(), right.column("tokens").to_pylist(), strict=True)]
-        a, b = [], []
-        for i, packed in zip(left.column("rid").to_pylist(), left.column("tokens").to_pylist(), strict=True):
-            q = np.frombuffer(packed, np.uint64)
-            for j, t in own:
-                if linked(q, t, threshold):  # one link connects the whole group
-                    a.append(i)
-                    b.append(j)
-                    break
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        return _matrix_rows(left, right, threshold)
 
     ship(spark)
-    return askers.groupBy("other", "block", "turn").cogroup(members.groupBy("other", "block", "turn")).applyInArrow(compare, "a bigint, b bigint")
+    keys = ["other", "block", "turn"]
+    return askers.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
-    rows = stored(_signatures(source.select("id", "key", "text"), threshold).withColumn("rid", F.monotonically_increasing_id()), "join-rows")
+    size = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    passed = stored(_first_pass(source.select("id", "key", "text"), threshold, int(size) // 6), "join-rows")
+    rows = passed.where("rid is not null").select("rid", "id", "key", "n", "fp1", "fp2", "minhash")
+    counted = passed.where("unit is not null").groupBy(F.col("unit").alias("rid")).agg(F.sum("shared").alias("shared"))
     classes = stored(
         rows.where("n > 0")
         .groupBy("fp1", "fp2")
-        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid", "key", "n")).alias("rep"))
-        .select("fp1", "fp2", F.col("rep.rid").alias("rid"), F.col("rep.id").alias("id"), F.col("rep.key").alias("key"), F.col("rep.n").alias("n")),
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid", "key")).alias("rep"))
+        .select("fp1", "fp2", F.col("rep.rid").alias("rid"), F.col("rep.id").alias("id"), F.col("rep.key").alias("key")),
         "join-classes",
     )
     # Step 2: rows that share enough of their first tokens with any other row.
-    counted = shared_tokens(rows.where("n > 0").select(F.col("rid").alias("unit"), F.col("prefix").alias("tokens")), SHORT, grouped=False)
-    least = F.greatest(F.lit(1), F.ceil(F.col("n") * threshold / 1000)).cast("long")
-    live = rows.select("rid", "n", "fp1", "fp2", "minhash").join(counted.withColumnRenamed("unit", "rid"), "rid").where(F.col("shared") >= least)
+    live = rows.select("rid", "n", "minhash").join(counted, "rid").where(F.col("shared") >= F.greatest(F.lit(1), F.ceil(F.col("n") * threshold / 1000)))
     # A class goes on if its representative is live; equal sets have equal counts.
-    left = stored(classes.select("rid", "id", "key").join(live.select("rid", "n", "minhash"), "rid"), "join-live")
-    wanted = left.select("rid", F.col("id").alias("want"), F.col("key").alias("want_key"), "n", "minhash")
-    texts = source.join(wanted, (F.col("key") == F.col("want_key")) & F.col("id").eqNullSafe(F.col("want"))).select("rid", "n", "minhash", "text")
+    left = stored(classes.select("rid", F.col("id").alias("want"), F.col("key").alias("want_key")).join(live.select("rid", "n", "minhash"), "rid"), "join-live")
+    texts = _packed_texts(source).join(left, (F.col("key") == F.col("want_key")) & F.col("id").eqNullSafe(F.col("want"))).select("rid", "n", "minhash", "z")
     sets = stored(_sets(texts), "join-sets")
     if sets.count() > left.count():  # rows repeated with id and text
         sets = stored(sets.dropDuplicates(["rid"]), "join-sets")
-    links, groups = _groups(sets, threshold)
-    grouped = stored(sets.select("rid", "n", "tokens").join(groups, "rid"), "join-grouped")
-    # Step 4: groups whose union overlaps the other groups too little are closed.
-    overlap = shared_tokens(grouped.select(F.col("grp").alias("unit"), "tokens"), 8, grouped=True)
-    smallest = grouped.groupBy("grp").agg(F.min("n").alias("low"))
-    # A document lies in one batch, so the batch with the largest overlap bounds its group.
-    bound = overlap.groupBy("unit").agg(F.max("shared").alias("shared")).join(smallest.withColumnRenamed("grp", "unit"), "unit")
-    open_ = stored(grouped.join(bound.where(F.col("shared") * 100 >= F.col("low") * threshold).select(F.col("unit").alias("grp")), "grp", "left_semi"), "join-open")
+    links, moved = _groups(sets, threshold)
+    open_ = sets.select("rid", "n", "tokens").join(moved, "rid", "left").select("rid", F.coalesce("grp", "rid").alias("grp"), "n", "tokens")
+    # Step 4: groups that overlap all other groups too little are closed; the rest once more, among themselves.
+    for _ in range(2):
+        bound = _overlap_of_groups(open_).join(open_.groupBy("grp").agg(F.min("n").alias("low")), "grp")
+        still = stored(bound.where(F.col("shared") * 100 >= F.col("low") * threshold).select("grp"), "join-still")
+        open_ = stored(open_.join(still, "grp", "left_semi"), "join-open")
     across = stored(_open_groups(open_, threshold), "join-across")
     found = connected_components(links.union(across)).withColumnRenamed("node", "rid")
     named = classes.join(found, "rid", "left").select("fp1", "fp2", F.col("id").alias("own"), F.coalesce("component", "rid").alias("component"))
