@@ -28,7 +28,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -75,84 +74,91 @@ def vocabulary(path: str) -> tuple[tuple[str, ...], np.ndarray, int]:
         return pieces, np.log(weights / weights.sum()), first_byte
 
 
-@dataclass(frozen=True)
 class Lattice:
-    """Piece log-probabilities (natural), with what the recursions look up."""
+    """The pieces as a tree of characters, with natural log-probabilities."""
 
-    logp: dict[str, float]
-    number: dict[str, int]
-    byte_logp: tuple[float, ...]
-    first_byte: int
-    longest: int
-    end: float
-
-    @staticmethod
-    def of(path: str, logp: np.ndarray) -> Lattice:
+    def __init__(self, path: str, logp: np.ndarray):
         pieces, _, first_byte = vocabulary(path)
-        usable = {p: i for i, p in enumerate(pieces) if np.isfinite(logp[i]) and not first_byte <= i < first_byte + 256}
-        return Lattice(
-            {p: float(logp[i]) for p, i in usable.items()},
-            usable,
-            tuple(float(x) for x in logp[first_byte : first_byte + 256]),
-            first_byte,
-            max(map(len, usable)),
-            float(logp[-1]),
-        )
-
-    def _spelled(self, char: str) -> float:
-        return sum(self.byte_logp[b] for b in char.encode("utf-8", "surrogatepass"))
-
-    def forward(self, s: str) -> list[float]:
-        """Log of the summed probability of all segmentations of s[:j], for each j."""
-        logp, longest, exp, log = self.logp, self.longest, math.exp, math.log
-        alpha = [0.0]
-        for j in range(1, len(s) + 1):
-            arcs = []
-            for i in range(j - longest if j > longest else 0, j):
-                p = logp.get(s[i:j])
-                if p is not None:
-                    arcs.append(alpha[i] + p)
-            if s[j - 1] not in logp:
-                arcs.append(alpha[j - 1] + self._spelled(s[j - 1]))
-            if len(arcs) == 1:
-                alpha.append(arcs[0])
+        # A node: [its children by character, the log-probability of the piece that ends here, that piece's number]
+        self.root: dict = {}
+        for number, piece in enumerate(pieces):
+            if not np.isfinite(logp[number]) or first_byte <= number < first_byte + 256:
+                continue
+            children, node = self.root, None
+            for char in piece:
+                node = children.setdefault(char, [{}, None, 0])
+                children = node[0]
+            node[1], node[2] = float(logp[number]), number
+        self.bytes = [float(x) for x in logp[first_byte : first_byte + 256]]
+        self.first_byte = first_byte
+        self.end = float(logp[-1])
+
+    def arcs(self, s: str) -> tuple[list[list[tuple]], list[float]]:
+        """(arcs, alpha): for each place, the pieces that end there as (start,
+        log weight of all ways that end with it, number), and the log of the
+        summed probability of all ways to get there. A character that is no
+        piece is spelled in bytes (number -1)."""
+        root, exp, log = self.root, math.exp, math.log
+        n = len(s)
+        into: list[list[tuple]] = [[] for _ in range(n + 1)]
+        alpha = [0.0] * (n + 1)
+        for i in range(n):
+            if i:
+                ends = into[i]
+                if len(ends) == 1:
+                    alpha[i] = here = ends[0][1]
+                else:
+                    top = max(ends, key=_weight)[1]
+                    alpha[i] = here = top + log(sum([exp(e[1] - top) for e in ends]))
             else:
-                top = max(arcs)
-                alpha.append(top + log(sum([exp(a - top) for a in arcs])))
-        return alpha
+                here = 0.0
+            children = root
+            j = i
+            while j < n:
+                node = children.get(s[j])
+                if node is None:
+                    break
+                j += 1
+                if node[1] is not None:
+                    into[j].append((i, here + node[1], node[2]))
+                children = node[0]
+            first = root.get(s[i])
+            if first is None or first[1] is None:
+                into[i + 1].append((i, here + sum(self.bytes[b] for b in s[i].encode("utf-8", "surrogatepass")), -1))
+        ends = into[n]
+        if ends:
+            top = max(ends, key=_weight)[1]
+            alpha[n] = top + log(sum([exp(e[1] - top) for e in ends]))
+        return into, alpha
 
     def word(self, word: bytes) -> float:
         """Log-probability of a word's marginal, its leading blank included."""
-        return self.forward("▁" + word.decode("utf-8", "replace"))[-1]
+        return self.arcs("▁" + word.decode("utf-8", "replace"))[1][-1]
 
-    def expected(self, word: bytes, times: float, into: np.ndarray) -> None:
-        """Add the expected number of uses of each piece, ``times`` times."""
+    def expected(self, word: bytes, times: float, uses: list[float]) -> None:
+        """Add the expected number of uses of each piece, ``times`` times: the
+        probability mass that flows through each arc, from the end backwards."""
         s = "▁" + word.decode("utf-8", "replace")
-        n = len(s)
-        logp, number, longest, exp = self.logp, self.number, self.longest, math.exp
-        alpha = self.forward(s)
-        total = alpha[n]
-        # Probability mass that flows through each place, from the end backwards.
-        flow = [0.0] * n + [times]
-        for j in range(n, 0, -1):
-            mass = flow[j]
+        into, alpha = self.arcs(s)
+        exp = math.exp
+        flow = [0.0] * len(alpha)
+        flow[-1] = times
+        for j in range(len(s), 0, -1):
+            mass, at = flow[j], alpha[j]
             if not mass:
                 continue
-            at = alpha[j]
-            for i in range(j - longest if j > longest else 0, j):
-                piece = s[i:j]
-                p = logp.get(piece)
-                if p is not None:
-                    share = mass * exp(alpha[i] + p - at)
-                    flow[i] += share
-                    into[number[piece]] += share
-            char = s[j - 1]
-            if char not in logp:
-                share = mass * exp(alpha[j - 1] + self._spelled(char) - at)
-                flow[j - 1] += share
-                for b in char.encode("utf-8", "surrogatepass"):
-                    into[self.first_byte + b] += share
-        assert total <= 0.0 or n == 0
+            for i, weight, number in into[j]:
+                share = mass * exp(weight - at)
+                flow[i] += share
+                if number >= 0:
+                    uses[number] += share
+                else:
+                    for b in s[i].encode("utf-8", "surrogatepass"):
+                        uses[self.first_byte + b] += share
+
+
+def _weight(arc: tuple) -> float:
+    return arc[1]
 
 
 # --- counting --------------------------------------------------------------
@@ -185,7 +191,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def fit_pieces(words: DataFrame, path: str, rounds: int = 1) -> np.ndarray:
+def fit_pieces(words: DataFrame, path: str, rounds: int = 2) -> np.ndarray:
     """Piece log-probabilities from the training words and their counts."""
     pieces, prior, _ = vocabulary(path)
     logp = prior
@@ -193,14 +199,15 @@ def fit_pieces(words: DataFrame, path: str, rounds: int = 1) -> np.ndarray:
         shared = words.sparkSession.sparkContext.broadcast(logp)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lattice = Lattice.of(path, shared.value)  # noqa: B023
-            counts = np.zeros(len(pieces) + 1)
+            lattice = Lattice(path, shared.value)  # noqa: B023
+            uses = [0.0] * (len(pieces) + 1)
             for batch in batches:
                 for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if word == END:
-                        counts[-1] += c
+                        uses[-1] += c
                     else:
-                        lattice.expected(word, float(c), counts)
+                        lattice.expected(word, float(c), uses)
+            counts = np.array(uses)
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used])], ["piece", "n"])
 
@@ -247,7 +254,7 @@ def lm_score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     logp = spark.sparkContext.broadcast(fit_pieces(counted, path))
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice.of(path, logp.value)
+        lattice = Lattice(path, logp.value)
         for batch in batches:
             lm = [(lattice.word(w) if w != END else lattice.end) / math.log(10) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lm, pa.float64())], ["word", "c", "lm"])
