@@ -6,8 +6,9 @@ vectors; taken in the order of a hash of the id) and is all that is broadcast.
 Every row is then routed to its leaf. A query walks the tree with a priority
 queue of nodes by the distance to their centres and visits the nearest leaves.
 How many is calibrated: for up to ``calibration`` queries the exact neighbours
-are found among all rows, and the number of leaf visits doubles until at least
-``recall`` of them lie in visited leaves (all leaves, in the worst case).
+are found among all rows, and the number of leaf visits is widened by a
+quarter until at least ``recall`` of them lie in visited leaves (all leaves, in
+the worst case).
 
 Rows of a leaf are cut into blocks, and the queries that visit a leaf too, by
 counts per leaf; a task compares one block of rows with one block of queries
@@ -197,7 +198,7 @@ def calibrate(tree: Tree, rows: DataFrame, queries: DataFrame, k: int, recall: f
     places = np.array([order[r.query_id][r.leaf] for r in leaf_of])
     visits = 1
     while visits < tree.leaves and len(places) and (places < visits).mean() < recall:
-        visits = min(2 * visits, tree.leaves)
+        visits = min(visits + 1 + visits // 4, tree.leaves)
     return visits, float((places < visits).mean()) if len(places) else 1.0
 
 
@@ -238,11 +239,11 @@ def ann_search(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 10,
-    recall: float = 0.97,
+    recall: float = 0.95,
     calibration: int = 64,
     sample_rows: int = 65_536,
     branching: int = 8,
-    leaf_rows: int = 32,
+    leaf_rows: int = 256,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, a
     query being a row for which ``is_query`` (on ``id``) holds."""
