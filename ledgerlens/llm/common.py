@@ -95,7 +95,7 @@ def binary_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - (offsets[0] if len(offsets) else 0)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of ``column``
     (at least one row each), so that temporary arrays stay small."""
     _, offsets = binary_view(batch.column(column))

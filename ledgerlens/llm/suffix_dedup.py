@@ -50,7 +50,9 @@ GRAM = 20
 #: Longest run of windows in one context (periodic texts have endless runs).
 RUN = 2048
 #: Context bytes in one transform; contexts of one anchor in one block.
-BLOCK_BYTES, SALT = 1 << 20, 8192
+BLOCK_BYTES, SALT = 1 << 19, 8192
+#: Bytes of entries in one anchor range; text bytes whose entries a map task sends together.
+RANGE_BYTES, SENT_BYTES = 6 << 20, 8 << 20
 #: Context hashes travel with 48 bits; contexts are only compared under one anchor.
 CONTEXT_MASK = np.uint64((1 << 48) - 1)
 LOWEST = -(1 << 63)
@@ -73,12 +75,14 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     longest = int((ends - place).max()) if n else 0
     reach = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]])).astype(np.uint64)
-        if reach >= longest or int(rank[order[-1]]) == n:
+        if int(rank[order[-1]]) == n:
             return order
+        if reach >= longest:
+            return np.argsort(rank * np.uint64(n) + place.astype(np.uint64))
         behind = place + reach
         key = rank * np.uint64(n + 1) + np.where(behind < ends, rank[np.minimum(behind, n - 1)], np.uint64(0))
         reach *= 2
@@ -230,11 +234,15 @@ def _entries(docs: DataFrame, length: int, ranges: int, anchor_width: int) -> Da
 
         task, turn = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SENT_BYTES):
                 number, turn = (task << 24) + turn, turn + 1
-                flat, offsets = binary_view(part.column("text"))
                 ids, keys = part.column("ord").to_numpy(), part.column("key").to_numpy()
-                row, _, _, anchor, context = contexts_of(flat, offsets, length)
+                found, done = [], 0
+                for small in slices(part, "text"):
+                    got = contexts_of(*binary_view(small.column("text")), length)
+                    found.append((got[0] + done, got[3], got[4]))
+                    done += small.num_rows
+                row, anchor, context = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
                 out = [{"range": -1, "part": number, "base": 0, "width": 8, "n": len(ids), "anchors": keys.tobytes(), "contexts": b"", "ids": ids.tobytes()}]
                 if len(row):
                     anchor = anchor >> np.uint64(64 - 8 * anchor_width)
@@ -365,7 +373,8 @@ def _dealt(rows: list[dict]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed_texts(docs: DataFrame) -> DataFrame:
-    """(ord, key, z): texts compressed for the way to their answers."""
+    """(ord, key, z[, rest]): texts compressed for the way to their answers."""
+    extra = ["rest"] if "rest" in docs.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -373,9 +382,10 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             z = pa.array([packer.compress(t) for t in batch.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("ord"), batch.column("key"), z], ["ord", "key", "z"])
+            yield pa.RecordBatch.from_arrays([batch.column("ord"), batch.column("key"), z, *(batch.column(c) for c in extra)], ["ord", "key", "z", *extra])
 
-    return map_arrow(docs.select("ord", "key", "text"), run, "ord bigint, key bigint, z binary")
+    rest = "".join(f", rest {docs.schema[c].dataType.simpleString()}" for c in extra)
+    return map_arrow(docs.select("ord", "key", "text", *extra), run, "ord bigint, key bigint, z binary" + rest)
 
 
 def _member(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -387,35 +397,86 @@ def _member(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(wanted[at] == values, at, -1)
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of the unpacked texts of a batch, about a
+    megabyte at a time."""
+    import zstandard
+
+    reader = zstandard.ZstdDecompressor()
+    first, held, size = 0, [], 0
+    for i, z in enumerate(batch.column("z").to_pylist()):
+        held.append(reader.decompress(z))
+        size += len(held[-1])
+        if size >= 1 << 20 or len(held) >= 1 << 15 or i == batch.num_rows - 1:
+            yield first, np.frombuffer(b"".join(held), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in held])])
+            first, held, size = i + 1, [], 0
+
+
+def _named(row: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """A number for a context of a row; rows of a part number below 2**16."""
+    return row.astype(np.uint64) << np.uint64(48) | context
+
+
 def _asked_contexts(rows: DataFrame, length: int) -> DataFrame:
     """(anchor, salt, ord, key, context, bytes) of the contexts asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        reader = zstandard.ZstdDecompressor()
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for i, key, z, asked, salts in zip(*(batch.column(c).to_pylist() for c in ("ord", "key", "z", "asked", "salts")), strict=True):
-                text = reader.decompress(z)
-                _, first, end, anchor, context = contexts_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]), length)
-                at = _member(context, _unpack(asked, 6))
+            ids, keys = batch.column("ord").to_numpy(), batch.column("key").to_numpy()
+            asked, salts = batch.column("asked").to_pylist(), batch.column("salts").to_pylist()
+            for base, flat, offsets in _texts(batch):
+                n = len(offsets) - 1
+                wanted = [_unpack(a, 6) for a in asked[base : base + n]]
+                names = _named(np.repeat(np.arange(n), [len(w) for w in wanted]), np.concatenate(wanted))
+                salt = np.concatenate([_unpack(x, 2) for x in salts[base : base + n]]).astype(np.int32)
+                row, first, end, anchor, context = contexts_of(flat, offsets, length)
+                own = _named(row, context)
+                at = _member(own, names)
                 hit = np.flatnonzero(at >= 0)
-                _, once = np.unique(context[hit], return_index=True)
-                hit = hit[once]
-                salt = _unpack(salts, 2)[at[hit]]
-                out[0] += anchor[hit].view(np.int64).tolist()
-                out[1] += salt.tolist()
-                out[2] += [i] * len(hit)
-                out[3] += [key] * len(hit)
-                out[4] += context[hit].view(np.int64).tolist()
-                out[5] += [text[a:b] for a, b in zip(first[hit].tolist(), end[hit].tolist(), strict=True)]
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["anchor", "salt", "ord", "key", "context", "bytes"])
+                hit = hit[np.unique(own[hit], return_index=True)[1]]
+                who = row[hit] + base
+                sizes = end[hit] - first[hit]
+                ends = np.cumsum(sizes)
+                data = flat[np.arange(sizes.sum()) + np.repeat(first[hit] - (ends - sizes), sizes)]
+                column = pa.Array.from_buffers(pa.binary(), len(hit), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor[hit].view(np.int64)), pa.array(salt[at[hit]]), pa.array(ids[who]), pa.array(keys[who]), pa.array(context[hit].view(np.int64)), column],
+                    ["anchor", "salt", "ord", "key", "context", "bytes"],
+                )
 
     return map_arrow(rows, run, "anchor bigint, salt int, ord bigint, key bigint, context bigint, bytes binary")
 
 
+def _hopeful(anchors: np.ndarray, ids: np.ndarray, contexts: list[bytes], length: int) -> np.ndarray:
+    """Which contexts may share a window with one of another document. A window
+    reaches at least ``half`` bytes to the left or to the right of its anchor's
+    k-gram, so one of the two must agree; a context that holds the k-gram
+    twice is always kept."""
+    gram = min(GRAM, length)
+    half = -(-(length - gram) // 2)
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    stops = np.cumsum(sizes)
+    flat = np.frombuffer(b"".join(contexts), np.uint8)
+    sums = rolling_sums(flat)
+    hashes = mix64((sums[gram:] - sums[:-gram]) * powers(len(flat), INVERSE)[: len(flat) - gram + 1])
+    context = np.repeat(np.arange(len(contexts)), sizes)[: len(hashes)]
+    at = np.flatnonzero((hashes == anchors[context]) & (np.arange(len(hashes)) + gram <= stops[context]))
+    times = np.bincount(context[at], minlength=len(contexts))
+    keep = times != 1
+    at, owner = at[~keep[context[at]]], context[at][~keep[context[at]]]
+    for begin, end in ((at - half, at), (at + gram, at + gram + half)):
+        inside = (begin >= (stops - sizes)[owner]) & (end <= stops[owner])
+        side = span_hashes(flat, begin[inside], end[inside], sums) ^ mix64(anchors[owner[inside]])
+        who = owner[inside]
+        order = np.argsort(side)
+        side, who = side[order], who[order]
+        start = np.flatnonzero(np.concatenate([[True], side[1:] != side[:-1]])) if len(side) else np.empty(0, np.int64)
+        if len(start):
+            low, high = np.minimum.reduceat(ids[who], start), np.maximum.reduceat(ids[who], start)
+            keep[who[np.repeat(low < high, np.diff(np.append(start, len(side))))]] = True
+    return keep
+
+
 def _compare(asked: DataFrame, length: int) -> DataFrame:
     """Repeated windows among the contexts of each (anchor, salt), as (ord,
     key, context, first, last offset); with (h1, h2) set: a window of a cut
@@ -425,7 +486,12 @@ def _compare(asked: DataFrame, length: int) -> DataFrame:
     schema = pa.schema([(n, pa.int64()) for n in names])
 
     def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        anchors = np.array([r[0] for r in rows], np.int64).view(np.uint64)
         ids = np.array([r[2] for r in rows], np.int64)
+        keep = _hopeful(anchors, ids, [r[5] for r in rows], length) | np.array([r[1] > 0 for r in rows])
+        rows, ids = [r for r, k in zip(rows, keep.tolist(), strict=True) if k], ids[keep]
+        if not rows:
+            return
         again, at, head, head_at = repeated_windows([r[5] for r in rows], ids, length)
         out = []
         by = np.lexsort((at, again))
@@ -460,87 +526,127 @@ def _compare(asked: DataFrame, length: int) -> DataFrame:
     return map_arrow(dealt, run, ", ".join(f"{n} bigint" for n in names))
 
 
-def _cut_out(rows: DataFrame, length: int, texts: bool) -> DataFrame:
-    """Remove what the answers cover. ``rows``: (ord, key, z, whole, parts)."""
+def _stays(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets, which bytes stay), some texts at a time, from
+    their answers ``whole`` and ``parts``."""
+    whole, parts = batch.column("whole").to_pylist(), batch.column("parts").to_pylist()
+    for base, flat, offsets in _texts(batch):
+        n = len(offsets) - 1
+        row, first, end, _, context = contexts_of(flat, offsets, length)
+        own = _named(row, context)
+        sure = [np.sort(_unpack(w or b"", 6)) for w in whole[base : base + n]]
+        hit = _member(own, _named(np.repeat(np.arange(n), [len(w) for w in sure]), np.concatenate(sure))) >= 0
+        begin, stop = [first[hit]], [end[hit]]
+        known = np.array([(i, p["context"], p["first"], p["last"]) for i, some in enumerate(parts[base : base + n]) for p in some or ()], np.int64).reshape(-1, 4)
+        if len(known):
+            names = _named(known[:, 0], known[:, 1].view(np.uint64))
+            order = np.argsort(names, kind="stable")
+            known, names = known[order], names[order]
+            low, high = np.searchsorted(names, own, "left"), np.searchsorted(names, own, "right")
+            times = high - low
+            at = np.repeat(np.arange(len(own)), times)
+            which = np.arange(len(at)) + np.repeat(low - (np.cumsum(times) - times), times)
+            begin.append(first[at] + known[which, 2])
+            stop.append(first[at] + known[which, 3] + length)
+        change = np.zeros(len(flat) + 1, np.int32)
+        np.add.at(change, np.concatenate(begin), 1)
+        np.add.at(change, np.concatenate(stop), -1)
+        yield base, flat, offsets, np.cumsum(change[:-1]) == 0
+
+
+def _cut_out(rows: DataFrame, length: int) -> DataFrame:
+    """The digest columns of ``rows``: (ord, key, z, whole, parts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        reader = zstandard.ZstdDecompressor()
         for batch in batches:
-            removed, spans, shas, kept_texts = [], [], [], []
-            for z, whole, parts in zip(*(batch.column(c).to_pylist() for c in ("z", "whole", "parts")), strict=True):
-                text = reader.decompress(z)
-                n = len(text)
-                _, first, end, _, context = contexts_of(np.frombuffer(text, np.uint8), np.array([0, n]), length)
-                hit = _member(context, np.sort(_unpack(whole or b"", 6))) >= 0
-                begin, stop = [first[hit]], [end[hit]]
-                if parts:
-                    known = np.array([(p["context"], p["first"], p["last"]) for p in parts], np.int64)
-                    known = known[np.argsort(known[:, 0], kind="stable")]
-                    low, high = np.searchsorted(known[:, 0], context.view(np.int64), "left"), np.searchsorted(known[:, 0], context.view(np.int64), "right")
-                    times = high - low
-                    at = np.repeat(np.arange(len(context)), times)
-                    which = np.arange(len(at)) + np.repeat(low - (np.cumsum(times) - times), times)
-                    begin.append(first[at] + known[which, 1])
-                    stop.append(first[at] + known[which, 2] + length)
-                change = np.zeros(n + 1, np.int64)
-                np.add.at(change, np.concatenate(begin), 1)
-                np.add.at(change, np.concatenate(stop), -1)
-                gone = np.cumsum(change[:n]) > 0
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                removed.append(n - len(kept))
-                spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
-                shas.append(hashlib.sha256(kept).hexdigest())
-                kept_texts.append(kept if texts else None)
+            removed, spans, shas = [], [], []
+            for _, flat, offsets, stays in _stays(batch, length):
+                for a, b in zip(offsets, offsets[1:], strict=False):
+                    own = stays[a:b]
+                    removed.append(int(b - a - own.sum()))
+                    spans.append(int((~own[:1]).sum() + (own[:-1] & ~own[1:]).sum()))
+                    shas.append(hashlib.sha256(flat[a:b][own].tobytes()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("ord"), batch.column("key"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(shas, pa.string()), pa.array(kept_texts, pa.binary())],
-                ["ord", "key", "removed", "spans", "sha", "kept"],
+                [batch.column("ord"), batch.column("key"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(shas, pa.string())],
+                ["ord", "key", "removed", "spans", "sha"],
             )
 
-    return map_arrow(rows, run, "ord bigint, key bigint, removed bigint, spans bigint, sha string, kept binary")
+    return map_arrow(rows, run, "ord bigint, key bigint, removed bigint, spans bigint, sha string")
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, texts: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row; with
-    ``texts`` also ``kept``, the remaining bytes."""
-    spark = docs.sparkSession
-    source = (
-        docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("ord"), F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-        .withColumn("key", F.xxhash64("text"))
-    )
-    rows = stored(source.select("id", "ord", "key", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha0")), "suffix-rows")
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    firsts = rows.groupBy("sha0").agg(F.min("ord").alias("ord"), F.min("key").alias("key"))
+def _answers(source: DataFrame, total: int, firsts: DataFrame, length: int) -> DataFrame:
+    """(ord, key, whole, parts) of the first of equal texts, where bytes go.
+    ``source``: (ord, key, text); ``firsts``: (ord, key)."""
+    spark = source.sparkSession
     anchors = max(1, total // 16)
     anchor_width = min(7, _width(anchors) + 1 + (anchors.bit_length() % 8 > 4))
-    ranges = max(partitions(spark), -(-anchors * 16 // (24 << 20)))
-    entries = _entries(source.select("ord", "key", "text"), length, int(ranges), anchor_width)
-    dealt = entries.repartition(int(ranges), F.when(F.col("range") >= 0, F.col("range")).otherwise(F.col("part")))
+    ranges = int(max(partitions(spark), -(-anchors * 16 // RANGE_BYTES)))
+    entries = _entries(source, length, ranges, anchor_width)
+    dealt = entries.repartition(ranges, F.when(F.col("range") >= 0, F.col("range")).otherwise(F.col("part")))
     answers = map_arrow(dealt, _answer, _ANSWER_SQL)
     # Only the smallest of equal texts is worked on.
-    todo = stored(_todo(answers).dropDuplicates(["ord", "key"]).join(firsts.select("ord", "key"), ["ord", "key"], "left_semi"), "suffix-todo")
-    packed = _packed_texts(source)
-    asked = packed.join(todo.where(F.octet_length("asked") > 0).select("ord", "key", "asked", "salts"), ["ord", "key"])
+    todo = stored(_todo(answers).dropDuplicates(["ord", "key"]).join(firsts, ["ord", "key"], "left_semi"), "suffix-todo")
+    asked = _packed_texts(source).join(todo.where(F.octet_length("asked") > 0).select("ord", "key", "asked", "salts"), ["ord", "key"])
     found = stored(_compare(_asked_contexts(asked, length), length), "suffix-windows")
     parts = found.where("h1 is null").select("ord", "key", "context", "first", "last")
     cut = found.where("h1 is not null")
     least = cut.groupBy("h1", "h2").agg(F.min("ord").alias("least"), F.count("*").alias("n")).where("n > 1")
     parts = parts.union(cut.join(least, ["h1", "h2"]).where("ord > least").select("ord", "key", "context", "first", "last"))
     listed = parts.groupBy("ord", "key").agg(F.collect_list(F.struct("context", "first", "last")).alias("parts"))  # at most a document's own windows
-    answers_of = todo.select("ord", "key", "whole").join(listed, ["ord", "key"], "left").where((F.octet_length("whole") > 0) | F.col("parts").isNotNull())
-    work = packed.join(answers_of, ["ord", "key"])
-    cuts = stored(_cut_out(work, length, texts).dropDuplicates(["ord", "key"]), "suffix-cuts")
-    first_of = firsts.select("sha0", F.col("ord").alias("first_ord"))
+    return todo.select("ord", "key", "whole").join(listed, ["ord", "key"], "left").where((F.octet_length("whole") > 0) | F.col("parts").isNotNull())
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ord (a null id as the lowest number), key and text as bytes."""
+    ord_ = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("ord")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")
+    return docs.select(ord_, text_of(text_col).alias("text"), others).withColumn("key", F.xxhash64("text"))
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+    source = _source(docs, id_col, text_col)
+    rows = stored(source.select(F.col("rest")[id_col].cast("long").alias("id"), "ord", "key", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha0")), "suffix-rows")
+    total = int(rows.agg(F.sum("n")).first()[0] or 0)
+    firsts = stored(rows.groupBy("sha0").agg(F.min("ord").alias("ord"), F.min("key").alias("key")), "suffix-firsts")
+    work = _packed_texts(source.drop("rest")).join(_answers(source.select("ord", "key", "text"), total, firsts.select("ord", "key"), length), ["ord", "key"])
+    cuts = stored(_cut_out(work, length).dropDuplicates(["ord", "key"]), "suffix-cuts")
     copy = (F.col("ord") > F.col("first_ord")) & (F.col("n") >= length)
     none = F.lit(hashlib.sha256(b"").hexdigest())
-    out = rows.join(stored(first_of, "suffix-firsts"), "sha0").join(cuts, ["ord", "key"], "left")
-    picked = out.select(
+    out = rows.join(firsts.select("sha0", F.col("ord").alias("first_ord")), "sha0").join(cuts, ["ord", "key"], "left")
+    return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_bytes"),
         F.when(copy, F.col("n")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, none).otherwise(F.coalesce("sha", "sha0")).alias("kept_sha256"),
-        *([F.when(copy, F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if texts else []),
     )
-    return picked
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, chars_col: str | None = None) -> DataFrame:
+    """``docs``, all rows and columns, with the text that remains; of a
+    character that a cut leaves in pieces nothing remains. ``chars_col``, if
+    given, is set to the new number of characters."""
+    source = _source(docs, id_col, text_col)
+    rows = stored(source.select("ord", "key", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha0")), "suffix-rows")
+    total = int(rows.agg(F.sum("n")).first()[0] or 0)
+    firsts = stored(rows.groupBy("sha0").agg(F.min("ord").alias("ord"), F.min("key").alias("key")), "suffix-firsts")
+    answers = _answers(source.select("ord", "key", "text"), total, firsts.select("ord", "key"), length).withColumn("gone", F.lit(False))
+    copies = rows.where(F.col("n") >= length).join(firsts.select("sha0", F.col("ord").alias("first_ord")), "sha0").where("ord > first_ord").select("ord", "key").distinct()
+    answers = stored(answers.unionByName(copies.withColumn("gone", F.lit(True)), allowMissingColumns=True), "suffix-answers")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts: list[str] = []
+            gone = batch.column("gone").to_pylist()
+            for base, flat, offsets, stays in _stays(batch, length):
+                for i, (a, b) in enumerate(zip(offsets, offsets[1:], strict=False)):
+                    own = stays[a:b]
+                    kept = flat[a:b] if own.all() else flat[a:b][own]
+                    texts.append("" if gone[base + i] else kept.tobytes().decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(texts, pa.string())], ["rest", "text"])
+
+    joined = _packed_texts(source).join(answers, ["ord", "key"], "left")
+    cleaned = map_arrow(joined.select("z", "whole", "parts", "gone", "rest"), run, f"rest {source.schema['rest'].dataType.simpleString()}, text string")
+    new = {text_col: F.col("text"), **({chars_col: F.char_length("text").cast("long")} if chars_col else {})}
+    return cleaned.select(*[new.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
