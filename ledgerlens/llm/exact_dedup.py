@@ -86,78 +86,108 @@ def build_directory(keys: DataFrame, capacity: int, max_depth: int = 30) -> Dire
     return Directory(done)
 
 
+def _larger(a: int | None, b: int | None) -> bool:
+    return a is not None and (b is None or a > b)
+
+
 def _entries(docs: DataFrame, directory: Directory) -> DataFrame:
-    """One entry per text and map task (or 32 MB): bucket, key, sha, text, rows, largest id."""
+    """One entry per text and map task (or 32 MB): bucket, key, sha, text,
+    rows, largest id; with a column ``rest``, that of the row with that id."""
     shared = docs.sparkSession.sparkContext.broadcast(directory)
+    extra = "rest" in docs.columns
 
-    def out(held: dict) -> pa.RecordBatch:
+    def out(held: dict, rest_type: pa.DataType) -> pa.RecordBatch:
         keys = np.array([k[0] for k in held], np.int64)
         values = list(held.values())
-        return pa.RecordBatch.from_pydict(
-            {
-                "bucket": pa.array(shared.value.bucket(keys), pa.int32()),
-                "key": pa.array(keys),
-                "sha": pa.array([v[0] for v in values], pa.string()),
-                "text": pa.array([k[1] for k in held], pa.binary()),
-                "n": pa.array([v[1] for v in values], pa.int64()),
-                "top": pa.array([v[2] for v in values], pa.int64()),
-            }
-        )
+        columns = {
+            "bucket": pa.array(shared.value.bucket(keys), pa.int32()),
+            "key": pa.array(keys),
+            "sha": pa.array([v[0] for v in values], pa.string()),
+            "text": pa.array([k[1] for k in held], pa.binary()),
+            "n": pa.array([v[1] for v in values], pa.int64()),
+            "top": pa.array([v[2] for v in values], pa.int64()),
+        }
+        if extra:
+            columns["rest"] = pa.array([v[3] for v in values], rest_type)
+        return pa.RecordBatch.from_pydict(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, bytes], list] = {}
-        size = 0
+        size, kind = 0, pa.null()
         for batch in batches:
-            for i, key, sha, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rests = [None] * batch.num_rows
+            if extra:
+                kind, rests = batch.column("rest").type, batch.column("rest").to_pylist()
+            for i, key, sha, text, rest in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "sha", "t")), rests, strict=True):
                 node = held.get((key, text))
                 if node is None:
-                    held[key, text] = [sha, 1, i]
+                    held[key, text] = [sha, 1, i, rest]
                     size += len(text)
                 else:
                     node[1] += 1
-                    if node[2] is None or (i is not None and i > node[2]):
-                        node[2] = i
+                    if _larger(i, node[2]):
+                        node[2:] = i, rest
                 if size >= FOLD_BYTES:
-                    yield out(held)
+                    yield out(held, kind)
                     held, size = {}, 0
         if held:
-            yield out(held)
+            yield out(held, kind)
 
-    return map_arrow(docs, run, "bucket int, key bigint, sha string, text binary, n bigint, top bigint")
+    kinds = "bucket int, key bigint, sha string, text binary, n bigint, top bigint"
+    return map_arrow(docs, run, kinds + (f", rest {docs.schema['rest'].dataType.simpleString()}" if extra else ""))
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chains of one owner; its entries come in key order."""
-    done: list[tuple] = []
-    key, chain = None, []
+    for nodes, _ in _chains(batches):
+        cols = list(zip(*((n[0], n[1], n[3], n[4]) for n in nodes), strict=True))
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["key", "sha", "group_size", "keep_id"])
 
-    def close() -> None:
-        done.extend((key, sha, n, top) for sha, _, n, top in chain)
 
-    def out() -> pa.RecordBatch:
-        cols = list(zip(*done, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["key", "sha", "group_size", "keep_id"])
+def _own_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As above, but the kept rows themselves: (rest, text)."""
+    for nodes, kind in _chains(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([n[5] for n in nodes], kind), pa.array([n[2] for n in nodes], pa.binary())], ["rest", "text"])
 
+
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[list], pa.DataType]]:
+    """Closed nodes [key, sha, text, rows, largest id, rest], some at a time."""
+    done: list[list] = []
+    chain: list[list] = []
+    size, key, kind = 0, None, pa.null()
     for batch in batches:
-        for k, sha, text, n, top in zip(*(batch.column(c).to_pylist() for c in ("key", "sha", "text", "n", "top")), strict=True):
+        extra = "rest" in batch.schema.names
+        kind = batch.column("rest").type if extra else kind
+        rests = batch.column("rest").to_pylist() if extra else [None] * batch.num_rows
+        for k, sha, text, n, top, rest in zip(*(batch.column(c).to_pylist() for c in ("key", "sha", "text", "n", "top")), rests, strict=True):
             if k != key:
-                close()
+                done += chain
                 key, chain = k, []
-                if len(done) >= 20_000:
-                    yield out()
-                    done.clear()
+                if size >= FOLD_BYTES // 4:
+                    yield done, kind
+                    done, size = [], 0
             for node in chain:
-                if node[1] == text:  # same bytes: a copy
-                    node[2] += n
-                    node[3] = top if node[3] is None else node[3] if top is None else max(node[3], top)
+                if node[2] == text:  # same bytes: a copy
+                    node[3] += n
+                    if _larger(top, node[4]):
+                        node[4:] = top, rest
                     break
             else:
-                if any(node[0] == sha for node in chain):
+                if any(node[1] == sha for node in chain):
                     raise ValueError(f"different texts with the digest {sha}")
-                chain.append([sha, text, n, top])
-    close()
+                chain.append([k, sha, text, n, top, rest])
+                size += len(text) + 200
+    done += chain
     if done:
-        yield out()
+        yield done, kind
+
+
+def _owned_entries(rows: DataFrame, keys: DataFrame, capacity: int) -> DataFrame:
+    """The entries of ``rows`` (id, key, sha, t[, rest]) with their owners, in key order."""
+    directory = build_directory(keys, capacity)
+    owners = max(partitions(rows.sparkSession), len(directory.buckets))
+    return _entries(rows, directory).repartition(owners, "bucket").sortWithinPartitions("key", "sha")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 32 << 20) -> DataFrame:
@@ -170,10 +200,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "exact-rows",
     )
     keys = rows.groupBy("key").agg(F.max("bytes").alias("bytes"))
-    directory = build_directory(keys, capacity)
-    owners = max(partitions(docs.sparkSession), len(directory.buckets))
-    entries = _entries(docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t")).select("id", F.xxhash64("t").alias("key"), F.sha2("t", 256).alias("sha"), "t"), directory)
-    owned = entries.repartition(owners, "bucket").sortWithinPartitions("key", "sha")
+    whole = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t")).select("id", F.xxhash64("t").alias("key"), F.sha2("t", 256).alias("sha"), "t")
+    owned = _owned_entries(whole, keys, capacity)
     index = stored(map_arrow(owned, _own, "key bigint, sha string, group_size bigint, keep_id bigint"), "exact-index")
     # Dealt by (sha, id), which the join's partitioning does not satisfy: the join stays free to be split.
     again = Window.partitionBy("sha", "id").orderBy("rid")
@@ -188,3 +216,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.col("sha").alias("text_sha256"),
         )
     )
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 32 << 20) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns: of equal texts the one with
+    the largest id. The owners that compare the bytes hand the rows on, so the
+    texts travel once. A null text that stays is empty."""
+    others = [c for c in docs.columns if c != text_col]
+    whole = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")).select(
+        "id", F.xxhash64("t").alias("key"), F.sha2("t", 256).alias("sha"), "t", "rest"
+    )
+    keys = docs.select(text_of(text_col).alias("t")).select(F.xxhash64("t").alias("key"), F.octet_length("t").cast("long").alias("bytes")).groupBy("key").agg(F.max("bytes").alias("bytes"))
+    kept = map_arrow(_owned_entries(whole, keys, capacity), _own_rows, f"rest {whole.schema['rest'].dataType.simpleString()}, text binary")
+    return kept.select(*[F.col("text").cast("string").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])

@@ -50,7 +50,7 @@ MINHASHES, LEADERS = 3, 12
 #: Documents of one bucket or group handled together.
 BLOCK = 2048
 #: Bytes of tokens in one token range.
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 8 << 20
 
 _BLANK = blank_table()
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
@@ -464,8 +464,9 @@ def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
     return askers.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id) of every row."""
+def _components(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
+    """(rid, id, key, n, component) of every row of ``docs``; ``component`` is
+    the class representative that names the component, null for empty sets."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
     size = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     passed = stored(_first_pass(source.select("id", "key", "text"), threshold, int(size) // 6), "join-rows")
@@ -495,9 +496,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         open_ = stored(open_.join(still, "grp", "left_semi"), "join-open")
     across = stored(_open_groups(open_, threshold), "join-across")
     found = connected_components(links.union(across)).withColumnRenamed("node", "rid")
-    named = classes.join(found, "rid", "left").select("fp1", "fp2", F.col("id").alias("own"), F.coalesce("component", "rid").alias("component"))
-    names = named.groupBy("component").agg(F.min("own").alias("component_id"))
-    of_class = stored(named.join(names, "component").select("fp1", "fp2", "component_id"), "join-names")
-    return rows.select("id", "n", "fp1", "fp2").join(of_class, ["fp1", "fp2"], "left").select(
+    named = stored(classes.join(found, "rid", "left").select("fp1", "fp2", F.col("id").alias("own"), F.coalesce("component", "rid").alias("component")), "join-named")
+    return rows.select("rid", "id", "key", "n", "fp1", "fp2").join(named, ["fp1", "fp2"], "left").drop("fp1", "fp2")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
+    """(id, n_shingles, component_id) of every row."""
+    rows = stored(_components(docs, id_col, text_col, threshold), "join-components")
+    names = stored(rows.where("component is not null").groupBy("component").agg(F.min("own").alias("component_id")), "join-names")
+    return rows.join(names, "component", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
     )
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns: of each component the row
+    with the smallest id (null ids last), of rows repeated with one id that
+    with the smallest text hash. Rows with an empty set stay."""
+    rows = stored(_components(docs, id_col, text_col, threshold), "join-components").where("component is not null")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    kept = stored(rows.groupBy("component").agg(F.min(order).alias("best")), "join-kept")
+    lost = stored(rows.join(kept, "component").where(order > F.col("best")).select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct(), "join-lost")
+    return docs.join(lost, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(text_col)) == F.col("__key")), "left_anti")

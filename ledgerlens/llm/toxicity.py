@@ -253,6 +253,23 @@ def _score(m: Model, part: pa.RecordBatch) -> np.ndarray:
     return m.scores(none, none, part.num_rows) if len(m.keys) else np.full(part.num_rows, 1.0 / (1.0 + math.exp(-m.w0)) if m.w0 > -35 else 0.0)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` that the model, learned from them and ``labels``,
+    does not call toxic; all columns."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, **settings)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "__text"):
+                kept = part.filter(pa.array(_score(shared.value, part) < 0.5))
+                yield pa.RecordBatch.from_arrays(kept.columns[: len(names)], names)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_arrow(docs.withColumn("__text", text_of(text_col)), run, kinds)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """(id, held_out, score, predicted) of every row of ``docs``."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col, **settings)
