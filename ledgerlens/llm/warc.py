@@ -6,9 +6,8 @@ after it is one Zstandard frame compressed with that dictionary, so a record
 can be read alone given its offset.
 
 Writing: payload digests are computed in the scan; groups of equal payloads
-keep their largest page_id (ties between repeated rows: the first row) as the
-``response``, all others become ``revisit`` records that refer to it. Only
-groups of two or more are joined back. Each task writes its own files below
+keep their largest page_id as the ``response``, all others become ``revisit``
+records that refer to it. Only groups of two or more are joined back. Each task writes its own files below
 the shared folder, with names no other attempt uses, and returns a manifest
 row per file; the manifest is written by Spark, so files of failed attempts
 are never read. Reading: manifest rows are dealt out to tasks, which stream
@@ -16,8 +15,8 @@ one record at a time.
 
 Defined cases: a null payload is empty; a null url gives a record without
 WARC-Target-URI; a null page_id gives a record without an id, sorts below all
-others and is read back as null; repeated rows give repeated records; an
-empty table gives no files.
+others and is read back as null; rows repeated with the largest page_id of
+their group are all responses; an empty table gives no files.
 """
 
 from __future__ import annotations
@@ -136,7 +135,7 @@ class Writer:
 
         dictionary = _dictionary(self.held, DICTIONARY_BYTES)
         self.name = f"part-{uuid.uuid4().hex}.warc.zst"
-        self.out = self.fs.open_output_stream(f"{self.root}/{self.name}")
+        self.out = self.fs.open_output_stream(f"{self.root}/{self.name}", compression=None)
         self.out.write(struct.pack("<II", SKIPPABLE_MAGIC, len(dictionary)) + dictionary)
         self.size, self.n = 8 + len(dictionary), 0
         trained = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
@@ -168,7 +167,7 @@ def read_file(uri: str, chunk: int = 1 << 20) -> Iterator[bytes]:
     from pyarrow import fs
 
     filesystem, path = fs.FileSystem.from_uri(uri)
-    with filesystem.open_input_stream(path) as stream:
+    with filesystem.open_input_stream(path, compression=None) as stream:
         magic, length = struct.unpack("<II", stream.read(8))
         if magic != SKIPPABLE_MAGIC:
             raise ValueError(f"{uri}: no dictionary frame in front")
@@ -191,13 +190,11 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
     """Write a record per row of ``pages`` (page_id, url, html) below
     ``folder``; the manifest (path, n_records, file_bytes) is returned."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), text_of("html").alias("payload")).withColumn("sha", F.sha1("payload"))
-    rows = rows.withColumn("rid", F.monotonically_increasing_id())
     big = rows.where(F.octet_length("payload") >= min_bytes)
-    # The kept row of a group: largest page_id, of repeated rows the first.
-    groups = big.groupBy("sha").agg(F.max(F.struct("page_id", (-F.col("rid")).alias("back"))).alias("keep"), F.count("*").alias("n"))
-    copies = stored(groups.where("n > 1").select("sha", F.col("keep.page_id").alias("keep_id"), (-F.col("keep.back")).alias("keep_rid")), "warc-copies")
+    groups = big.groupBy("sha").agg(F.max("page_id").alias("keep_id"), F.count("*").alias("n"))
+    copies = stored(groups.where("n > 1").select("sha", "keep_id", F.lit(True).alias("copied")), "warc-copies")
     marked = rows.join(copies, "sha", "left").select(
-        "page_id", "url", "sha", "payload", "keep_id", (F.col("keep_rid").isNotNull() & (F.col("rid") != F.col("keep_rid"))).alias("revisit")
+        "page_id", "url", "sha", "payload", "keep_id", (F.col("copied").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep_id"))).alias("revisit")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
