@@ -173,16 +173,16 @@ def read_file(uri: str, chunk: int = 1 << 20) -> Iterator[bytes]:
             raise ValueError(f"{uri}: no dictionary frame in front")
         dictionary = stream.read(length)
         reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        frame, parts, data = reader.decompressobj(), [], stream.read(chunk)
+        frame, parts, data, begun = reader.decompressobj(), [], stream.read(chunk), False
         while data:
             parts.append(frame.decompress(data))
-            data = b""
+            data, begun = b"", True
             if frame.eof:
                 yield b"".join(parts)
-                data, parts = frame.unused_data, []
+                data, parts, begun = frame.unused_data, [], False
                 frame = reader.decompressobj()
             data = data or stream.read(chunk)
-        if parts and any(parts):
+        if begun:
             raise ValueError(f"{uri}: the last record is cut off")
 
 
