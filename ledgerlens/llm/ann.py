@@ -10,10 +10,11 @@ are found among all rows, and the number of leaf visits is widened by a
 quarter until at least ``recall`` of them lie in visited leaves (all leaves, in
 the worst case).
 
-Rows of a leaf are cut into blocks, and the queries that visit a leaf too, by
-counts per leaf; a task compares one block of rows with one block of queries
-and keeps the nearest ``k`` of each query, so a leaf that holds a third of all
-rows (equal vectors cannot be split) is spread over many tasks.
+Rows lie in blocks of a few thousand: small neighbouring leaves share one, a
+large leaf is cut into several. A query is compared with the blocks that hold
+its leaves, and the nearest ``k`` of each block go on; so a leaf that holds a
+third of all rows (equal vectors cannot be split) is spread over many tasks.
+The queries of a block are cut into turns likewise.
 
 Distances are Euclidean, in double precision, on the original vectors.
 Defined cases: vectors that are null, empty or zero, that hold null or
@@ -216,20 +217,50 @@ def _routed(rows: DataFrame, tree: Tree) -> DataFrame:
     return map_arrow(rows, run, f"{kinds}, leaf int")
 
 
-def _visits(queries: DataFrame, tree: Tree, most: int) -> DataFrame:
-    shared = queries.sparkSession.sparkContext.broadcast(tree)
+def _visits(queries: DataFrame, tree: Tree, most: int, blocks: Blocks) -> DataFrame:
+    """(id, v, block): the blocks of rows that hold a query's leaves."""
+    shared = queries.sparkSession.sparkContext.broadcast((tree, blocks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk, at = shared.value
         for batch in batches:
-            leaves = [shared.value.visit(q, most) for q in matrix(batch.column("v"))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], ["id", "v", "leaves"])
+            found = [np.unique(np.concatenate([np.arange(at.first[n], at.first[n] + at.parts[n]) for n in walk.visit(q, most)])) for q in matrix(batch.column("v"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], ["id", "v", "blocks"])
 
-    return map_arrow(queries, run, "id bigint, v array<double>, leaves array<int>").select("id", "v", F.explode("leaves").alias("leaf"))
+    return map_arrow(queries, run, "id bigint, v array<double>, blocks array<bigint>").select("id", "v", F.explode("blocks").alias("block"))
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """(leaf, n): into how many blocks the rows of each leaf are cut."""
-    return rows.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+class Blocks:
+    """Where the rows of each leaf are: neighbouring leaves share a block while
+    it has at most ``BLOCK`` rows, a larger leaf is cut into several."""
+
+    def __init__(self, counts: dict[int, int], leaves: int):
+        self.first, self.parts = np.zeros(leaves, np.int64), np.ones(leaves, np.int64)
+        block, held = 0, 0
+        for leaf in range(leaves):
+            n = counts.get(leaf, 0)
+            if held and held + n > BLOCK:
+                block, held = block + 1, 0
+            self.first[leaf] = block
+            if n > BLOCK:
+                self.parts[leaf] = -(-n // BLOCK)
+                block, held = block + int(self.parts[leaf]), 0
+            else:
+                held += n
+
+
+def _placed(index: DataFrame, blocks: Blocks) -> DataFrame:
+    """(block, id, v) of every row."""
+    shared = index.sparkSession.sparkContext.broadcast(blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = shared.value
+        for batch in batches:
+            leaf, own = batch.column("leaf").to_numpy(), batch.column("hash").to_numpy()
+            block = at.first[leaf] + own % at.parts[leaf]
+            yield pa.RecordBatch.from_arrays([pa.array(block), batch.column("id"), batch.column("v")], ["block", "id", "v"])
+
+    return map_arrow(index.withColumn("hash", F.xxhash64("id")), run, "block bigint, id bigint, v array<double>")
 
 
 def ann_search(
@@ -259,18 +290,13 @@ def ann_search(
     index = stored(_routed(rows, tree), "ann-index")
     queries = stored(rows.where(is_query).dropDuplicates(["id"]), "ann-queries")
     visits, _ = calibrate(tree, rows, queries, k, recall, calibration)
-    asked = stored(_visits(queries, tree, visits), "ann-visits")
-    # At most one row per leaf each, and the tree bounds the leaves.
-    row_blocks = F.broadcast(_blocks(index).withColumnRenamed("n", "n_rows"))
-    query_blocks = F.broadcast(_blocks(asked).withColumnRenamed("n", "n_queries"))
-
-    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
-        """Each row in its own block, once for every block of the other side."""
-        both = side.join(row_blocks, "leaf").join(query_blocks, "leaf")
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
-        out = both.withColumn("mine", mine).withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        names = ("mine", "theirs") if own == "n_rows" else ("theirs", "mine")
-        return out.select("leaf", F.col(names[0]).alias("rb"), F.col(names[1]).alias("qb"), "id", "v")
+    counts = {r.leaf: r.n for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # the tree bounds the leaves
+    blocks = Blocks(counts, tree.leaves)
+    asked = stored(_visits(queries, tree, visits, blocks), "ann-visits")
+    # A block that more than BLOCK queries visit is compared in several turns.
+    turns = stored(asked.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns")), "ann-turns")
+    askers = asked.join(turns, "block").select("block", F.pmod(F.xxhash64("id"), "turns").cast("int").alias("turn"), "id", "v")
+    held = _placed(index, blocks).join(turns, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "id", "v")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -281,6 +307,5 @@ def ann_search(
         return _found([(int(i), *nearest(ids, x, i, q, k)) for i, q in zip(asked_ids, vectors, strict=True)])
 
     ship(spark)
-    keys = ["leaf", "rb", "qb"]
-    pairs = dealt(asked, "n_queries", "n_rows").groupBy(*keys).cogroup(dealt(index, "n_rows", "n_queries").groupBy(*keys))
+    pairs = askers.groupBy("block", "turn").cogroup(held.groupBy("block", "turn"))
     return _top(pairs.applyInArrow(compare, _FOUND), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
