@@ -46,7 +46,7 @@ from .components import connected_components
 
 WIDTH = 5
 #: Min-hashes per set, and leaders that a bucket compares its documents with.
-MINHASHES, LEADERS = 3, 12
+MINHASHES, LEADERS = 4, 12
 #: Documents of one bucket or group handled together.
 BLOCK = 2048
 #: Bytes of tokens in one token range.
@@ -125,8 +125,9 @@ _SENT = pa.schema(
     + [("minhash", pa.list_(pa.int64()))]
 )
 _SENT_SQL = "range int, part bigint, width int, tokens binary, units binary, names binary, rid bigint, id bigint, key bigint, n bigint, fp1 bigint, fp2 bigint, minhash array<bigint>"
-_COUNTED = pa.schema([("unit", pa.int64()), ("shared", pa.int64())] + list(_SENT)[6:] + [("part", pa.int64())])
-_COUNTED_SQL = "unit bigint, shared bigint, rid bigint, id bigint, key bigint, n bigint, fp1 bigint, fp2 bigint, minhash array<bigint>, part bigint"
+#: What owners return: packed counts of a batch's units, or a row's own columns.
+_COUNTED = pa.schema([("part", pa.int64()), ("units", pa.binary()), ("counts", pa.binary())] + list(_SENT)[6:])
+_COUNTED_SQL = "part bigint, units binary, counts binary, rid bigint, id bigint, key bigint, n bigint, fp1 bigint, fp2 bigint, minhash array<bigint>"
 
 
 def token_width(tokens: int) -> int:
@@ -177,12 +178,11 @@ def _count(grouped: bool):
         for batch in batches:
             own = batch.filter(pc.equal(batch.column("range"), -2))
             if own.num_rows:
-                none = pa.nulls(own.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, *(own.column(c) for c in _COUNTED.names[2:-1]), none], schema=_COUNTED)
+                yield pa.RecordBatch.from_arrays([pa.nulls(own.num_rows, f.type) if k < 3 else own.column(f.name) for k, f in enumerate(_COUNTED)], schema=_COUNTED)
             for row in batch.filter(pc.greater(batch.column("range"), -2)).select(_SENT.names[:6]).to_pylist():
                 names = np.frombuffer(row["names"], np.int64)
                 if row["range"] < 0:
-                    yield _counted(names, np.frombuffer(row["tokens"], np.int64), np.full(len(names), row["part"]))
+                    yield from _counted(names, np.frombuffer(row["tokens"], np.int64), np.full(len(names), row["part"]))
                     continue
                 wide = np.zeros((len(row["tokens"]) // row["width"], 8), np.uint8)
                 wide[:, : row["width"]] = np.frombuffer(row["tokens"], np.uint8).reshape(-1, row["width"])
@@ -206,19 +206,46 @@ def _count(grouped: bool):
         else:
             units_of = np.bincount(group)
         hit = (units_of > 1)[group] & (u != -1)
-        if grouped:
-            keys, n = np.unique(np.stack([u[hit], p[hit]], 1), axis=0, return_counts=True) if hit.any() else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
-            yield _counted(keys[:, 0], n, keys[:, 1])
-        else:
-            keys, n = np.unique(u[hit], return_counts=True)
-            yield _counted(keys, n, np.zeros(len(keys), np.int64))
+        if hit.any():
+            keys, n = np.unique(np.stack([p[hit], u[hit]], 1), axis=0, return_counts=True)
+            yield from _counted(keys[:, 1], n, keys[:, 0])
 
     return run
 
 
-def _counted(unit: np.ndarray, n: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
-    none = pa.nulls(len(unit), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(unit.astype(np.int64)), pa.array(n.astype(np.int64)), *[none] * 6, pa.nulls(len(unit), pa.list_(pa.int64())), pa.array(part.astype(np.int64))], schema=_COUNTED)
+def _counted(unit: np.ndarray, n: np.ndarray, part: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row per batch that sent entries (``part`` in order)."""
+    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.empty(0, np.int64)
+    rows = [
+        {"part": int(part[i]), "units": unit[i:j].astype(np.int64).tobytes(), "counts": n[i:j].astype(np.int32).tobytes()} for i, j in zip(cuts, cuts[1:], strict=False)
+    ]
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, _COUNTED)
+
+
+def _summed(counted: DataFrame) -> DataFrame:
+    """(unit, shared) per unit and batch, from the packed counts."""
+    dealt = counted.where("part is not null").select("part", "units", "counts").repartition(partitions(counted.sparkSession), "part").sortWithinPartitions("part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, units, counts = None, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if units:
+                names, at = np.unique(np.concatenate(units), return_inverse=True)
+                n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], ["unit", "shared"])
+
+        for batch in batches:
+            for k, u, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != part:
+                    yield from close()
+                    part, units, counts = k, [], []
+                units.append(np.frombuffer(u, np.int64))
+                counts.append(np.frombuffer(n, np.int32))
+        yield from close()
+
+    return map_arrow(dealt, run, "unit bigint, shared bigint")
 
 
 def _owned(sent: DataFrame, ranges: int, grouped: bool) -> DataFrame:
@@ -233,7 +260,7 @@ def _ranges(spark, tokens: int) -> int:
 
 def _first_pass(docs: DataFrame, threshold: int, tokens: int) -> DataFrame:
     """The table of rows (rid, id, key, size, set fingerprint, min-hashes) and,
-    as rows with ``unit`` set, how many of a row's first tokens other rows hold."""
+    as rows with ``part`` set, how many of a row's first tokens other rows hold."""
     ranges, width = _ranges(docs.sparkSession, tokens * 3 // 10), token_width(tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,8 +322,7 @@ def _overlap_of_groups(sets: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(out, _SENT)
                 turn += 1
 
-    found = _owned(map_arrow(sets.select("grp", "tokens"), run, _SENT_SQL), ranges, grouped=True)
-    per_batch = found.groupBy("unit", "part").agg(F.sum("shared").alias("shared"))
+    per_batch = _summed(_owned(map_arrow(sets.select("grp", "tokens"), run, _SENT_SQL), ranges, grouped=True))
     return per_batch.groupBy(F.col("unit").alias("grp")).agg(F.max("shared").alias("shared"))
 
 
@@ -318,7 +344,8 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(rid, n, minhash, tokens): the full sets, packed."""
+    """(rid, n, minhash, alone, tokens): the full sets, packed."""
+    names = ["rid", "n", "minhash", "alone"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -326,13 +353,13 @@ def _sets(docs: DataFrame) -> DataFrame:
         reader = zstandard.ZstdDecompressor()
         for batch in batches:
             texts = pa.array([reader.decompress(z) for z in batch.column("z").to_pylist()], pa.binary())
-            whole = pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("n"), batch.column("minhash"), texts], ["rid", "n", "minhash", "text"])
+            whole = pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), texts], [*names, "text"])
             for part in slices(whole, "text"):
                 tokens, at = shingle_sets(part, "text")
                 packed = pa.array([tokens[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], packed], ["rid", "n", "minhash", "tokens"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], packed], [*names, "tokens"])
 
-    return map_arrow(docs, run, "rid bigint, n bigint, minhash array<bigint>, tokens binary")
+    return map_arrow(docs, run, "rid bigint, n bigint, minhash array<bigint>, alone bigint, tokens binary")
 
 
 # --- groups ----------------------------------------------------------------
@@ -340,7 +367,8 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def _lead(rows: DataFrame, threshold: int) -> DataFrame:
     """Links found inside buckets. ``rows``: (bucket, rid, tokens), a bucket's
-    rows side by side; each is compared with the bucket's first unlike ones."""
+    rows side by side, those from the middle of a family first; each is
+    compared with the bucket's first unlike ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, leaders = None, []
@@ -366,22 +394,23 @@ def _lead(rows: DataFrame, threshold: int) -> DataFrame:
 
 def _groups(sets: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(links, moved): verified links, and (rid, grp) of every set whose group
-    has another name than itself. Where adaptive execution splits a common
-    bucket over tasks, its parts are only linked later, as different groups."""
+    has another name than itself."""
     links = moved = None
     for r in range(MINHASHES):
         bucket = F.col("minhash")[r].alias("bucket")
         if links is None:
             sizes = stored(sets.groupBy(bucket).agg(F.count("*").alias("size")).where("size > 1").select("bucket"), "join-buckets")
-            rows = sets.select(bucket, "rid", "tokens").join(sizes, "bucket")
+            rows = sets.select(bucket, "rid", F.col("alone").alias("order"), "tokens").join(sizes, "bucket")
         else:
-            # One member per group and bucket is enough: the others are connected to it already.
-            hashed = sets.select("rid", bucket).join(moved, "rid", "left").select("rid", "bucket", F.coalesce("grp", "rid").alias("grp"))
-            members = hashed.groupBy("bucket", "grp").agg(F.min("rid").alias("rid"))
+            # One member per group and bucket stands for the others, the one that most are linked to.
+            degree = links.groupBy(F.col("a").alias("rid")).agg((-F.count("*")).alias("order"))
+            hashed = sets.select("rid", bucket).join(moved, "rid", "left").join(degree, "rid", "left").select("rid", "bucket", F.coalesce("grp", "rid").alias("grp"), F.coalesce("order", F.lit(0)).alias("order"))
+            members = hashed.groupBy("bucket", "grp").agg(F.min(F.struct("order", "rid")).alias("best")).select("bucket", "grp", F.col("best.rid").alias("rid"), F.col("best.order").alias("order"))
             several = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-            placed = stored(members.join(several, "bucket").select("rid", "bucket"), "join-placed")
-            rows = sets.select("rid", "tokens").join(placed, "rid").repartition(partitions(sets.sparkSession), "bucket")
-        new = stored(_lead(rows.sortWithinPartitions("bucket"), threshold), "join-links")
+            placed = stored(members.join(several, "bucket").select("rid", "bucket", "order"), "join-placed")
+            rows = sets.select("rid", "tokens").join(placed, "rid")
+        dealt = rows.repartition(partitions(sets.sparkSession), "bucket").sortWithinPartitions("bucket", "order", "rid")
+        new = stored(_lead(dealt, threshold), "join-links")
         links = new if links is None else stored(links.union(new), "join-links")
         found = connected_components(links)
         moved = stored(found.where("node <> component").select(F.col("node").alias("rid"), F.col("component").alias("grp")), "join-moved")
@@ -442,12 +471,19 @@ def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
     enough = F.ceil(F.col("n") * threshold / 100).cast("long")
     ranked = shared.withColumn("k", F.count("*").over(by_doc)).withColumn("nth", F.row_number().over(by_doc.orderBy("df", "token")))
     # Similar documents share one of their first n - enough + 1 tokens, those of no other group being the very first.
-    first = stored(ranked.where(F.col("nth") <= F.col("k") - enough + 1).select("rid", "grp", "n", "token"), "join-first")
-    matrix = first.select("token", F.col("grp").alias("other")).distinct()
-    maybe = first.join(matrix, "token").where("other <> grp").select("rid", "n", "other").distinct()
-    sizes = sets.groupBy(F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    first = stored(ranked.where(F.col("nth") <= F.col("k") - enough + 1).select("rid", "grp", "n", "k", "token"), "join-first")
+    # Similar sets a, b overlap in at least t / (100 + t) of |a| + |b| tokens, and in at most k of either: so
+    # (100 + t) * k - t * n of the one must reach t times the other's size, both ways.
+    room = F.col("k") * (100 + threshold) - F.col("n") * threshold
+    sizes = stored(sets.groupBy("grp").agg(F.count("*").alias("members")), "join-sizes")
+    first = first.join(sizes, "grp")
+    matrix = first.groupBy("token", F.col("grp").alias("other"), F.col("members").alias("others")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(room).alias("most"))
     fits = (F.col("n") * 100 >= F.col("low") * threshold) & (F.col("high") * 100 >= F.col("n") * threshold)
-    asked = stored(maybe.join(sizes, "other").where(fits).select("rid", "other", "blocks"), "join-asked")
+    fits = fits & (room >= F.col("low") * threshold) & (F.col("most") >= F.col("n") * threshold)
+    # Of two groups the smaller one asks: its few members meet the larger one's matrix.
+    asks = F.struct("members", "grp") < F.struct("others", "other")
+    maybe = first.join(matrix, "token").where(asks & fits).select("rid", "other", "others").distinct()
+    asked = stored(maybe.select("rid", "other", F.ceil(F.col("others") / BLOCK).cast("int").alias("blocks")), "join-asked")
     # Members and askers of a group are both cut into blocks; every pair of blocks meets once.
     turns = stored(asked.groupBy("other").agg(F.max("blocks").alias("blocks"), F.ceil(F.count("*") / BLOCK).cast("int").alias("turns")), "join-turns")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -471,7 +507,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, threshold: int) ->
     size = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     passed = stored(_first_pass(source.select("id", "key", "text"), threshold, int(size) // 6), "join-rows")
     rows = passed.where("rid is not null").select("rid", "id", "key", "n", "fp1", "fp2", "minhash")
-    counted = passed.where("unit is not null").groupBy(F.col("unit").alias("rid")).agg(F.sum("shared").alias("shared"))
+    counted = _summed(passed).withColumnRenamed("unit", "rid")
     classes = stored(
         rows.where("n > 0")
         .groupBy("fp1", "fp2")
@@ -481,9 +517,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, threshold: int) ->
     )
     # Step 2: rows that share enough of their first tokens with any other row.
     live = rows.select("rid", "n", "minhash").join(counted, "rid").where(F.col("shared") >= F.greatest(F.lit(1), F.ceil(F.col("n") * threshold / 1000)))
+    # How many of its first tokens a row holds alone: few in the middle of a family of near copies.
+    first = F.col("n") - F.ceil(F.col("n") * threshold / 100) + F.greatest(F.lit(1), F.ceil(F.col("n") / 10))
+    live = live.withColumn("alone", (first - F.col("shared")).cast("long"))
     # A class goes on if its representative is live; equal sets have equal counts.
-    left = stored(classes.select("rid", F.col("id").alias("want"), F.col("key").alias("want_key")).join(live.select("rid", "n", "minhash"), "rid"), "join-live")
-    texts = _packed_texts(source).join(left, (F.col("key") == F.col("want_key")) & F.col("id").eqNullSafe(F.col("want"))).select("rid", "n", "minhash", "z")
+    left = stored(classes.select("rid", F.col("id").alias("want"), F.col("key").alias("want_key")).join(live.select("rid", "n", "minhash", "alone"), "rid"), "join-live")
+    texts = _packed_texts(source).join(left, (F.col("key") == F.col("want_key")) & F.col("id").eqNullSafe(F.col("want"))).select("rid", "n", "minhash", "alone", "z")
     sets = stored(_sets(texts), "join-sets")
     if sets.count() > left.count():  # rows repeated with id and text
         sets = stored(sets.dropDuplicates(["rid"]), "join-sets")
