@@ -43,10 +43,28 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def _release() -> None:
+    """Give back what a task has freed: Python workers live on and are reused."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        return
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the executors."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return df.mapInArrow(task, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

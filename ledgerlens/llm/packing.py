@@ -151,6 +151,16 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
 # --- tokenising ------------------------------------------------------------
 
 
+@lru_cache(maxsize=2)
+def _own(path: str):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(path)
+    own.no_truncation()
+    own.no_padding()
+    return own
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     """bytes -> token ids of a byte-level BPE file. The file's vocabulary and
@@ -161,11 +171,7 @@ def _encoder(path: str):
     import re
 
     import tiktoken
-    from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(path)
-    own.no_truncation()
-    own.no_padding()
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     # The byte of each character of the vocabulary file: printable bytes stand for themselves.
@@ -181,7 +187,7 @@ def _encoder(path: str):
 
     def encode(text: str) -> np.ndarray:
         if unusual.search(text):
-            return np.array(own.encode(text, add_special_tokens=False).ids, "<u4")
+            return np.array(_own(path).encode(text, add_special_tokens=False).ids, "<u4")
         return fast.encode_to_numpy(text).astype("<u4", copy=False)
 
     return encode
