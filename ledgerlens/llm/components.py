@@ -22,11 +22,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Large star: over both directions, u's neighbours above u go to the smallest of u and its neighbours.
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: u and its neighbours below u go to the smallest of them.
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lowest.select("u", F.col("m").alias("v"))).distinct()
-        now = stored(small, "cc")
+        small = large.join(lowest, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        now = stored(small.distinct(), "cc")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if before == state:
             break

@@ -46,7 +46,7 @@ from .components import connected_components
 
 WIDTH = 5
 #: Min-hashes per set, and leaders that a bucket compares its documents with.
-MINHASHES, LEADERS = 4, 12
+MINHASHES, LEADERS = 2, 12
 #: Documents of one bucket or group handled together.
 BLOCK = 2048
 #: Bytes of tokens in one token range.
@@ -528,11 +528,10 @@ def _components(docs: DataFrame, id_col: str, text_col: str, threshold: int) ->
         sets = stored(sets.dropDuplicates(["rid"]), "join-sets")
     links, moved = _groups(sets, threshold)
     open_ = sets.select("rid", "n", "tokens").join(moved, "rid", "left").select("rid", F.coalesce("grp", "rid").alias("grp"), "n", "tokens")
-    # Step 4: groups that overlap all other groups too little are closed; the rest once more, among themselves.
-    for _ in range(2):
-        bound = _overlap_of_groups(open_).join(open_.groupBy("grp").agg(F.min("n").alias("low")), "grp")
-        still = stored(bound.where(F.col("shared") * 100 >= F.col("low") * threshold).select("grp"), "join-still")
-        open_ = stored(open_.join(still, "grp", "left_semi"), "join-open")
+    # Step 4: groups that overlap all other groups too little are closed.
+    bound = _overlap_of_groups(open_).join(open_.groupBy("grp").agg(F.min("n").alias("low")), "grp")
+    still = bound.where(F.col("shared") * 100 >= F.col("low") * threshold).select("grp")
+    open_ = stored(open_.join(still, "grp", "left_semi"), "join-open")
     across = stored(_open_groups(open_, threshold), "join-across")
     found = connected_components(links.union(across)).withColumnRenamed("node", "rid")
     named = stored(classes.join(found, "rid", "left").select("fp1", "fp2", F.col("id").alias("own"), F.coalesce("component", "rid").alias("component")), "join-named")
