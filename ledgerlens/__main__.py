@@ -10,7 +10,7 @@ Each analysis names the dumps it needs; results are written by the executors
 ``stage`` parses the given dumps once into typed Parquet under ``<out>/<dump>``;
 later runs with ``--typed`` read those folders and prune columns:
 
-    python -m ledgerlens stage --transactions .../transactions.csv --out s3a://b/staged
+    python -m ledgerlens stage --transactions .../transactions.csv --out s3a://b/staged [--overwrite]
     python -m ledgerlens monthly_total_value --typed --transactions s3a://b/staged/transactions --out ...
 """
 
@@ -44,7 +44,7 @@ ANALYSES = {
     "average_contract_gas": (("transactions", "contracts"), A.average_contract_gas),
     "gas_of_top_contracts": (("transactions", "contracts"), A.gas_of_top_contracts_by_value),
     "gas_of_popular_contracts": (
-        ("transactions", "popular"), lambda tx, pop: A.gas_of_top_contracts(tx, pop)
+        ("transactions", "popular"), A.gas_of_top_contracts
     ),
     "block_column_overhead": (("blocks",), A.block_column_overhead),
     "most_lucrative_scam": (("transactions", "registry"), A.most_lucrative_scam),
@@ -54,7 +54,7 @@ ANALYSES = {
     ),
     "scam_series_pivot": (
         ("transactions", "registry"),
-        lambda tx, reg: A.scam_series_pivot(A.scam_value_by_category_month(tx, reg)),
+        A.scam_series_pivot,
     ),
 }
 
@@ -84,6 +84,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="json", choices=["json", "parquet", "csv"])
     ap.add_argument("--master", default=None)
     ap.add_argument("--cluster", action="store_true", help="large-cluster sizing (see session.py)")
+    ap.add_argument("--overwrite", action="store_true", help="let `stage` replace folders that exist")
     ap.add_argument("--typed", action="store_true", help="inputs are folders written by `stage`")
     args = ap.parse_args(argv)
 
@@ -94,7 +95,8 @@ def main(argv: list[str] | None = None) -> int:
         spark = build_session(args.master, app_name="ledgerlens-stage", cluster=args.cluster)
         for name in given:
             path = f"{args.out.rstrip('/')}/{name}"
-            publish(spark, TYPED[name](spark, getattr(args, name)), path, "parquet")
+            staged = TYPED[name](spark, getattr(args, name))
+            publish(spark, staged, path, "parquet", existing="overwrite" if args.overwrite else "error")
             print(path)
         return 0
 

@@ -47,32 +47,76 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def publish(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> None:
+def file_identity(spark: SparkSession, path: str) -> list[str]:
+    """Name, length and modification time of every file below ``path``: what
+    has to change when its content does."""
+    fs = _fs(spark, path)
+    if fs is None:
+        return sorted(spark.read.format("binaryFile").load(path).select(F.concat_ws("|", "path", "length", "modificationTime")).toPandas().iloc[:, 0])
+    fsys, root = fs
+    if not fsys.exists(root):
+        return []
+    found, todo = [], [fsys.getFileStatus(root)]
+    while todo:
+        status = todo.pop()
+        if status.isDirectory():
+            todo += list(fsys.listStatus(status.getPath()))
+        else:
+            found.append(f"{status.getPath().getName()}|{status.getLen()}|{status.getModificationTime()}")
+    return sorted(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own, if it is there."""
+    fs = _fs(spark, path)
+    if fs is not None and fs[0].exists(fs[1]):
+        fs[0].delete(fs[1], True)
+
+
+def publish(spark: SparkSession, df: DataFrame, path: str, fmt: str, existing: str = "error") -> None:
     """Write ``df`` to ``path`` so that readers only ever see a complete folder.
 
     The data goes to a private temporary folder next to the target, which is
-    then renamed into place (atomic on HDFS and local disks). If another job
-    published the same folder first, its copy is kept and ours is removed.
+    then renamed into place (atomic on HDFS and local disks). ``existing``
+    says what happens to a complete folder that is already there: ``"error"``
+    stops before anything is written, ``"overwrite"`` replaces it, and
+    ``"keep"`` leaves it, which is only right where the path names its content
+    (staging keyed by its input files). A folder without ``_SUCCESS`` is a
+    failed attempt and is always replaced.
     """
+    if existing not in ("error", "overwrite", "keep"):
+        raise ValueError(f"existing={existing!r}")
     fs = _fs(spark, path)
     if fs is None:
-        df.write.mode("overwrite").format(fmt).save(path)
+        df.write.mode("overwrite" if existing == "overwrite" else "errorifexists").format(fmt).save(path)
         return
-    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").format(fmt).save(tmp)
+    fsys, target = fs
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fsys, target, src = fs[0], fs[1], Path(tmp)
-    fsys.mkdirs(target.getParent())
-    # Renaming onto an existing folder would move ours *into* it: check first,
-    # and clean up if another job won the race in between.
-    renamed = not fsys.exists(target) and fsys.rename(src, target)
-    nested = Path(target, src.getName())
-    if fsys.exists(nested):
-        fsys.delete(nested, True)
-    if not renamed:
-        fsys.delete(src, True)
-    if not fsys.exists(Path(target, "_SUCCESS")):
-        raise RuntimeError(f"could not publish staged folder {path}")
+    done = Path(target, "_SUCCESS")
+    if fsys.exists(done) and existing != "overwrite":
+        if existing == "error":
+            raise FileExistsError(f"{path} exists; say that it shall be replaced, or name another folder")
+        return
+    src = Path(f"{path}.tmp-{uuid.uuid4().hex}")
+    try:
+        df.write.mode("overwrite").format(fmt).save(src.toString())
+        fsys.mkdirs(target.getParent())
+        if fsys.exists(target) and (existing == "overwrite" or not fsys.exists(done)):
+            fsys.delete(target, True)
+        # Renaming onto a folder that another job has just published would move
+        # ours into it: that copy is taken out again below.
+        renamed = not fsys.exists(target) and fsys.rename(src, target)
+        nested = Path(target, src.getName())
+        if fsys.exists(nested):
+            fsys.delete(nested, True)
+            renamed = False
+        if not renamed and existing != "keep":
+            raise RuntimeError(f"another job published {path} at the same time")
+        if not fsys.exists(done):
+            raise RuntimeError(f"could not publish staged folder {path}")
+    finally:
+        if fsys.exists(src):
+            fsys.delete(src, True)
 
 
 def run_folder(now: datetime | None = None, prefix: str = "run") -> str:

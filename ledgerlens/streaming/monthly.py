@@ -70,13 +70,13 @@ def start_monthly_stats_to_files(
     """Like :func:`start_monthly_stats`, writing every epoch's complete result
     to ``<output>/epoch=<id>`` (published atomically, exact wei as text).
 
-    A replayed epoch after a failure finds its folder already published and
-    leaves it as it is; readers take the highest epoch.
+    A replayed epoch after a failure, or a new query on an old output folder,
+    replaces the epoch's folder; readers take the highest epoch.
     """
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        publish(batch.sparkSession, render_exact(batch), f"{output.rstrip('/')}/epoch={epoch_id}", fmt)
+        publish(batch.sparkSession, render_exact(batch), f"{output.rstrip('/')}/epoch={epoch_id}", fmt, existing="overwrite")
 
     w = (
         monthly_stats_stream(spark, path)
@@ -89,3 +89,11 @@ def start_monthly_stats_to_files(
         w = w.trigger(availableNow=True)
     return w.start()
 
+
+def latest_epoch(spark: SparkSession, output: str) -> str:
+    """The folder of the highest epoch below ``output``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(output)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    epochs = [int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch=") and n[6:].isdigit()]
+    return f"{output.rstrip('/')}/epoch={max(epochs)}"

@@ -71,19 +71,87 @@ def test_command_line_runs_an_analysis_on_dump_files(spark, tmp_path):
     assert sorted((r.address, r.total) for r in back) == [("0xc1", "84155363699941767867374649")] * 2
 
 
-def test_staged_folder_is_published_once(spark, tmp_path):
+def test_publishing_on_an_existing_folder(spark, tmp_path):
     from ledgerlens.sinks import path_exists, publish
 
     target = str(tmp_path / "stage" / "kind")
-    publish(spark, spark.range(5).selectExpr("cast(id as string) AS value"), target, "text")
+    rows = lambda n: spark.range(n).selectExpr("cast(id as string) AS value")
+    publish(spark, rows(5), target, "text")
     assert path_exists(spark, target + "/_SUCCESS")
-    # a second writer (lost race) leaves the first copy intact and nothing behind
-    publish(spark, spark.range(7).selectExpr("cast(id as string) AS value"), target, "text")
+    with pytest.raises(FileExistsError):
+        publish(spark, rows(7), target, "text")
     assert spark.read.text(target).count() == 5
+    publish(spark, rows(7), target, "text", existing="keep")
+    assert spark.read.text(target).count() == 5
+    publish(spark, rows(7), target, "text", existing="overwrite")
+    assert spark.read.text(target).count() == 7
+    # a half-written folder is no result: it is replaced
+    os.remove(tmp_path / "stage" / "kind" / "_SUCCESS")
+    publish(spark, rows(3), target, "text", existing="keep")
+    assert spark.read.text(target).count() == 3
     assert not [p for p in os.listdir(tmp_path / "stage") if ".tmp-" in p]
     assert not [p for p in os.listdir(target) if ".tmp-" in p]
 
 
+def test_staging_again_fails_or_replaces(spark, tmp_path):
+    from ledgerlens.__main__ import main
+
+    dump = tmp_path / "tx.csv"
+    args = ["stage", "--transactions", str(dump), "--out", str(tmp_path / "staged")]
+    dump.write_text("\n".join(FX.TX[:3]) + "\n")
+    assert main(args) == 0
+    first = spark.read.parquet(str(tmp_path / "staged" / "transactions")).count()
+    dump.write_text("\n".join(FX.TX) + "\n")
+    with pytest.raises(FileExistsError):
+        main(args)
+    assert main([*args, "--overwrite"]) == 0
+    assert spark.read.parquet(str(tmp_path / "staged" / "transactions")).count() > first
+
+
+def test_a_table_that_changes_under_its_path_changes_the_answer(spark, tmp_path):
+    import shutil
+
+    from ledgerlens.plans.registry import QUERIES
+
+    source = "/root/testdata/sf0.001"
+    if not os.path.isdir(source):
+        pytest.skip("supplied tables missing")
+    for name in ("lineitem", "supplier"):
+        shutil.copy(f"{source}/{name}.parquet", tmp_path / f"{name}.parquet")
+    whole = QUERIES["series_total"](spark, str(tmp_path)).first().total
+    import pyarrow.parquet as pq
+
+    os.chmod(tmp_path / "lineitem.parquet", 0o644)
+    pq.write_table(pq.read_table(f"{source}/lineitem.parquet").slice(0, 100), tmp_path / "lineitem.parquet")
+    assert 0 < QUERIES["series_total"](spark, str(tmp_path)).first().total <= 100 < whole
+
+
+def test_an_epoch_is_replaced(spark, lines, tmp_path):
+    from ledgerlens.streaming import latest_epoch, start_monthly_stats_to_files
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for k, rows in enumerate((FX.TX[:4], FX.TX)):
+        (src / "part.csv").write_text("\n".join(rows) + "\n")
+        q = start_monthly_stats_to_files(spark, str(src), out, f"ledger_epoch_{k}", checkpoint=str(tmp_path / f"c{k}"), available_now=True)
+        q.awaitTermination(120)
+    got = read_result(spark, latest_epoch(spark, out), schema="month string, n long, total string, avg double")
+    assert {r.month: r.n for r in got.collect()} == {"08-2015": 3, "09-2015": 3}
+
+
+def test_object_store_settings():
+    from ledgerlens.session import object_store_conf
+
+    conf = object_store_conf("http://store:9000", "key", "secret", path_style=False)
+    assert conf == {
+        "spark.hadoop.fs.s3a.endpoint": "http://store:9000",
+        "spark.hadoop.fs.s3a.access.key": "key",
+        "spark.hadoop.fs.s3a.secret.key": "secret",
+        "spark.hadoop.fs.s3a.path.style.access": "false",
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": "false",
+    }
+
+
 def test_streaming_resumes_from_its_checkpoint(spark, lines, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
