@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 INT_TEXT_RE = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
 PLAIN_DIGITS_RE = r"^[0-9]+$"
+
+# Fixed value: the text form Python's float() accepts (digits with single
+# underscores, optional point and exponent; the three special words).
+FLOAT_TEXT_RE = (
+    r"^\s*[+-]?(?:(?:[0-9]+(?:_[0-9]+)*(?:\.(?:[0-9]+(?:_[0-9]+)*)?)?|\.[0-9]+(?:_[0-9]+)*)"
+    r"(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?|(?i:inf(?:inity)?|nan))\s*$"
+)
 WEI = "decimal(38,0)"
+AMOUNT = "decimal(38,9)"
 SECONDS_PER_DAY = 86400
 
 
@@ -28,19 +36,23 @@ def _int_digits(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), "_", "")
 
 
+def _or_fail(parsed: Column, c: Column, what: str) -> Column:
+    """``parsed``, or a failed job where it is null: the check is part of the
+    expression, so it holds whatever ``spark.sql.ansi.enabled`` says."""
+    return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"malformed {what}: "), F.coalesce(c.cast("string"), F.lit("null")))))
+
+
 def strict_int(c: Column, dtype: str = "bigint", what: str = "integer field") -> Column:
-    """Parse integer text, failing the job on anything else.
+    """Parse integer text, failing the job on anything else, also on a number
+    that does not fit ``dtype``.
 
     Fields other than the validity probe are parsed unguarded: a malformed
     value is a data error and must not be skipped silently.
     """
     # Plain digits (the common case) cast directly; blanks, signs and
     # underscores take the cleaning path; anything else stops the job.
-    return (
-        F.when(c.rlike(PLAIN_DIGITS_RE), c.cast(dtype))
-        .when(is_int_text(c), _int_digits(c).cast(dtype))
-        .otherwise(F.raise_error(F.concat(F.lit(f"malformed {what}: "), F.coalesce(c, F.lit("null")))))
-    )
+    parsed = F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast(dtype)).when(is_int_text(c), _int_digits(c).try_cast(dtype))
+    return _or_fail(parsed, c, what)
 
 
 def wei(c: Column, what: str = "wei amount") -> Column:
@@ -48,14 +60,28 @@ def wei(c: Column, what: str = "wei amount") -> Column:
     return strict_int(c, WEI, what)
 
 
-def to_double(c: Column) -> Column:
-    """Python ``float(text)``: ANSI cast, fails loud on bad text."""
-    return c.cast("double")
+def is_float_text(c: Column) -> Column:
+    """True when Python's ``float()`` accepts ``c``. A plain cast is not the
+    same test: it takes ``21000d`` and ``0x1p3`` and refuses ``1_000``."""
+    return F.coalesce(c.rlike(FLOAT_TEXT_RE), F.lit(False))
+
+
+def to_double(c: Column, what: str = "number") -> Column:
+    """Python ``float(text)``; anything it refuses stops the job."""
+    parsed = F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast("double")).when(is_float_text(c), _int_digits(c).try_cast("double"))
+    return _or_fail(parsed, c, what)
 
 
-def truncate_to_long(c: Column) -> Column:
+def to_decimal(c: Column, what: str = "number") -> Column:
+    """Float text as an exact decimal, so that sums don't depend on the order
+    of the rows; numbers beyond it, and inf or nan, stop the job."""
+    parsed = F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast(AMOUNT)).when(is_float_text(c), _int_digits(c).try_cast(AMOUNT))
+    return _or_fail(parsed, c, what)
+
+
+def truncate_to_long(c: Column, what: str = "number") -> Column:
     """Python ``int(float)``: truncation toward zero."""
-    return c.cast("bigint")
+    return _or_fail(c.try_cast("bigint"), c, what)
 
 
 def epoch_day(seconds: Column) -> Column:
@@ -83,7 +109,12 @@ def hex_byte_count(h: Column) -> Column:
 
     The empty string gives -1.0, as the plain formula does.
     """
-    return (F.length(h) - F.lit(2)).cast("double") / F.lit(2.0)
+    return hex_digit_count(h).cast("double") / F.lit(2.0)
+
+
+def hex_digit_count(h: Column) -> Column:
+    """Hex digits after the ``0x``: twice the bytes, as a whole number."""
+    return (F.length(h) - F.lit(2)).cast("bigint")
 
 
 def squash_spaces(c: Column) -> Column:

@@ -71,17 +71,6 @@ def build_session(
     return spark
 
 
-def apply_core_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable core settings to an existing session."""
-    for k, v in CORE_CONF.items():
-        if k.startswith("spark.ui."):
-            continue
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a foreign session: leave as is
-            pass
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 

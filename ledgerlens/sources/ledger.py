@@ -109,24 +109,39 @@ def read_blocks(spark: SparkSession, path) -> DataFrame:
     return parse_blocks(read_lines(spark, path))
 
 
+def _must(present: Column, message: Column) -> Column:
+    """A filter condition that is true, or fails the job: unlike a check in a
+    projected column, column pruning cannot remove it."""
+    return F.when(present, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def parse_registry(lines: DataFrame) -> DataFrame:
     """Scam registry documents -> one row per registry entry.
 
     Each line is a JSON object whose ``result`` maps an entry name to the
-    entry. Malformed JSON fails the job (FAILFAST); an entry without a
-    numeric id fails it too, as a missing key would.
+    entry. Malformed JSON fails the job (FAILFAST); so do a document without
+    ``result`` and an entry without a numeric id or without a category, as
+    missing keys would. Of entries with one name in a document the last one
+    counts, as in any JSON object. Null ``addresses`` are an empty list.
     Columns: name, id, category, status, addresses.
     """
     doc = F.from_json(F.col("value"), SCAM_DOCUMENT, {"mode": "FAILFAST"})
-    entries = lines.where(F.length(F.trim(F.col("value"))) > 0).select(
-        F.explode(doc.getField("result")).alias("name", "entry")
+    docs = lines.where(F.length(F.trim(F.col("value"))) > 0).select(
+        F.monotonically_increasing_id().alias("_doc"), doc.getField("result").alias("result")
+    )
+    docs = docs.where(_must(F.col("result").isNotNull(), F.lit("registry document without result")))
+    listed = docs.select("_doc", F.posexplode(F.map_entries("result")).alias("_place", "_pair"))
+    last = listed.groupBy("_doc", F.col("_pair.key").alias("name")).agg(
+        F.max_by(F.col("_pair.value"), F.col("_place")).alias("entry")
     )
     e = F.col("entry")
-    return entries.select(
+    checked = last.where(
+        _must(e.getField("id").isNotNull(), F.concat(F.lit("registry entry without numeric id: "), F.col("name")))
+        & _must(e.getField("category").isNotNull(), F.concat(F.lit("registry entry without category: "), F.col("name")))
+    )
+    return checked.select(
         F.col("name"),
-        F.when(e.getField("id").isNotNull(), e.getField("id"))
-        .otherwise(F.raise_error(F.concat(F.lit("registry entry without numeric id: "), F.col("name"))))
-        .alias("id"),
+        e.getField("id").alias("id"),
         e.getField("category").alias("category"),
         e.getField("status").alias("status"),
         e.getField("addresses").alias("addresses"),

@@ -8,8 +8,8 @@ predicate pushdown reach the Parquet scan).
 
 Staging is strict: a malformed value in a staged column stops the staging
 job, whereas the text path only fails the analyses that use that column.
-``gas`` stays text because analyses read it differently (strict integer for
-monthly gas, float truncated for the average).
+``gas`` is an exact decimal; ``gas_is_int`` says whether its text is an
+integer, which monthly gas insists on and the other gas analyses don't.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import flag_to_bool, month_label, strict_int, wei
+from ledgerlens.functions.columns import flag_to_bool, is_int_text, month_label, strict_int, to_decimal, wei
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import registry_addresses
 
@@ -28,7 +28,8 @@ def typed_transactions(tx: DataFrame) -> DataFrame:
         "to_address",
         "from_address",
         wei(F.col("value"), "value").alias("value"),
-        "gas",
+        to_decimal(F.col("gas"), "gas").alias("gas"),
+        is_int_text(F.col("gas")).alias("gas_is_int"),
         wei(F.col("gas_price"), "gas_price").alias("gas_price"),
         ts.alias("block_timestamp"),
         month_label(ts).alias("month"),

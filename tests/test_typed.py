@@ -34,7 +34,8 @@ def typed(spark, text, tmp_path):
 def test_typed_schema(typed):
     types = dict(typed["tx"].dtypes)
     assert types["value"] == "decimal(38,0)" and types["gas_price"] == "decimal(38,0)"
-    assert types["block_timestamp"] == "bigint" and types["month"] == "string" and types["gas"] == "string"
+    assert types["block_timestamp"] == "bigint" and types["month"] == "string" and types["gas"] == "decimal(38,9)"
+    assert types["gas_is_int"] == "boolean"
     assert dict(typed["blocks"].dtypes)["size"] == "bigint"
     assert set(typed["registry"].columns) == {"address", "id", "category", "status"}
 
@@ -45,13 +46,13 @@ ANALYSES = [
     ("miners", lambda d: A.top_miners_by_block_size(d["blocks"])),
     ("gas_price", lambda d: A.monthly_average_gas_price(d["tx"])),
     ("contract_gas", lambda d: A.monthly_contract_gas(d["tx"], d["contracts"])),
-    ("contract_gas_large", lambda d: A.monthly_contract_gas(d["tx"], d["contracts"], 0)),
+    ("popular_gas", lambda d: A.gas_of_top_contracts(d["tx"], d["contracts"])),
     ("avg_gas", lambda d: A.average_contract_gas(d["tx"], d["contracts"])),
     ("top_gas", lambda d: A.gas_of_top_contracts_by_value(d["tx"], d["contracts"])),
     ("overhead", lambda d: A.block_column_overhead(d["blocks"])),
     ("scam_id", lambda d: A.scam_value_by_id(d["tx"], d["registry"])),
-    ("scam_cat", lambda d: A.scam_value_by_category_month(d["tx"], d["registry"], 0)),
-    ("pivot", lambda d: A.scam_series_pivot(A.scam_value_by_category_month(d["tx"], d["registry"]))),
+    ("scam_cat", lambda d: A.scam_value_by_category_month(d["tx"], d["registry"])),
+    ("pivot", lambda d: A.scam_series_pivot(d["tx"], d["registry"])),
 ]
 
 
@@ -71,3 +72,16 @@ def test_staging_is_strict(lines, tmp_path):
 def test_scam_totals_on_typed(typed):
     assert {r.id: r.total for r in A.scam_value_by_id(typed["tx"], typed["registry"]).collect()} == {
         1: Decimal(12), 2: Decimal(3), 3: Decimal(9)}
+
+
+def test_typed_gas_that_is_no_integer_still_stops_monthly_gas(lines):
+    typed = typed_transactions(parse_transactions(lines(FX.TX)))  # t4's gas is 21000.9
+    contracts = parse_contracts(lines(FX.CONTRACTS))
+    with pytest.raises(Exception, match="malformed gas"):
+        A.monthly_contract_gas(typed, contracts).collect()
+    assert [r.avg for r in A.average_contract_gas(typed, contracts).collect()] == [21000.0]
+
+
+def test_monthly_gas_plan_on_typed_rows_has_no_regex(typed):
+    plan = A.monthly_contract_gas(typed["tx"], typed["contracts"])._jdf.queryExecution().executedPlan().toString()
+    assert "RLIKE" not in plan and "regexp" not in plan
