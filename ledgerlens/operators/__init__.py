@@ -1,17 +1,11 @@
 from ledgerlens.operators.aggregate import (  # noqa: F401
-    average_by,
-    count_by,
     count_sum_by,
-    global_average,
     global_sum,
     ratio,
     sum_by,
 )
 from ledgerlens.operators.join import (  # noqa: F401
-    MAX_BROADCAST_MEMBERS,
-    has_at_most,
     join_then_aggregate,
-    keep_members,
     members_join,
 )
 from ledgerlens.operators.order import (  # noqa: F401

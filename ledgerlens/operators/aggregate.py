@@ -17,11 +17,6 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def count_by(df: DataFrame, keys, name: str = "n") -> DataFrame:
-    """Rows per key."""
-    return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(name))
-
-
 def sum_by(df: DataFrame, keys, value: Column | str, name: str = "total") -> DataFrame:
     """Sum of ``value`` per key (type kept: decimal stays exact, ANSI overflow raises)."""
     return df.groupBy(*_keys(keys)).agg(F.sum(value).alias(name))
@@ -47,12 +42,6 @@ def ratio(total: Column | str, n: Column | str) -> Column:
     return t.cast("double") / c.cast("double")
 
 
-def average_by(df: DataFrame, keys, value: Column | str, name: str = "avg") -> DataFrame:
-    """Per-key average as exact sum / count."""
-    agg = count_sum_by(df, keys, value, "_n", "_total")
-    return agg.select(*_keys(keys), ratio("_total", "_n").alias(name))
-
-
 def global_sum(df: DataFrame, value: Column | str, name: str = "total", label: str | None = None,
                label_name: str = "label") -> DataFrame:
     """Sum over all rows; no row at all when the input is empty."""
@@ -60,12 +49,3 @@ def global_sum(df: DataFrame, value: Column | str, name: str = "total", label: s
     cols = ([F.lit(label).alias(label_name)] if label is not None else []) + [F.col(name)]
     return agg.select(*cols)
 
-
-def global_average(df: DataFrame, value: Column | str, name: str = "avg", label: str | None = None,
-                   label_name: str = "label") -> DataFrame:
-    """Sum over count of all rows; no row at all when the input is empty."""
-    agg = df.agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_total")).where(F.col("_n") > 0)
-    cols = ([F.lit(label).alias(label_name)] if label is not None else []) + [
-        ratio("_total", "_n").alias(name)
-    ]
-    return agg.select(*cols)

@@ -3,13 +3,11 @@
 Member lists (contracts, registry entries) are *not* de-duplicated: an address
 listed twice contributes twice. Joins are inner joins, never semi-joins.
 
-Scale notes. Facts (transactions) never meet a member list row by row
-through a shuffle keyed by address: either the list is small, which is
-*checked* (a distributed ``count()`` of the list), and it is broadcast so facts
-are matched map-side; or facts are first summed per address (map-side
-combine), so the join sees one row per address, a hot address cannot skew
-it, and AQE may still broadcast from measured sizes or split skewed
-partitions.
+Scale notes. There is one plan for every list size: facts (transactions) are
+summed per address first, with a map-side combine, so no raw row is ever
+shuffled by an address and a hot address cannot skew the join; the list then
+meets one row per address (and further key). Adaptive execution picks the join
+from measured bytes: a small list is broadcast, a large one is sort-merged.
 """
 
 from __future__ import annotations
@@ -29,18 +27,6 @@ def members_join(facts: DataFrame, members: DataFrame, fact_key: str, member_key
     return joined.drop("_member_key")
 
 
-# Member lists up to this many rows are broadcast (about 100 bytes a row:
-# address plus payload, i.e. well under 100 MB per executor).
-MAX_BROADCAST_MEMBERS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Size check: one distributed count of the list (each task counts its
-    split, only the per-task counts move). A ``limit`` would funnel up to
-    ``max_rows`` rows per partition into a single task instead."""
-    return df.count() <= max_rows
-
-
 def join_then_aggregate(
     facts: DataFrame,
     members: DataFrame,
@@ -49,44 +35,13 @@ def join_then_aggregate(
     keys,
     sums: dict[str, str],
     pre_keys=(),
-    max_broadcast_rows: int = MAX_BROADCAST_MEMBERS,
 ) -> DataFrame:
     """Sum fact columns per ``keys`` over facts joined to a member list
-    (member multiplicity kept), choosing the plan by the list's size.
-
-    * list of at most ``max_broadcast_rows`` rows (checked): broadcast it,
-      so facts are matched map-side, never shuffled by address, and only
-      matching facts reach the (partial, then final) aggregate;
-    * larger list: sum facts per (fact key, ``pre_keys``) first, then join
-      the list to those partial sums and sum again.
-
-    ``sums`` maps output name -> fact column. Both plans are exact for sums.
+    (member multiplicity kept): facts are summed per (fact key, ``pre_keys``),
+    joined to the list and summed again. ``sums`` maps output name -> fact
+    column. Sums of sums, so the result is that of joining row by row.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if has_at_most(members, max_broadcast_rows):
-        joined = members_join(facts, F.broadcast(members), fact_key, member_key)
-        return joined.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     partial = facts.groupBy(fact_key, *pre_keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     joined = members_join(partial, members, fact_key, member_key)
     return joined.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums])
-
-
-def keep_members(
-    facts: DataFrame,
-    members: DataFrame,
-    fact_key: str,
-    member_key: str,
-    max_broadcast_rows: int = MAX_BROADCAST_MEMBERS,
-) -> DataFrame:
-    """Drop facts whose key is not listed, before they are aggregated.
-
-    A pre-filter only: a left-semi join never multiplies rows, so sums per
-    key are unchanged and the list's multiplicity is applied later by an
-    ordinary join. Done map-side with a broadcast when the list is checked to
-    be small; a larger list leaves the facts as they are (the later join
-    filters them after aggregation).
-    """
-    if not has_at_most(members, max_broadcast_rows):
-        return facts
-    m = F.broadcast(members.select(F.col(member_key).alias("_member_key")))
-    return facts.join(m, facts[fact_key] == m["_member_key"], "left_semi")

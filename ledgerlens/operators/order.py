@@ -34,16 +34,18 @@ def first_n(df: DataFrame, n: int, order: Column | str) -> DataFrame:
 
 
 def last_n(df: DataFrame, n: int, order: Column | str) -> DataFrame:
+    """The ``n`` rows with the largest ``order``, in ascending order."""
     o = F.col(order) if isinstance(order, str) else order
-    return df.orderBy(o.desc()).limit(n)
+    return df.orderBy(o.desc()).limit(n).orderBy(o.asc())
 
 
 def pivot_series(
     df: DataFrame, row_key: str, pivot_col: str, values: Sequence[str], value: str
 ) -> DataFrame:
-    """One column per listed category, summed per row key.
+    """One column per listed category, summed per row key, in key order.
 
-    The value list is explicit, so Spark does not run an extra job to find
-    the distinct categories, and the output schema is fixed.
+    One aggregate over conditional sums: the value list is explicit, so there
+    is no extra job to find the categories and no second regrouping.
     """
-    return df.groupBy(row_key).pivot(pivot_col, list(values)).agg(F.sum(value))
+    sums = [F.sum(F.when(F.col(pivot_col) == v, F.col(value))).alias(v) for v in values]
+    return df.groupBy(row_key).agg(*sums).orderBy(row_key)

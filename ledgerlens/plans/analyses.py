@@ -14,11 +14,13 @@ from pyspark.sql.types import DecimalType, IntegerType, LongType
 
 from ledgerlens.functions.columns import (
     hex_byte_count,
+    hex_digit_count,
     is_truthy_text,
     label_to_ym,
     month_label,
     squash_spaces,
     strict_int,
+    to_decimal,
     to_double,
     truncate_to_long,
     wei,
@@ -29,13 +31,7 @@ from ledgerlens.operators.aggregate import (
     ratio,
     sum_by,
 )
-from ledgerlens.operators.join import (
-    MAX_BROADCAST_MEMBERS,
-    has_at_most,
-    join_then_aggregate,
-    keep_members,
-    members_join,
-)
+from ledgerlens.operators.join import join_then_aggregate, members_join
 from ledgerlens.operators.order import chronological, first_n, last_n, pivot_series, top_k
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import registry_addresses
@@ -68,6 +64,27 @@ def _long(df: DataFrame, name: str) -> F.Column:
     return strict_int(F.col(name), "bigint", name)
 
 
+def _gas_int(tx: DataFrame) -> F.Column:
+    """Gas that must be integer text."""
+    if "gas_is_int" in tx.columns:
+        return F.when(F.col("gas_is_int"), F.col("gas").cast("bigint")).otherwise(
+            F.raise_error(F.concat(F.lit("malformed gas: "), F.col("gas").cast("string"))).cast("bigint")
+        )
+    return strict_int(F.col("gas"), "bigint", "gas")
+
+
+def _gas_truncated(tx: DataFrame) -> F.Column:
+    """Gas read as a float and cut to an integer."""
+    if "gas_is_int" in tx.columns:
+        return F.col("gas").cast("bigint")
+    return truncate_to_long(to_double(F.col("gas"), "gas"), "gas")
+
+
+def _gas_exact(tx: DataFrame) -> F.Column:
+    """Gas as float text allows it, as an exact decimal."""
+    return F.col("gas") if "gas_is_int" in tx.columns else to_decimal(F.col("gas"), "gas")
+
+
 def _registry_rows(registry: DataFrame) -> DataFrame:
     if "address" in registry.columns:  # already one row per (address, entry)
         return registry
@@ -99,24 +116,16 @@ def monthly_average_value(tx: DataFrame) -> DataFrame:
 
 # --- popular services and miners (Q04, Q05) ---------------------------------------
 
-def contract_value_totals(tx: DataFrame, contracts: DataFrame,
-                          max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+def contract_value_totals(tx: DataFrame, contracts: DataFrame) -> DataFrame:
     """Value received per listed contract (aggregate first, then join the
-    list with its multiplicity: a contract listed twice yields two rows).
-
-    A contract list of checked small size first drops transactions to other
-    addresses map-side, so only listed addresses reach the aggregate.
-    """
-    facts = keep_members(tx.select("to_address", _wei(tx, "value").alias("value")),
-                         contracts.select("address"), "to_address", "address", max_broadcast_rows)
-    totals = sum_by(facts, "to_address", "value", "total")
+    list with its multiplicity: a contract listed twice yields two rows)."""
+    totals = sum_by(tx.select("to_address", _wei(tx, "value").alias("value")), "to_address", "value", "total")
     joined = members_join(totals, contracts.select("address"), "to_address", "address")
     return joined.select(F.col("to_address").alias("address"), "total")
 
 
-def top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10,
-                           max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
-    return top_k(contract_value_totals(tx, contracts, max_broadcast_rows), k, "total", "address")
+def top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10) -> DataFrame:
+    return top_k(contract_value_totals(tx, contracts), k, "total", "address")
 
 
 def top_miners_by_block_size(blocks: DataFrame, k: int = 10) -> DataFrame:
@@ -134,71 +143,49 @@ def monthly_average_gas_price(tx: DataFrame) -> DataFrame:
     return agg.select("month", ratio("total", "n").alias("avg"))
 
 
-def monthly_contract_gas(tx: DataFrame, contracts: DataFrame,
-                         max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
-    """Gas of transactions sent to listed contracts, per month.
-
-    A contract list of checked small size is broadcast and transactions are
-    matched map-side; a larger list meets per-(address, month) partial sums
-    instead of raw transactions. Either way the list's multiplicity counts.
-    """
-    facts = tx.select("to_address", _tx_month(tx).alias("month"),
-                      strict_int(F.col("gas"), "bigint", "gas").alias("gas"))
+def monthly_contract_gas(tx: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Gas of transactions sent to listed contracts, per month: summed per
+    (address, month), then joined with the list, whose multiplicity counts."""
+    facts = tx.select("to_address", _tx_month(tx).alias("month"), _gas_int(tx).alias("gas"))
     return join_then_aggregate(facts, contracts.select("address"), "to_address", "address",
-                               "month", {"gas": "gas"}, pre_keys=["month"],
-                               max_broadcast_rows=max_broadcast_rows)
+                               "month", {"gas": "gas"}, pre_keys=["month"])
 
 
-def average_contract_gas(tx: DataFrame, contracts: DataFrame,
-                         max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+def average_contract_gas(tx: DataFrame, contracts: DataFrame) -> DataFrame:
     """Average gas (float text truncated to an integer) of transactions sent
     to listed contracts; one labelled row, none when nothing joins."""
-    facts = tx.select("to_address", truncate_to_long(to_double(F.col("gas"))).alias("gas"),
-                      F.lit(1).cast("bigint").alias("n"))
-    agg = join_then_aggregate(facts, contracts.select("address"), "to_address", "address",
-                              [], {"gas": "gas", "n": "n"}, max_broadcast_rows=max_broadcast_rows)
+    facts = tx.select("to_address", _gas_truncated(tx).alias("gas"), F.lit(1).cast("bigint").alias("n"))
+    agg = join_then_aggregate(facts, contracts.select("address"), "to_address", "address", [], {"gas": "gas", "n": "n"})
     return agg.where(F.col("n") > 0).select(
         F.lit(AVG_GAS_LABEL).alias("label"), ratio("gas", "n").alias("avg")
     )
 
 
-def gas_of_top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10,
-                                  max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+def gas_of_top_contracts_by_value(tx: DataFrame, contracts: DataFrame, k: int = 10) -> DataFrame:
     """Q09 chained on Q04 in one pass over the transactions.
 
     Value and gas are summed per address in the same aggregate; the top-k
     contracts by value (list multiplicity kept, as in Q04) then carry their
     gas along, and a repeated address adds its gas once per listing.
     """
-    facts = keep_members(
-        tx.select("to_address", _wei(tx, "value").alias("value"), to_double(F.col("gas")).alias("gas")),
-        contracts.select("address"), "to_address", "address", max_broadcast_rows,
-    )
+    facts = tx.select("to_address", _wei(tx, "value").alias("value"), _gas_exact(tx).alias("gas"))
     per_addr = facts.groupBy("to_address").agg(F.sum("value").alias("total"), F.sum("gas").alias("gas"))
     joined = members_join(per_addr, contracts.select("address"), "to_address", "address")
     top = top_k(joined.select(F.col("to_address").alias("address"), "total", "gas"), k, "total", "address")
-    return sum_by(top, "address", "gas", "gas")
+    return _gas_as_float(sum_by(top, "address", "gas", "gas"))
 
 
-def gas_of_top_contracts(tx: DataFrame, top: DataFrame, bounded: bool | None = None,
-                         max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
-    """Total gas (as float, like the source) per address of a popular list.
+def gas_of_top_contracts(tx: DataFrame, top: DataFrame) -> DataFrame:
+    """Total gas per address of a popular list (Q04's result or a stored one;
+    repeated addresses multiply): summed exactly per address, then joined.
+    The result is a float, like the source's."""
+    facts = tx.select("to_address", _gas_exact(tx).alias("gas"))
+    agg = join_then_aggregate(facts, top.select("address"), "to_address", "address", "to_address", {"gas": "gas"})
+    return _gas_as_float(agg.withColumnRenamed("to_address", "address"))
 
-    ``top`` has an ``address`` column (Q04's result or a stored popular
-    list); repeated addresses multiply. A list that is bounded by
-    construction (``bounded=True``: a top-k result) or checked to be small
-    (``bounded=None``, the default) is broadcast, so transactions are matched
-    map-side and only the listed keys reach the exchange; ``bounded=False``
-    leaves the join strategy to AQE.
-    """
-    members = top.select("address")
-    if bounded is None:
-        bounded = has_at_most(members, max_broadcast_rows)
-    if bounded:
-        members = F.broadcast(members)
-    t = tx.select("to_address", to_double(F.col("gas")).alias("gas"))
-    joined = members_join(t, members, "to_address", "address")
-    return sum_by(joined.select(F.col("to_address").alias("address"), "gas"), "address", "gas", "gas")
+
+def _gas_as_float(df: DataFrame) -> DataFrame:
+    return df.select("address", F.col("gas").cast("double").alias("gas"))
 
 
 # --- data overhead (Q10) ------------------------------------------------------------
@@ -213,38 +200,39 @@ def block_column_bytes(blocks: DataFrame) -> F.Column:
 
 
 def block_column_overhead(blocks: DataFrame) -> DataFrame:
-    return global_sum(
-        blocks.select(block_column_bytes(blocks).alias("b")), "b", "bytes", label=OVERHEAD_LABEL
-    )
+    """Bytes of the removable columns of all blocks: hex digits are summed as
+    whole numbers and halved once."""
+    digits = None
+    for c in REMOVABLE_BLOCK_COLUMNS:
+        d = hex_digit_count(F.col(c))
+        digits = d if digits is None else digits + d
+    total = global_sum(blocks.select(digits.alias("digits")), "digits", "digits", label=OVERHEAD_LABEL)
+    return total.select("label", (F.col("digits").cast("double") / F.lit(2.0)).alias("bytes"))
 
 
 # --- scams (Q11, Q12) ---------------------------------------------------------------
 
-def scam_value_by_id(tx: DataFrame, registry: DataFrame,
-                     max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
+def scam_value_by_id(tx: DataFrame, registry: DataFrame) -> DataFrame:
     facts = tx.select("to_address", _wei(tx, "value").alias("value"))
     members = _registry_rows(registry).select("address", "id")
-    return join_then_aggregate(facts, members, "to_address", "address", "id", {"total": "value"},
-                               max_broadcast_rows=max_broadcast_rows)
+    return join_then_aggregate(facts, members, "to_address", "address", "id", {"total": "value"})
 
 
-def most_lucrative_scam(tx: DataFrame, registry: DataFrame, k: int = 1,
-                        max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
-    return top_k(scam_value_by_id(tx, registry, max_broadcast_rows), k, "total", "id")
+def most_lucrative_scam(tx: DataFrame, registry: DataFrame, k: int = 1) -> DataFrame:
+    return top_k(scam_value_by_id(tx, registry), k, "total", "id")
 
 
-def scam_value_by_category_month(tx: DataFrame, registry: DataFrame,
-                                 max_broadcast_rows: int = MAX_BROADCAST_MEMBERS) -> DataFrame:
-    facts = tx.select("to_address", _tx_month(tx).alias("month"),
-                      _wei(tx, "value").alias("value"))
-    members = (
-        _registry_rows(registry)
-        .where(is_truthy_text(F.col("category")))
-        .select("address", "category")
-    )
-    return join_then_aggregate(facts, members, "to_address", "address", ["category", "month"],
-                               {"total": "value"}, pre_keys=["month"],
-                               max_broadcast_rows=max_broadcast_rows)
+def _scam_facts(tx: DataFrame, registry: DataFrame) -> DataFrame:
+    """(category, month, total): value per (address, month), once for every
+    listing of the address under a category."""
+    facts = tx.select("to_address", _tx_month(tx).alias("month"), _wei(tx, "value").alias("value"))
+    partial = facts.groupBy("to_address", "month").agg(F.sum("value").alias("total"))
+    members = _registry_rows(registry).where(is_truthy_text(F.col("category"))).select("address", "category")
+    return members_join(partial, members, "to_address", "address").select("category", "month", "total")
+
+
+def scam_value_by_category_month(tx: DataFrame, registry: DataFrame) -> DataFrame:
+    return sum_by(_scam_facts(tx, registry), ["category", "month"], "total", "total")
 
 
 # --- presentation series (Q13, Q14) -------------------------------------------------
@@ -270,11 +258,16 @@ def series_without(series: DataFrame, label: str = "label", excluded: str = EXCL
     return series.where(F.col(label) != F.lit(excluded))
 
 
-def scam_series_pivot(by_category_month: DataFrame) -> DataFrame:
-    """One column per charted category (blanks removed), per ``yyyy-MM``."""
-    s = by_category_month.select(
-        label_to_ym(F.col("month")).alias("ym"),
-        squash_spaces(F.col("category")).alias("category"),
-        "total",
-    ).where(F.col("category").isin(*SERIES_CATEGORIES))
-    return pivot_series(s, "ym", "category", SERIES_CATEGORIES, "total")
+def scam_series_pivot(tx: DataFrame, registry: DataFrame) -> DataFrame:
+    """One column per charted category (blanks removed), per ``yyyy-MM`` in
+    time order: one aggregate straight over the joined sums."""
+    s = _scam_facts(tx, registry).select(
+        label_to_ym(F.col("month")).alias("ym"), squash_spaces(F.col("category")).alias("category"), "total"
+    )
+    return pivot_series(s.where(F.col("category").isin(*SERIES_CATEGORIES)), "ym", "category", SERIES_CATEGORIES, "total")
+
+
+def scam_series_head(tx: DataFrame, registry: DataFrame, category: str, n: int = 5) -> DataFrame:
+    """The first ``n`` months of one charted category."""
+    of = scam_value_by_category_month(tx, registry).where(squash_spaces(F.col("category")) == category)
+    return series_head(of, n, value="total")

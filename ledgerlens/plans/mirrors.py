@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import BLOCKS, CONTRACTS, TRANSACTIONS
-from ledgerlens.sinks import path_exists, publish
+from ledgerlens.sinks import file_identity, path_exists, publish
 
 # Fixed values of the mirror.
 ADDRESS_WIDTH = 40
@@ -63,24 +63,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *unique_key: str) -> DataFrame:
-    """Keep every core busy when a fact table arrives in fewer splits than
-    the cluster has slots (one file, one row group).
-
-    A large input already has many splits and is left alone: no shuffle is
-    added at scale. The hash key is unique per row, so no value can be hot,
-    and the placement is deterministic on task retry.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # remote client session: leave the input as it is
-        return df
-    if splits < slots:
-        return df.repartition(slots, *unique_key)
-    return df
-
-
 def address(key: Column) -> Column:
     return F.concat(F.lit("0x"), F.lpad(key.cast("string"), ADDRESS_WIDTH, "0"))
 
@@ -131,7 +113,7 @@ def transaction_lines(spark: SparkSession, sf_dir: str, header: bool = True) ->
       returned and open    input is a quoted list with a comma  -> dropped
       tax 8                line stops after gas_price (10 f.)   -> dropped
     """
-    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    li = table(spark, sf_dir, "lineitem")
     ok = F.col("l_orderkey").cast("string")
     ln = F.col("l_linenumber").cast("string")
     disc = pct(F.col("l_discount"))
@@ -207,7 +189,7 @@ def block_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFr
     status P -> state_root empty (-1 byte) and receipts_root ``0x`` (0 byte).
     Well-formed hashes are 32 bytes (logs bloom 256), i.e. 384 bytes a block.
     """
-    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    o = table(spark, sf_dir, "orders")
     ok = F.col("o_orderkey")
     status = F.col("o_orderstatus")
     prio = F.col("o_orderpriority")
@@ -261,6 +243,8 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scam registry JSON text: one document per page of 64 suppliers.
 
     Every page is bounded, so no single task ever parses an unbounded line.
+    Of suppliers with a key divisible by 7 an outdated entry with the same name
+    (other id, category Phishing, the next supplier's address) comes first.
     """
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
@@ -284,14 +268,20 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         addresses.alias("addresses"),
         F.when(F.col("s_acctbal") < 1000, F.lit("Offline")).otherwise(F.lit("Active")).alias("status"),
     )
-    pages = scams.groupBy(F.floor(key / F.lit(REGISTRY_PAGE)).alias("page")).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.concat(F.lower(F.col("s_name")), F.lit(".example")), entry))
-        ).alias("result")
+    outdated = F.struct(
+        (-key).alias("id"),
+        F.col("s_name").alias("name"),
+        F.lit("Phishing").alias("category"),
+        F.array(address(key + F.lit(1))).alias("addresses"),
+        F.lit("Active").alias("status"),
     )
-    return pages.select(
-        F.to_json(F.struct(F.lit(True).alias("success"), F.col("result"))).alias("value")
+    name = F.concat(F.lit('"'), F.lower(F.col("s_name")), F.lit('.example":'))
+    text = F.concat(name, F.to_json(entry))
+    members = F.when(key % 7 == 0, F.concat(name, F.to_json(outdated), F.lit(","), text)).otherwise(text)
+    pages = scams.groupBy(F.floor(key / F.lit(REGISTRY_PAGE)).alias("page")).agg(
+        F.concat_ws(",", F.collect_list(members)).alias("members")
     )
+    return pages.select(F.concat(F.lit('{"success":true,"result":{'), F.col("members"), F.lit("}}")).alias("value"))
 
 
 def popular_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,13 +331,26 @@ BUILDERS = {
 }
 
 
+#: The tables that each staged text is built from.
+SOURCES = {
+    "transactions": ("lineitem",),
+    "contracts": ("supplier",),
+    "blocks": ("orders",),
+    "registry": ("supplier", "nation", "region"),
+    "popular": ("lineitem", "supplier"),
+}
+
+
 def stage_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    """Folder of the staged ``kind`` text for ``sf_dir`` under the shared
-    checkpoint folder."""
+    """Folder of the staged ``kind`` for ``sf_dir`` under the shared checkpoint
+    folder. Its name covers the package source and the name, length and
+    modification time of every input file, so a table that changes under the
+    same path gets a new folder."""
     from ledgerlens.session import ensure_checkpoint_dir
 
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    digest = hashlib.sha1(f"{MIRROR_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    root, base = ensure_checkpoint_dir(spark).rstrip("/"), sf_dir.rstrip("/")
+    files = [file_identity(spark, f"{base}/{t}.parquet") for t in SOURCES[kind.split(".")[0]]]
+    digest = hashlib.sha1(f"{MIRROR_VERSION}|{base}|{files}".encode()).hexdigest()[:16]
     return f"{root}/ledgerlens-mirror/{digest}/{kind}"
 
 
@@ -361,7 +364,7 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     builder. A folder counts only once its ``_SUCCESS`` marker is written.
     """
     path = stage_folder(spark, sf_dir, kind)
-    return _staged(spark, path, lambda: publish(spark, BUILDERS[kind](spark, sf_dir), path, "text"),
+    return _staged(spark, path, lambda: publish(spark, BUILDERS[kind](spark, sf_dir), path, "text", existing="keep"),
                    lambda: spark.read.text(path))
 
 
@@ -405,7 +408,7 @@ def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     path = stage_folder(spark, sf_dir, f"{kind}.typed")
     return _staged(
         spark, path,
-        lambda: publish(spark, typed(parse(staged_lines(spark, sf_dir, kind))), path, "parquet"),
+        lambda: publish(spark, typed(parse(staged_lines(spark, sf_dir, kind))), path, "parquet", existing="keep"),
         lambda: spark.read.parquet(path),
     )
 

@@ -129,9 +129,31 @@ ORACLE: dict[str, str] = {
     "scam_value_by_category_month": _with(TX, REG)
     + f"SELECT category, month, {_wei_text(SUM_WEI)} AS total FROM tx JOIN reg ON tx.k = reg.k "
     "WHERE category <> '' GROUP BY category, month",
-    "chronological_series": _with(TX) + "SELECT ym, count(*) AS n FROM tx GROUP BY ym",
+    "chronological_series": _with(TX) + "SELECT ym, count(*) AS n FROM tx GROUP BY ym ORDER BY ym",
     "series_head": _with(TX) + "SELECT ym, count(*) AS n FROM tx GROUP BY ym ORDER BY ym ASC LIMIT 10",
-    "series_tail": _with(TX) + "SELECT ym, count(*) AS n FROM tx GROUP BY ym ORDER BY ym DESC LIMIT 5",
+    **{
+        f"{key}_series_head": _with(TX, REG)
+        + f"SELECT ym, {_wei_text(SUM_WEI)} AS total FROM tx JOIN reg ON tx.k = reg.k "
+        f"WHERE replace(category, ' ', '') = '{category}' GROUP BY ym ORDER BY ym ASC LIMIT {n}"
+        for key, category, n in (("fake_ico", "FakeICO", 5), ("phishing", "Phishing", 10), ("scamming", "Scamming", 5))
+    },
+    "average_value_series_head": _with(TX)
+    + f"SELECT ym, cast({SUM_WEI} * {WEI} AS DOUBLE) / count(*) AS avg FROM tx GROUP BY ym ORDER BY ym ASC LIMIT 5",
+    "gas_price_series_tail": _with(TX)
+    + "SELECT * FROM (SELECT ym, cast(sum(cast((c // q) * 100000 AS HUGEINT)) AS DOUBLE) / count(*) AS avg "
+    "FROM tx GROUP BY ym ORDER BY ym DESC LIMIT 5) ORDER BY ym",
+    "contract_gas_series_tail": _with(TX, CON)
+    + "SELECT * FROM (SELECT ym, cast(sum(q * 21000) AS BIGINT) AS gas FROM tx JOIN con ON tx.k = con.k "
+    "GROUP BY ym ORDER BY ym DESC LIMIT 5) ORDER BY ym",
+    "scam_values_without_excluded": _with(TX, REG)
+    + f"SELECT category, month, {_wei_text(SUM_WEI)} AS total FROM tx JOIN reg ON tx.k = reg.k "
+    "WHERE category NOT IN ('', 'Scamming') GROUP BY category, month",
+    "stored_monthly_total": _with(TX) + f"SELECT month, {_wei_text(SUM_WEI)} AS total FROM tx GROUP BY month",
+    "stored_scam_values": _with(TX, REG)
+    + f"SELECT category, month, {_wei_text(SUM_WEI)} AS total FROM tx JOIN reg ON tx.k = reg.k "
+    "WHERE category <> '' GROUP BY category, month",
+    "series_tail": _with(TX)
+    + "SELECT * FROM (SELECT ym, count(*) AS n FROM tx GROUP BY ym ORDER BY ym DESC LIMIT 5) ORDER BY ym",
     "series_total": _with(TX) + "SELECT count(*) AS total FROM tx HAVING count(*) > 0",
     "average_value_series": _with(TX)
     + f"SELECT ym, cast({SUM_WEI} * {WEI} AS DOUBLE) / count(*) AS avg FROM tx GROUP BY ym",
@@ -147,7 +169,7 @@ ORACLE: dict[str, str] = {
         for c in ("FakeICO", "Phishing", "Scamming")
     ).replace("$$", "'")
     + " FROM tx JOIN reg ON tx.k = reg.k "
-    "WHERE replace(category, ' ', '') IN ('FakeICO', 'Phishing', 'Scamming') GROUP BY ym",
+    "WHERE replace(category, ' ', '') IN ('FakeICO', 'Phishing', 'Scamming') GROUP BY ym ORDER BY ym",
     "transaction_validity": """
 SELECT count(*) + 1 AS lines,
        count(*) FILTER (WHERE cast(round(l_discount * 100) AS INTEGER) <> 10

@@ -134,8 +134,59 @@ def q_contract_gas_series(spark, d):
 
 
 def q_scam_series_pivot(spark, d):
-    by_cat = A.scam_value_by_category_month(transactions(spark, d), registry(spark, d))
-    return render_exact(A.scam_series_pivot(by_cat))
+    return render_exact(A.scam_series_pivot(transactions(spark, d), registry(spark, d)))
+
+
+def _scam_head(category: str, n: int):
+    def query(spark, d):
+        return render_exact(A.scam_series_head(transactions(spark, d), registry(spark, d), category, n))
+
+    return query
+
+
+def q_average_value_head(spark, d):
+    return A.series_head(A.monthly_average_value(transactions(spark, d)), 5, value="avg")
+
+
+def q_gas_price_tail(spark, d):
+    """Last months of the gas price series, the excluded label left out first."""
+    series = A.series_without(A.monthly_average_gas_price(transactions(spark, d)), "month")
+    return A.series_tail(series, 5, value="avg")
+
+
+def q_contract_gas_tail(spark, d):
+    series = A.series_without(A.monthly_contract_gas(transactions(spark, d), contracts(spark, d)), "month")
+    return A.series_tail(series, 5, value="gas")
+
+
+def q_categories_without_excluded(spark, d):
+    """P6 where it matters: scam values of all categories but the excluded one."""
+    return render_exact(A.series_without(A.scam_value_by_category_month(transactions(spark, d), registry(spark, d)), "category"))
+
+
+# --- results written by the executors and read back ---------------------------------------
+
+def _round_trip(spark, result: DataFrame, name: str, schema: str) -> DataFrame:
+    """Write a result as JSON lines into a run folder of its own below the
+    shared checkpoint folder, and read it back with an explicit schema."""
+    import uuid
+
+    from ledgerlens.session import ensure_checkpoint_dir
+    from ledgerlens.sinks import run_folder, write_result
+    from ledgerlens.sources import read_result
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/results"
+    path = write_result(result, base, name, f"{run_folder()}-{uuid.uuid4().hex[:8]}")
+    return read_result(spark, path, schema=schema)
+
+
+def q_stored_monthly_total(spark, d):
+    return _round_trip(spark, A.monthly_total_value(transactions(spark, d)), "monthly_total_value", "month string, total string")
+
+
+def q_stored_scam_values(spark, d):
+    result = A.scam_value_by_category_month(transactions(spark, d), registry(spark, d))
+    return _round_trip(spark, result, "scam_value_by_category_month", "category string, month string, total string")
 
 
 # --- operator-level checks ------------------------------------------------------------
@@ -177,19 +228,25 @@ def q_text_monthly_value_stats(spark, d):
 
 def q_streaming_monthly_value_stats(spark, d):
     """Q01-Q03 as a Structured Streaming job over the staged transaction
-    files: run to completion (available-now trigger), then read its sink."""
+    files: run to completion (available-now trigger) into one folder per
+    epoch, of which the latest is read back. The state is removed afterwards."""
     import uuid
 
     from ledgerlens.session import ensure_checkpoint_dir
-    from ledgerlens.streaming import start_monthly_stats
+    from ledgerlens.sinks import file_identity, remove
+    from ledgerlens.sources import read_result
+    from ledgerlens.streaming import latest_epoch, start_monthly_stats_to_files
 
     M.staged_lines(spark, d, "transactions")  # make sure the files exist
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    folder = M.stage_folder(spark, d, "transactions")
     name = f"ledger_monthly_{uuid.uuid4().hex[:12]}"
-    q = start_monthly_stats(spark, folder, name, checkpoint=f"{root}/streams/{name}", available_now=True)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    q = start_monthly_stats_to_files(spark, M.stage_folder(spark, d, "transactions"), f"{root}/out", name, checkpoint=f"{root}/state", available_now=True)
     q.awaitTermination()
-    return render_exact(spark.table(name))
+    remove(spark, f"{root}/state")
+    schema = "month string, n long, total string, avg double"
+    if not file_identity(spark, f"{root}/out"):
+        return spark.createDataFrame([], schema)
+    return read_result(spark, latest_epoch(spark, f"{root}/out"), schema=schema)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -214,6 +271,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gas_price_series": q_gas_price_series,
     "contract_gas_series": q_contract_gas_series,
     "scam_series_pivot": q_scam_series_pivot,
+    "fake_ico_series_head": _scam_head("FakeICO", 5),
+    "phishing_series_head": _scam_head("Phishing", 10),
+    "scamming_series_head": _scam_head("Scamming", 5),
+    "average_value_series_head": q_average_value_head,
+    "gas_price_series_tail": q_gas_price_tail,
+    "contract_gas_series_tail": q_contract_gas_tail,
+    "scam_values_without_excluded": q_categories_without_excluded,
+    "stored_monthly_total": q_stored_monthly_total,
+    "stored_scam_values": q_stored_scam_values,
     "transaction_validity": q_transaction_validity,
     "contract_validity": q_contract_validity,
     "block_validity": q_block_validity,

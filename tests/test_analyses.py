@@ -107,7 +107,7 @@ def test_q09_with_popular_list(tx, lines):
     from ledgerlens.sources import parse_popular_contracts
 
     top = parse_popular_contracts(lines(["0xc1,8.41554E+25"]))
-    got = [(r.address, r.gas) for r in A.gas_of_top_contracts(tx, top, bounded=False).collect()]
+    got = [(r.address, r.gas) for r in A.gas_of_top_contracts(tx, top).collect()]
     assert got[0][0] == "0xc1" and got[0][1] == pytest.approx(63000.9)
 
 
@@ -141,21 +141,24 @@ def test_q13_series_without_label(spark):
 
 
 def test_q14_scam_series_pivot(tx, registry):
-    p = A.scam_series_pivot(A.scam_value_by_category_month(tx, registry))
+    p = A.scam_series_pivot(tx, registry)
     assert p.columns == ["ym", "FakeICO", "Phishing", "Scamming"]
     assert [tuple(r) for r in p.collect()] == [("2015-09", Decimal(3), Decimal(12), None)]
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_join_strategies_agree(tx, tx_int_gas, contracts, registry, limit):
-    assert {r.month: r.gas for r in A.monthly_contract_gas(tx_int_gas, contracts, limit).collect()} == {
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_join_strategies_agree(spark, tx, tx_int_gas, contracts, registry, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r.month: r.gas for r in A.monthly_contract_gas(tx_int_gas, contracts).collect()} == {
         "08-2015": 84000}
-    assert [r.avg for r in A.average_contract_gas(tx, contracts, limit).collect()] == [21000.0]
-    assert {r.id: r.total for r in A.scam_value_by_id(tx, registry, limit).collect()} == {
+    assert [r.avg for r in A.average_contract_gas(tx, contracts).collect()] == [21000.0]
+    assert {r.id: r.total for r in A.scam_value_by_id(tx, registry).collect()} == {
         1: Decimal(12), 2: Decimal(3), 3: Decimal(9)}
     got = sorted((r.category, r.month, r.total)
-                 for r in A.scam_value_by_category_month(tx, registry, limit).collect())
+                 for r in A.scam_value_by_category_month(tx, registry).collect())
     assert got == [("Fake ICO", "09-2015", Decimal(3)), ("Phishing", "09-2015", Decimal(12))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_q09_single_pass_equals_chained(tx, contracts):
@@ -179,9 +182,73 @@ def test_registry_entry_without_addresses_vanishes(tx, lines):
     assert {r.id: r.total for r in A.scam_value_by_id(tx, reg).collect()} == {8: Decimal(3)}
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_q04_prefilter_keeps_totals_and_multiplicity(tx, contracts, limit):
-    got = [(r.address, r.total) for r in A.top_contracts_by_value(tx, contracts, 10, limit).collect()]
+def test_q04_keeps_totals_and_multiplicity(tx, contracts):
+    got = [(r.address, r.total) for r in A.top_contracts_by_value(tx, contracts, 10).collect()]
     assert got == [("0xc1", Decimal(BIG + 8)), ("0xc1", Decimal(BIG + 8))]
-    fused = {r.address: r.gas for r in A.gas_of_top_contracts_by_value(tx, contracts, 10, limit).collect()}
+    fused = {r.address: r.gas for r in A.gas_of_top_contracts_by_value(tx, contracts, 10).collect()}
     assert fused == pytest.approx({"0xc1": 2 * (21000 + 21000 + 21000.9)})
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def _row(value="1", gas="21000"):
+    return f"0xt,0,0xb4,106,0,0xa1,0xc1,{value},{gas},1,0x,1441065600,,,0"
+
+
+@pytest.mark.parametrize("gas", ["oops", "21000d", "21000f", "0x1p3", "", "1__0", "1_"])
+def test_bad_gas_stops_the_job_whatever_the_session_says(lines, contracts, ansi, gas):
+    tx = parse_transactions(lines([_row(gas=gas)]))
+    for analysis in (A.average_contract_gas, A.monthly_contract_gas, A.gas_of_top_contracts_by_value):
+        with pytest.raises(Exception, match="malformed gas"):
+            analysis(tx, contracts).collect()
+
+
+@pytest.mark.parametrize("gas,number", [("1_000", 1000.0), (" 21000.5 ", 21000.5), ("1e3", 1000.0), (".5", 0.5), ("5.", 5.0), ("+7", 7.0)])
+def test_float_text_as_python_reads_it(lines, contracts, ansi, gas, number):
+    assert float(gas) == number
+    tx = parse_transactions(lines([_row(gas=gas)]))
+    assert [r.avg for r in A.average_contract_gas(tx, contracts).collect()] == [float(int(number))]
+    assert [r.gas for r in A.gas_of_top_contracts_by_value(tx, contracts, 1).collect()] == [number]
+
+
+def test_a_value_of_39_digits_stops_the_job(lines, ansi):
+    tx = parse_transactions(lines([_row(value="1" + "0" * 38), _row(value="5")]))
+    with pytest.raises(Exception, match="malformed value"):
+        A.monthly_total_value(tx).collect()
+
+
+@pytest.mark.parametrize("document,message", [
+    ('{"success":true}', "without result"),
+    ('{"success":true,"result":{"a":{"category":"Phishing","addresses":["0xs1"]}}}', "numeric id"),
+    ('{"success":true,"result":{"a":{"id":3,"addresses":["0xs1"]}}}', "without category"),
+])
+def test_incomplete_registry_stops_both_scam_analyses(tx, lines, ansi, document, message):
+    reg = parse_registry(lines([document]))
+    for analysis in (A.most_lucrative_scam, A.scam_value_by_category_month):
+        with pytest.raises(Exception, match=message):
+            analysis(tx, reg).collect()
+
+
+def test_of_entries_with_one_name_the_last_counts(tx, lines):
+    reg = parse_registry(lines(['{"success":true,"result":{"a":{"id":1,"category":"Phishing","addresses":["0xs1"]},'
+                                '"b":{"id":2,"category":"Phishing","addresses":[]},'
+                                '"a":{"id":9,"category":"Scamming","addresses":["0xs1"]}}}']))
+    assert {r.id: r.total for r in A.scam_value_by_id(tx, reg).collect()} == {9: Decimal(3)}
+
+
+def test_pivot_is_one_aggregate_over_the_join_and_a_sort(tx, registry):
+    plan = A.scam_series_pivot(tx, registry)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert above.count("Exchange rangepartitioning") == 1 and above.count("Exchange hashpartitioning") == 1
+
+
+def test_gas_sums_do_not_depend_on_the_order_of_rows(lines, contracts):
+    big = str(2**53 + 1)
+    tx = parse_transactions(lines([_row(gas=big), _row(gas="0.5"), _row(gas="0.5"), _row(gas=big)], partitions=4))
+    assert [r.gas for r in A.gas_of_top_contracts(tx, contracts.limit(1)).collect()] == [float(2 * (2**53 + 1) + 1)]

@@ -53,20 +53,13 @@ def _below_first_join(p: str) -> str:
     return "\n".join(tree[i + 1:])
 
 
-def test_q07_large_list_aggregates_before_the_join(tx, contracts):
-    p = plan(A.monthly_contract_gas(tx, contracts, max_broadcast_rows=0))
+def test_q07_aggregates_before_the_join(tx, contracts):
+    p = plan(A.monthly_contract_gas(tx, contracts))
     # partial + final per (address, month) below the join, then per month above it
     assert count("HashAggregate", p) == 4
     assert "HashAggregate" in _below_first_join(p)
 
 
-def test_q07_small_list_is_broadcast_map_side(tx, contracts):
-    p = plan(A.monthly_contract_gas(tx, contracts))
-    assert "BroadcastHashJoin" in p
-    assert count("Exchange", p) == 1  # only the final aggregate shuffles
-    assert "HashAggregate" not in _below_first_join(p)
-
-
 def test_q09_single_scan(tx, contracts):
     p = plan(A.gas_of_top_contracts_by_value(tx, contracts))
     assert "TakeOrderedAndProject" in p or "TakeOrdered" in p
@@ -78,15 +71,9 @@ def test_q09_single_scan(tx, contracts):
     assert len(filters) == 1  # the transactions are read and validated once
 
 
-def test_q09_stored_list_broadcast(tx, contracts):
-    top = A.top_contracts_by_value(tx, contracts)
-    assert "BroadcastHashJoin" in plan(A.gas_of_top_contracts(tx, top))
-
-
-def test_scam_join_strategies(tx, lines):
+def test_scam_joins_meet_sums(tx, lines):
     reg = parse_registry(lines(FX.REGISTRY, partitions=0))
-    assert "HashAggregate" in _below_first_join(plan(A.scam_value_by_id(tx, reg, max_broadcast_rows=0)))
-    assert "BroadcastHashJoin" in plan(A.scam_value_by_id(tx, reg))
+    assert "HashAggregate" in _below_first_join(plan(A.scam_value_by_id(tx, reg)))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="supplied tables missing")
