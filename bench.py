@@ -2,7 +2,9 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (timed runs per query, default 5; one warm-up run first).
-Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
+Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}:
+``queries`` on the typed staging, ``text_queries`` the same analyses straight
+from the raw text, and the one-off staging, alone and added to the sum.
 """
 
 from __future__ import annotations
@@ -18,9 +20,11 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from ledgerlens.__main__ import ANALYSES  # noqa: E402
 from ledgerlens.plans import mirrors  # noqa: E402
 from ledgerlens.plans.registry import QUERIES  # noqa: E402
 from ledgerlens.session import build_session  # noqa: E402
+from ledgerlens.sources import parse_blocks, parse_contracts, parse_registry, parse_transactions  # noqa: E402
 
 # Headline set: the fourteen named analyses (Q13 and Q14 as their series).
 HEADLINE = [
@@ -58,16 +62,22 @@ def main() -> None:
         mirrors.staged_table(spark, sf_dir, kind)
     staging = round(time.perf_counter() - t0, 4)
 
-    def median_run(name: str) -> tuple[float, int]:
-        q = QUERIES[name]
-        n = len(q(spark, sf_dir).collect())  # warm-up
+    def median_of(q, times: int) -> tuple[float, int]:
+        n = len(q().collect())  # warm-up
         samples = []
-        for _ in range(runs):
+        for _ in range(times):
             t0 = time.perf_counter()
-            q(spark, sf_dir).collect()
+            q().collect()
             samples.append(time.perf_counter() - t0)
         return round(statistics.median(samples), 4), n
 
+    parsers = {"transactions": parse_transactions, "contracts": parse_contracts, "blocks": parse_blocks, "registry": parse_registry}
+
+    def from_text(name: str):
+        """The analysis on the raw text, parsed anew."""
+        inputs, analysis = ANALYSES[name]
+        return analysis(*[parsers[i](mirrors.staged_lines(spark, sf_dir, i)) for i in inputs])
+
     def plan_nodes(name: str) -> dict[str, int]:
         buf = io.StringIO()
         with redirect_stdout(buf):
@@ -80,17 +90,17 @@ def main() -> None:
         }
 
     timings: dict[str, float] = {}
+    text: dict[str, float] = {}
     rows: dict[str, int] = {}
     nodes: dict[str, dict[str, int]] = {}
     errors: dict[str, str] = {}
     for name in HEADLINE:
         try:
-            timings[name], rows[name] = median_run(name)
+            timings[name], rows[name] = median_of(lambda name=name: QUERIES[name](spark, sf_dir), runs)
+            text[name], _ = median_of(lambda name=name: from_text(name), max(1, runs // 2))
             nodes[name] = plan_nodes(name)
         except Exception as exc:  # keep measuring the others; report the failure
             errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
-    # Not in the headline sum: Q01-Q03 parsed straight from the raw text.
-    text_path, _ = median_run("text_monthly_value_stats")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -102,7 +112,9 @@ def main() -> None:
                 "rows": rows,
                 "plan_nodes": nodes,
                 "staging_sec": staging,
-                "text_path_q01_q03_sec": text_path,
+                "total_with_staging_sec": round(staging + sum(timings.values()), 4),
+                "text_queries": text,
+                "text_sum_sec": round(sum(text.values()), 4),
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "runs": runs,
