@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import numpy as np
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 from tokenizers import Tokenizer
 
 from ledgerlens.llm.bpe import ForcedBoundaryBpe, bpe_round_trip, encode_documents

@@ -2,7 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 
 from ledgerlens.llm.exact_dedup import Directory, build_directory, drop_copies, exact_dedup
 

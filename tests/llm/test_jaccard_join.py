@@ -2,7 +2,7 @@ import itertools
 
 import numpy as np
 import pytest
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 
 from ledgerlens.llm import jaccard_join
 from ledgerlens.llm.components import connected_components

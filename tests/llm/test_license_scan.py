@@ -1,6 +1,6 @@
 import re
 
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 
 from ledgerlens.llm.license_rules import BASE_PHRASES
 from ledgerlens.llm.license_scan import detections, license_scan, rules, scan

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 
 from ledgerlens.llm.lm_score import Lattice, lm_score, vocabulary
 

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import packing as P

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 
 from ledgerlens.llm.queries import ORACLE, QUERIES
 

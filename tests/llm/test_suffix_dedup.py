@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 
 from ledgerlens.llm import suffix_dedup as S
 

@@ -2,7 +2,7 @@ import random
 import zlib
 
 import numpy as np
-from conftest import texts_with_everything
+from llm_texts import texts_with_everything
 
 from ledgerlens.llm.queries import QUERIES
 from ledgerlens.llm.toxicity import drop_toxic, fit, toxicity
