@@ -194,7 +194,7 @@ def fit(
     rng = np.random.default_rng(11)
     model = Model(keys, math.log(pos / neg), np.zeros(k), rng.normal(0, 0.02, (k, factors)))
     positive = min(8.0, max(1.0, neg / pos))  # both classes weigh alike, within reason
-    shards = stored(train.repartition(trainers, "shard"), "toxicity-shards")
+    shards = stored(train.repartition(trainers, "shard").sortWithinPartitions("shard"), "toxicity-shards")  # one order, one model
     for turn in range(rounds):
         parts = _round(shards, model, epochs, rate, l2, positive, turn)
         total = sum(p[0] for p in parts)
@@ -226,7 +226,7 @@ def _round(shards: DataFrame, model: Model, epochs: int, rate: float, l2: float,
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` are replaced by (id, score)."""
+    """(id, score) of every row of ``docs``."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
