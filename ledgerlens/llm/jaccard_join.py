@@ -451,9 +451,9 @@ def _matrix_rows(left: pa.Table, right: pa.Table, threshold: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
-    """Exact links between different groups. ``sets``: (rid, grp, n, tokens) of
-    the groups that are still open."""
+def _open_groups(sets: DataFrame, threshold: int, members: int = 1) -> DataFrame:
+    """Exact links of documents with other groups of at least ``members``
+    documents. ``sets``: (rid, grp, n, tokens) of the groups that are open."""
     spark = sets.sparkSession
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -477,7 +477,8 @@ def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
     room = F.col("k") * (100 + threshold) - F.col("n") * threshold
     sizes = stored(sets.groupBy("grp").agg(F.count("*").alias("members")), "join-sizes")
     first = first.join(sizes, "grp")
-    matrix = first.groupBy("token", F.col("grp").alias("other"), F.col("members").alias("others")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(room).alias("most"))
+    larger = first if members == 1 else first.where(F.col("members") >= members)
+    matrix = larger.groupBy("token", F.col("grp").alias("other"), F.col("members").alias("others")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(room).alias("most"))
     fits = (F.col("n") * 100 >= F.col("low") * threshold) & (F.col("high") * 100 >= F.col("n") * threshold)
     fits = fits & (room >= F.col("low") * threshold) & (F.col("most") >= F.col("n") * threshold)
     # Of two groups the smaller one asks: its few members meet the larger one's matrix.
@@ -487,8 +488,8 @@ def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
     # Members and askers of a group are both cut into blocks; every pair of blocks meets once.
     turns = stored(asked.groupBy("other").agg(F.max("blocks").alias("blocks"), F.ceil(F.count("*") / BLOCK).cast("int").alias("turns")), "join-turns")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = sets.select(F.col("grp").alias("other"), "rid", "tokens").join(turns, "other").withColumn("turn", every("turns"))
-    members = members.select("other", F.pmod(F.xxhash64("rid"), "blocks").cast("int").alias("block"), "turn", F.col("rid").alias("member"), F.col("tokens").alias("held"))
+    held = sets.select(F.col("grp").alias("other"), "rid", "tokens").join(turns, "other").withColumn("turn", every("turns"))
+    held = held.select("other", F.pmod(F.xxhash64("rid"), "blocks").cast("int").alias("block"), "turn", F.col("rid").alias("member"), F.col("tokens").alias("held"))
     askers = asked.select("rid", "other").join(turns, "other").join(sets.select("rid", "tokens"), "rid").withColumn("block", every("blocks"))
     askers = askers.select("other", "block", F.pmod(F.xxhash64("rid"), "turns").cast("int").alias("turn"), "rid", "tokens")
 
@@ -497,7 +498,7 @@ def _open_groups(sets: DataFrame, threshold: int) -> DataFrame:
 
     ship(spark)
     keys = ["other", "block", "turn"]
-    return askers.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
+    return askers.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint")
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
@@ -532,7 +533,11 @@ def _components(docs: DataFrame, id_col: str, text_col: str, threshold: int) ->
     bound = _overlap_of_groups(open_).join(open_.groupBy("grp").agg(F.min("n").alias("low")), "grp")
     still = bound.where(F.col("shared") * 100 >= F.col("low") * threshold).select("grp")
     open_ = stored(open_.join(still, "grp", "left_semi"), "join-open")
-    across = stored(_open_groups(open_, threshold), "join-across")
+    # First the groups of several members, which most of the rest belong to; then all groups, of which few are left.
+    links = stored(links.union(_open_groups(open_, threshold, members=2)), "join-links")
+    found = connected_components(links).withColumnRenamed("node", "rid")
+    regrouped = open_.drop("grp").join(found, "rid", "left").select("rid", F.coalesce("component", "rid").alias("grp"), "n", "tokens")
+    across = stored(_open_groups(stored(regrouped, "join-open"), threshold), "join-across")
     found = connected_components(links.union(across)).withColumnRenamed("node", "rid")
     named = stored(classes.join(found, "rid", "left").select("fp1", "fp2", F.col("id").alias("own"), F.coalesce("component", "rid").alias("component")), "join-named")
     return rows.select("rid", "id", "key", "n", "fp1", "fp2").join(named, ["fp1", "fp2"], "left").drop("fp1", "fp2")
