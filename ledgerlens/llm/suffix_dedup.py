@@ -273,8 +273,9 @@ def _entries(docs: DataFrame, length: int, ranges: int, anchor_width: int) -> Da
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Owners of anchor ranges: which contexts are repeats, which are asked for."""
-    anchors, contexts, ids, parts, bases = [], [], [], [], {}
+    """Owners of anchor ranges: which contexts are repeats, which are asked
+    for. Rows come by range; one range is held at a time."""
+    now, held = None, []
     for batch in batches:
         for row in batch.to_pylist():
             if row["range"] == -1:
@@ -283,16 +284,27 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n = len(row["contexts"]) // 6
                 yield _one({"part": row["part"], "base": row["base"], "width": row["width"], "ids": row["ids"], "contexts": row["contexts"], "salts": _pack(np.full(n, WHOLE), 2), "keys": b""})
             else:
-                packed = row["anchors"]
-                gaps = _unpack(packed[9:], packed[8])
-                anchors.append(np.cumsum(np.concatenate([[np.uint64(int.from_bytes(packed[:8], "little"))], gaps]), dtype=np.uint64))
-                contexts.append(_unpack(row["contexts"], 6))
-                far = _unpack(row["ids"], row["width"])
-                ids.append((far + np.uint64(row["base"] & (2**64 - 1))).view(np.int64))
-                parts.append(np.full(row["n"], row["part"]))
-                bases[row["part"]] = (row["base"], row["width"])
-    if not anchors:
+                if row["range"] != now:
+                    yield from _answered(held)
+                    now, held = row["range"], []
+                held.append(row)
+    yield from _answered(held)
+
+
+def _answered(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    """The answers to one range's entries."""
+    if not rows:
         return
+    anchors, contexts, ids, parts, bases = [], [], [], [], {}
+    for row in rows:
+        packed = row["anchors"]
+        gaps = _unpack(packed[9:], packed[8])
+        anchors.append(np.cumsum(np.concatenate([[np.uint64(int.from_bytes(packed[:8], "little"))], gaps]), dtype=np.uint64))
+        contexts.append(_unpack(row["contexts"], 6))
+        far = _unpack(row["ids"], row["width"])
+        ids.append((far + np.uint64(row["base"] & (2**64 - 1))).view(np.int64))
+        parts.append(np.full(row["n"], row["part"]))
+        bases[row["part"]] = (row["base"], row["width"])
     a, c, who, part = (np.concatenate(x) for x in (anchors, contexts, ids, parts))
     by = np.lexsort((who, c, a))
     a, c, who, part = a[by], c[by], who[by], part[by]
@@ -582,7 +594,7 @@ def _answers(source: DataFrame, total: int, firsts: DataFrame, length: int) -> D
     anchor_width = min(7, _width(anchors) + 1 + (anchors.bit_length() % 8 > 4))
     ranges = int(max(partitions(spark), -(-anchors * 16 // RANGE_BYTES)))
     entries = _entries(source, length, ranges, anchor_width)
-    dealt = entries.repartition(ranges, F.when(F.col("range") >= 0, F.col("range")).otherwise(F.col("part")))
+    dealt = entries.repartition(ranges, F.when(F.col("range") >= 0, F.col("range")).otherwise(F.col("part"))).sortWithinPartitions("range")
     answers = map_arrow(dealt, _answer, _ANSWER_SQL)
     # Only the smallest of equal texts is worked on.
     todo = stored(_todo(answers).dropDuplicates(["ord", "key"]).join(firsts, ["ord", "key"], "left_semi"), "suffix-todo")
