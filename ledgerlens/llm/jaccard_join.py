@@ -50,7 +50,7 @@ MINHASHES, LEADERS = 2, 12
 #: Documents of one bucket or group handled together.
 BLOCK = 2048
 #: Bytes of tokens in one token range.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 
 _BLANK = blank_table()
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], np.uint64)
@@ -171,31 +171,12 @@ def _send(tokens: np.ndarray, unit: np.ndarray, names: np.ndarray, part: int, wi
 
 def _count(grouped: bool):
     """The owner of token ranges: how many of a unit's tokens other units hold
-    too. With ``grouped`` a unit may send entries from several batches."""
+    too. With ``grouped`` a unit may send entries from several batches. Rows
+    come by range; one range is held at a time."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, units, parts = [], [], []
-        for batch in batches:
-            own = batch.filter(pc.equal(batch.column("range"), -2))
-            if own.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.nulls(own.num_rows, f.type) if k < 3 else own.column(f.name) for k, f in enumerate(_COUNTED)], schema=_COUNTED)
-            for row in batch.filter(pc.greater(batch.column("range"), -2)).select(_SENT.names[:6]).to_pylist():
-                names = np.frombuffer(row["names"], np.int64)
-                if row["range"] < 0:
-                    yield from _counted(names, np.frombuffer(row["tokens"], np.int64), np.full(len(names), row["part"]))
-                    continue
-                wide = np.zeros((len(row["tokens"]) // row["width"], 8), np.uint8)
-                wide[:, : row["width"]] = np.frombuffer(row["tokens"], np.uint8).reshape(-1, row["width"])
-                tokens.append(wide.reshape(-1).view(np.uint64))
-                kind = np.uint16 if len(row["units"]) == 2 * len(wide) else np.uint32
-                places = np.frombuffer(row["units"], kind)
-                units.append(np.where(places == np.iinfo(kind).max, -1, np.append(names, -1)[np.minimum(places, len(names))]))
-                parts.append(np.full(len(wide), row["part"]))
-        if not tokens:
-            return
+    def counted(tokens: list, units: list, parts: list) -> Iterator[pa.RecordBatch]:
         t, u, p = np.concatenate(tokens), np.concatenate(units), np.concatenate(parts)
-        told = u == -1
-        name = np.where(told, -2 - np.arange(len(u)), u) if grouped else None
+        name = np.where(u == -1, -2 - np.arange(len(u)), u) if grouped else None
         order = np.lexsort((name, t)) if grouped else np.argsort(t, kind="stable")
         t, u, p = t[order], u[order], p[order]
         start = np.concatenate([[True], t[1:] != t[:-1]])
@@ -210,6 +191,31 @@ def _count(grouped: bool):
             keys, n = np.unique(np.stack([p[hit], u[hit]], 1), axis=0, return_counts=True)
             yield from _counted(keys[:, 1], n, keys[:, 0])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, ([], [], [])
+        for batch in batches:
+            own = batch.filter(pc.equal(batch.column("range"), -2))
+            if own.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.nulls(own.num_rows, f.type) if k < 3 else own.column(f.name) for k, f in enumerate(_COUNTED)], schema=_COUNTED)
+            for row in batch.filter(pc.greater(batch.column("range"), -2)).select(_SENT.names[:6]).to_pylist():
+                names = np.frombuffer(row["names"], np.int64)
+                if row["range"] < 0:
+                    yield from _counted(names, np.frombuffer(row["tokens"], np.int64), np.full(len(names), row["part"]))
+                    continue
+                if row["range"] != now:
+                    if held[0]:
+                        yield from counted(*held)
+                    now, held = row["range"], ([], [], [])
+                wide = np.zeros((len(row["tokens"]) // row["width"], 8), np.uint8)
+                wide[:, : row["width"]] = np.frombuffer(row["tokens"], np.uint8).reshape(-1, row["width"])
+                kind = np.uint16 if len(row["units"]) == 2 * len(wide) else np.uint32
+                places = np.frombuffer(row["units"], kind)
+                held[0].append(wide.reshape(-1).view(np.uint64))
+                held[1].append(np.where(places == np.iinfo(kind).max, -1, np.append(names, -1)[np.minimum(places, len(names))]))
+                held[2].append(np.full(len(wide), row["part"]))
+        if held[0]:
+            yield from counted(*held)
+
     return run
 
 
@@ -251,7 +257,7 @@ def _summed(counted: DataFrame) -> DataFrame:
 def _owned(sent: DataFrame, ranges: int, grouped: bool) -> DataFrame:
     """Deal the entries to the owners of their ranges and count."""
     place = F.when(F.col("range") >= 0, F.col("range")).when(F.col("range") == -2, F.col("rid")).otherwise(F.col("part"))
-    return map_arrow(sent.repartition(ranges, place), _count(grouped), _COUNTED_SQL)
+    return map_arrow(sent.repartition(ranges, place).sortWithinPartitions("range"), _count(grouped), _COUNTED_SQL)
 
 
 def _ranges(spark, tokens: int) -> int:
