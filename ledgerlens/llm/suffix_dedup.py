@@ -52,7 +52,7 @@ RUN = 2048
 #: Context bytes in one transform; contexts of one anchor in one block.
 BLOCK_BYTES, SALT = 1 << 19, 8192
 #: Bytes of entries in one anchor range; text bytes whose entries a map task sends together.
-RANGE_BYTES, SENT_BYTES = 6 << 20, 8 << 20
+RANGE_BYTES, SENT_BYTES = 3 << 20, 8 << 20
 #: Context hashes travel with 48 bits; contexts are only compared under one anchor.
 CONTEXT_MASK = np.uint64((1 << 48) - 1)
 LOWEST = -(1 << 63)
