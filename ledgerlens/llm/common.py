@@ -22,11 +22,18 @@ WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in LOWER)
 
 
 _SHIPPED: set[str] = set()
+#: Arrow batches of rows with whole texts: a task holds a few of them at once.
+ARROW_BATCH, DEFAULT_BATCH = "8m", "67108864b"
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that the
-    functions given to Spark can be loaded there from any working directory."""
+    functions given to Spark can be loaded there from any working directory.
+    Where the session leaves the size of Arrow batches at its default, it is
+    lowered, so that executors with little memory beside the heap suffice."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) == DEFAULT_BATCH:
+        spark.conf.set(size, ARROW_BATCH)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -113,7 +120,7 @@ def binary_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - (offsets[0] if len(offsets) else 0)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of ``column``
     (at least one row each), so that temporary arrays stay small."""
     _, offsets = binary_view(batch.column(column))
@@ -148,7 +155,7 @@ def powers(n: int, base: int = _BASE) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept while of ordinary size."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 20), np.uint64(base), np.uint64)
+        have = np.full(max(n, 1 << 19), np.uint64(base), np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
         if n <= 1 << 23:

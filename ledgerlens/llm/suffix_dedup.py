@@ -410,8 +410,8 @@ def _member(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of the unpacked texts of a batch, about a
-    megabyte at a time."""
+    """(first row, bytes, offsets) of the unpacked texts of a batch, about half
+    a megabyte at a time."""
     import zstandard
 
     reader = zstandard.ZstdDecompressor()
@@ -419,7 +419,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     for i, z in enumerate(batch.column("z").to_pylist()):
         held.append(reader.decompress(z))
         size += len(held[-1])
-        if size >= 1 << 20 or len(held) >= 1 << 15 or i == batch.num_rows - 1:
+        if size >= 1 << 19 or len(held) >= 1 << 15 or i == batch.num_rows - 1:
             yield first, np.frombuffer(b"".join(held), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in held])])
             first, held, size = i + 1, [], 0
 
