@@ -462,8 +462,8 @@ def _asked_contexts(rows: DataFrame, length: int) -> DataFrame:
 def _hopeful(anchors: np.ndarray, ids: np.ndarray, contexts: list[bytes], length: int) -> np.ndarray:
     """Which contexts may share a window with one of another document. A window
     reaches at least ``half`` bytes to the left or to the right of its anchor's
-    k-gram, so one of the two must agree; a context that holds the k-gram
-    twice is always kept."""
+    k-gram, so one of the two must agree at some place of the k-gram in either;
+    a context that holds the k-gram twice is always kept."""
     gram = min(GRAM, length)
     half = -(-(length - gram) // 2)
     sizes = np.array([len(c) for c in contexts], np.int64)
@@ -475,7 +475,7 @@ def _hopeful(anchors: np.ndarray, ids: np.ndarray, contexts: list[bytes], length
     at = np.flatnonzero((hashes == anchors[context]) & (np.arange(len(hashes)) + gram <= stops[context]))
     times = np.bincount(context[at], minlength=len(contexts))
     keep = times != 1
-    at, owner = at[~keep[context[at]]], context[at][~keep[context[at]]]
+    owner = context[at]
     for begin, end in ((at - half, at), (at + gram, at + gram + half)):
         inside = (begin >= (stops - sizes)[owner]) & (end <= stops[owner])
         side = span_hashes(flat, begin[inside], end[inside], sums) ^ mix64(anchors[owner[inside]])

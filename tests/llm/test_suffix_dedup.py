@@ -45,6 +45,20 @@ def test_commonplace_anchors_are_cut_into_blocks(docs, monkeypatch):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [x[:5] for x in brute(rows, 50)]
 
 
+@pytest.mark.parametrize("once,twice", [(1, 2), (2, 1)])
+def test_a_passage_whose_end_one_document_repeats(docs, once, twice):
+    # The anchor k-gram stands once in one document and doubled in the other.
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    gram = min((text(S.GRAM) for _ in range(5000)), key=lambda g: int(S.mix64(S.rolling_sums(np.frombuffer(g.encode(), np.uint8))[-1:])[0]))
+    shared = text(30) + gram
+    rows = [(once, text(40) + "1" + shared + "2" + text(40)), (twice, text(40) + "3" + shared + gram + "4" + text(40))]
+    got = S.suffix_dedup(docs(rows)).collect()
+    want = [x[:5] for x in brute(rows, 50)]
+    assert sum(x[2] for x in want) == 50
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
 def test_removing_repeats_keeps_rows_and_columns(docs):
     rows = [r for r in texts_with_everything(7)]
     df = docs(rows)
