@@ -142,7 +142,7 @@ def split_below(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nda
 
 def repeated_windows(contexts: list[bytes], ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Windows of the contexts that repeat one of a smaller id:
-    (context, offset) of those, and of the remaining ones (one per string and id)."""
+    (context, offset) of those, and of the remaining ones (all of the smallest id)."""
     sizes = np.array([len(c) for c in contexts], np.int64)
     data = np.frombuffer(b"".join(contexts), np.uint8)
     stops = np.cumsum(sizes)
@@ -159,7 +159,7 @@ def repeated_windows(contexts: list[bytes], ids: np.ndarray, length: int) -> tup
     smallest = who[head][np.cumsum(head) - 1] if len(rows) else who
     again = who > smallest
     offset = rows - (stops - sizes)[context[rows]]
-    return context[rows[again]], offset[again], context[rows[head]], offset[head]
+    return context[rows[again]], offset[again], context[rows[~again]], offset[~again]
 
 
 # --- contexts --------------------------------------------------------------
@@ -492,7 +492,7 @@ def _hopeful(anchors: np.ndarray, ids: np.ndarray, contexts: list[bytes], length
 def _compare(asked: DataFrame, length: int) -> DataFrame:
     """Repeated windows among the contexts of each (anchor, salt), as (ord,
     key, context, first, last offset); with (h1, h2) set: a window of a cut
-    anchor that was the smallest in its block."""
+    anchor in the smallest document of its block, wherever it stands there."""
     dealt = asked.repartition(partitions(asked.sparkSession), "anchor", "salt").sortWithinPartitions("anchor", "salt")
     names = ["ord", "key", "context", "first", "last", "h1", "h2"]
     schema = pa.schema([(n, pa.int64()) for n in names])
@@ -500,11 +500,12 @@ def _compare(asked: DataFrame, length: int) -> DataFrame:
     def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         anchors = np.array([r[0] for r in rows], np.int64).view(np.uint64)
         ids = np.array([r[2] for r in rows], np.int64)
-        keep = _hopeful(anchors, ids, [r[5] for r in rows], length) | np.array([r[1] > 0 for r in rows])
-        rows, ids = [r for r, k in zip(rows, keep.tolist(), strict=True) if k], ids[keep]
+        salted = np.array([r[1] > 0 for r in rows])
+        keep = _hopeful(anchors, ids, [r[5] for r in rows], length) | salted
+        rows, ids, salted = [r for r, k in zip(rows, keep.tolist(), strict=True) if k], ids[keep], salted[keep]
         if not rows:
             return
-        again, at, head, head_at = repeated_windows([r[5] for r in rows], ids, length)
+        again, at, left, left_at = repeated_windows([r[5] for r in rows], ids, length)
         out = []
         by = np.lexsort((at, again))
         again, at = again[by], at[by]
@@ -513,11 +514,10 @@ def _compare(asked: DataFrame, length: int) -> DataFrame:
             for i, j in zip(new, np.append(new[1:], len(again)), strict=True):
                 r = rows[again[i]]
                 out.append((r[2], r[3], r[4], int(at[i]), int(at[j - 1]), None, None))
-        for k, offset in zip(head.tolist(), head_at.tolist(), strict=True):
-            if rows[k][1]:
-                r = rows[k]
-                h = np.frombuffer(hashlib.blake2b(r[5][offset : offset + length], digest_size=16).digest(), "<i8")
-                out.append((r[2], r[3], r[4], offset, offset, int(h[0]), int(h[1])))
+        for k, offset in zip(left[salted[left]].tolist(), left_at[salted[left]].tolist(), strict=True):
+            r = rows[k]
+            h = np.frombuffer(hashlib.blake2b(r[5][offset : offset + length], digest_size=16).digest(), "<i8")
+            out.append((r[2], r[3], r[4], offset, offset, int(h[0]), int(h[1])))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out, strict=True)], schema=schema)
 

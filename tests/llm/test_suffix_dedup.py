@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from llm_texts import texts_with_everything
 
 from ledgerlens.llm import suffix_dedup as S
@@ -45,6 +46,19 @@ def test_commonplace_anchors_are_cut_into_blocks(docs, monkeypatch):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [x[:5] for x in brute(rows, 50)]
 
 
+def test_cut_anchors_with_the_passage_several_times_in_a_document(docs, monkeypatch):
+    rng = random.Random(8)
+    passage = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(11))
+    rows = [(i, " ".join(f"{rng.randrange(10**9)} {passage} {rng.randrange(10**9)}" for _ in range(6))) for i in range(12)]
+    monkeypatch.setattr(S, "SALT", 12)
+    cloudpickle.register_pickle_by_value(S)  # or the workers import the module with its own SALT
+    try:
+        got = S.suffix_dedup(docs(rows)).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(S)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [x[:5] for x in brute(rows, 50)]
+
+
 @pytest.mark.parametrize("once,twice", [(1, 2), (2, 1)])
 def test_a_passage_whose_end_one_document_repeats(docs, once, twice):
     # The anchor k-gram stands once in one document and doubled in the other.
