@@ -8,7 +8,8 @@ queue of nodes by the distance to their centres and visits the nearest leaves.
 How many is calibrated: for up to ``calibration`` queries the exact neighbours
 are found among all rows, and the number of leaf visits is widened by a
 quarter until at least ``recall`` of them lie in visited leaves (all leaves, in
-the worst case).
+the worst case). A query whose leaves hold too few different ids for ``k``
+neighbours goes on to further leaves until they do.
 
 Rows lie in blocks of a few thousand: small neighbouring leaves share one, a
 large leaf is cut into several. A query is compared with the blocks that hold
@@ -107,14 +108,17 @@ class Tree:
             todo += [(self.first[node] + c, rows[order[a:b]]) for c, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
         return out
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
+    def visit(self, q: np.ndarray, most: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``most`` leaves, best bin first; with ``sizes`` of the
+        leaves given, more until they sum up to ``least``."""
         queue: list[tuple[float, int]] = [(0.0, 0)]
         out: list[int] = []
-        while queue and len(out) < most:
+        held = 0
+        while queue and (len(out) < most or (sizes is not None and held < least)):
             _, node = heapq.heappop(queue)
             if self.leaf[node] >= 0:
                 out.append(int(self.leaf[node]))
+                held += 0 if sizes is None else int(sizes[out[-1]])
                 continue
             a, b = self.first[node], self.last[node]
             for d, child in zip(((self.centre[a:b] - q) ** 2).sum(1).tolist(), range(a, b), strict=True):
@@ -217,14 +221,15 @@ def _routed(rows: DataFrame, tree: Tree) -> DataFrame:
     return map_arrow(rows, run, f"{kinds}, leaf int")
 
 
-def _visits(queries: DataFrame, tree: Tree, most: int, blocks: Blocks) -> DataFrame:
-    """(id, v, block): the blocks of rows that hold a query's leaves."""
-    shared = queries.sparkSession.sparkContext.broadcast((tree, blocks))
+def _visits(queries: DataFrame, tree: Tree, most: int, blocks: Blocks, ids: np.ndarray, k: int) -> DataFrame:
+    """(id, v, block): the blocks of rows that hold a query's leaves; ``ids``:
+    how many ids each leaf holds that no other leaf is counted for."""
+    shared = queries.sparkSession.sparkContext.broadcast((tree, blocks, ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk, at = shared.value
+        walk, at, sizes = shared.value
         for batch in batches:
-            found = [np.unique(np.concatenate([np.arange(at.first[n], at.first[n] + at.parts[n]) for n in walk.visit(q, most)])) for q in matrix(batch.column("v"))]
+            found = [np.unique(np.concatenate([np.arange(at.first[n], at.first[n] + at.parts[n]) for n in walk.visit(q, most, sizes, k + 1)])) for q in matrix(batch.column("v"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], ["id", "v", "blocks"])
 
     return map_arrow(queries, run, "id bigint, v array<double>, blocks array<bigint>").select("id", "v", F.explode("blocks").alias("block"))
@@ -292,7 +297,10 @@ def ann_search(
     visits, _ = calibrate(tree, rows, queries, k, recall, calibration)
     counts = {r.leaf: r.n for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # the tree bounds the leaves
     blocks = Blocks(counts, tree.leaves)
-    asked = stored(_visits(queries, tree, visits, blocks), "ann-visits")
+    ids = np.zeros(tree.leaves, np.int64)
+    for r in index.groupBy("id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect():
+        ids[r.leaf] = r.n
+    asked = stored(_visits(queries, tree, visits, blocks, ids, k), "ann-visits")
     # A block that more than BLOCK queries visit is compared in several turns.
     turns = stored(asked.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns")), "ann-turns")
     askers = asked.join(turns, "block").select("block", F.pmod(F.xxhash64("id"), "turns").cast("int").alias("turn"), "id", "v")

@@ -73,6 +73,15 @@ def test_a_third_of_all_rows_are_one_vector(spark, monkeypatch):
             assert got[q] == want[q]  # ten equal vectors with the smallest ids
 
 
+@pytest.mark.parametrize("times", [1, 4])
+def test_a_query_goes_on_until_it_has_k_neighbours(spark, monkeypatch, times):
+    # A few rows, repeated under their ids, with a block of their own beside two large groups.
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    rows = [(i, [1.0, 0.0]) for i in range(600)] + [(i, [-1.5, 0.0]) for i in range(600, 1200)] + [(i, [0.0, 0.5]) for i in range(1200, 1205)] * times
+    got = collected(ann_search(frame(spark, rows), leaf_rows=25, is_query=F.col("id") >= 1000))
+    assert got == exact(rows, range(1000, 1205))
+
+
 def test_best_bin_first_visits_every_leaf_once():
     x = np.random.default_rng(1).normal(size=(500, 6))
     tree = Tree(x, branching=4, leaf_rows=20)
