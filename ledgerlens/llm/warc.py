@@ -38,8 +38,8 @@ SKIPPABLE_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 #: A file is closed once it has so many bytes; a dictionary has so many, from
-#: a sample of so many bytes of the file's first records.
-FILE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES = 64 << 20, 64 << 10, 2 << 20
+#: a sample of so many bytes of the file's first records, in pieces of at most so many.
+FILE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES, PIECE_BYTES = 64 << 20, 64 << 10, 2 << 20, 8 << 10
 
 
 def record_id(page_id: int | None) -> str:
@@ -94,12 +94,16 @@ def parse_record(record: bytes) -> dict:
     }
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """A trained dictionary; too little to train on gives an empty one."""
+def _dictionary(records: list[bytes], size: int) -> bytes:
+    """A dictionary trained on pieces of the records, so that a few large ones
+    are enough; too little to train on gives an empty one."""
     import zstandard
 
-    if len(samples) < 16:
-        return b""
+    piece = min(PIECE_BYTES, max(256, sum(map(len, records)) // 64))
+    samples = [record[at : at + piece] for record in records for at in range(0, len(record), piece)]
+    most = SAMPLE_BYTES // piece
+    if sum(map(len, samples)) > SAMPLE_BYTES + PIECE_BYTES and len(samples) > most:  # a large last record: pieces from all over
+        samples = [samples[k * len(samples) // most] for k in range(most)]
     total = sum(map(len, samples))
     try:
         return zstandard.train_dictionary(min(size, max(1024, total // 8)), samples, k=256, d=8).as_bytes()

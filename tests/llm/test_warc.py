@@ -74,6 +74,19 @@ def test_files_have_a_dictionary_in_front_and_a_frame_per_record(spark):
     assert sum(m.file_bytes for m in manifest) < plain + 64 * 1024 * len(manifest)
 
 
+@pytest.mark.parametrize("n,size", [(3, 4_000), (12, 200_000), (2, 3_000_000)])
+def test_few_or_large_records_have_a_dictionary(tmp_path, n, size):
+    rng = random.Random(4)
+    words = [f"<b>{rng.randrange(10**6)}</b>" for _ in range(3000)]
+    records = [" ".join(rng.choices(words, k=size // 12)).encode()[:size] for _ in range(n)]
+    writer = W.Writer(f"file://{tmp_path}", W.FILE_BYTES)
+    rows = [row for row in [*map(writer.add, records), writer.close()] if row]
+    assert [list(W.read_file(row["path"])) for row in rows] == [records]
+    data = open(rows[0]["path"].removeprefix("file://"), "rb").read()
+    length = int.from_bytes(data[4:8], "little")
+    assert length and zstandard.ZstdCompressionDict(data[8 : 8 + length]).dict_id()
+
+
 def test_a_third_of_all_pages_are_equal(spark):
     rows = [(i, "u", "same" if i % 3 == 0 else f"page {i}") for i in range(300)]
     got = W.warc_round_trip(pages(spark, rows, 6))
