@@ -1,10 +1,11 @@
 """The signature rules of the licence scan, in order.
 
-One rule a line: ``label ; priority ; keyword ; pattern``. A pattern is a
+One rule a line: ``label ; priority ; keywords ; pattern``. A pattern is a
 regular expression over the normalised text: lower-case words (letters,
 digits, non-ASCII characters) with one blank between them, so "GPL-3.0" reads
 "gpl 3 0". Words in a pattern are whole words. A rule is only tried on texts
-that hold its keyword. A higher priority number wins where detections overlap:
+that hold one of its keywords (``a | b``), so every string that its pattern
+matches must. A higher priority number wins where detections overlap:
 full grants and SPDX tags (4) over named versions (3), names (2), hints (1).
 """
 
@@ -15,7 +16,7 @@ mit ; 4 ; spdx ; spdx license identifier mit
 mit ; 4 ; free of charge ; permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 mit ; 3 ; mit ; (licensed|released|distributed|available) under (the )?(terms of )?(the )?mit( expat)? licen[sc]e
 mit ; 3 ; mit ; the mit licen[sc]e( mit)?
-mit ; 2 ; mit ; (mit|expat) licen[sc]e
+mit ; 2 ; mit | expat ; (mit|expat) licen[sc]e
 mit ; 2 ; opensource ; opensource org licenses mit( license)?( php)?
 mit-0 ; 4 ; spdx ; spdx license identifier mit 0
 mit-0 ; 3 ; mit ; mit no attribution( license)?
@@ -32,7 +33,7 @@ apache-2.0 ; 4 ; spdx ; spdx license identifier apache 2 0
 apache-2.0 ; 4 ; apache ; licensed under the apache license version 2 0( the license)?
 apache-2.0 ; 4 ; apache ; apache license version 2 0 january 2004
 apache-2.0 ; 3 ; apache ; apache (software )?licen[sc]e (v|ver |version )?2( 0)?
-apache-2.0 ; 3 ; apache ; (apache|asl) (v)?2( 0)? licen[sc]e
+apache-2.0 ; 3 ; apache | asl ; (apache|asl) (v)?2( 0)? licen[sc]e
 apache-2.0 ; 3 ; apache ; www apache org licenses license 2 0
 apache-2.0 ; 3 ; apache ; apache 2( 0)?
 apache-1.1 ; 4 ; spdx ; spdx license identifier apache 1 1
@@ -41,7 +42,7 @@ apache-1.0 ; 3 ; apache ; apache (software )?licen[sc]e (v|version )?1 0
 apache ; 2 ; apache ; (the )?apache (software )?licen[sc]e
 bsd-2-clause ; 4 ; spdx ; spdx license identifier bsd 2 clause
 bsd-2-clause ; 3 ; bsd ; (2|two) clause bsd( licen[sc]e)?
-bsd-2-clause ; 3 ; bsd ; (simplified|freebsd) (bsd )?licen[sc]e
+bsd-2-clause ; 3 ; bsd | simplified ; (simplified|freebsd) (bsd )?licen[sc]e
 bsd-2-clause ; 3 ; bsd ; bsd (2|two) clause( licen[sc]e)?
 bsd-3-clause ; 4 ; spdx ; spdx license identifier bsd 3 clause
 bsd-3-clause ; 4 ; endorse ; neither the name of .{1,120}? nor the names of its contributors may be used to endorse or promote products
@@ -148,7 +149,7 @@ php ; 2 ; php ; (the )?php licen[sc]e
 zlib ; 4 ; spdx ; spdx license identifier zlib
 zlib ; 4 ; origin of this software ; the origin of this software must not be misrepresented you must not claim that you wrote the original software
 zlib ; 3 ; zlib ; (the )?zlib( libpng)? licen[sc]e
-libpng ; 3 ; libpng ; (the )?(png|libpng) (reference library )?licen[sc]e
+libpng ; 3 ; png ; (the )?(png|libpng) (reference library )?licen[sc]e
 boost-1.0 ; 4 ; spdx ; spdx license identifier bsl 1 0
 boost-1.0 ; 4 ; boost ; (distributed|licensed) under the boost software license version 1 0
 boost-1.0 ; 3 ; boost ; boost software licen[sc]e( (v|version )?1 0)?
@@ -219,7 +220,7 @@ cc-by-nc-nd-4.0 ; 3 ; creativecommons ; creativecommons org licenses by nc nd 4
 cc-by-nc-nd ; 3 ; cc ; cc by nc nd( licen[sc]e)?
 cc-by-nc-nd ; 3 ; commercial ; attribution non ?commercial no ?deriv(s|atives)( [1-4] 0)?( international| unported)?( licen[sc]e)?
 creative-commons ; 1 ; creative commons ; (a |the )?creative commons licen[sc]e
-creative-commons ; 1 ; creative commons ; some rights reserved
+creative-commons ; 1 ; some rights reserved ; some rights reserved
 odbl-1.0 ; 4 ; spdx ; spdx license identifier odbl 1 0
 odbl-1.0 ; 3 ; open database ; (odc )?open database licen[sc]e( odbl)?( (v|version )?1 0)?
 odc-by-1.0 ; 3 ; open data commons ; open data commons attribution licen[sc]e( (v|version )?1 0)?
@@ -227,7 +228,7 @@ pddl-1.0 ; 3 ; public domain dedication ; (odc |open data commons )?public domai
 ogl-uk-3.0 ; 3 ; open government ; open government licen[sc]e( (v|version )?3 0)?
 cdla-permissive ; 3 ; community data ; community data licen[sc]e agreement permissive( (v|version )?[12] 0)?
 cdla-sharing ; 3 ; community data ; community data licen[sc]e agreement sharing( (v|version )?1 0)?
-etalab-2.0 ; 3 ; etalab ; (licence ouverte |etalab )+(2 0|open licen[sc]e)
+etalab-2.0 ; 3 ; etalab | licence ouverte ; (licence ouverte |etalab )+(2 0|open licen[sc]e)
 dl-de-by-2.0 ; 3 ; datenlizenz ; datenlizenz deutschland namensnennung( version)? 2 0
 ofl-1.1 ; 4 ; spdx ; spdx license identifier ofl 1 1
 ofl-1.1 ; 4 ; font ; this font software is licensed under the sil open font license version 1 1
@@ -275,8 +276,8 @@ public-domain ; 2 ; public domain ; (released|dedicated|placed|put) (in|into|to)
 public-domain ; 1 ; public domain ; (is|are) (in )?(the )?public domain
 proprietary ; 3 ; proprietary ; proprietary and confidential
 proprietary ; 2 ; proprietary ; (this|the) (software|code|document|material) is proprietary
-proprietary ; 2 ; unauthorized ; unauthori[sz]ed (copying|reproduction|distribution|use) of this .{1,60}? is (strictly )?prohibited
-proprietary ; 2 ; permission ; (may|must) not be (reproduced|copied|distributed|republished) without (the )?(prior |express |written )+(permission|consent)
+proprietary ; 2 ; unauthorized | unauthorised ; unauthori[sz]ed (copying|reproduction|distribution|use) of this .{1,60}? is (strictly )?prohibited
+proprietary ; 2 ; permission | consent ; (may|must) not be (reproduced|copied|distributed|republished) without (the )?(prior |express |written )+(permission|consent)
 proprietary ; 2 ; licensed ; licensed materials property of
 eula ; 2 ; end user ; end user licen[sc]e agreement
 reserved ; 2 ; all rights reserved ; all rights reserved

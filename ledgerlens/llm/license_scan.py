@@ -30,7 +30,7 @@ from .license_rules import BASE_PHRASES, RULES
 class Rule:
     label: str
     priority: int
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern
 
 
@@ -42,9 +42,9 @@ def _words(text: str) -> bytes:
 def rules() -> tuple[Rule, ...]:
     out = []
     for line in RULES.splitlines():
-        label, priority, keyword, pattern = line.split(" ; ", 3)
+        label, priority, keywords, pattern = line.split(" ; ", 3)
         compiled = re.compile(b"(?<= )(?:" + pattern.encode() + b")(?= )", re.DOTALL)
-        out.append(Rule(label, int(priority), _words(keyword), compiled))
+        out.append(Rule(label, int(priority), tuple(map(_words, keywords.split(" | "))), compiled))
     return tuple(out)
 
 
@@ -55,7 +55,8 @@ def _automaton():
     auto = ahocorasick.Automaton()
     by_keyword: dict[str, list[int]] = {}
     for i, rule in enumerate(rules()):
-        by_keyword.setdefault(rule.keyword.decode("latin-1"), []).append(i)
+        for keyword in rule.keywords:
+            by_keyword.setdefault(keyword.decode("latin-1"), []).append(i)
     for keyword, ids in by_keyword.items():
         auto.add_word(keyword, ids)
     auto.make_automaton()

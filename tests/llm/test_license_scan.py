@@ -1,4 +1,6 @@
+import itertools
 import re
+from re import _constants, _parser
 
 from llm_texts import texts_with_everything
 
@@ -23,6 +25,42 @@ def test_hundreds_of_rules_compile_and_hold_their_keyword():
     assert len({(r.label, r.pattern.pattern) for r in rules()}) == len(rules())
 
 
+def strings(pattern):
+    """A string for every way through a pattern; repeated parts as often as they must, optional ones none or once."""
+    out = [""]
+    for op, arg in pattern:
+        if op is _constants.LITERAL:
+            some = [chr(arg)]
+        elif op is _constants.ANY:
+            some = ["0"]
+        elif op is _constants.IN:
+            some = ["0" if kind is _constants.CATEGORY else chr(c[0] if kind is _constants.RANGE else c) for kind, c in arg]
+        elif op is _constants.SUBPATTERN:
+            some = strings(arg[3])
+        elif op is _constants.BRANCH:
+            some = [s for branch in arg[1] for s in strings(branch)]
+        elif op in (_constants.MAX_REPEAT, _constants.MIN_REPEAT):
+            some = ([""] if arg[0] == 0 else []) + [s * max(1, arg[0]) for s in strings(arg[2])]
+        else:
+            assert op is _constants.ASSERT, op  # the blanks around
+            continue
+        out = [a + b for a, b in itertools.product(out, some)]
+    return out
+
+
+def test_the_prefilter_hides_no_match():
+    hidden = []
+    for rule in rules():
+        for text in strings(_parser.parse(rule.pattern.pattern.decode(), re.DOTALL)):
+            padded = f" {text} ".encode()
+            assert rule.pattern.search(padded), (rule, text)
+            if not any(keyword in padded for keyword in rule.keywords):
+                hidden.append((rule.label, text))
+    assert hidden == []
+    for text, label in [(b"ASL 2.0 license", "apache-2.0"), (b"Expat licence", "mit"), (b"some rights reserved", "creative-commons"), (b"Licence Ouverte 2.0", "etalab-2.0")]:
+        assert label in scan(text)[5].split(",")
+
+
 def test_rows_equal_brute_force(docs):
     rows = texts_with_everything() + [(900, "Released under CC-BY, GNU General Public License. All rights reserved! all rights reserved")]
     got = license_scan(docs(rows)).collect()
