@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import partial
 
 from ledgerlens.plans import analyses as A
 from ledgerlens.session import build_session
@@ -31,13 +32,18 @@ from ledgerlens.sources import (
     read_transactions,
 )
 
+def _exact(analysis):
+    """Totals as decimal text, which holds them whatever their size."""
+    return partial(analysis, text=True)
+
+
 # analysis -> (inputs, function of the parsed inputs)
 ANALYSES = {
     "monthly_transaction_count": (("transactions",), A.monthly_transaction_count),
-    "monthly_total_value": (("transactions",), A.monthly_total_value),
+    "monthly_total_value": (("transactions",), _exact(A.monthly_total_value)),
     "monthly_average_value": (("transactions",), A.monthly_average_value),
-    "monthly_value_stats": (("transactions",), A.monthly_value_stats),
-    "top_contracts_by_value": (("transactions", "contracts"), A.top_contracts_by_value),
+    "monthly_value_stats": (("transactions",), _exact(A.monthly_value_stats)),
+    "top_contracts_by_value": (("transactions", "contracts"), _exact(A.top_contracts_by_value)),
     "top_miners_by_block_size": (("blocks",), A.top_miners_by_block_size),
     "monthly_average_gas_price": (("transactions",), A.monthly_average_gas_price),
     "monthly_contract_gas": (("transactions", "contracts"), A.monthly_contract_gas),
@@ -47,14 +53,14 @@ ANALYSES = {
         ("transactions", "popular"), A.gas_of_top_contracts
     ),
     "block_column_overhead": (("blocks",), A.block_column_overhead),
-    "most_lucrative_scam": (("transactions", "registry"), A.most_lucrative_scam),
-    "scam_value_by_category_month": (("transactions", "registry"), A.scam_value_by_category_month),
+    "most_lucrative_scam": (("transactions", "registry"), _exact(A.most_lucrative_scam)),
+    "scam_value_by_category_month": (("transactions", "registry"), _exact(A.scam_value_by_category_month)),
     "chronological_series": (
         ("transactions",), lambda tx: A.chronological_series(A.monthly_transaction_count(tx))
     ),
     "scam_series_pivot": (
         ("transactions", "registry"),
-        A.scam_series_pivot,
+        _exact(A.scam_series_pivot),
     ),
 }
 

@@ -19,7 +19,6 @@ FLOAT_TEXT_RE = (
     r"(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?|(?i:inf(?:inity)?|nan))\s*$"
 )
 WEI = "decimal(38,0)"
-AMOUNT = "decimal(38,9)"
 SECONDS_PER_DAY = 86400
 
 
@@ -42,6 +41,25 @@ def _or_fail(parsed: Column, c: Column, what: str) -> Column:
     return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"malformed {what}: "), F.coalesce(c.cast("string"), F.lit("null")))))
 
 
+def must(present: Column, message: Column) -> Column:
+    """A filter condition that is true, or fails the job: unlike a check in a
+    projected column, column pruning cannot remove it."""
+    return F.when(present, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
+def malformed(parsed: Column, c: Column, what: str) -> Column:
+    """What is wrong with ``c``, as text; null where it was parsed."""
+    return F.when(parsed.isNull(), F.concat(F.lit(f"malformed {what}: "), F.coalesce(c.cast("string"), F.lit("null"))))
+
+
+def int_or_null(c: Column, dtype: str = "bigint") -> Column:
+    """Integer text as a number; null for anything else, also for a number that
+    does not fit ``dtype``."""
+    # Plain digits (the common case) cast directly; blanks, signs and
+    # underscores take the cleaning path.
+    return F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast(dtype)).when(is_int_text(c), _int_digits(c).try_cast(dtype))
+
+
 def strict_int(c: Column, dtype: str = "bigint", what: str = "integer field") -> Column:
     """Parse integer text, failing the job on anything else, also on a number
     that does not fit ``dtype``.
@@ -49,10 +67,7 @@ def strict_int(c: Column, dtype: str = "bigint", what: str = "integer field") ->
     Fields other than the validity probe are parsed unguarded: a malformed
     value is a data error and must not be skipped silently.
     """
-    # Plain digits (the common case) cast directly; blanks, signs and
-    # underscores take the cleaning path; anything else stops the job.
-    parsed = F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast(dtype)).when(is_int_text(c), _int_digits(c).try_cast(dtype))
-    return _or_fail(parsed, c, what)
+    return _or_fail(int_or_null(c, dtype), c, what)
 
 
 def wei(c: Column, what: str = "wei amount") -> Column:
@@ -66,17 +81,14 @@ def is_float_text(c: Column) -> Column:
     return F.coalesce(c.rlike(FLOAT_TEXT_RE), F.lit(False))
 
 
-def to_double(c: Column, what: str = "number") -> Column:
-    """Python ``float(text)``; anything it refuses stops the job."""
-    parsed = F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast("double")).when(is_float_text(c), _int_digits(c).try_cast("double"))
-    return _or_fail(parsed, c, what)
+def double_or_null(c: Column) -> Column:
+    """Float text as a number; null for anything that Python's ``float()`` refuses."""
+    return F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast("double")).when(is_float_text(c), _int_digits(c).try_cast("double"))
 
 
-def to_decimal(c: Column, what: str = "number") -> Column:
-    """Float text as an exact decimal, so that sums don't depend on the order
-    of the rows; numbers beyond it, and inf or nan, stop the job."""
-    parsed = F.when(c.rlike(PLAIN_DIGITS_RE), c.try_cast(AMOUNT)).when(is_float_text(c), _int_digits(c).try_cast(AMOUNT))
-    return _or_fail(parsed, c, what)
+def to_double(c: Column, what: str = "number") -> Column:
+    """Python ``float(text)``; anything it refuses stops the job."""
+    return _or_fail(double_or_null(c), c, what)
 
 
 def truncate_to_long(c: Column, what: str = "number") -> Column:

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import label_to_date, label_to_ym
 
 
-def top_k(df: DataFrame, k: int, by: str, tiebreak: str | Sequence[str]) -> DataFrame:
+def top_k(df: DataFrame, k: int, by: Column | str, tiebreak: str | Sequence[str]) -> DataFrame:
     """The ``k`` rows with the largest ``by``; ties broken by ``tiebreak`` asc.
 
     ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: every task keeps
     a k-row heap and only k rows per task reach the final merge.
     """
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
-    return df.orderBy(F.col(by).desc(), *[F.col(t).asc() for t in ties]).limit(k)
+    order = F.col(by) if isinstance(by, str) else by
+    return df.orderBy(order.desc(), *[F.col(t).asc() for t in ties]).limit(k)
 
 
 def chronological(df: DataFrame, label: str = "month", ym: str = "ym") -> DataFrame:

@@ -7,7 +7,8 @@ transaction, every order a block, every supplier a contract, and the scam
 registry is built from suppliers, nations and regions.
 
 Mapping
-  transactions  <- lineitem: to_address = supplier, value = extended price
+  transactions  <- lineitem: to_address = supplier (of a few, a part, which no
+                   list holds), value = extended price
                    in cents x 10^16 (26-digit wei), gas = quantity x 21000,
                    gas_price = (cents div quantity) x 10^5, timestamp = ship
                    date (+ line number hours).
@@ -42,6 +43,8 @@ ADDRESS_WIDTH = 40
 WEI_PER_CENT_DIGITS = "0000000000000000"  # x 10^16
 GAS_PER_UNIT = 21000
 GAS_PRICE_SCALE = 100000
+UNLISTED_LINE, UNLISTED_TAX = 6, 5
+ODD_GAS = ("5.5", "20999.99999999999", "1e30")
 QUOTED_INPUT = '"0xa9059cbb,0x01"'
 MULTI_SIGHASHES = '"0x06fdde03,0x095ea7b3"'
 ONE_SIGHASH = "0x18160ddd"
@@ -112,7 +115,14 @@ def transaction_lines(spark: SparkSession, sf_dir: str, header: bool = True) ->
       discount 0           block_number written ``<n>_0``       -> kept
       returned and open    input is a quoted list with a comma  -> dropped
       tax 8                line stops after gas_price (10 f.)   -> dropped
+      line 6, tax 5        sent to the part's address (``0xp``), which no list
+                           holds, with gas that is no integer: by the part's
+                           key modulo 3 ``5.5``, ``20999.99999999999`` or
+                           ``1e30``                             -> kept
     """
+    unlisted = (F.col("l_linenumber") == UNLISTED_LINE) & (pct(F.col("l_tax")) == UNLISTED_TAX)
+    part = F.col("l_partkey") % 3
+    odd_gas = F.when(part == 0, F.lit(ODD_GAS[0])).when(part == 1, F.lit(ODD_GAS[1])).otherwise(F.lit(ODD_GAS[2]))
     li = table(spark, sf_dir, "lineitem")
     ok = F.col("l_orderkey").cast("string")
     ln = F.col("l_linenumber").cast("string")
@@ -134,9 +144,10 @@ def transaction_lines(spark: SparkSession, sf_dir: str, header: bool = True) ->
         block,                                                               # block_number
         ln,                                                                  # transaction_index
         address(F.col("l_partkey")),                                         # from_address
-        address(F.col("l_suppkey")),                                         # to_address
+        F.when(unlisted, F.concat(F.lit("0xp"), F.col("l_partkey").cast("string")))
+        .otherwise(address(F.col("l_suppkey"))),                             # to_address
         F.concat(c.cast("string"), F.lit(WEI_PER_CENT_DIGITS)),              # value
-        (qty * F.lit(GAS_PER_UNIT)).cast("string"),                          # gas
+        F.when(unlisted, odd_gas).otherwise((qty * F.lit(GAS_PER_UNIT)).cast("string")),  # gas
         (F.expr("l_c div l_q") * F.lit(GAS_PRICE_SCALE)).cast("string"),     # gas_price
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"),
                F.lit(QUOTED_INPUT)).otherwise(F.lit("0x")),                  # input
@@ -312,7 +323,8 @@ def _package_digest() -> str:
     def walk(node, prefix: str) -> None:  # works in a folder and inside a zip
         for child in sorted(node.iterdir(), key=lambda c: c.name):
             if child.is_dir():
-                walk(child, f"{prefix}{child.name}/")
+                if prefix or child.name != "llm":  # not read by any of them
+                    walk(child, f"{prefix}{child.name}/")
             elif child.name.endswith(".py"):
                 h.update(f"{prefix}{child.name}".encode() + child.read_bytes())
 

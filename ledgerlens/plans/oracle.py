@@ -12,7 +12,7 @@ WEI = "10000000000000000"
 
 TX = f"""
 tx AS (
-  SELECT l_suppkey AS k,
+  SELECT CASE WHEN l_linenumber = 6 AND cast(round(l_tax * 100) AS INTEGER) = 5 THEN -1 ELSE l_suppkey END AS k,
          cast(round(l_extendedprice * 100) AS BIGINT) AS c,
          cast(l_quantity AS BIGINT) AS q,
          strftime(l_shipdate, '%m-%Y') AS month,

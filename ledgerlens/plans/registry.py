@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans import analyses as A
 from ledgerlens.plans import mirrors as M
-from ledgerlens.sinks import render_exact
 from ledgerlens.sources.ledger import (
     parse_popular_contracts,
     parse_registry,
@@ -55,7 +54,7 @@ def q_monthly_transaction_count(spark, d):
 
 
 def q_monthly_total_value(spark, d):
-    return render_exact(A.monthly_total_value(transactions(spark, d)))
+    return A.monthly_total_value(transactions(spark, d), text=True)
 
 
 def q_monthly_average_value(spark, d):
@@ -63,7 +62,7 @@ def q_monthly_average_value(spark, d):
 
 
 def q_top_contracts_by_value(spark, d):
-    return render_exact(A.top_contracts_by_value(transactions(spark, d), contracts(spark, d)))
+    return A.top_contracts_by_value(transactions(spark, d), contracts(spark, d), text=True)
 
 
 def q_top_miners_by_block_size(spark, d):
@@ -96,11 +95,11 @@ def q_block_column_overhead(spark, d):
 
 
 def q_most_lucrative_scam(spark, d):
-    return render_exact(A.most_lucrative_scam(transactions(spark, d), registry(spark, d)))
+    return A.most_lucrative_scam(transactions(spark, d), registry(spark, d), text=True)
 
 
 def q_scam_value_by_category_month(spark, d):
-    return render_exact(A.scam_value_by_category_month(transactions(spark, d), registry(spark, d)))
+    return A.scam_value_by_category_month(transactions(spark, d), registry(spark, d), text=True)
 
 
 def q_chronological_series(spark, d):
@@ -134,12 +133,12 @@ def q_contract_gas_series(spark, d):
 
 
 def q_scam_series_pivot(spark, d):
-    return render_exact(A.scam_series_pivot(transactions(spark, d), registry(spark, d)))
+    return A.scam_series_pivot(transactions(spark, d), registry(spark, d), text=True)
 
 
 def _scam_head(category: str, n: int):
     def query(spark, d):
-        return render_exact(A.scam_series_head(transactions(spark, d), registry(spark, d), category, n))
+        return A.scam_series_head(transactions(spark, d), registry(spark, d), category, n, text=True)
 
     return query
 
@@ -161,7 +160,7 @@ def q_contract_gas_tail(spark, d):
 
 def q_categories_without_excluded(spark, d):
     """P6 where it matters: scam values of all categories but the excluded one."""
-    return render_exact(A.series_without(A.scam_value_by_category_month(transactions(spark, d), registry(spark, d)), "category"))
+    return A.series_without(A.scam_value_by_category_month(transactions(spark, d), registry(spark, d), text=True), "category")
 
 
 # --- results written by the executors and read back ---------------------------------------
@@ -181,11 +180,11 @@ def _round_trip(spark, result: DataFrame, name: str, schema: str) -> DataFrame:
 
 
 def q_stored_monthly_total(spark, d):
-    return _round_trip(spark, A.monthly_total_value(transactions(spark, d)), "monthly_total_value", "month string, total string")
+    return _round_trip(spark, A.monthly_total_value(transactions(spark, d), text=True), "monthly_total_value", "month string, total string")
 
 
 def q_stored_scam_values(spark, d):
-    result = A.scam_value_by_category_month(transactions(spark, d), registry(spark, d))
+    result = A.scam_value_by_category_month(transactions(spark, d), registry(spark, d), text=True)
     return _round_trip(spark, result, "scam_value_by_category_month", "category string, month string, total string")
 
 
@@ -214,16 +213,16 @@ def q_block_bytes(spark, d):
 
 
 def q_contract_value_totals(spark, d):
-    return render_exact(A.contract_value_totals(transactions(spark, d), contracts(spark, d)))
+    return A.contract_value_totals(transactions(spark, d), contracts(spark, d), text=True)
 
 
 def q_scam_value_by_id(spark, d):
-    return render_exact(A.scam_value_by_id(transactions(spark, d), registry(spark, d)))
+    return A.scam_value_by_id(transactions(spark, d), registry(spark, d), text=True)
 
 
 def q_text_monthly_value_stats(spark, d):
     """Q01-Q03 in one aggregate, straight from the raw transaction text."""
-    return render_exact(A.monthly_value_stats(text_transactions(spark, d)))
+    return A.monthly_value_stats(text_transactions(spark, d), text=True)
 
 
 def q_streaming_monthly_value_stats(spark, d):

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.columns import must
 from ledgerlens.schemas import (
     BLOCKS,
     CONTRACTS,
@@ -109,12 +110,6 @@ def read_blocks(spark: SparkSession, path) -> DataFrame:
     return parse_blocks(read_lines(spark, path))
 
 
-def _must(present: Column, message: Column) -> Column:
-    """A filter condition that is true, or fails the job: unlike a check in a
-    projected column, column pruning cannot remove it."""
-    return F.when(present, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-
-
 def parse_registry(lines: DataFrame) -> DataFrame:
     """Scam registry documents -> one row per registry entry.
 
@@ -129,15 +124,15 @@ def parse_registry(lines: DataFrame) -> DataFrame:
     docs = lines.where(F.length(F.trim(F.col("value"))) > 0).select(
         F.monotonically_increasing_id().alias("_doc"), doc.getField("result").alias("result")
     )
-    docs = docs.where(_must(F.col("result").isNotNull(), F.lit("registry document without result")))
+    docs = docs.where(must(F.col("result").isNotNull(), F.lit("registry document without result")))
     listed = docs.select("_doc", F.posexplode(F.map_entries("result")).alias("_place", "_pair"))
     last = listed.groupBy("_doc", F.col("_pair.key").alias("name")).agg(
         F.max_by(F.col("_pair.value"), F.col("_place")).alias("entry")
     )
     e = F.col("entry")
     checked = last.where(
-        _must(e.getField("id").isNotNull(), F.concat(F.lit("registry entry without numeric id: "), F.col("name")))
-        & _must(e.getField("category").isNotNull(), F.concat(F.lit("registry entry without category: "), F.col("name")))
+        must(e.getField("id").isNotNull(), F.concat(F.lit("registry entry without numeric id: "), F.col("name")))
+        & must(e.getField("category").isNotNull(), F.concat(F.lit("registry entry without category: "), F.col("name")))
     )
     return checked.select(
         F.col("name"),

@@ -7,9 +7,11 @@ Later analyses then read only the columns they use (column pruning and
 predicate pushdown reach the Parquet scan).
 
 Staging is strict: a malformed value in a staged column stops the staging
-job, whereas the text path only fails the analyses that use that column.
-``gas`` is an exact decimal; ``gas_is_int`` says whether its text is an
-integer, which monthly gas insists on and the other gas analyses don't.
+job, whereas the text path only fails the analyses that use that column. Gas is
+the exception, since one analysis only looks at gas that reaches a contract:
+``gas_int`` is what integer text says, ``gas`` what Python's ``float()`` reads,
+each null where the text is none, and ``gas_text`` is the text itself where it
+is no integer.
 """
 
 from __future__ import annotations
@@ -17,19 +19,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import flag_to_bool, is_int_text, month_label, strict_int, to_decimal, wei
+from ledgerlens.functions.columns import WEI, double_or_null, flag_to_bool, int_or_null, month_label, strict_int, wei
 from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import registry_addresses
 
 
 def typed_transactions(tx: DataFrame) -> DataFrame:
     ts = strict_int(F.col("block_timestamp"), "bigint", "block_timestamp")
+    gas = int_or_null(F.col("gas"), WEI)
     return tx.select(
         "to_address",
         "from_address",
         wei(F.col("value"), "value").alias("value"),
-        to_decimal(F.col("gas"), "gas").alias("gas"),
-        is_int_text(F.col("gas")).alias("gas_is_int"),
+        double_or_null(F.col("gas")).alias("gas"),
+        gas.alias("gas_int"),
+        F.when(gas.isNull(), F.coalesce("gas", F.lit("null"))).alias("gas_text"),
         wei(F.col("gas_price"), "gas_price").alias("gas_price"),
         ts.alias("block_timestamp"),
         month_label(ts).alias("month"),

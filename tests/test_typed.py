@@ -34,8 +34,8 @@ def typed(spark, text, tmp_path):
 def test_typed_schema(typed):
     types = dict(typed["tx"].dtypes)
     assert types["value"] == "decimal(38,0)" and types["gas_price"] == "decimal(38,0)"
-    assert types["block_timestamp"] == "bigint" and types["month"] == "string" and types["gas"] == "decimal(38,9)"
-    assert types["gas_is_int"] == "boolean"
+    assert types["block_timestamp"] == "bigint" and types["month"] == "string"
+    assert types["gas"] == "double" and types["gas_int"] == "decimal(38,0)" and types["gas_text"] == "string"
     assert dict(typed["blocks"].dtypes)["size"] == "bigint"
     assert set(typed["registry"].columns) == {"address", "id", "category", "status"}
 
