@@ -161,12 +161,18 @@ def _own(path: str):
     return own
 
 
+#: Blanks in a row that the faster implementation is trusted with.
+_BLANKS = 2_000
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """bytes -> token ids of a byte-level BPE file. The file's vocabulary and
-    merges are handed to a faster implementation of the same algorithm; texts
-    with special tokens or characters whose class differs between Unicode
-    versions go through the file's own tokenizer."""
+    """Text -> token ids of a byte-level BPE file. The file's vocabulary is
+    handed to a faster implementation of the same algorithm, which merges in the
+    order of ids: that must be the order of the file's merges. Texts with special
+    tokens, characters whose class differs between Unicode versions or runs of
+    blanks that are too long for its backtracking go through the file's own
+    tokenizer."""
     import json
     import re
 
@@ -180,10 +186,14 @@ def _encoder(path: str):
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+    if any(a >= b for a, b in zip(merged, merged[1:], strict=False)):
+        raise ValueError(f"{path}: the ids of tokens do not follow the order of merges")
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     # Latin, Greek, Cyrillic and general punctuation: settled long before either library's Unicode tables.
-    unusual = re.compile("|".join([r"[^\t\n\r -~ -ɏͰ-ͳΑ-ΡΣ-ҁ‐-‧€]", *map(re.escape, special)]))
+    unusual = re.compile("|".join([r"[^\t\n\r -~ -ɏͰ-ͳΑ-ΡΣ-ҁ‐-‧€]", rf"\s{{{_BLANKS},}}", *map(re.escape, special)]))
 
     def encode(text: str) -> np.ndarray:
         if unusual.search(text):

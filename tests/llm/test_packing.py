@@ -46,6 +46,26 @@ def test_repeated_rows_and_empty_table(docs, byte_bpe):
     assert best_fit_packing(docs([]), byte_bpe).collect() == []
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\t" * 1_000_000, "a" + "\n \t" * 400_000 + "b", "word " * 300_000])
+def test_long_runs_of_blanks_and_long_texts(docs, byte_bpe, text):
+    ids = np.array([*Tokenizer.from_file(byte_bpe).encode(text, add_special_tokens=False).ids, 2], "<u4")
+    own = sorted(best_fit_packing(docs([(1, text)]), byte_bpe).collect(), key=lambda r: r.piece)
+    assert sum(r.length for r in own) == len(ids)
+    assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own)
+
+
+def test_ids_must_follow_the_merges(tmp_path, byte_bpe):
+    import json
+
+    with open(byte_bpe, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["model"]["merges"][:2] = spec["model"]["merges"][1::-1]
+    path = tmp_path / "turned.json"
+    path.write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="order of merges"):
+        P._encoder(str(path))
+
+
 def optimum(items, capacity):
     """The fewest sequences, by trying everything."""
     items = sorted(items, reverse=True)
