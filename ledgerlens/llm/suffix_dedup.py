@@ -52,9 +52,7 @@ RUN = 2048
 #: Context bytes in one transform; contexts of one anchor in one block.
 BLOCK_BYTES, SALT = 1 << 19, 8192
 #: Bytes of entries in one anchor range; text bytes whose entries a map task sends together.
-RANGE_BYTES, SENT_BYTES = 3 << 20, 8 << 20
-#: Context hashes travel with 48 bits; contexts are only compared under one anchor.
-CONTEXT_MASK = np.uint64((1 << 48) - 1)
+RANGE_BYTES, SENT_BYTES = 2 << 20, 3 << 20
 LOWEST = -(1 << 63)
 
 
@@ -200,7 +198,7 @@ def contexts_of(flat: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     first = place[begin]
     end = first + size - 1 + length
     row = np.searchsorted(offsets, first, "right") - 1
-    return row, first, end, anchor[begin], span_hashes(flat, first, end, sums) & CONTEXT_MASK
+    return row, first, end, anchor[begin], span_hashes(flat, first, end, sums)
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
@@ -256,7 +254,7 @@ def _entries(docs: DataFrame, length: int, ranges: int, anchor_width: int) -> Da
                     far = who.view(np.uint64) - np.uint64(base & (2**64 - 1))
                     width = _width(int(far.max()))
                     if not head.all():
-                        out.append({"range": -2, "part": number, "base": base, "width": width, "n": 0, "anchors": b"", "contexts": _pack(context[~head], 6), "ids": _pack(far[~head], width)})
+                        out.append({"range": -2, "part": number, "base": base, "width": width, "n": 0, "anchors": b"", "contexts": _pack(context[~head], 8), "ids": _pack(far[~head], width)})
                     anchor, context, far = anchor[head], context[head], far[head]
                     where = (anchor.astype(np.float64) * (ranges / 2.0 ** (8 * anchor_width))).astype(np.int64).clip(0, ranges - 1)
                     cuts = np.searchsorted(where, np.arange(ranges + 1))  # anchors are in order
@@ -266,7 +264,7 @@ def _entries(docs: DataFrame, length: int, ranges: int, anchor_width: int) -> Da
                         lead, gaps = int(gaps[0]), gaps[1:]
                         gap_width = _width(int(gaps.max())) if len(gaps) else 1
                         packed = lead.to_bytes(8, "little") + bytes([gap_width]) + _pack(gaps, gap_width)
-                        out.append({"range": int(r), "part": number, "base": base, "width": width, "n": int(b - a), "anchors": packed, "contexts": _pack(context[a:b], 6), "ids": _pack(far[a:b], width)})
+                        out.append({"range": int(r), "part": number, "base": base, "width": width, "n": int(b - a), "anchors": packed, "contexts": _pack(context[a:b], 8), "ids": _pack(far[a:b], width)})
                 yield pa.RecordBatch.from_pylist(out, _ENTRIES)
 
     return map_arrow(docs, run, _ENTRY_SQL)
@@ -281,7 +279,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if row["range"] == -1:
                 yield _one({"part": row["part"], "base": 0, "width": 8, "ids": row["ids"], "contexts": b"", "salts": b"", "keys": row["anchors"]})
             elif row["range"] == -2:
-                n = len(row["contexts"]) // 6
+                n = len(row["contexts"]) // 8
                 yield _one({"part": row["part"], "base": row["base"], "width": row["width"], "ids": row["ids"], "contexts": row["contexts"], "salts": _pack(np.full(n, WHOLE), 2), "keys": b""})
             else:
                 if row["range"] != now:
@@ -300,7 +298,7 @@ def _answered(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         packed = row["anchors"]
         gaps = _unpack(packed[9:], packed[8])
         anchors.append(np.cumsum(np.concatenate([[np.uint64(int.from_bytes(packed[:8], "little"))], gaps]), dtype=np.uint64))
-        contexts.append(_unpack(row["contexts"], 6))
+        contexts.append(_unpack(row["contexts"], 8))
         far = _unpack(row["ids"], row["width"])
         ids.append((far + np.uint64(row["base"] & (2**64 - 1))).view(np.int64))
         parts.append(np.full(row["n"], row["part"]))
@@ -327,7 +325,7 @@ def _answered(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     for k, i, j in _runs(part):
         base, width = bases[k]
         far = who[i:j].view(np.uint64) - np.uint64(base & (2**64 - 1))
-        yield _one({"part": k, "base": base, "width": width, "ids": _pack(far, width), "contexts": _pack(c[i:j], 6), "salts": _pack(flag[i:j], 2), "keys": b""})
+        yield _one({"part": k, "base": base, "width": width, "ids": _pack(far, width), "contexts": _pack(c[i:j], 8), "salts": _pack(flag[i:j], 2), "keys": b""})
 
 
 def _one(row: dict) -> pa.RecordBatch:
@@ -366,7 +364,7 @@ def _dealt(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     got = [r for r in rows if not r["keys"]]
     if not got:
         return
-    c = np.concatenate([_unpack(r["contexts"], 6) for r in got])
+    c = np.concatenate([_unpack(r["contexts"], 8) for r in got])
     flag = np.concatenate([_unpack(r["salts"], 2) for r in got]).astype(np.int64)
     who = np.concatenate([(_unpack(r["ids"], r["width"]) + np.uint64(r["base"] & (2**64 - 1))).view(np.int64) for r in got])
     by = np.lexsort((c, who))
@@ -376,7 +374,7 @@ def _dealt(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     for i, key, a, b in zip(ids.tolist(), keys.tolist(), low, high, strict=True):
         if b > a:
             all_of = flag[a:b] == WHOLE
-            out.append({"ord": i, "key": key, "whole": _pack(c[a:b][all_of], 6), "asked": _pack(c[a:b][~all_of], 6), "salts": _pack(flag[a:b][~all_of], 2)})
+            out.append({"ord": i, "key": key, "whole": _pack(c[a:b][all_of], 8), "asked": _pack(c[a:b][~all_of], 8), "salts": _pack(flag[a:b][~all_of], 2)})
     if out:
         yield pa.RecordBatch.from_pylist(out, pa.schema([("ord", pa.int64()), ("key", pa.int64()), ("whole", pa.binary()), ("asked", pa.binary()), ("salts", pa.binary())]))
 
@@ -425,8 +423,8 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]
 
 
 def _named(row: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """A number for a context of a row; rows of a part number below 2**16."""
-    return row.astype(np.uint64) << np.uint64(48) | context
+    """A number for a context of a row."""
+    return mix64(context ^ mix64(row.astype(np.uint64) + np.uint64(1)))
 
 
 def _asked_contexts(rows: DataFrame, length: int) -> DataFrame:
@@ -438,9 +436,11 @@ def _asked_contexts(rows: DataFrame, length: int) -> DataFrame:
             asked, salts = batch.column("asked").to_pylist(), batch.column("salts").to_pylist()
             for base, flat, offsets in _texts(batch):
                 n = len(offsets) - 1
-                wanted = [_unpack(a, 6) for a in asked[base : base + n]]
+                wanted = [_unpack(a, 8) for a in asked[base : base + n]]
                 names = _named(np.repeat(np.arange(n), [len(w) for w in wanted]), np.concatenate(wanted))
                 salt = np.concatenate([_unpack(x, 2) for x in salts[base : base + n]]).astype(np.int32)
+                order = np.argsort(names)
+                names, salt = names[order], salt[order]
                 row, first, end, anchor, context = contexts_of(flat, offsets, length)
                 own = _named(row, context)
                 at = _member(own, names)
@@ -546,8 +546,8 @@ def _stays(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, np.ndarray
         n = len(offsets) - 1
         row, first, end, _, context = contexts_of(flat, offsets, length)
         own = _named(row, context)
-        sure = [np.sort(_unpack(w or b"", 6)) for w in whole[base : base + n]]
-        hit = _member(own, _named(np.repeat(np.arange(n), [len(w) for w in sure]), np.concatenate(sure))) >= 0
+        sure = [_unpack(w or b"", 8) for w in whole[base : base + n]]
+        hit = _member(own, np.sort(_named(np.repeat(np.arange(n), [len(w) for w in sure]), np.concatenate(sure)))) >= 0
         begin, stop = [first[hit]], [end[hit]]
         known = np.array([(i, p["context"], p["first"], p["last"]) for i, some in enumerate(parts[base : base + n]) for p in some or ()], np.int64).reshape(-1, 4)
         if len(known):

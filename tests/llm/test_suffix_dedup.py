@@ -102,3 +102,10 @@ def test_transform_marks_what_shares_less_than_the_length():
 def test_empty_table(docs):
     assert S.suffix_dedup(docs([])).collect() == []
     assert S.remove_repeats(docs([])).collect() == []
+
+
+def test_contexts_that_agree_in_48_bits_are_not_taken_for_each_other(docs):
+    # 20 bytes in common, no string of 50: nothing goes.
+    rows = [(1, "bsaopx tn  aje ptk fp tdyvoqebd e o  kebgs uy d kd"), (2, "fjkxokn oxbex aptk fp tdyvoqebd e o  p nbo tcgxtet")]
+    assert [len(t) for _, t in rows] == [50, 50]
+    assert {(r.doc_id, r.n_removed, r.n_spans) for r in S.suffix_dedup(docs(rows)).collect()} == {(1, 0, 0), (2, 0, 0)}
