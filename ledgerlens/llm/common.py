@@ -23,7 +23,7 @@ WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in LOWER)
 
 _SHIPPED: set[str] = set()
 #: Arrow batches of rows with whole texts: a task holds a few of them at once.
-ARROW_BATCH, DEFAULT_BATCH = "8m", "67108864b"
+ARROW_BATCH, DEFAULT_BATCH = "2m", "67108864b"
 
 
 def ship(spark: SparkSession) -> None:
