@@ -47,9 +47,32 @@ def must(present: Column, message: Column) -> Column:
     return F.when(present, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
-def malformed(parsed: Column, c: Column, what: str) -> Column:
-    """What is wrong with ``c``, as text; null where it was parsed."""
-    return F.when(parsed.isNull(), F.concat(F.lit(f"malformed {what}: "), F.coalesce(c.cast("string"), F.lit("null"))))
+#: What a fault code can name: its number and the field.
+FAULT_KINDS = {1: "gas", 2: "block_timestamp"}
+
+
+def fault_code(kind: int, parsed: Column, c: Column) -> Column:
+    """A malformed field as one number, null where it was parsed: its kind and
+    the first 14 bytes of its text. A number has a fixed width, so that a hash
+    aggregate can carry it (a text would make it a sort)."""
+    text = F.substring(F.rpad(F.hex(F.coalesce(c.cast("string"), F.lit("null")).cast("binary")), 28, "0"), 1, 28)
+    digits = F.concat(F.lit(f"{kind:02X}"), text)
+    high = F.conv(F.substring(digits, 1, 14), 16, 10).cast("decimal(17,0)")
+    low = F.conv(F.substring(digits, 15, 16), 16, 10).cast("decimal(20,0)")
+    return F.when(parsed.isNull(), (high * F.lit(str(1 << 64)).cast("decimal(20,0)") + low).cast(WEI))
+
+
+def fault_text(code: Column) -> Column:
+    """The message that a fault code stands for."""
+    unit = F.lit(str(1 << 64)).cast("decimal(20,0)")
+    high = F.lpad(F.hex(F.call_function("div", code, unit)), 14, "0")
+    low = F.lpad(F.conv((code % unit).cast("decimal(20,0)").cast("string"), 10, 16), 16, "0")
+    digits = F.concat(high, low)
+    text = F.rtrim(F.unhex(F.substring(digits, 3, 28)).cast("string"), F.lit("\0"))
+    field = F.lit("field")
+    for kind, name in FAULT_KINDS.items():
+        field = F.when(F.substring(digits, 1, 2) == f"{kind:02X}", F.lit(name)).otherwise(field)
+    return F.concat(F.lit("malformed "), field, F.lit(": "), text)
 
 
 def int_or_null(c: Column, dtype: str = "bigint") -> Column:

@@ -33,8 +33,8 @@ def members_join(facts: DataFrame, members: DataFrame, fact_key: str, member_key
 WHOLE = (exact_sum, again)
 FLOAT = (exact_float_sum, lambda total: again(total, floats=True))
 COUNT = (F.sum, F.sum)
-#: Not a sum: the first (least) of what a row says is wrong with it. It waits
-#: here, so that rows which the join drops never stop a job.
+#: Not a sum: the least of the codes of what is wrong with a row. It waits here,
+#: so that rows which the join drops never stop a job.
 FAULT = (F.min, F.min)
 
 

@@ -15,12 +15,13 @@ from pyspark.sql.types import DecimalType, IntegerType, LongType
 
 from ledgerlens.functions.columns import (
     WEI,
+    fault_code,
+    fault_text,
     hex_byte_count,
     hex_digit_count,
     int_or_null,
     is_truthy_text,
     label_to_ym,
-    malformed,
     month_label,
     must,
     squash_spaces,
@@ -67,22 +68,22 @@ def _long(df: DataFrame, name: str) -> F.Column:
 def _gas_or_fault(tx: DataFrame) -> tuple[F.Column, F.Column]:
     """Gas that must be integer text, and what is wrong with it where it isn't."""
     if "gas_int" in tx.columns:
-        return F.col("gas_int"), malformed(F.col("gas_int"), F.col("gas_text"), "gas")
+        return F.col("gas_int"), fault_code(1, F.col("gas_int"), F.col("gas_text"))
     gas = int_or_null(F.col("gas"), WEI)
-    return gas, malformed(gas, F.col("gas"), "gas")
+    return gas, fault_code(1, gas, F.col("gas"))
 
 
 def _month_or_fault(tx: DataFrame) -> tuple[F.Column, F.Column]:
     if "month" in tx.columns:
-        return F.col("month"), F.lit(None).cast("string")
+        return F.col("month"), F.lit(None).cast(WEI)
     seconds = int_or_null(F.col("block_timestamp"))
-    return month_label(seconds), malformed(seconds, F.col("block_timestamp"), "block_timestamp")
+    return month_label(seconds), fault_code(2, seconds, F.col("block_timestamp"))
 
 
 def _gas_float(tx: DataFrame) -> F.Column:
     """Gas read as a float."""
     if "gas_int" in tx.columns:
-        return F.coalesce(F.col("gas"), F.raise_error(malformed(F.col("gas"), F.col("gas_text"), "gas")).cast("double"))
+        return F.coalesce(F.col("gas"), F.raise_error(F.concat(F.lit("malformed gas: "), F.col("gas_text"))).cast("double"))
     return to_double(F.col("gas"), "gas")
 
 
@@ -162,7 +163,7 @@ def monthly_contract_gas(tx: DataFrame, contracts: DataFrame) -> DataFrame:
     facts = tx.select("to_address", month.alias("month"), gas.alias("gas"), F.coalesce(bad_gas, bad_month).alias("fault"))
     agg = join_then_aggregate(facts, contracts.select("address"), "to_address", "address", "month",
                               {"gas": ("gas", WHOLE), "fault": ("fault", FAULT)}, pre_keys=["month"])
-    sound = agg.where(must(F.col("fault").isNull(), F.col("fault")))
+    sound = agg.where(must(F.col("fault").isNull(), fault_text(F.col("fault"))))
     return sound.select("month", as_long("gas").alias("gas"))
 
 
