@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, binary_view, blank_table, lowered, map_arrow, mix64, slices, span_hashes, stored, text_of, word_hashes
+from .common import WORDS, binary_view, blank_table, lowered, map_arrow, mix64, ship, slices, span_hashes, stored, text_of, word_hashes
 
 _BLANK = blank_table(WORDS)
 
@@ -173,6 +173,11 @@ def fit(
         .groupBy(F.col(id_col).alias("__id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("__y"))
         .withColumn("__order", F.xxhash64("__id"))
+    )
+    # The smallest hashes: no task need send more than about its share of twice as many rows.
+    share = min(1.0, 2.0 * max_train / max(1, chosen.count()))
+    chosen = (
+        chosen.where(F.col("__order") <= int(min(2**63 - 1, share * 2.0**64 - 2.0**63)))
         .orderBy("__order", "__id")
         .limit(max_train)
     )
@@ -194,35 +199,37 @@ def fit(
     rng = np.random.default_rng(11)
     model = Model(keys, math.log(pos / neg), np.zeros(k), rng.normal(0, 0.02, (k, factors)))
     positive = min(8.0, max(1.0, neg / pos))  # both classes weigh alike, within reason
-    shards = stored(train.repartition(trainers, "shard").sortWithinPartitions("shard"), "toxicity-shards")  # one order, one model
     for turn in range(rounds):
-        parts = _round(shards, model, epochs, rate, l2, positive, turn)
+        parts = _round(train, model, trainers, epochs, rate, l2, positive, turn)
         total = sum(p[0] for p in parts)
         mean = [sum(p[0] * p[i] for p in parts) / total for i in (1, 2, 3)]
         model = Model(keys, float(mean[0]), mean[1], mean[2])
     return model
 
 
-def _round(shards: DataFrame, model: Model, epochs: int, rate: float, l2: float, positive: float, turn: int) -> list[tuple]:
-    """Each task's (rows, w0, w, v) after learning on its rows."""
-    shared = shards.sparkSession.sparkContext.broadcast(model)
+def _round(train: DataFrame, model: Model, trainers: int, epochs: int, rate: float, l2: float, positive: float, turn: int) -> list[tuple]:
+    """Each trainer's (rows, w0, w, v) after learning on its rows. Who learns
+    what, and in which order, hangs on the ids alone, never on file splits."""
+    shared = train.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learn(rows: pa.Table) -> pa.Table:
         m = shared.value
+        held = sorted(zip(rows["shard"].to_pylist(), rows["y"].to_pylist(), rows["terms"].to_pylist(), strict=True))
         x, y = [], []
-        for batch in batches:
-            for label, terms in zip(batch.column("y").to_pylist(), batch.column("terms"), strict=True):
-                t = terms.values.to_numpy(zero_copy_only=False) if len(terms) else np.empty(0, np.int64)
-                at = np.searchsorted(m.keys, t)
-                at[at == len(m.keys)] = 0
-                x.append(at[m.keys[at] == t] if len(m.keys) else at[:0])
-                y.append(label)
-        if x:
-            w0, w, v = _learn(x, np.array(y, np.float64), m, epochs, rate, l2, positive, turn)
-            yield pa.RecordBatch.from_pydict({"n": [len(x)], "w0": [float(w0)], "w": [w.astype("<f8").tobytes()], "v": [v.astype("<f8").tobytes()]})
-
-    got = map_arrow(shards, run, "n bigint, w0 double, w binary, v binary").collect()
-    return [(r.n, r.w0, np.frombuffer(r.w, "<f8"), np.frombuffer(r.v, "<f8").reshape(model.v.shape)) for r in got]
+        for _, label, terms in held:
+            t = np.array(terms, np.int64)
+            at = np.searchsorted(m.keys, t)
+            at[at == len(m.keys)] = 0
+            x.append(at[m.keys[at] == t] if len(m.keys) else at[:0])
+            y.append(label)
+        w0, w, v = _learn(x, np.array(y, np.float64), m, epochs, rate, l2, positive, turn)
+        out = {"trainer": [rows["trainer"][0].as_py()], "n": [len(x)], "w0": [float(w0)], "w": [w.astype("<f8").tobytes()], "v": [v.astype("<f8").tobytes()]}
+        return pa.Table.from_pydict(out)
+
+    ship(train.sparkSession)
+    dealt = train.withColumn("trainer", F.pmod("shard", F.lit(trainers)))
+    got = dealt.groupBy("trainer").applyInArrow(learn, "trainer bigint, n bigint, w0 double, w binary, v binary").collect()
+    return [(r.n, r.w0, np.frombuffer(r.w, "<f8"), np.frombuffer(r.v, "<f8").reshape(model.v.shape)) for r in sorted(got)]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,8 +247,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return map_arrow(picked, run, f"`{id_col}` {picked.schema[id_col].dataType.simpleString()}, score double")
 
 
-def _score(m: Model, part: pa.RecordBatch) -> np.ndarray:
-    rows, hashes = _terms(part, "__text")
+def _score(m: Model, part: pa.RecordBatch, column: str = "__text") -> np.ndarray:
+    rows, hashes = _terms(part, column)
     terms = hashes.view(np.int64)
     if len(m.keys) and len(terms):
         at = np.searchsorted(m.keys, terms)
@@ -259,15 +266,18 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     model = fit(docs, labels, id_col=id_col, text_col=text_col, **settings)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
+    text = "__text"
+    while text in names:
+        text += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
-                kept = part.filter(pa.array(_score(shared.value, part) < 0.5))
+            for part in slices(batch, text):
+                kept = part.filter(pa.array(_score(shared.value, part, text) < 0.5))
                 yield pa.RecordBatch.from_arrays(kept.columns[: len(names)], names)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_arrow(docs.withColumn("__text", text_of(text_col)), run, kinds)
+    return map_arrow(docs.withColumn(text, text_of(text_col)), run, kinds)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

@@ -74,3 +74,20 @@ def test_dropping_toxic_rows_keeps_columns(spark, docs):
     got = drop_toxic(df, labels(spark, [(i, 1, int(i % 4 == 0)) for i, _ in rows]))
     assert got.schema.names == df.schema.names
     assert sorted(r.doc_id for r in got.collect()) == [i for i, _ in rows if i % 4]
+
+
+def test_one_model_however_the_rows_are_split(spark, docs):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(WORDS, k=9) + ["fool"] * (i % 3 == 0))) for i in range(400)]
+    marks = labels(spark, [(i, 1, int(i % 3 == 0)) for i, _ in rows])
+    scores = [sorted(map(tuple, toxicity(docs(rows).repartition(n), marks).collect())) for n in (1, 7)]
+    assert scores[0] == scores[1]
+
+
+def test_callers_columns_stay(spark, docs):
+    rows = docs([(i, "fool x" if i % 2 else "fine x") for i in range(300)])
+    marks = labels(spark, [(i, 1, i % 2) for i in range(300)])
+    named = rows.selectExpr("*", "concat('kept ', doc_id) AS __text", "1 AS __y", "2 AS shard")
+    kept = drop_toxic(named, marks)
+    assert kept.columns == named.columns
+    assert sorted(map(tuple, kept.select("doc_id", "__text").collect())) == [(i, f"kept {i}") for i in range(0, 300, 2)]
