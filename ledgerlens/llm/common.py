@@ -181,7 +181,44 @@ def span_hashes(flat: np.ndarray, starts: np.ndarray, stops: np.ndarray, sums: n
     return mix64(hashes + (stops - starts).astype(np.uint64))
 
 
-def word_hashes(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray, places: bool = False) -> tuple:
+#: Two primes below 2^31, with a base and a value per byte for each.
+_PRIMES = (2147483647, 2147483629)
+_PRIME_BASES = [int(b) for b in _RANDOM.integers(1 << 20, 1 << 30, 2)]
+_PRIME_VALUES = [_RANDOM.integers(1, p, 256, dtype=np.uint64) for p in _PRIMES]
+
+
+def _prime_powers(n: int, base: int, prime: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo a prime, by doubling."""
+    out = np.ones(max(1, n), np.uint64)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = out[:more] * np.uint64(pow(base, have, prime)) % np.uint64(prime)
+        have += more
+    return out
+
+
+def prime_hashes(flat: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of the disjoint, ordered and non-empty byte strings
+    ``flat[starts:stops]``: polynomials modulo two primes, 62 bits, mixed. Sums
+    modulo 2^64 are alike for some regular texts, whatever their base (the
+    Thue-Morse word and its complement); modulo a prime none is so built."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    lengths = stops - starts
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    letters = flat[place + np.repeat(starts, lengths)]
+    out = np.zeros(len(starts), np.uint64)
+    for prime, base, values in zip(_PRIMES, _PRIME_BASES, _PRIME_VALUES, strict=True):
+        terms = values[letters]
+        terms *= _prime_powers(int(lengths.max()), base, prime)[place]
+        terms %= np.uint64(prime)
+        out = (out << np.uint64(32)) | (np.add.reduceat(terms, first) % np.uint64(prime))
+    return mix64(mix64(out) + lengths.astype(np.uint64))
+
+
+def word_hashes(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray, places: bool = False, hashes=span_hashes) -> tuple:
     """64-bit hashes of the words of all rows, in order, and each row's first
     word index (length rows + 1); with ``places`` also where words start and
     stop. ``blank[b]``: byte ``b`` separates words. All in array operations.
@@ -204,7 +241,7 @@ def word_hashes(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray, places
     last[ends] = inside[ends]
     starts = np.flatnonzero(first)
     stops = np.flatnonzero(last) + 1
-    out = span_hashes(flat, starts, stops), np.searchsorted(starts, offsets).astype(np.int64)
+    out = hashes(flat, starts, stops), np.searchsorted(starts, offsets).astype(np.int64)
     return (*out, starts, stops) if places else out
 
 

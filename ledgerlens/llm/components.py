@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b: long); a component
     is named by its smallest node.
 
     Every round links each node's larger neighbours to its smallest one, then
-    each node's smaller neighbours to their smallest; stars remain in the end.
+    each node's smaller neighbours to their smallest, until nothing changes and
+    stars remain.
     A node's neighbours are only aggregated and joined, never gathered.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    before = None
-    for _ in range(max_rounds):
+    before = state = None
+    while before is None or before != state:
+        before = state
         # Large star: over both directions, u's neighbours above u go to the smallest of u and its neighbours.
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -28,8 +30,5 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(lowest, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         now = stored(small.distinct(), "cc")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before == state:
-            break
-        before = state
     # All edges now point to their component's smallest node.
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

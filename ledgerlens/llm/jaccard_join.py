@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_view, blank_table, lowered, map_arrow, mix64, partitions, ship, slices, stored, text_of, word_hashes
+from .common import binary_view, blank_table, lowered, map_arrow, mix64, partitions, prime_hashes, ship, slices, stored, text_of, word_hashes
 from .components import connected_components
 
 WIDTH = 5
@@ -63,7 +63,7 @@ def shingle_sets(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.nda
     """(tokens, row offsets): each row's different shingles as sorted 64-bit hashes."""
     n = batch.num_rows
     flat, offsets = binary_view(batch.column(column))
-    words, first = word_hashes(lowered(flat), offsets, _BLANK)
+    words, first = word_hashes(lowered(flat), offsets, _BLANK, hashes=prime_hashes)
     counts = np.diff(first)
     rows = np.repeat(np.arange(n), counts)
     last = len(words) - WIDTH + 1

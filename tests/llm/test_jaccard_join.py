@@ -1,10 +1,12 @@
 import itertools
+import random
 
 import numpy as np
 import pytest
 from llm_texts import texts_with_everything
 
 from ledgerlens.llm import jaccard_join
+from ledgerlens.llm.common import prime_hashes
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.jaccard_join import jaccard_components, keep_one_of_each, needed, prefix_length
 
@@ -94,3 +96,31 @@ def test_components(spark):
 def test_empty_table(docs):
     assert jaccard_components(docs([])).collect() == []
     assert keep_one_of_each(docs([])).collect() == []
+
+
+def test_regular_words_do_not_collide(docs):
+    """The Thue-Morse word over a, b and its complement: alike in every sum modulo 2^64."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1 << 14))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, word), (4, " ".join([other] * 3)), (5, " ".join([word] * 3))]
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs(rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_hashes_of_strings_hang_on_their_bytes_alone():
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (1, 2, 3, 700, 1, 65, 40_000)]
+    words += [b"\0", b"\0\0", words[3], words[6][:-1]]
+    flat = np.frombuffer(b"".join(words), np.uint8)
+    stops = np.cumsum([len(w) for w in words])
+    alone = [int(prime_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words]
+    assert prime_hashes(flat, np.concatenate([[0], stops[:-1]]), stops).tolist() == alone
+    assert len(set(alone)) == len(set(words))
+
+
+def test_components_of_long_chains(spark):
+    n = 700
+    edges = [(k, k + 1) for k in range(0, n) if k != 333]
+    random.Random(3).shuffle(edges)
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {k: 0 if k <= 333 else 334 for k in range(n + 1)}
