@@ -202,3 +202,11 @@ FROM orders""",
     "scam_value_by_id": _with(TX, REG)
     + f"SELECT id, {_wei_text(SUM_WEI)} AS total FROM tx JOIN reg ON tx.k = reg.k GROUP BY id",
 }
+
+# The same questions, answered from the summary that grows file by file.
+ORACLE["summary_monthly_value_stats"] = ORACLE["text_monthly_value_stats"]
+for _name in (
+    "monthly_average_gas_price", "top_contracts_by_value", "monthly_contract_gas", "average_contract_gas",
+    "gas_of_top_contracts", "most_lucrative_scam", "scam_value_by_category_month",
+):
+    ORACLE[f"summary_{_name}"] = ORACLE[_name]

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.plans import analyses as A
+from ledgerlens.plans import incremental as I
 from ledgerlens.plans import mirrors as M
 from ledgerlens.sources.ledger import (
     parse_popular_contracts,
@@ -248,6 +249,29 @@ def q_streaming_monthly_value_stats(spark, d):
     return read_result(spark, latest_epoch(spark, f"{root}/out"), schema=schema)
 
 
+# --- from the summary that grows file by file ------------------------------------------
+
+def summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of the staged transaction files, brought up to date first."""
+    from ledgerlens.sources.summary import read_summary, refresh
+
+    M.staged_lines(spark, d, "transactions")  # make sure the files exist
+    root = M.stage_folder(spark, d, "transactions.summary")
+    refresh(spark, M.stage_folder(spark, d, "transactions"), root)
+    return read_summary(spark, root)
+
+
+SUMMARY_QUERIES = {
+    "summary_monthly_value_stats": lambda spark, d: I.monthly_value_stats(summary(spark, d), text=True),
+    "summary_monthly_average_gas_price": lambda spark, d: I.monthly_average_gas_price(summary(spark, d)),
+    "summary_top_contracts_by_value": lambda spark, d: I.top_contracts_by_value(summary(spark, d), contracts(spark, d), text=True),
+    "summary_monthly_contract_gas": lambda spark, d: I.monthly_contract_gas(summary(spark, d), contracts(spark, d)),
+    "summary_average_contract_gas": lambda spark, d: I.average_contract_gas(summary(spark, d), contracts(spark, d)),
+    "summary_gas_of_top_contracts": lambda spark, d: I.gas_of_top_contracts_by_value(summary(spark, d), contracts(spark, d)),
+    "summary_most_lucrative_scam": lambda spark, d: I.most_lucrative_scam(summary(spark, d), registry(spark, d), text=True),
+    "summary_scam_value_by_category_month": lambda spark, d: I.scam_value_by_category_month(summary(spark, d), registry(spark, d), text=True),
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_transaction_count": q_monthly_transaction_count,
     "monthly_total_value": q_monthly_total_value,
@@ -288,4 +312,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scam_value_by_id": q_scam_value_by_id,
     "text_monthly_value_stats": q_text_monthly_value_stats,
     "streaming_monthly_value_stats": q_streaming_monthly_value_stats,
+    **SUMMARY_QUERIES,
 }

@@ -47,6 +47,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what stands directly in a folder; none where there is no folder."""
+    fs = _fs(spark, path)
+    if fs is None:
+        raise RuntimeError("folders are listed through the session's own JVM")
+    fsys, root = fs
+    return sorted(s.getPath().getName() for s in fsys.listStatus(root)) if fsys.exists(root) else []
+
+
 def file_identity(spark: SparkSession, path: str) -> list[str]:
     """Name, length and modification time of every file below ``path``: what
     has to change when its content does."""

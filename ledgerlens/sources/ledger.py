@@ -58,16 +58,17 @@ def _well_formed(layout: Layout, probe_field: str) -> Column:
     return F.coalesce(F.col("value").rlike(line_pattern(layout, probe_field)), F.lit(False))
 
 
-def _parse(lines: DataFrame, layout: Layout, probe_field: str) -> DataFrame:
+def _parse(lines: DataFrame, layout: Layout, probe_field: str, carry=()) -> DataFrame:
     # One projection: codegen's subexpression elimination splits each kept
     # line once for all named fields.
     named = [f"get(split(value, ',', -1), {i}) AS `{c}`" for i, c in enumerate(layout.columns)]
-    return lines.where(_well_formed(layout, probe_field)).selectExpr(*named)
+    return lines.where(_well_formed(layout, probe_field)).selectExpr(*named, *carry)
 
 
-def parse_transactions(lines: DataFrame) -> DataFrame:
-    """Well-formed transaction rows: 15 fields and an integer block number."""
-    return _parse(lines, TRANSACTIONS, INT_FIELD)
+def parse_transactions(lines: DataFrame, carry=()) -> DataFrame:
+    """Well-formed transaction rows: 15 fields and an integer block number;
+    ``carry`` names columns of ``lines`` that come along."""
+    return _parse(lines, TRANSACTIONS, INT_FIELD, carry)
 
 
 def parse_contracts(lines: DataFrame) -> DataFrame:

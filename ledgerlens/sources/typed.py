@@ -24,7 +24,7 @@ from ledgerlens.schemas import REMOVABLE_BLOCK_COLUMNS
 from ledgerlens.sources.ledger import registry_addresses
 
 
-def typed_transactions(tx: DataFrame) -> DataFrame:
+def typed_transactions(tx: DataFrame, carry=()) -> DataFrame:
     ts = strict_int(F.col("block_timestamp"), "bigint", "block_timestamp")
     gas = int_or_null(F.col("gas"), WEI)
     return tx.select(
@@ -37,6 +37,7 @@ def typed_transactions(tx: DataFrame) -> DataFrame:
         wei(F.col("gas_price"), "gas_price").alias("gas_price"),
         ts.alias("block_timestamp"),
         month_label(ts).alias("month"),
+        *carry,
     )
 
 
