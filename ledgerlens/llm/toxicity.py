@@ -199,36 +199,49 @@ def fit(
     rng = np.random.default_rng(11)
     model = Model(keys, math.log(pos / neg), np.zeros(k), rng.normal(0, 0.02, (k, factors)))
     positive = min(8.0, max(1.0, neg / pos))  # both classes weigh alike, within reason
+    shards = stored(_columns(train, keys).withColumn("trainer", F.pmod("shard", F.lit(trainers))), "toxicity-shards")
     for turn in range(rounds):
-        parts = _round(train, model, trainers, epochs, rate, l2, positive, turn)
+        parts = _round(shards, model, epochs, rate, l2, positive, turn)
         total = sum(p[0] for p in parts)
         mean = [sum(p[0] * p[i] for p in parts) / total for i in (1, 2, 3)]
         model = Model(keys, float(mean[0]), mean[1], mean[2])
     return model
 
 
-def _round(train: DataFrame, model: Model, trainers: int, epochs: int, rate: float, l2: float, positive: float, turn: int) -> list[tuple]:
+def _columns(train: DataFrame, keys: np.ndarray) -> DataFrame:
+    """The rows with the packed places of their terms among ``keys``: all that
+    trainers need, and a small part of the terms."""
+    shared = train.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            packed = []
+            for terms in batch.column("terms"):
+                t = terms.values.to_numpy(zero_copy_only=False) if len(terms) else np.empty(0, np.int64)
+                at = np.searchsorted(known, t)
+                at[at == len(known)] = 0
+                packed.append((at[known[at] == t] if len(known) else at[:0]).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("shard"), pa.array(packed, pa.binary())], ["y", "shard", "at"])
+
+    return map_arrow(train, run, "y int, shard bigint, at binary")
+
+
+def _round(shards: DataFrame, model: Model, epochs: int, rate: float, l2: float, positive: float, turn: int) -> list[tuple]:
     """Each trainer's (rows, w0, w, v) after learning on its rows. Who learns
     what, and in which order, hangs on the ids alone, never on file splits."""
-    shared = train.sparkSession.sparkContext.broadcast(model)
+    shared = shards.sparkSession.sparkContext.broadcast(model)
 
     def learn(rows: pa.Table) -> pa.Table:
-        m = shared.value
-        held = sorted(zip(rows["shard"].to_pylist(), rows["y"].to_pylist(), rows["terms"].to_pylist(), strict=True))
-        x, y = [], []
-        for _, label, terms in held:
-            t = np.array(terms, np.int64)
-            at = np.searchsorted(m.keys, t)
-            at[at == len(m.keys)] = 0
-            x.append(at[m.keys[at] == t] if len(m.keys) else at[:0])
-            y.append(label)
-        w0, w, v = _learn(x, np.array(y, np.float64), m, epochs, rate, l2, positive, turn)
+        held = sorted(zip(rows["shard"].to_pylist(), rows["y"].to_pylist(), rows["at"].to_pylist(), strict=True))
+        x = [np.frombuffer(at, "<i4") for _, _, at in held]
+        y = np.array([label for _, label, _ in held], np.float64)
+        w0, w, v = _learn(x, y, shared.value, epochs, rate, l2, positive, turn)
         out = {"trainer": [rows["trainer"][0].as_py()], "n": [len(x)], "w0": [float(w0)], "w": [w.astype("<f8").tobytes()], "v": [v.astype("<f8").tobytes()]}
         return pa.Table.from_pydict(out)
 
-    ship(train.sparkSession)
-    dealt = train.withColumn("trainer", F.pmod("shard", F.lit(trainers)))
-    got = dealt.groupBy("trainer").applyInArrow(learn, "trainer bigint, n bigint, w0 double, w binary, v binary").collect()
+    ship(shards.sparkSession)
+    got = shards.groupBy("trainer").applyInArrow(learn, "trainer bigint, n bigint, w0 double, w binary, v binary").collect()
     return [(r.n, r.w0, np.frombuffer(r.w, "<f8"), np.frombuffer(r.v, "<f8").reshape(model.v.shape)) for r in sorted(got)]
 
 
