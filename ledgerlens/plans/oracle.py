@@ -210,3 +210,31 @@ for _name in (
     "gas_of_top_contracts", "most_lucrative_scam", "scam_value_by_category_month",
 ):
     ORACLE[f"summary_{_name}"] = ORACLE[_name]
+
+# Versions behind a pointer, and what the reading pass counts and rejects.
+ORACLE["versioned_contract_values"] = ORACLE["contract_value_totals"]
+ORACLE["versioned_scam_values"] = ORACLE["scam_value_by_category_month"]
+ORACLE["sorted_contract_gas"] = ORACLE["monthly_contract_gas"]
+REJECTED = """
+lines AS (
+  SELECT 'transactions' AS kind, '0x' || lower(to_hex(l_orderkey)) || '0' || cast(l_linenumber AS VARCHAR) AS hash,
+         CASE WHEN cast(round(l_tax * 100) AS INTEGER) = 8 OR (l_returnflag = 'R' AND l_linestatus = 'O') THEN 'fields'
+              WHEN cast(round(l_discount * 100) AS INTEGER) = 10 THEN 'probe' ELSE 'kept' END AS outcome
+  FROM lineitem
+  UNION ALL
+  SELECT 'contracts', NULL, CASE WHEN s_acctbal < 0 THEN 'fields' WHEN s_nationkey IN (10, 11) THEN 'probe' ELSE 'kept' END
+  FROM supplier, (VALUES (1), (2)) AS listed(n) WHERE n = 1 OR s_acctbal > 9000
+  UNION ALL
+  SELECT 'blocks', NULL,
+         CASE WHEN o_orderpriority = '1-URGENT' OR (o_orderpriority = '5-LOW' AND o_orderstatus = 'O') THEN 'fields'
+              WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN 'probe' ELSE 'kept' END
+  FROM orders
+  UNION ALL SELECT 'transactions', 'hash', 'probe'
+  UNION ALL SELECT 'contracts', 'address', 'probe'
+  UNION ALL SELECT 'blocks', 'number', 'probe'
+)"""
+_COUNTED = """count(*) AS lines, count(*) FILTER (WHERE outcome = 'kept') AS valid,
+       count(*) FILTER (WHERE outcome = 'fields') AS wrong_fields, count(*) FILTER (WHERE outcome = 'probe') AS wrong_probe"""
+ORACLE["sorted_validity"] = _with(REJECTED) + f"SELECT kind, {_COUNTED} FROM lines GROUP BY kind"
+ORACLE["observed_validity"] = _with(REJECTED, TX) + f"SELECT {_COUNTED}, (SELECT count(*) FROM tx) AS n FROM lines WHERE kind = 'transactions'"
+ORACLE["rejected_transactions"] = _with(REJECTED) + "SELECT hash, outcome AS reason FROM lines WHERE kind = 'transactions' AND outcome <> 'kept'"

@@ -189,6 +189,73 @@ def q_stored_scam_values(spark, d):
     return _round_trip(spark, result, "scam_value_by_category_month", "category string, month string, total string")
 
 
+# --- versions behind a pointer, counts and rejects of the reading pass ----------------------
+
+def _replaced(spark, d, result: DataFrame, name: str) -> DataFrame:
+    """A result replaced by its next version, and the current version read."""
+    from ledgerlens.versioned import prune, publish_version, read_version
+
+    root = M.stage_folder(spark, d, f"transactions.versions.{name}")
+    publish_version(spark, result, root, "parquet")
+    prune(spark, root, keep=8)
+    return read_version(spark, root)
+
+
+def q_versioned_contract_values(spark, d):
+    return _replaced(spark, d, A.contract_value_totals(transactions(spark, d), contracts(spark, d), text=True), "contract_values")
+
+
+def q_versioned_scam_values(spark, d):
+    return _replaced(spark, d, A.scam_value_by_category_month(transactions(spark, d), registry(spark, d), text=True), "scam_values")
+
+
+def sorted_out(spark: SparkSession, d: str, kind: str) -> str:
+    """Folder of the sorted lines of ``kind``, written by one pass over the text."""
+    from ledgerlens.sources.sorted_out import sort_out
+
+    path = M.stage_folder(spark, d, f"{kind}.sorted")
+    sort_out(spark, M.staged_lines(spark, d, kind), kind, path, existing="keep")
+    return path
+
+
+def q_observed_validity(spark, d):
+    """Line counts of the transactions, observed while Q01-Q03 runs on the raw
+    text and is written: one row, with the transactions that Q01 counted."""
+    from ledgerlens.sources.sorted_out import observed
+
+    tx, counts = observed(M.staged_lines(spark, d, "transactions"), "transactions")
+    stats = _round_trip(spark, A.monthly_value_stats(tx, text=True), "observed_value_stats", "month string, n long, total string, avg double")
+    seen = [F.lit(counts.get[c]).cast("bigint").alias(c) for c in ("lines", "valid", "wrong_fields", "wrong_probe")]
+    return stats.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")).select(*seen, "n")
+
+
+def q_sorted_validity(spark, d):
+    """Line counts of the three dumps, from the footers of the sorted lines."""
+    from ledgerlens.sources.sorted_out import outcome_counts
+
+    one, two, three = (
+        outcome_counts(spark, sorted_out(spark, d, kind), kind).select(F.lit(kind).alias("kind"), "*")
+        for kind in ("transactions", "contracts", "blocks")
+    )
+    return one.unionByName(two).unionByName(three)
+
+
+def q_rejected_transactions(spark, d):
+    """First field and reason of every transaction line that is not well-formed."""
+    from ledgerlens.sources.sorted_out import rejected_lines
+
+    rejected = rejected_lines(spark, sorted_out(spark, d, "transactions"), "transactions")
+    return rejected.select(F.substring_index("line", ",", 1).alias("hash"), "reason")
+
+
+def q_sorted_contract_gas(spark, d):
+    """Q07 on the kept rows of the sorted lines: text columns, pruned."""
+    from ledgerlens.sources.sorted_out import kept_rows
+
+    tx, con = (kept_rows(spark, sorted_out(spark, d, kind), kind) for kind in ("transactions", "contracts"))
+    return A.monthly_contract_gas(tx, con)
+
+
 # --- operator-level checks ------------------------------------------------------------
 
 def q_transaction_validity(spark, d):
@@ -303,6 +370,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scam_values_without_excluded": q_categories_without_excluded,
     "stored_monthly_total": q_stored_monthly_total,
     "stored_scam_values": q_stored_scam_values,
+    "versioned_contract_values": q_versioned_contract_values,
+    "versioned_scam_values": q_versioned_scam_values,
+    "observed_validity": q_observed_validity,
+    "sorted_validity": q_sorted_validity,
+    "rejected_transactions": q_rejected_transactions,
+    "sorted_contract_gas": q_sorted_contract_gas,
     "transaction_validity": q_transaction_validity,
     "contract_validity": q_contract_validity,
     "block_validity": q_block_validity,

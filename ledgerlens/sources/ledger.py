@@ -54,7 +54,8 @@ def line_pattern(layout: Layout, probe_field: str) -> str:
     return "^" + "[^,]*," * before + f"(?:{probe_field})" + ",[^,]*" * after + "\\z"
 
 
-def _well_formed(layout: Layout, probe_field: str) -> Column:
+def well_formed(layout: Layout, probe_field: str) -> Column:
+    """Whether the line in ``value`` is kept (never null)."""
     return F.coalesce(F.col("value").rlike(line_pattern(layout, probe_field)), F.lit(False))
 
 
@@ -62,7 +63,7 @@ def _parse(lines: DataFrame, layout: Layout, probe_field: str, carry=()) -> Data
     # One projection: codegen's subexpression elimination splits each kept
     # line once for all named fields.
     named = [f"get(split(value, ',', -1), {i}) AS `{c}`" for i, c in enumerate(layout.columns)]
-    return lines.where(_well_formed(layout, probe_field)).selectExpr(*named, *carry)
+    return lines.where(well_formed(layout, probe_field)).selectExpr(*named, *carry)
 
 
 def parse_transactions(lines: DataFrame, carry=()) -> DataFrame:
@@ -84,7 +85,7 @@ def parse_blocks(lines: DataFrame) -> DataFrame:
     return _parse(lines, BLOCKS, INT_FIELD)
 
 
-_CHECKS = {
+CHECKS = {
     "transactions": (TRANSACTIONS, INT_FIELD),
     "contracts": (CONTRACTS, FLAG_FIELD),
     "blocks": (BLOCKS, INT_FIELD),
@@ -93,8 +94,8 @@ _CHECKS = {
 
 def validity_counts(lines: DataFrame, kind: str) -> DataFrame:
     """One row: lines read, lines kept by the well-formedness check, dropped."""
-    layout, probe_field = _CHECKS[kind]
-    flagged = lines.select(_well_formed(layout, probe_field).cast("int").alias("ok"))
+    layout, probe_field = CHECKS[kind]
+    flagged = lines.select(well_formed(layout, probe_field).cast("int").alias("ok"))
     agg = flagged.agg(F.count(F.lit(1)).alias("lines"), F.sum("ok").cast("bigint").alias("valid"))
     return agg.select("lines", "valid", (F.col("lines") - F.col("valid")).alias("dropped"))
 
