@@ -238,3 +238,7 @@ _COUNTED = """count(*) AS lines, count(*) FILTER (WHERE outcome = 'kept') AS val
 ORACLE["sorted_validity"] = _with(REJECTED) + f"SELECT kind, {_COUNTED} FROM lines GROUP BY kind"
 ORACLE["observed_validity"] = _with(REJECTED, TX) + f"SELECT {_COUNTED}, (SELECT count(*) FROM tx) AS n FROM lines WHERE kind = 'transactions'"
 ORACLE["rejected_transactions"] = _with(REJECTED) + "SELECT hash, outcome AS reason FROM lines WHERE kind = 'transactions' AND outcome <> 'kept'"
+
+# Sums and list stored in buckets of the address.
+for _name in ("top_contracts_by_value", "monthly_contract_gas", "average_contract_gas", "gas_of_top_contracts"):
+    ORACLE[f"colocated_{_name}"] = ORACLE[_name]

@@ -256,6 +256,31 @@ def q_sorted_contract_gas(spark, d):
     return A.monthly_contract_gas(tx, con)
 
 
+# --- sums and list in buckets of the address ---------------------------------------------
+
+def colocated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Sums per (address, month) and the contract list, stored once in as many
+    buckets as the session has shuffle partitions, and opened."""
+    from ledgerlens.sources.colocated import open_list, open_sums, store_list, store_sums
+    from ledgerlens.versioned import versions
+
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sums, listed = (M.stage_folder(spark, d, f"{kind}.buckets.{buckets}") for kind in ("transactions", "contracts"))
+    if not versions(spark, sums):
+        store_sums(transactions(spark, d), sums, buckets)
+    if not versions(spark, listed):
+        store_list(contracts(spark, d), listed, buckets)
+    return open_sums(spark, sums), open_list(spark, listed)
+
+
+COLOCATED_QUERIES = {
+    "colocated_top_contracts_by_value": lambda spark, d: I.top_contracts_by_value(*colocated(spark, d), text=True),
+    "colocated_monthly_contract_gas": lambda spark, d: I.monthly_contract_gas(*colocated(spark, d)),
+    "colocated_average_contract_gas": lambda spark, d: I.average_contract_gas(*colocated(spark, d)),
+    "colocated_gas_of_top_contracts": lambda spark, d: I.gas_of_top_contracts_by_value(*colocated(spark, d)),
+}
+
+
 # --- operator-level checks ------------------------------------------------------------
 
 def q_transaction_validity(spark, d):
@@ -386,4 +411,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_monthly_value_stats": q_text_monthly_value_stats,
     "streaming_monthly_value_stats": q_streaming_monthly_value_stats,
     **SUMMARY_QUERIES,
+    **COLOCATED_QUERIES,
 }

@@ -56,7 +56,7 @@ def _pointer(spark: SparkSession, root: str, ordinal: int) -> dict | None:
         return None
 
 
-def _point(spark: SparkSession, root: str, said: dict) -> int:
+def point(spark: SparkSession, root: str, said: dict) -> int:
     """Write the next pointer; the object appears whole or not at all on
     stores, and is whole once its last brace stands on file systems."""
     refused = None
@@ -87,7 +87,7 @@ def publish_version(spark: SparkSession, df: DataFrame, root: str, fmt: str = "j
         raise RuntimeError("pointers are written through the session's own JVM")
     name = uuid.uuid4().hex
     df.write.format(fmt).save(f"{root}/data/{name}")
-    return _point(spark, root, {"data": name, "format": fmt, "schema": df.schema.jsonValue()})
+    return point(spark, root, {"data": name, "format": fmt, "schema": df.schema.jsonValue()})
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -96,18 +96,25 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return [v for v in _pointers(spark, root) if _pointer(spark, root, v) is not None]
 
 
-def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The rows of the current version, or of an earlier one that is kept; with
-    the schema they were written with, so an empty result reads back too."""
+def current(spark: SparkSession, root: str, version: int | None = None) -> dict:
+    """What the pointer of the current (or the given) version says."""
     root = root.rstrip("/")
     for ordinal in _pointers(spark, root) if version is None else [version]:
         said = _pointer(spark, root, ordinal)
         if said is not None:
-            schema = StructType.fromJson(said["schema"])
-            return spark.read.format(said["format"]).schema(schema).load(f"{root}/data/{said['data']}")
+            return said
     raise FileNotFoundError(f"no version of {root}")
 
 
+def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The rows of the current version, or of an earlier one that is kept; with
+    the schema they were written with, so an empty result reads back too."""
+    root = root.rstrip("/")
+    said = current(spark, root, version)
+    schema = StructType.fromJson(said["schema"])
+    return spark.read.format(said["format"]).schema(schema).load(f"{root}/data/{said['data']}")
+
+
 def prune(spark: SparkSession, root: str, keep: int = 3) -> int:
     """Remove all but the ``keep`` newest versions, pointers before rows;
     returns how many. Rows that no pointer ever named stay: their writer may

@@ -34,7 +34,7 @@ def test_a_writer_that_dies_before_the_pointer_changes_nothing(spark, tmp_path,
         def die(*_):
             raise OSError("lost")
 
-        m.setattr(versioned, "_point", die)
+        m.setattr(versioned, "point", die)
         with pytest.raises(OSError):
             publish_version(spark, rows(spark, 9), root)
     assert whole(read_version(spark, root)) == 4
