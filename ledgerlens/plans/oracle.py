@@ -242,3 +242,4 @@ ORACLE["rejected_transactions"] = _with(REJECTED) + "SELECT hash, outcome AS rea
 # Sums and list stored in buckets of the address.
 for _name in ("top_contracts_by_value", "monthly_contract_gas", "average_contract_gas", "gas_of_top_contracts"):
     ORACLE[f"colocated_{_name}"] = ORACLE[_name]
+ORACLE["large_registry_addresses"] = ORACLE["registry_addresses"]

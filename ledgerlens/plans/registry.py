@@ -300,6 +300,16 @@ def q_registry_addresses(spark, d):
     return registry_addresses(entries).select("address", "id", "category", "status")
 
 
+def q_large_registry_addresses(spark, d):
+    """The registry's pages as files of one document each, read in splits."""
+    from ledgerlens.sinks import publish
+    from ledgerlens.sources.large_registry import read_large_registry
+
+    path = M.stage_folder(spark, d, "registry.documents")
+    publish(spark, M.staged_lines(spark, d, "registry"), path, "text", existing="keep", options={"maxRecordsPerFile": 1})
+    return registry_addresses(read_large_registry(spark, path)).select("address", "id", "category", "status")
+
+
 def q_block_bytes(spark, d):
     b = blocks(spark, d)
     return b.select(F.col("number").cast("bigint").alias("number"), A.block_column_bytes(b).alias("bytes"))
@@ -405,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_validity": q_contract_validity,
     "block_validity": q_block_validity,
     "registry_addresses": q_registry_addresses,
+    "large_registry_addresses": q_large_registry_addresses,
     "block_bytes": q_block_bytes,
     "contract_value_totals": q_contract_value_totals,
     "scam_value_by_id": q_scam_value_by_id,

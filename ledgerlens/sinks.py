@@ -82,12 +82,12 @@ def remove(spark: SparkSession, path: str) -> None:
         fs[0].delete(fs[1], True)
 
 
-def _writer(df: DataFrame, fmt: str, partition_by: tuple[str, ...]):
-    writer = df.write.format(fmt)
+def _writer(df: DataFrame, fmt: str, partition_by: tuple[str, ...], options: dict | None):
+    writer = df.write.format(fmt).options(**(options or {}))
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def publish(spark: SparkSession, df: DataFrame, path: str, fmt: str, existing: str = "error", partition_by: tuple[str, ...] = ()) -> None:
+def publish(spark: SparkSession, df: DataFrame, path: str, fmt: str, existing: str = "error", partition_by: tuple[str, ...] = (), options: dict | None = None) -> None:
     """Write ``df`` to ``path`` so that readers only ever see a complete folder.
 
     The data goes to a private temporary folder next to the target, which is
@@ -97,14 +97,14 @@ def publish(spark: SparkSession, df: DataFrame, path: str, fmt: str, existing: s
     ``"keep"`` leaves it, which is only right where the path names its content
     (staging keyed by its input files). A folder without ``_SUCCESS`` is a
     failed attempt and is always replaced. ``partition_by`` names columns that
-    become folders. Replacing leaves a short gap between the old folder and the
+    become folders, ``options`` go to the writer. Replacing leaves a short gap between the old folder and the
     new one; :mod:`ledgerlens.versioned` leaves none.
     """
     if existing not in ("error", "overwrite", "keep"):
         raise ValueError(f"existing={existing!r}")
     fs = _fs(spark, path)
     if fs is None:
-        _writer(df, fmt, partition_by).mode("overwrite" if existing == "overwrite" else "errorifexists").save(path)
+        _writer(df, fmt, partition_by, options).mode("overwrite" if existing == "overwrite" else "errorifexists").save(path)
         return
     fsys, target = fs
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -115,7 +115,7 @@ def publish(spark: SparkSession, df: DataFrame, path: str, fmt: str, existing: s
         return
     src = Path(f"{path}.tmp-{uuid.uuid4().hex}")
     try:
-        _writer(df, fmt, partition_by).mode("overwrite").save(src.toString())
+        _writer(df, fmt, partition_by, options).mode("overwrite").save(src.toString())
         fsys.mkdirs(target.getParent())
         if fsys.exists(target) and (existing == "overwrite" or not fsys.exists(done)):
             fsys.delete(target, True)

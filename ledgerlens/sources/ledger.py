@@ -131,6 +131,11 @@ def parse_registry(lines: DataFrame) -> DataFrame:
     last = listed.groupBy("_doc", F.col("_pair.key").alias("name")).agg(
         F.max_by(F.col("_pair.value"), F.col("_place")).alias("entry")
     )
+    return checked_entries(last)
+
+
+def checked_entries(last: DataFrame) -> DataFrame:
+    """(name, entry) -> the entries' columns; one without id or category stops the job."""
     e = F.col("entry")
     checked = last.where(
         must(e.getField("id").isNotNull(), F.concat(F.lit("registry entry without numeric id: "), F.col("name")))
