@@ -342,6 +342,9 @@ BUILDERS = {
     "popular": popular_lines,
 }
 
+#: Kinds whose text is made of numbers and fixed words only: no line break can
+#: stand in it, so a file of it holds the lines that were built.
+UNBROKEN = ("transactions", "contracts", "blocks")
 
 #: The tables that each staged text is built from.
 SOURCES = {
@@ -404,9 +407,10 @@ _STAGED: set[str] = set()  # folders known complete in this process
 def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Validated, typed rows of ``kind`` as Parquet (see ``sources.typed``).
 
-    Parsed once from the staged text with the ordinary readers and written
-    under the shared checkpoint folder; analyses read only the columns they
-    use from it.
+    Parsed once from the text with the ordinary readers and written under the
+    shared checkpoint folder; analyses read only the columns they use from it.
+    The text of ``UNBROKEN`` kinds is parsed as it is built, without files of
+    it in between.
     """
     from ledgerlens.sources import ledger as L
     from ledgerlens.sources import typed as T
@@ -417,10 +421,11 @@ def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         "blocks": (L.parse_blocks, T.typed_blocks),
         "registry": (L.parse_registry, T.typed_registry),
     }[kind]
+    lines = BUILDERS[kind] if kind in UNBROKEN else lambda s, d: staged_lines(s, d, kind)
     path = stage_folder(spark, sf_dir, f"{kind}.typed")
     return _staged(
         spark, path,
-        lambda: publish(spark, typed(parse(staged_lines(spark, sf_dir, kind))), path, "parquet", existing="keep"),
+        lambda: publish(spark, typed(parse(lines(spark, sf_dir))), path, "parquet", existing="keep"),
         lambda: spark.read.parquet(path),
     )
 
