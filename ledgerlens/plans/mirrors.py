@@ -345,6 +345,9 @@ BUILDERS = {
 #: Kinds whose text is made of numbers and fixed words only: no line break can
 #: stand in it, so a file of it holds the lines that were built.
 UNBROKEN = ("transactions", "contracts", "blocks")
+#: Lines in one staged file. Readers pack files into a task by bytes and a fixed
+#: cost for each file, so this bounds the rows that one task sums.
+LINES_PER_FILE = 100_000
 
 #: The tables that each staged text is built from.
 SOURCES = {
@@ -375,11 +378,13 @@ def staged_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     The text is built by Spark from the tables and written once under the
     cluster's shared checkpoint folder (``spark.checkpoint.dir``); every later
     call reads the files back with ``spark.read.text``, exactly as the dumps
-    themselves are read: splittable, many tasks, no lineage back to the
-    builder. A folder counts only once its ``_SUCCESS`` marker is written.
+    themselves are read: many tasks, no lineage back to the builder. The files
+    are gzip, which no reader splits, so each holds ``LINES_PER_FILE`` lines at
+    most. A folder counts only once its ``_SUCCESS`` marker is written.
     """
     path = stage_folder(spark, sf_dir, kind)
-    return _staged(spark, path, lambda: publish(spark, BUILDERS[kind](spark, sf_dir), path, "text", existing="keep"),
+    options = {"compression": "gzip", "maxRecordsPerFile": LINES_PER_FILE}
+    return _staged(spark, path, lambda: publish(spark, BUILDERS[kind](spark, sf_dir), path, "text", existing="keep", options=options),
                    lambda: spark.read.text(path))
 
 
