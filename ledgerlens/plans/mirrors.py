@@ -426,11 +426,18 @@ def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         "blocks": (L.parse_blocks, T.typed_blocks),
         "registry": (L.parse_registry, T.typed_registry),
     }[kind]
-    lines = BUILDERS[kind] if kind in UNBROKEN else lambda s, d: staged_lines(s, d, kind)
+
+    def lines() -> DataFrame:
+        if kind not in UNBROKEN:
+            return staged_lines(spark, sf_dir, kind)
+        # Filters stay above a generator: each line is built once, not for the
+        # check and the fields anew.
+        return BUILDERS[kind](spark, sf_dir).select(F.explode(F.array("value")).alias("value"))
+
     path = stage_folder(spark, sf_dir, f"{kind}.typed")
     return _staged(
         spark, path,
-        lambda: publish(spark, typed(parse(lines(spark, sf_dir))), path, "parquet", existing="keep"),
+        lambda: publish(spark, typed(parse(lines())), path, "parquet", existing="keep"),
         lambda: spark.read.parquet(path),
     )
 
