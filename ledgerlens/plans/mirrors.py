@@ -348,6 +348,9 @@ UNBROKEN = ("transactions", "contracts", "blocks")
 #: Lines in one staged file. Readers pack files into a task by bytes and a fixed
 #: cost for each file, so this bounds the rows that one task sums.
 LINES_PER_FILE = 100_000
+#: The same for typed Parquet, whose few bytes a row else put millions of rows,
+#: and of their sums, into one split.
+ROWS_PER_FILE = 25_000
 
 #: The tables that each staged text is built from.
 SOURCES = {
@@ -437,7 +440,7 @@ def staged_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     path = stage_folder(spark, sf_dir, f"{kind}.typed")
     return _staged(
         spark, path,
-        lambda: publish(spark, typed(parse(lines())), path, "parquet", existing="keep"),
+        lambda: publish(spark, typed(parse(lines())), path, "parquet", existing="keep", options={"maxRecordsPerFile": ROWS_PER_FILE}),
         lambda: spark.read.parquet(path),
     )
 
