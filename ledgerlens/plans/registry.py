@@ -259,15 +259,17 @@ def q_sorted_contract_gas(spark, d):
 # --- sums and list in buckets of the address ---------------------------------------------
 
 def colocated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Sums per (address, month) and the contract list, stored once in as many
-    buckets as the session has shuffle partitions, and opened."""
-    from ledgerlens.sources.colocated import open_list, open_sums, store_list, store_sums
+    """Sums per (address, month) and the contract list, stored once and opened:
+    in as many buckets as the session has shuffle partitions, or as the staged
+    transactions need."""
+    from ledgerlens.sources.colocated import bucket_count, open_list, open_sums, store_list, store_sums
     from ledgerlens.versioned import versions
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tx = transactions(spark, d)
+    buckets = bucket_count(spark, M.stage_folder(spark, d, "transactions.typed"), int(spark.conf.get("spark.sql.shuffle.partitions")))
     sums, listed = (M.stage_folder(spark, d, f"{kind}.buckets.{buckets}") for kind in ("transactions", "contracts"))
     if not versions(spark, sums):
-        store_sums(transactions(spark, d), sums, buckets)
+        store_sums(tx, sums, buckets)
     if not versions(spark, listed):
         store_list(contracts(spark, d), listed, buckets)
     return open_sums(spark, sums), open_list(spark, listed)

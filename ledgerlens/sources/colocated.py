@@ -18,16 +18,29 @@ input gives an empty store; null addresses are stored and meet nothing.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlens.sinks import file_identity
 from ledgerlens.sources.summary import summarize
 from ledgerlens.versioned import current, point
 
+PARTITIONS = "spark.sql.shuffle.partitions"
 SUMS_KEY, LIST_KEY = "to_address", "address"
+#: Typed Parquet that one bucket is made for: one task sums, sorts and later
+#: reads a bucket. Spark's own limit is 100,000 buckets.
+BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 100_000
+
+
+def bucket_count(spark: SparkSession, typed: str, least: int) -> int:
+    """Buckets for the typed transactions stored in a folder: ``least`` of
+    them, and more where these would be large."""
+    length = sum(int(f.rsplit("|", 2)[1]) for f in file_identity(spark, typed))
+    return max(least, min(MAX_BUCKETS, math.ceil(length / BUCKET_BYTES)))
 
 
 def _table(data: str) -> str:
@@ -38,7 +51,12 @@ def _store(df: DataFrame, root: str, key: str, buckets: int) -> int:
     spark, root, name = df.sparkSession, root.rstrip("/"), uuid.uuid4().hex
     # Shuffled by the same hash as buckets are: one task writes one bucket.
     writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
-    writer.option("path", f"{root}/data/{name}").saveAsTable(_table(name))
+    own = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(max(int(own), buckets)))  # the sums are dealt as finely as their buckets
+    try:
+        writer.option("path", f"{root}/data/{name}").saveAsTable(_table(name))
+    finally:
+        spark.conf.set(PARTITIONS, own)
     spark.sql(f"DROP TABLE {_table(name)}")  # external: its files stay
     said = {"data": name, "format": "parquet", "schema": df.schema.jsonValue(), "key": key, "buckets": buckets}
     return point(spark, root, said)
