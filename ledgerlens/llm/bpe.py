@@ -3,8 +3,10 @@
 A merge joins two neighbouring symbols into a vocabulary token, so two bytes
 that stand next to each other inside no token can never end up in one token:
 between them a cut is certain. Each pre-token is split at all its certain
-cuts, the fragments are encoded independently, and their ids are joined.
-Fragments recur far more often than words, so their encodings are remembered.
+cuts, the fragments are encoded independently, and their ids are joined. All
+fragments of the words that a group of texts brings anew are merged together,
+in array operations, one merge of each fragment at a time; words recur, so
+their encodings are remembered.
 
 The normaliser, pre-tokeniser and vocabulary are read from the tokenizer file
 (word-level BPE with an end-of-word suffix, or plain byte-level BPE); special
@@ -30,8 +32,14 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow
 
-#: Remembered fragments and words per task before the memory starts anew.
+#: Remembered words per task before the memory starts anew.
 REMEMBERED = 200_000
+#: Characters of texts whose new words are learnt together; bytes of words in one set of arrays.
+TEXTS, LEARNT_BYTES = 1 << 19, 1 << 17
+#: Fragments with more symbols are merged by a queue.
+LONG = 48
+#: A rank behind all merges.
+NO_MERGE = np.int32(2**31 - 1)
 #: Unicode White_Space, written out (fixed values).
 SPACE = "\t-\r \x85\xa0  -     　"
 
@@ -90,9 +98,38 @@ class ForcedBoundaryBpe:
         # Characters whose class and case are the same in every Unicode version since 6.0.
         self.unsettled = regex.compile("[^\t\n\r -~\xa0-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u045f\u2010-\u2027\u20ac]").search
         self.path = path
-        self.fragments: dict[str, tuple[bytes, bytes]] = {}
-        self.words: dict[str, bytes] = {}
-        self.texts: dict[str, bytes] = {}
+        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self._tables()
+
+    def _tables(self) -> None:
+        """Merges, certain cuts and tokens as arrays. A symbol starts as a byte,
+        or as 256 plus the byte where a word ends."""
+        byte_of = {letter: b for b, letter in self.letters.items()}
+        self.byte_of = {ord(letter): chr(b) for letter, b in byte_of.items()}
+        both = [self.letters[b] for b in range(256)]
+        both += [letter + self.suffix for letter in both]
+        self.first_ids = np.array([self.vocab[letter] for letter in both], np.int32)
+        self.inside = np.zeros((256, 512), bool)
+        for pairs, shift in ((self.joined, 0), (self.joined_last, 256)):
+            for pair in pairs:
+                if pair[0] in byte_of and pair[1] in byte_of:
+                    self.inside[byte_of[pair[0]], byte_of[pair[1]] + shift] = True
+        self.span = max(self.vocab.values()) + 1
+        pairs = [(self.vocab[a] * self.span + self.vocab[b], rank, self.vocab[a + b]) for (a, b), rank in self.ranks.items()]
+        keys, ranks, merged = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.empty(0, np.int64),) * 3
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = np.append(keys[order], -1), np.append(ranks[order], NO_MERGE).astype(np.int32)
+        self.merged = np.zeros(int(ranks.max(initial=-1)) + 1, np.int32)
+        self.merged[ranks] = merged
+        first = self.first_ids.astype(np.int64)
+        self.first_ranks = self._ranks_of(np.repeat(first[:256], 512), np.tile(first, 256)).reshape(256, 512)
+        self.token_bytes = {i: t.encode() for i, t in self.token_of.items()}
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of pairs of tokens."""
+        keys = left.astype(np.int64) * self.span + right
+        at = np.searchsorted(self.pair_keys[:-1], keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_MERGE)
 
     def normalise(self, text: str) -> str:
         if not self.normalises:
@@ -160,24 +197,85 @@ class ForcedBoundaryBpe:
         out.append(letters[start:] + "\0")
         return out
 
-    def _learn(self, word: str, fragments: list[str]) -> None:
-        """Remember a pre-token's ids, and those ids decoded."""
-        if len(self.fragments) >= REMEMBERED:
-            self.fragments.clear()
-        ids, texts = [], []
-        for fragment in fragments:
-            known = self.fragments.get(fragment)
-            if known is None:
-                symbols = list(fragment)
-                if symbols[-1] == "\0":
-                    symbols.pop()
-                    symbols[-1] += self.suffix
-                encoded = self._merge(tuple(symbols))
-                known = self.fragments[fragment] = np.array(encoded, "<u4").tobytes(), self.decode(encoded).encode()
-            ids.append(known[0])
-            texts.append(known[1])
-        self.words[word] = b"".join(ids)
-        self.texts[word] = b" ".join(texts)
+    def _merge_all(self, data: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The merges of all words in ``data`` (``last``: a word's last byte):
+        for each byte the id of the token that starts there, or -1."""
+        n = len(data)
+        symbols = data.astype(np.int64)
+        symbols[last] += 256
+        ends = last.copy()
+        ends[:-1] |= ~self.inside[data[:-1], symbols[1:]]
+        out = np.full(n, -1, np.int32)
+        ids = self.first_ids[symbols]
+        ranks = np.full(n, NO_MERGE, np.int32)
+        ranks[:-1] = np.where(ends[:-1], NO_MERGE, self.first_ranks[data[:-1], symbols[1:]])
+        place = np.arange(n)
+        stops = np.flatnonzero(ends) + 1
+        sizes = np.diff(stops, prepend=0)
+        if sizes.max() > LONG:
+            for stop, size in zip(stops[sizes > LONG].tolist(), sizes[sizes > LONG].tolist(), strict=True):
+                begin = stop - size
+                long = self._merge(tuple(self.token_of[i] for i in ids[begin:stop].tolist()))
+                out[begin : begin + len(long)] = long
+            short = np.repeat(sizes <= LONG, sizes)
+            ids, ranks, place, sizes = ids[short], ranks[short], place[short], sizes[sizes <= LONG]
+        while len(ids):
+            starts = np.cumsum(sizes) - sizes
+            best = np.minimum.reduceat(ranks, starts)
+            more = best < NO_MERGE
+            if not more.all():  # fragments with no merge left
+                live = np.repeat(more, sizes)
+                out[place[~live]] = ids[~live]
+                ids, ranks, place, sizes, best = ids[live], ranks[live], place[live], sizes[more], best[more]
+                if not len(ids):
+                    break
+                starts = np.cumsum(sizes) - sizes
+            # The leftmost of the lowest rank in each fragment.
+            fragment = np.repeat(np.arange(len(sizes)), sizes)
+            hit = np.flatnonzero(ranks == best[fragment])
+            owner = fragment[hit]
+            hit = hit[np.concatenate([[True], owner[1:] != owner[:-1]])]
+            ids[hit] = self.merged[best]
+            stays = np.ones(len(ids), bool)
+            stays[hit + 1] = False
+            ids, ranks, place = ids[stays], ranks[stays], place[stays]
+            sizes = sizes - 1
+            at = hit - np.arange(len(hit))  # one symbol of each fragment before has gone
+            starts = np.cumsum(sizes) - sizes
+            right = at + 1 < starts + sizes
+            ranks[at] = NO_MERGE
+            ranks[at[right]] = self._ranks_of(ids[at[right]], ids[at[right] + 1])
+            before = at[at > starts]
+            ranks[before - 1] = self._ranks_of(ids[before - 1], ids[before])
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of pre-tokens, and those ids decoded."""
+        held, size = [], 0
+        for word in words:
+            raw = word[1:].translate(self.byte_of).encode("latin-1") if word[0] == "\0" else word.encode()
+            held.append((word, raw))
+            size += len(raw)
+            if size >= LEARNT_BYTES:
+                self._learn_together(held)
+                held, size = [], 0
+        if held:
+            self._learn_together(held)
+
+    def _learn_together(self, held: list[tuple[str, bytes]]) -> None:
+        data = np.frombuffer(b"".join([raw for _, raw in held]), np.uint8)
+        stops = np.cumsum([len(raw) for _, raw in held])
+        last = np.zeros(len(data), bool)
+        last[stops - 1] = True
+        out = self._merge_all(data, last)
+        tokens = out >= 0
+        ids = out[tokens]
+        cuts = np.cumsum(tokens)[stops - 1].tolist()
+        raw, texts = ids.astype("<u4").tobytes(), [self.token_bytes[i] for i in ids.tolist()]
+        begin = 0
+        for (word, _), stop in zip(held, cuts, strict=True):
+            self.words[word] = raw[4 * begin : 4 * stop], b" ".join(texts[begin:stop])
+            begin = stop
 
     def decode(self, ids) -> str:
         """The tokens of the ids joined by blanks (the file names no decoder);
@@ -194,34 +292,45 @@ class ForcedBoundaryBpe:
             return ["\0" + w for w, _ in own.pre_tokenizer.pre_tokenize_str(normal)]
         return self.find(self.normalise(text))
 
-    def _plain(self, text: str) -> tuple[bytes, bytes]:
-        found = self._pretokens(text)
-        words, decoded = self.words, self.texts
-        new = set(found).difference(words)
-        if len(words) + len(new) > REMEMBERED:
-            words.clear()
-            decoded.clear()
-            new = set(found)
-        for word in new:
-            self._learn(word, self._cut(word[1:]) if word[0] == "\0" else self.split(word))
-        return b"".join([words[w] for w in found]), b" ".join([decoded[w] for w in found])
-
-    def encode_and_decode(self, text: str) -> tuple[bytes, bytes]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text in UTF-8)."""
+    def _found(self, text: str) -> list[list[str] | str]:
+        """The pre-tokens of a text as lists, special tokens between them."""
         if self.specials is None or not self.specials.search(text):
-            return self._plain(text)
+            return [self._pretokens(text)]
+        return [part if i % 2 else self._pretokens(part) for i, part in enumerate(self.specials.split(text)) if part]
+
+    def _joined_up(self, found: list[list[str] | str]) -> tuple[bytes, bytes]:
         ids, texts = [], []
-        for i, part in enumerate(self.specials.split(text)):
-            if i % 2:
+        for part in found:
+            if isinstance(part, str):
                 ids.append(np.array([self.special[part]], "<u4").tobytes())
                 texts.append(part.encode())
-            elif part:
-                a, b = self._plain(part)
-                if a:
-                    ids.append(a)
-                    texts.append(b)
+            else:
+                known = [self.words[w] for w in part]
+                ids += [k[0] for k in known]
+                texts += [k[1] for k in known]
         return b"".join(ids), b" ".join(texts)
 
+    def encode_and_decode_all(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """For each text (ids as little-endian unsigned 32-bit integers, decoded
+        text in UTF-8). New words of some texts are learnt together."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            held.append(self._found(text))
+            size += len(text)
+            if size >= TEXTS or i == len(texts) - 1:
+                seen = {w for found in held for part in found if not isinstance(part, str) for w in part}
+                new = seen.difference(self.words)
+                if len(self.words) + len(new) > REMEMBERED:
+                    self.words.clear()
+                    new = seen
+                self._learn(list(new))
+                yield from map(self._joined_up, held)
+                held, size = [], 0
+
+    def encode_and_decode(self, text: str) -> tuple[bytes, bytes]:
+        """(ids as little-endian unsigned 32-bit integers, decoded text in UTF-8)."""
+        return next(self.encode_and_decode_all([text]))
+
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_and_decode(text)[0], "<u4")
 
@@ -245,8 +354,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
         codec = bpe(tokenizer)
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids, decoded = codec.encode_and_decode(text)
+            for ids, decoded in codec.encode_and_decode_all(batch.column(1).to_pylist()):
                 counts.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(decoded).hexdigest())
@@ -266,7 +374,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = bpe(tokenizer)
         for batch in batches:
-            ids = pa.array([codec.encode(t).astype(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            encoded = codec.encode_and_decode_all(batch.column(1).to_pylist())
+            ids = pa.array([np.frombuffer(ids, "<u4").astype(np.int64) for ids, _ in encoded], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_col, "ids"])
 
     picked = docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))

@@ -5,6 +5,7 @@ import numpy as np
 from llm_texts import texts_with_everything
 from tokenizers import Tokenizer
 
+from ledgerlens.llm import bpe as bpe_module
 from ledgerlens.llm.bpe import ForcedBoundaryBpe, bpe_round_trip, encode_documents
 
 
@@ -44,6 +45,23 @@ def test_long_fragments_by_queue_equal_the_plain_merges(word_bpe):
         assert own._merge_long(list(parts)) == own._merge(tuple(parts))
 
 
+def test_new_words_are_merged_together(word_bpe, monkeypatch):
+    rng = random.Random(5)
+    letters = "abcdefghilmnoprstuéß"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(200)) for _ in range(30)]
+    texts += ["q" * 300 + " <|endoftext|>x " + "ab" * 90, "<|endoftext|>", ""]
+    own, library = ForcedBoundaryBpe(word_bpe), Tokenizer.from_file(word_bpe)
+    alone = []
+    merge = own._merge
+    monkeypatch.setattr(own, "_merge", lambda symbols: alone.append(len(symbols)) or merge(symbols))
+    monkeypatch.setattr(bpe_module, "REMEMBERED", 500)
+    monkeypatch.setattr(bpe_module, "TEXTS", 3000)
+    monkeypatch.setattr(bpe_module, "LEARNT_BYTES", 700)
+    got = [np.frombuffer(ids, "<u4").tolist() for ids, _ in own.encode_and_decode_all(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert min(alone, default=99) > 48  # only long fragments are merged one by one
+
+
 def test_query_rows(docs, word_bpe):
     library = Tokenizer.from_file(word_bpe)
     rows = texts_with_everything()
