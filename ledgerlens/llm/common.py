@@ -24,6 +24,8 @@ WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in LOWER)
 _SHIPPED: set[str] = set()
 #: Arrow batches of rows with whole texts: a task holds a few of them at once.
 ARROW_BATCH, DEFAULT_BATCH = "2m", "67108864b"
+#: Bytes of a batch on its way back: the JVM keeps memory outside its heap for the largest ones.
+RETURNED_BYTES = 1 << 19
 
 
 def ship(spark: SparkSession) -> None:
@@ -61,13 +63,24 @@ def _release() -> None:
         return
 
 
+def returned(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about ``RETURNED_BYTES`` (at least one row each)."""
+    rows = max(1, batch.num_rows * RETURNED_BYTES // max(1, batch.nbytes))
+    if rows >= batch.num_rows:
+        yield batch
+        return
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the executors."""
     ship(df.sparkSession)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from run(batches)
+            for batch in run(batches):
+                yield from returned(batch)
         finally:
             _release()
 

@@ -50,9 +50,10 @@ GRAM = 20
 #: Longest run of windows in one context (periodic texts have endless runs).
 RUN = 2048
 #: Context bytes in one transform; contexts of one anchor in one block.
-BLOCK_BYTES, SALT = 1 << 19, 8192
-#: Bytes of entries in one anchor range; text bytes whose entries a map task sends together.
-RANGE_BYTES, SENT_BYTES = 2 << 20, 3 << 20
+BLOCK_BYTES, SALT = 1 << 18, 8192
+#: Bytes of entries in one anchor range; text bytes whose entries a map task sends together,
+#: and whose contexts are found together.
+RANGE_BYTES, SENT_BYTES, PART_BYTES = 4 << 20, 3 << 20, 1 << 18
 LOWEST = -(1 << 63)
 
 
@@ -223,6 +224,12 @@ _ENTRY_SQL = "range int, part bigint, base bigint, width int, n int, anchors bin
 _ANSWER_SQL = "part bigint, base bigint, width int, ids binary, contexts binary, salts binary, keys binary"
 
 
+def _spread(anchors: np.ndarray) -> np.ndarray:
+    """Anchors as numbers that ranges divide evenly: being the smallest hashes
+    of their windows, most anchors are small numbers themselves."""
+    return mix64(anchors ^ np.uint64(0x9E3779B97F4A7C15))
+
+
 def _entries(docs: DataFrame, length: int, ranges: int, anchor_width: int) -> DataFrame:
     """Packed entries per anchor range; range -1: the names of a batch's
     documents; range -2: contexts that the batch itself shows to be repeats."""
@@ -236,14 +243,14 @@ def _entries(docs: DataFrame, length: int, ranges: int, anchor_width: int) -> Da
                 number, turn = (task << 24) + turn, turn + 1
                 ids, keys = part.column("ord").to_numpy(), part.column("key").to_numpy()
                 found, done = [], 0
-                for small in slices(part, "text"):
+                for small in slices(part, "text", PART_BYTES):
                     got = contexts_of(*binary_view(small.column("text")), length)
                     found.append((got[0] + done, got[3], got[4]))
                     done += small.num_rows
                 row, anchor, context = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
                 out = [{"range": -1, "part": number, "base": 0, "width": 8, "n": len(ids), "anchors": keys.tobytes(), "contexts": b"", "ids": ids.tobytes()}]
                 if len(row):
-                    anchor = anchor >> np.uint64(64 - 8 * anchor_width)
+                    anchor = _spread(anchor) >> np.uint64(64 - 8 * anchor_width)
                     who = ids[row]
                     by = np.lexsort((who, context, anchor))
                     anchor, context, who = anchor[by], context[by], who[by]
@@ -408,8 +415,8 @@ def _member(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of the unpacked texts of a batch, about half
-    a megabyte at a time."""
+    """(first row, bytes, offsets) of the unpacked texts of a batch, about
+    ``PART_BYTES`` at a time."""
     import zstandard
 
     reader = zstandard.ZstdDecompressor()
@@ -417,7 +424,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     for i, z in enumerate(batch.column("z").to_pylist()):
         held.append(reader.decompress(z))
         size += len(held[-1])
-        if size >= 1 << 19 or len(held) >= 1 << 15 or i == batch.num_rows - 1:
+        if size >= PART_BYTES or len(held) >= 1 << 15 or i == batch.num_rows - 1:
             yield first, np.frombuffer(b"".join(held), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in held])])
             first, held, size = i + 1, [], 0
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from llm_texts import texts_with_everything
@@ -109,3 +110,25 @@ def test_contexts_that_agree_in_48_bits_are_not_taken_for_each_other(docs):
     rows = [(1, "bsaopx tn  aje ptk fp tdyvoqebd e o  kebgs uy d kd"), (2, "fjkxokn oxbex aptk fp tdyvoqebd e o  p nbo tcgxtet")]
     assert [len(t) for _, t in rows] == [50, 50]
     assert {(r.doc_id, r.n_removed, r.n_spans) for r in S.suffix_dedup(docs(rows)).collect()} == {(1, 0, 0), (2, 0, 0)}
+
+
+def test_anchor_ranges_are_even():
+    # Anchors are the smallest hashes of their windows; dealt as they are, most fall into the first ranges.
+    rng = np.random.default_rng(4)
+    flat = rng.integers(97, 123, 400_000).astype(np.uint8)
+    *_, anchor, _ = S.contexts_of(flat, np.array([0, len(flat)]), 50)
+    shares = np.bincount((S._spread(anchor) >> np.uint64(59)).astype(np.int64), minlength=32) / len(anchor)
+    assert shares.max() < 2 / 32
+    assert len(np.unique(S._spread(anchor))) == len(np.unique(anchor))
+
+
+def test_batches_come_back_in_small_parts(spark, monkeypatch):
+    from ledgerlens.llm import common
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000), pa.int64()), pa.array([b"x" * 400] * 4999 + [b"y" * 3_000_000])], ["a", "b"])
+    parts = list(common.returned(batch))
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch])
+    assert max(p.nbytes for p in parts if p.num_rows > 1 and p.column(1)[-1].as_py()[:1] == b"x") <= 2 * common.RETURNED_BYTES
+    assert list(common.returned(batch.slice(0, 0)))[0].num_rows == 0
+    got = common.map_arrow(spark.range(3).repartition(1), lambda batches: (batch for _ in batches), "a bigint, b binary").selectExpr("count(*) n", "sum(a) s", "sum(length(b)) b").first()
+    assert (got.n, got.s, got.b) == (5000, 4999 * 2500, 4999 * 400 + 3_000_000)
