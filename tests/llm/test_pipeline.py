@@ -6,7 +6,7 @@ from ledgerlens.llm.queries import ORACLE, QUERIES
 
 def test_stages_and_queries():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "n-gram jaccard join", "suffix-array dedup", "best-fit packing"]
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
