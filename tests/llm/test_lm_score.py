@@ -3,10 +3,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_texts import texts_with_everything
 
-from ledgerlens.llm.lm_score import Lattice, lm_score, vocabulary
+from ledgerlens.llm.lm_score import Lattice, counted_words, lm_score, vocabulary
+from ledgerlens.llm.lm_score import tokens as split_words
 
 LOW = bytes(range(256)).lower()
 
@@ -86,3 +88,58 @@ def test_long_words_and_empty_table(docs, pieces):
     assert lm_score(docs([]), pieces).collect() == []
     (r,) = lm_score(docs([(4, "x")]).where("doc_id = 4"), pieces).collect()
     assert r.n_tokens == 2
+
+
+def odd_words():
+    rng = np.random.default_rng(5)
+    words = ["the", "river", "été", "x1", "你好", "😀a", "tions", "\x01", "▁▁a", "\ufffd", "a" * 254, "a" * 255, "a" * 256, "x" * 700]
+    return [w.encode() for w in words] + [bytes(rng.integers(33, 256, n, np.uint8)) for n in rng.integers(1, 40, 500)]
+
+
+def test_words_summed_together_equal_single_ones(pieces):
+    names, prior, _ = vocabulary(pieces)
+    lattice, words = Lattice(pieces, prior), odd_words()
+    assert np.allclose(lattice.words(words), [lattice.word(w) for w in words], rtol=1e-12, atol=0)
+    times, one = np.arange(1.0, len(words) + 1), [0.0] * len(prior)
+    for word, n in zip(words, times.tolist(), strict=True):
+        lattice.expected(word, n, one)
+    together = np.zeros(len(prior))
+    lattice.expected_all(words, times, together)
+    assert np.allclose(together, one, rtol=1e-9, atol=1e-9)
+    assert len(lattice.words([])) == 0
+
+
+def test_ordinary_words_are_not_summed_one_by_one(pieces, monkeypatch):
+    alone = []
+    arcs = Lattice.arcs
+    monkeypatch.setattr(Lattice, "arcs", lambda self, s: alone.append(len(s)) or arcs(self, s))
+    lattice = Lattice(pieces, vocabulary(pieces)[1])
+    words = odd_words()
+    lattice.words(words)
+    lattice.expected_all(words, np.ones(len(words)), np.zeros(len(vocabulary(pieces)[1])))
+    assert sorted(alone) == [257, 257, 701, 701]  # with the leading blank
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_counted_words_equal_split(most):
+    rng = np.random.default_rng(3)
+    letters = np.frombuffer(b" \t\n\x0b\x0c\r\x00\x1c\x85aAbZ\xc2\xa0\xff", np.uint8)
+    texts = [b"", b" ", b"A a\x0bB\x0c", bytes(range(256)), *(rng.choice(letters, n).tobytes() for n in rng.integers(0, 30, 200))]
+    train = rng.integers(0, 2, len(texts)).astype(bool).tolist()
+    words, numbers, first = split_words(pa.array(texts, pa.binary()))
+    words = words.to_pylist()
+    assert words[-1] == b"" and len(set(words)) == len(words)
+    assert [[words[k] for k in numbers[a:b]] for a, b in zip(first, first[1:], strict=False)] == [t.translate(LOW).split() for t in texts]
+
+    want, seen = Counter(), set()
+    for t, text in zip(train, texts, strict=True):
+        seen.update(text.translate(LOW).split())
+        if t:
+            want.update(text.translate(LOW).split() + [b""])
+    batch = pa.RecordBatch.from_arrays([pa.array(train), pa.array(texts, pa.binary())], ["train", "text"])
+    got = Counter()
+    for out in counted_words(iter([batch.slice(i, 9) for i in range(0, len(texts), 9)]), most):
+        assert out.schema.names == ["word", "c"]
+        for word, c in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            got[word] += c
+    assert dict(got) == {**dict.fromkeys(seen, 0), **want}
