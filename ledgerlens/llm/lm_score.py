@@ -47,6 +47,8 @@ COUNTED = 400_000
 HEAD_BYTES = 64
 #: Longest word, in characters, whose lattice is summed together with others.
 TOGETHER = 256
+#: About how many characters of words are summed together: some 50 MB of arrays.
+AT_ONCE = 1 << 17
 #: Weight of the prior in the fitted piece counts, in pieces.
 PRIOR = 1_000.0
 
@@ -218,8 +220,8 @@ class Lattice:
         uses += alone
 
     def _together(self, words: Sequence[bytes], out: np.ndarray | None, times: np.ndarray | None = None, uses: list[float] | None = None) -> Iterator[tuple]:
-        """(places, spelled words, longest first) of the words that are summed
-        together; the long ones are done here."""
+        """(places, spelled words, longest first) of words that are summed
+        together, run by run; the long ones are done here."""
         texts = ["▁" + word.decode("utf-8", "replace") for word in words]
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         for i in np.flatnonzero(lengths > TOGETHER).tolist():
@@ -229,8 +231,10 @@ class Lattice:
                 self.expected(words[i], float(times[i]), uses)
         order = np.argsort(-lengths, kind="stable")
         order = order[lengths[order] <= TOGETHER]
-        if len(order):
-            yield order, [texts[i] for i in order.tolist()]
+        runs = np.cumsum(lengths[order]) // AT_ONCE
+        for chosen in np.split(order, np.flatnonzero(np.diff(runs)) + 1):
+            if len(chosen):
+                yield chosen, [texts[i] for i in chosen.tolist()]
 
     def _sums(self, texts: list[str]) -> tuple:
         """The forward recursion of words given longest first. Places are

@@ -96,7 +96,9 @@ def odd_words():
     return [w.encode() for w in words] + [bytes(rng.integers(33, 256, n, np.uint8)) for n in rng.integers(1, 40, 500)]
 
 
-def test_words_summed_together_equal_single_ones(pieces):
+@pytest.mark.parametrize("at_once", [1, 900, 1 << 17])
+def test_words_summed_together_equal_single_ones(pieces, monkeypatch, at_once):
+    monkeypatch.setattr("ledgerlens.llm.lm_score.AT_ONCE", at_once)
     names, prior, _ = vocabulary(pieces)
     lattice, words = Lattice(pieces, prior), odd_words()
     assert np.allclose(lattice.words(words), [lattice.word(w) for w in words], rtol=1e-12, atol=0)
